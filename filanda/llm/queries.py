@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from filanda.llm.components import connected_groups
+from filanda.llm.markup import found_markup
 from filanda.llm.unicode_forms import found_disguises
 from filanda.runtime import table, tune
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs and previews that contain markup."""
+    tune(spark)
+    return found_markup(table(spark, sf_dir, "sections").select("section_id", "preview_start", "paragraphs"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes and the smallest node of their group, over links of weight 0.5 or more."""
     return connected_groups(table(spark, sf_dir, "links").select("source", "target", "weight"), 0.5)
@@ -22,7 +29,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found_disguises(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p10_found": p10_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p2_found": p2_found, "p10_found": p10_found}
 
 ORACLES: dict[str, str] = {
     "p2_found": """
