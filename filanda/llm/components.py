@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filanda.runtime import cut
+from filanda.runtime import cut, drop
 
 #: Rounds that no input can exceed: components at least halve in each.
 MAX_ROUNDS = 64
@@ -56,11 +56,14 @@ def _collapse(parents: DataFrame) -> DataFrame:
         up = p.select(F.col("c").alias("p"), F.col("p").alias("pp"))
         nxt = cut(p.join(up, "p").select("c", F.col("pp").alias("p"), (F.col("pp") != F.col("p")).alias("moved")))
         moving = nxt.where("moved").limit(1).count()
-        p = nxt.drop("moved")
+        drop(p)
+        p = nxt
         if not moving:
             break
     names = p.groupBy("p").agg(F.min("c").alias("root"))
-    return cut(p.join(names, "p").select("c", "root"))
+    out = cut(p.join(names, "p").select("c", "root"))
+    drop(p)
+    return out
 
 
 def connected_groups(links: DataFrame, min_weight: float | None = None) -> DataFrame:
@@ -80,11 +83,13 @@ def connected_groups(links: DataFrame, min_weight: float | None = None) -> DataF
             labels = roots.select(F.col("c").alias("node_id"), F.col("root").alias("group_id"))
         else:
             new = roots.select(F.col("c").alias("group_id"), "root")
-            labels = cut(labels.join(new, "group_id", "left").select("node_id", F.coalesce("root", "group_id").alias("group_id")))
+            before, labels = labels, cut(labels.join(new, "group_id", "left").select("node_id", F.coalesce("root", "group_id").alias("group_id")))
+            drop(before)
         a = roots.select(F.col("c").alias("lo"), F.col("root").alias("a"))
         b = roots.select(F.col("c").alias("hi"), F.col("root").alias("b"))
         left = edges.join(a, "lo").join(b, "hi").where("a <> b")
-        edges = cut(left.groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(F.min("cost").alias("cost")))
+        before, edges = edges, cut(left.groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(F.min("cost").alias("cost")))
+        drop(before)
     else:
         raise RuntimeError("components did not settle")
     return labels if labels is not None else edges.select(F.col("lo").alias("node_id"), F.col("hi").alias("group_id"))
