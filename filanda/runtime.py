@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,10 +49,68 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the lineage ends in files that outlive any executor."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Ends the lineage: the rows as a Parquet table in the shared checkpoint folder, which outlives any executor.
+
+    Unlike ``checkpoint()`` the table is columnar and compressed, and its plan carries no constraints of the
+    plans before it, which otherwise grow from round to round. ``drop`` removes it, or the end of the driver.
+    """
+    spark = df.sparkSession
+    at = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    if not _SCRATCH:
+        atexit.register(drop_all)
+    _SCRATCH.append((spark, at))
+    out = spark.read.schema(df.schema).parquet(at)
+    out._filanda_at = at
+    return out
+
+
+def _delete(spark: SparkSession, at: str) -> None:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop(*tables: DataFrame | None) -> None:
+    """Removes tables made by ``cut`` that no later plan reads."""
+    for t in tables:
+        at = getattr(t, "_filanda_at", None)
+        for entry in [e for e in _SCRATCH if e[1] == at]:
+            _SCRATCH.remove(entry)
+            _delete(*entry)
+
+
+def drop_all() -> None:
+    """Removes every table that ``cut`` left; silently, as the session may be gone."""
+    while _SCRATCH:
+        try:
+            _delete(*_SCRATCH.pop())
+        except Exception:  # noqa: BLE001
+            return
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, so that functions sent to Python workers can be imported there."""
+    sc = spark.sparkContext
+    if _SHIPPED.get(sc.applicationId):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    at = os.path.join(tempfile.mkdtemp(prefix="filanda-"), "filanda.zip")
+    with zipfile.ZipFile(at, "w") as z:
+        for d, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    p = os.path.join(d, f)
+                    z.write(p, os.path.join("filanda", os.path.relpath(p, root)))
+    sc.addPyFile(at)
+    _SHIPPED[sc.applicationId] = True
+
+
+_SHIPPED: dict[str, bool] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
