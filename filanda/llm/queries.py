@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from filanda.llm.components import connected_groups
 from filanda.llm.markup import found_markup
+from filanda.llm.name_variants import name_groups, variant_pairs
 from filanda.llm.near_duplicates import all_pairs, document_words, similar_documents
 from filanda.llm.unicode_forms import found_disguises
 from filanda.runtime import table, tune
@@ -32,13 +33,19 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_pairs(*similar_documents(document_words(skeleton, sections), 0.75))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of spellings of one person or organisation."""
+    tune(spark)
+    return variant_pairs(name_groups(table(spark, sf_dir, "entities").select("category", "value")))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kinds of disguise in the documents' texts."""
     tune(spark)
     return found_disguises(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p2_found": p2_found, "p4_found": p4_found, "p10_found": p10_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p10_found": p10_found}
 
 ORACLES: dict[str, str] = {
     "p2_found": """
