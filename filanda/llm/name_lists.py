@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 
 # Common first names, Italian and English.
@@ -65,6 +66,7 @@ viaggi
 TRADE_SHORT = {"grp": "group", "gr": "group", "mfg": "manufacturing", "intl": "international", "svc": "services", "mgmt": "management", "tlc": "telecomunicazioni", "eng": "engineering", "ing": "ingegneria", "int": "international"}
 
 
+@functools.lru_cache(100_000)
 def fold(text: str) -> str:
     """Lower case without accents."""
     return "".join(c for c in unicodedata.normalize("NFKD", text.lower()) if not unicodedata.combining(c))

@@ -10,6 +10,7 @@ from filanda.llm.components import connected_groups
 from filanda.llm.markup import found_markup
 from filanda.llm.name_variants import name_groups, variant_pairs
 from filanda.llm.near_duplicates import all_pairs, document_words, similar_documents
+from filanda.llm.personal_data import found_personal_data
 from filanda.llm.unicode_forms import found_disguises
 from filanda.runtime import table, tune
 
@@ -25,6 +26,13 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return connected_groups(table(spark, sf_dir, "links").select("source", "target", "weight"), 0.5)
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of personal data in paragraphs and previews."""
+    tune(spark)
+    sections = table(spark, sf_dir, "sections").select("section_id", "preview_start", "paragraphs")
+    return found_personal_data(sections, table(spark, sf_dir, "taxonomy_diff").select("diff_id", "text_preview"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of documents whose words agree to three quarters or more."""
     tune(spark)
@@ -45,7 +53,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found_disguises(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p10_found": p10_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p10_found": p10_found}
 
 ORACLES: dict[str, str] = {
     "p2_found": """
