@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from filanda.llm.components import connected_groups
 from filanda.llm.markup import found_markup
+from filanda.llm.mixing import mix
 from filanda.llm.name_variants import name_groups, variant_pairs
 from filanda.llm.near_duplicates import all_pairs, document_words, similar_documents
+from filanda.llm.packing import pack_documents
 from filanda.llm.personal_data import found_personal_data
+from filanda.llm.tokens import with_token_counts
 from filanda.llm.unicode_forms import found_disguises
-from filanda.runtime import table, tune
+from filanda.runtime import cut, table, tune
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,13 +50,27 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variant_pairs(name_groups(table(spark, sf_dir, "entities").select("category", "value")))
 
 
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The container of every document's text, for each capacity."""
+    tune(spark)
+    sized = cut(with_token_counts(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return pack_documents(sized, table(spark, sf_dir, "pack_sizes"))
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mixture of the sources that meets the targets as nearly as the repeats allow."""
+    tune(spark)
+    sized = cut(with_token_counts(table(spark, sf_dir, "documents").select("doc_id", "source", "text")))
+    return mix(sized, table(spark, sf_dir, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kinds of disguise in the documents' texts."""
     tune(spark)
     return found_disguises(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p10_found": p10_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p8_containers": p8_containers, "p9_mixture": p9_mixture, "p10_found": p10_found}
 
 ORACLES: dict[str, str] = {
     "p2_found": """
