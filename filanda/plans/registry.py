@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filanda.plans import changes
+from filanda.plans import changes, texts
 
-MODULES = (changes,)
+MODULES = (changes, texts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
