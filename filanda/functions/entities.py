@@ -32,7 +32,7 @@ PROJECT = r"\b([A-Z]{2,5}[-_/]\d{1,4}(?:[-_/][A-Z0-9]{1,8}){0,3})\b"
 DATE = r"(?i)\b(\d{1,2}[/\-.]\d{1,2}[/\-.]\d{2,4}|\d{4}[/\-]\d{1,2}[/\-]\d{1,2}|\d{1,2}\s+(?:gennaio|febbraio|marzo|aprile|maggio|giugno|luglio|agosto|settembre|ottobre|novembre|dicembre)\s+\d{4})\b"
 AMOUNT_WORD = r"(?i)(?:euro|EUR)\s*([\d.,]*\d[\d.,]*)|([\d.,]*\d[\d.,]*)\s*(?:euro|EUR)"
 AMOUNT_SIGN = r"€\s*([\d.,]*\d[\d.,]*)|([\d.,]*\d[\d.,]*)\s*€"
-EMAIL = r"\b([\w.\-]+@[\w.\-]+\.\w{2,})\b"
+EMAIL = r"([\p{L}\p{N}_][\p{L}\p{N}_.\-]*@[\p{L}\p{N}_.\-]+\.[\p{L}\p{N}_]{2,})"
 URL = r"(https?://[^\s)\]]+|www\.[^\s)\]]+)"
 IP = r"(?<![\d.])(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?:/\d{1,2})?)(?![\d.])"
 HOST_PREFIX = r"\b(WIN(?:SRV|GROUP|SERVER|DC|SQL|EX|HOST)?[A-Z0-9][A-Z0-9\-]{2,}|SRV[-_]?[A-Z0-9][A-Z0-9\-]+|PC[-_][A-Z0-9][A-Z0-9\-]+|NAS[-_]?[A-Z0-9][A-Z0-9\-]*|USG[-_]?[A-Z0-9][A-Z0-9\-]*|VM\d{1,4}(?:[-_][A-Z0-9\-]+)?|DC\d{1,2}(?:[-_][A-Z0-9\-]+)?|HOST[-_]?[A-Z0-9][A-Z0-9\-]+)\b"

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filanda.plans import changes, texts
+from filanda.plans import changes, graph, texts
 
-MODULES = (changes, texts)
+MODULES = (changes, texts, graph)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -135,7 +135,7 @@ _AMT = " || ".join(
     for p, o in ((rf"(?:euro|EUR)\s*({_NUM})|({_NUM})\s*(?:euro|EUR)", "i"), (rf"€\s*({_NUM})|({_NUM})\s*€", ""))
 )
 _ACR = f"list_filter(regexp_extract_all(text, '[A-Za-z]+'), lambda w: regexp_full_match(w, '[A-Z]{{2,7}}') and w not in ({_STOP}))"
-_EMAIL = r"regexp_extract_all(text, '\b([\w.\-]+@[\w.\-]+\.\w{2,})\b', 1)"
+_EMAIL = f"regexp_extract_all(text, '{E.EMAIL}', 1)"
 _PROJ = f"regexp_extract_all(text, '{E.PROJECT}', 1)"
 _WORDS = r"coalesce(len(regexp_extract_all(text, '\S+')), 0)"
 _NUMBERED = r"^\s*(\d+(?:\.\d+){0,4})\.?\s+(\S.*)$"
@@ -167,7 +167,7 @@ select section_id, regexp_replace(substr(text, 1, 200), '^[\s\p{{Z}}]+|[\s\p{{Z}
     "entity_doc_ref": _matches(f"list_transform(regexp_extract_all(text, '{E.DOC_REF[4:]}', 1, 'i'), lambda x: trim(x))"),
     "entity_ip_addr": r"""
 with m as (select doc_id, unnest(list_zip(regexp_extract_all(text, '([0-9.]+)(/[0-9]{1,2})?([0-9.]*)', 1), regexp_extract_all(text, '([0-9.]+)(/[0-9]{1,2})?([0-9.]*)', 2), regexp_extract_all(text, '([0-9.]+)(/[0-9]{1,2})?([0-9.]*)', 3))) as z from documents where text is not null),
-q as (select doc_id, z[1] as ip, case when z[3] = '' then z[1] || z[2] else z[1] end as value from m where regexp_full_match(z[1], '\d{1,3}(\.\d{1,3}){3}'))
+q as (select doc_id, z[1] as ip, case when coalesce(z[3], '') = '' then z[1] || coalesce(z[2], '') else z[1] end as value from m where regexp_full_match(z[1], '\d{1,3}(\.\d{1,3}){3}'))
 select doc_id, value, count(*) as cnt from q where list_max(list_transform(string_split(ip, '.'), lambda o: o::int)) <= 255 group by all""",
     "entity_hostname": f"""
 with c as (select doc_id, list_distinct(regexp_extract_all(text, '{E.HOST_PREFIX}', 1) || list_filter(regexp_extract_all(text, '{E.HOST_DASHED}', 1), lambda h: regexp_matches(h, '\\d') or len(h) - len(replace(h, '-', '')) >= 2)) as hs from documents where text is not null)
