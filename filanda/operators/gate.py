@@ -1,0 +1,112 @@
+"""Anonymisation map, and the gate that drops secrets and drops or scrubs residual identifiers before publishing.
+
+Rules are data: a name and a Java pattern. They are constant Columns, so every pattern is compiled once; own terms come in as a parameter.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from filanda.functions import text as T
+
+# Category, prefix of its placeholders, in the order of precedence.
+PREFIXES = [("COMPANY", "AZIENDA"), ("PROPER_NOUN", "PERSONA"), ("EMAIL", "EMAIL"), ("IP_ADDR", "IP"), ("HOSTNAME", "HOSTNAME")]
+MASK = "[REDATTO]"
+MIN_CHARS = 10
+
+_WORD = r"(?:password|passwd|pwd|passphrase|psw|pin|secret|token|api[ _-]?key|chiave|credenzial[ei]|segreto)"
+# six characters or more with a digit or sign among them, or eight letters; written without look-ahead
+_VALUE = "(?:" + "|".join(rf"[^\s,;]{{{i},}}[\d!@#$%^&*_][^\s,;]{{{5 - i},}}" for i in range(6)) + "|[A-Za-z]{8,})"
+#: Secrets: any of them drops the row.
+SECRETS = [
+    ("secret-assignment", rf"(?i)\b{_WORD}\b[^:=\n]{{0,24}}[:=]\s*{_VALUE}"),
+    ("secret-phrase", rf"(?i)\b{_WORD}\b(?:\s+\S+){{0,2}}\s+(?:è|e'|is|sono|are|was|era)\s+{_VALUE}"),
+    ("secret-card", r"(?i)\b(?:credenziali|credentials)\b.{0,30}\b(?:account|utente|user|utenza)\b"),
+    ("secret-file", r"(?i)\b[\w-]*(?:password|credenzial|secret|passwd)[\w-]*\.(?:txt|xlsx?|docx?|csv|kdbx?|pdf|json|ya?ml|env)\b"),
+]
+#: Residue: drops a label, is masked in other text.
+RESIDUE = [
+    ("residue-ip", r"\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?:/\d{1,2})?\b"),
+    ("residue-email", r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_.-]+\.[\p{L}\p{N}_]{2,}"),
+    ("residue-hostname", r"(?i)\b(?:srv|dc|nas|vm|pc|db|app|fw|sw|prx|esx|vdi)-[a-z0-9][a-z0-9-]*\d\b"),
+]
+
+Rule = tuple[str, str]
+
+
+def term_rule(terms: list[str], name: str = "own-term") -> list[Rule]:
+    """A rule for an operator's own words, whole and in any case; none for an empty list."""
+    return [(name, r"(?iU)\b(?:" + "|".join(re.escape(t) for t in sorted(terms, key=len, reverse=True)) + r")\b")] if terms else []
+
+
+def first_rule(text: T.C, rules: list[Rule]) -> Column:
+    """The name of the first rule that a text matches; null for none."""
+    return F.coalesce(*[F.when(T.col(text).rlike(p), F.lit(n)) for n, p in rules], F.lit(None).cast("string"))
+
+
+def rules_found(text: T.C, rules: list[Rule]) -> Column:
+    """The names of all rules that a text matches."""
+    return F.array_compact(F.array(*[F.when(T.col(text).rlike(p), F.lit(n)) for n, p in rules]))
+
+
+def scrub(text: T.C, rules: list[Rule] = RESIDUE, mask: str = MASK) -> Column:
+    """The text with every match of every rule masked, in the rules' order."""
+    t = T.col(text)
+    for _, p in rules:
+        t = F.regexp_replace(t, p, mask.replace("[", r"\["))
+    return t
+
+
+def anonymisation_map(counts: DataFrame) -> DataFrame:
+    """``original, category, placeholder``: values numbered by falling frequency within their prefix, equal counts by first appearance.
+
+    ``counts``: ``category, value, cnt, first_id``. A value of several categories belongs to the first prefix and uses up no number of the others. Each prefix is
+    ranked in one sort over distinct values.
+    """
+    prio = F.array_position(F.array(*[F.lit(c) for c, _ in PREFIXES]), F.col("category"))
+    known = counts.where(F.col("category").isin(*[c for c, _ in PREFIXES])).withColumn("prio", prio)
+    first = known.groupBy("value").agg(F.min_by(F.struct("category", "prio", "cnt", "first_id"), "prio").alias("x")).select("value", "x.*")
+    number = F.row_number().over(Window.partitionBy("category").orderBy(F.desc("cnt"), "first_id", "value"))
+    name = F.element_at(F.create_map(*[F.lit(x) for pair in PREFIXES for x in pair]), F.col("category"))
+    return first.select(F.col("value").alias("original"), "category", F.concat(F.lit("["), name, F.lit("_"), number.cast("string"), F.lit("]")).alias("placeholder"))
+
+
+def anonymise(texts: DataFrame, anon: DataFrame, key: str, text: str, most_terms: int = 200_000) -> DataFrame:
+    """``key, text`` with the originals replaced, the longest first; later ones see earlier placeholders.
+
+    Only originals that occur are carried to a text: its words meet each original's first word by an equi-join, so neither side is broadcast.
+    """
+    head = lambda c: F.regexp_extract(F.lower(c), r"([\p{L}\p{N}]+)", 1)
+    words = texts.select(key, F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)))).alias("w"))
+    terms = anon.select(head(F.col("original")).alias("w"), "original", "placeholder")
+    hits = words.join(terms, "w").select(key, "original", "placeholder").join(texts.select(key, text), key).where(F.contains(text, F.col("original")))
+    lists = hits.groupBy(key).agg(F.array_sort(F.collect_list(F.struct((-F.length("original")).alias("l"), "original", "placeholder"))).alias("pairs"))
+    return texts.join(lists, key, "left").select(key, F.when(F.col("pairs").isNull(), F.col(text)).otherwise(T.replace_all(text, "pairs")).alias(text))
+
+
+def person_tokens(anon: DataFrame) -> DataFrame:
+    """``token``: words of four letters or more of persons' names that are two capital words."""
+    two = anon.where(F.col("category") == "PROPER_NOUN").where(F.col("original").rlike(r"^\p{Lu}\p{L}+ \p{Lu}\p{L}+$"))
+    return two.select(F.explode(F.split("original", " ")).alias("token")).where("length(token) >= 4").distinct()
+
+
+def gate(rows: DataFrame, rules: list[Rule] = RESIDUE, secrets: list[Rule] = SECRETS, least: int = MIN_CHARS) -> DataFrame:
+    """``rows`` with ``kept, reason, label, text_preview, scrubbed``.
+
+    ``rows``: ``label, text_preview`` and others. A secret in label or preview drops the row, by its raw text; residue in the label drops it; residue in the preview is
+    masked; a label of fewer than ``least`` significant characters drops the row. The first reason in this order counts. Null texts match nothing.
+    """
+    secret = F.coalesce(first_rule("label", secrets), first_rule("text_preview", secrets))
+    residue = first_rule("label", rules)
+    short = F.when(F.coalesce(T.significant_chars("label"), F.lit(0)) < least, "label-too-short")
+    reason = F.coalesce(secret, residue, short)
+    found = F.coalesce(rules_found("text_preview", rules), F.array().cast("array<string>"))
+    return rows.withColumns({"reason": reason, "kept": reason.isNull(), "scrubbed": found}).withColumn("text_preview", scrub("text_preview", rules))
+
+
+def gate_statistics(gated: DataFrame) -> DataFrame:
+    """``bucket, reason, n``: rows kept (null reason) and dropped."""
+    return gated.groupBy("bucket", "reason").agg(F.count("*").alias("n"))

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filanda.plans import changes, graph, texts
+from filanda.plans import changes, graph, pipeline, texts
 
-MODULES = (changes, texts, graph)
+MODULES = (changes, texts, graph, pipeline)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
