@@ -353,6 +353,7 @@ def clean(text: str | None) -> tuple[str | None, list[str]]:
         else:
             out.append(_plain(s.kind, piece))
     joined = regex.sub(r"[ \t]+\n", "\n", "".join(out))
+    joined = regex.sub(r"(?m)^(- |#{1,6} |> )[ \t]+", r"\1", joined)
     return regex.sub(r"\n{3,}", "\n\n", joined).strip("\n"), found
 
 
