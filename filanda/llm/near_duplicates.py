@@ -122,6 +122,10 @@ def _exact(pairs: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
 FEW = 2_000_000
 
 
+#: Representatives whose bitmaps may be broadcast (about 100 bytes each); beyond them the joins shuffle.
+SMALL = 300_000
+
+
 def _only(df: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``df`` whose id is among ``ids``, which were counted: few are broadcast, so that the wide rows need not move."""
     few = ids.limit(FEW + 1).count() <= FEW
@@ -165,14 +169,15 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFram
     meets = postings.select("id", "n", "k").join(other, "k").where("id < d").where(alike).select("id", "g").distinct()
     least = F.ceil(F.lit(threshold) * F.col("qn") - 1e-9)  # the smallest size that could qualify
     q = own.select("id", F.col("bits").alias("qb"), F.col("n").alias("qn"))
-    bounded = meets.join(q, "id").join(matrix, "g")
+    side = F.broadcast if own.count() <= SMALL else lambda df: df
+    bounded = meets.join(side(q), "id").join(side(matrix), "g")
     opened = bounded.where((F.col("hi") >= least) & (F.col("lo") <= F.col("qn") / threshold + 1e-9)).where(F.col("qn") - _missing("qb", "row") >= overlap_needed(F.col("qn"), F.greatest(F.col("lo"), least), threshold))
     m = own.select("g", F.col("id").alias("d"), F.col("bits").alias("db"), F.col("n").alias("dn"))
     need = overlap_needed(F.col("qn"), F.col("dn"), threshold)
     near = opened.select("id", "g", "qb", "qn").join(m, "g").where("id < d").where(F.least(F.col("qn") - _missing("qb", "db"), F.col("dn") - _missing("db", "qb")) >= need)
     near = cut(near.select("id", "d", "qn", "dn", need.alias("need")))
-    side = max(1, math.ceil(math.sqrt(near.count() / CELL)))
-    cell = F.pmod(F.xxhash64("id"), F.lit(side)) * side + F.pmod(F.xxhash64("d"), F.lit(side))
+    grid = max(1, math.ceil(math.sqrt(near.count() / CELL)))
+    cell = F.pmod(F.xxhash64("id"), F.lit(grid)) * grid + F.pmod(F.xxhash64("d"), F.lit(grid))
     pairs = near.withColumn("cell", cell.cast("int"))
     places = pairs.select(F.col("cell").alias("spot"), F.explode(F.array("id", "d")).alias("id")).distinct()
     docs_at = _only(base.select("id", "el"), places.select("id").distinct()).join(places, "id").select("spot", "id", "el")
