@@ -155,11 +155,14 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFram
     base = cut(usable.mapInArrow(_sketch, SKETCH))
     classes = base.groupBy("c1", "c2").agg(F.min("id").alias("class_id"))
     members = cut(base.select("id", "c1", "c2").join(classes, ["c1", "c2"]).select("id", "class_id"))
-    reps = _only(base.select("id", "n", "bits", "bands"), members.where("id = class_id").select("id"))
-    # groups: equal first band, in chunks of about GROUP members; any partition is a right one, so the short hash may collide
-    heads = reps.groupBy(F.col("bands")[0].alias("b0")).agg(F.count("*").alias("c"))
-    chunk = F.when(F.col("c") <= GROUP, F.lit(0)).otherwise(F.pmod(F.xxhash64("id"), F.ceil(F.col("c") / GROUP)))
-    own = cut(reps.withColumn("b0", F.col("bands")[0]).join(heads, "b0").select("id", "n", "bits", "bands", F.hash("b0", chunk).alias("g")))
+    first = members.where("id = class_id").select("id")
+    few = first.count() <= SMALL
+    side = F.broadcast if few else lambda df: df
+    reps = base.select("id", "n", "bits", "bands").join(side(first), "id", "left_semi")
+    # groups: equal first band, in chunks of about GROUP members; any partition is a right one, so names of large groups' chunks may collide
+    heads = reps.groupBy(F.col("bands")[0].alias("b0")).agg(F.count("*").alias("c"), F.min("id").alias("least"))
+    chunk = F.xxhash64("b0", F.pmod(F.xxhash64("id"), F.ceil(F.col("c") / GROUP)))
+    own = cut(reps.withColumn("b0", F.col("bands")[0]).join(side(heads), "b0").select("id", "n", "bits", "bands", F.when(F.col("c") <= GROUP, F.col("least")).otherwise(chunk).alias("g")))
     union = [F.bit_or(F.col("bits")[i]).alias(f"u{i}") for i in range(WORDS)]
     matrix = own.groupBy("g").agg(*union, F.min("n").alias("lo"), F.max("n").alias("hi")).select("g", F.array(*[f"u{i}" for i in range(WORDS)]).alias("row"), "lo", "hi")
     # a query meets the groups of later documents that share a band with it
@@ -169,7 +172,6 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFram
     meets = postings.select("id", "n", "k").join(other, "k").where("id < d").where(alike).select("id", "g").distinct()
     least = F.ceil(F.lit(threshold) * F.col("qn") - 1e-9)  # the smallest size that could qualify
     q = own.select("id", F.col("bits").alias("qb"), F.col("n").alias("qn"))
-    side = F.broadcast if own.count() <= SMALL else lambda df: df
     bounded = meets.join(side(q), "id").join(side(matrix), "g")
     opened = bounded.where((F.col("hi") >= least) & (F.col("lo") <= F.col("qn") / threshold + 1e-9)).where(F.col("qn") - _missing("qb", "row") >= overlap_needed(F.col("qn"), F.greatest(F.col("lo"), least), threshold))
     m = own.select("g", F.col("id").alias("d"), F.col("bits").alias("db"), F.col("n").alias("dn"))
