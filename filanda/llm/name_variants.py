@@ -186,6 +186,9 @@ def read_organisation(value: str) -> tuple[str, str] | None:
         words.pop()
     trade = [_trade(w, d) for w, d in words]
     core = [w for (w, _), t in zip(words, trade, strict=True) if t is None]
+    if any(len(w) >= 5 for w in core):  # very short words beside a name abbreviate something
+        short = {w for w, d in words if len(w) <= 2 or d and len(w) <= 4}
+        core = [w for w in core if w not in short] or core
     if not core:
         core, trade = [w for w, _ in words], []
     if not core:
