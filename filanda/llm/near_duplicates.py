@@ -162,14 +162,14 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFram
     # groups: equal first band, in chunks of about GROUP members; any partition is a right one, so names of large groups' chunks may collide
     heads = reps.groupBy(F.col("bands")[0].alias("b0")).agg(F.count("*").alias("c"), F.min("id").alias("least"))
     chunk = F.xxhash64("b0", F.pmod(F.xxhash64("id"), F.ceil(F.col("c") / GROUP)))
-    own = cut(reps.withColumn("b0", F.col("bands")[0]).join(side(heads), "b0").select("id", "n", "bits", "bands", F.when(F.col("c") <= GROUP, F.col("least")).otherwise(chunk).alias("g")))
+    own = cut(reps.withColumn("b0", F.col("bands")[0]).join(side(heads), "b0").select("id", "n", "bits", "bands", F.when(F.col("c") <= GROUP, F.col("least")).otherwise(chunk).alias("g"), (F.col("c") > 1).alias("shares")))
     union = [F.bit_or(F.col("bits")[i]).alias(f"u{i}") for i in range(WORDS)]
     matrix = own.groupBy("g").agg(*union, F.min("n").alias("lo"), F.max("n").alias("hi")).select("g", F.array(*[f"u{i}" for i in range(WORDS)]).alias("row"), "lo", "hi")
-    # a query meets the groups of later documents that share a band with it
+    # a query meets its own group, and the groups of later documents that share a band with it; both sides of the join are one shuffle
     postings = own.select("id", "n", "g", F.posexplode("bands").alias("band", "h")).select("id", "n", "g", (F.col("band").cast("long") * 2**32 + F.col("h")).alias("k"))
-    other = postings.select(F.col("id").alias("d"), F.col("n").alias("m"), "g", "k")
-    alike = F.least("n", "m") >= F.lit(threshold) * F.greatest("n", "m") - 1e-9
-    meets = postings.select("id", "n", "k").join(other, "k").where("id < d").where(alike).select("id", "g").distinct()
+    alike = F.least("a.n", "b.n") >= F.lit(threshold) * F.greatest("a.n", "b.n") - 1e-9
+    others = postings.alias("a").join(postings.alias("b"), F.expr("a.k = b.k and a.id < b.id and a.g <> b.g")).where(alike).select("a.id", "b.g").distinct()
+    meets = others.unionByName(own.where("shares").select("id", "g"))
     least = F.ceil(F.lit(threshold) * F.col("qn") - 1e-9)  # the smallest size that could qualify
     q = own.select("id", F.col("bits").alias("qb"), F.col("n").alias("qn"))
     bounded = meets.join(side(q), "id").join(side(matrix), "g")
