@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filanda.plans import changes, graph, pipeline, texts
+from filanda.plans import changes, graph, pipeline, quality, texts
 
-MODULES = (changes, texts, graph, pipeline)
+MODULES = (changes, texts, graph, pipeline, quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
