@@ -59,7 +59,7 @@ PATTERNS = [
     ("image", r"!\[[^\]\n]*\](?:\([^)\s]*(?:\)|\Z)|\Z)|!\[[^\]\n]*\Z"),
     ("link", r"\[[^\[\]\n|]+\]\((?:[^)\s]*(?:\)|\Z))|\[[^\[\]\n|]+\]\[[^\]\n]*\]|^[ \t]*\[[^\]\n]+\]:[ \t]*\S+"),
     ("wiki_link", r"\[\[[^\[\]\n]*(?:\]\]|\]?\Z)"),
-    ("jira_link", r"\[[^\[\]\n|]*\|(?:https?://|mailto:|#|\^|www\.)[^\]\n]*(?:\]|\Z)|\[(?:https?://)[^\]\s]*(?:[ \t][^\]\n]*)?(?:\]|\Z)"),
+    ("jira_link", r"\[[^\[\]\n|]*\|(?:https?://|mailto:|#|\^|www\.)[^\]\n]*(?:\]|\Z)|\[[^\[\]\n|]+\|(?:h(?:t(?:t(?:ps?(?::/?)?)?)?)?)?\Z|\[(?:https?://)[^\]\s]*(?:[ \t][^\]\n]*)?(?:\]|\Z)"),
     ("task", r"(?:^[ \t]*|(?<=\S[ \t]))[-*+][ \t]\[[ xX]\][ \t]"),
     ("bullet", r"^[ \t]*[-*+][ \t]+(?=\S)"),
     ("number", r"^[ \t]*#[ \t]*(?=\S)(?!#?\d)"),
