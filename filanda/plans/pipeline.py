@@ -40,7 +40,7 @@ def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = _nodes(spark, sf_dir).select(F.col("id").alias("node_id"), T.class_tokens("label").alias("tokens"))
+    nodes = _nodes(spark, sf_dir).select(F.col("id").alias("node_id"), T.class_tokens(F.concat_ws(" ", "label", "source_file")).alias("tokens"))
     return X.classify(nodes, _index(spark), _domains(spark))
 
 
@@ -275,7 +275,7 @@ _RULES = [*G.SECRETS, *G.RESIDUE]
 ORACLES = {
     "taxonomy_index": _KW + "select domain, name, pos, keyword from kw where pos < 90",
     "classify_nodes": _KW
-    + f""", n as (select id as node_id, list_distinct(list_filter(regexp_extract_all(lower(label), '[a-z][a-z0-9+#.]{{2,}}'), lambda t: t not in ({_CSTOP}))) as tokens from (select distinct * from nodes) where label is not null),
+    + f""", n as (select id as node_id, list_distinct(list_filter(regexp_extract_all(lower(concat_ws(' ', label, source_file)), '[a-z][a-z0-9+#.]{{2,}}'), lambda t: t not in ({_CSTOP}))) as tokens from (select distinct * from nodes) where label is not null),
 t as (select node_id, len(tokens) as n, unnest(tokens) as k from n),
 s as (select node_id, domain_ord, cap_ord, name, count(*)::double / any_value(n) as score, string_agg(k, ' ' order by k) as matched, count(*) as m from t join kw on keyword = k group by all),
 r as (select *, row_number() over w as r, lead(score) over w as second, lead(name) over w as second_name from s window w as (partition by node_id order by score desc, domain_ord, cap_ord))

@@ -164,6 +164,7 @@ select section_id, regexp_replace(substr(text, 1, 200), '^[\s\p{{Z}}]+|[\s\p{{Z}
     "entity_url": _matches(r"regexp_extract_all(text, '(https?://[^\s)\]]+|www\.[^\s)\]]+)')"),
     "entity_date": _matches(f"regexp_extract_all(text, '{E.DATE[4:]}', 1, 'i')"),
     "entity_amount": _matches(_AMT),
+    "entity_law_ref": _matches(f"list_transform(regexp_extract_all(text, '{E.LAW[5:]}', 0, 'i'), lambda x: trim(x))"),
     "entity_doc_ref": _matches(f"list_transform(regexp_extract_all(text, '{E.DOC_REF[4:]}', 1, 'i'), lambda x: trim(x))"),
     "entity_ip_addr": r"""
 with m as (select doc_id, unnest(list_zip(regexp_extract_all(text, '([0-9.]+)(/[0-9]{1,2})?([0-9.]*)', 1), regexp_extract_all(text, '([0-9.]+)(/[0-9]{1,2})?([0-9.]*)', 2), regexp_extract_all(text, '([0-9.]+)(/[0-9]{1,2})?([0-9.]*)', 3))) as z from documents where text is not null),
