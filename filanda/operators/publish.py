@@ -14,6 +14,7 @@ from filanda.functions import text as T
 ANCHOR = r"<!-- id:([0-9a-f]{12}) -->"
 SECTION = "Evidence"
 PLACEHOLDER = "_No evidence yet._"
+MAX_PAGES = 10_000
 
 
 def evidence(fits: DataFrame) -> DataFrame:
@@ -54,13 +55,14 @@ def upsert(blocks: DataFrame, wanted: DataFrame, section: str = SECTION) -> Data
 def stale(blocks: DataFrame, known: DataFrame, expected: DataFrame) -> DataFrame:
     """``page, sid, node_id, reason, moved_to``: anchors of known nodes on pages where they are not expected.
 
-    ``known``: ``node_id``; ``expected``: ``node_id, page``. Anchors of nodes not known belong to another corpus and stay. The anchor's
-    id is computed for every known node on the pages that hold anchors only where the id occurs: an equi-join on the id.
+    ``known``: ``node_id``; ``expected``: ``node_id, page``. Anchors of nodes not known belong to another corpus and stay. An id
+    says nothing of its node, so each known node's ids on the pages with anchors are computed and joined by equality; the pages are those of the taxonomy, at most ``MAX_PAGES``, which is checked.
     """
     anchors = blocks.where("sid is not null").select("page", "sid").distinct()
-    pages = anchors.select("page").distinct()
-    # one row a known node and page with anchors, joined by id: the pages are the taxonomy's, a bounded list, and checked by the join's equality
-    ids = known.select("node_id").distinct().join(pages).select("node_id", "page", T.stable_id("node_id", "page").alias("sid"))
+    pages = anchors.select("page").distinct().agg(F.collect_list("page").alias("pages"))
+    pages = pages.withColumn("pages", F.when(F.size("pages") > MAX_PAGES, F.raise_error(F.lit(f"more than {MAX_PAGES} pages"))).otherwise(F.col("pages")))
+    tried = known.select("node_id").distinct().join(F.broadcast(pages)).select("node_id", F.explode("pages").alias("page"))
+    ids = tried.withColumn("sid", T.stable_id("node_id", "page"))
     placed = ids.join(anchors, ["page", "sid"])
     lost = placed.join(expected.select("node_id", "page"), ["node_id", "page"], "left_anti")
     moved = expected.groupBy("node_id").agg(F.array_sort(F.collect_set("page")).alias("moved_to"))
