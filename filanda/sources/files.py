@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Folders that hold no sources.
-SKIPPED_FOLDERS = (".git", "node_modules", "graphify-out", "_intermediate")
+SKIPPED_FOLDERS = (".git", "node_modules", "_intermediate", "__pycache__")
 
 
 def list_files(spark: SparkSession, root: str, suffixes: tuple[str, ...] = ("docx", "txt", "md"), content: bool = True) -> DataFrame:
