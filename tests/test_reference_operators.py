@@ -97,6 +97,13 @@ def test_similarity_candidates_are_complete(spark):
     assert similarity.isolated(d, e).count() + similarity.degrees(e).count() == 70
 
 
+def test_references_hold_stems_anywhere(spark):
+    names = spark.createDataFrame([(1, "Verbale.docx"), (2, "a/Piano.docx"), (3, "doc.docx"), (4, "assente.docx"), (5, None), (6, "Verbale.doc")], "doc_id long, name string")
+    cited = [(1, "verbale_7401.docx", 2), (1, "XPiano2.docx", 3), (2, "VERBALE.docx", 1), (2, None, 1), (2, "v", 1), (5, "il verbale verbale.doc", 1), (5, "verbale.doc", 1)]
+    got = rows(similarity.references(names, spark.createDataFrame(cited, "doc_id long, value string, cnt long")))
+    assert got == [(1, 2, 3), (1, 3, 5), (1, 6, 2), (2, 1, 1), (2, 3, 1), (2, 6, 1), (5, 1, 2), (5, 3, 2), (5, 6, 2)]
+
+
 def fold(tokens, pages, domains):
     """The classifier as loops over the taxonomy, for comparison."""
     best, cap, dom, dbest, second, sname = 0.0, None, None, 0.0, 0.0, None
