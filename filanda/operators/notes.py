@@ -23,6 +23,16 @@ def link_candidates(previews: DataFrame, titles: DataFrame, least: int = 4) -> D
     return seen.join(single, "token").where("doc_id <> target").select("doc_id", "token", "target")
 
 
+def title_links(previews: DataFrame, titles: DataFrame, least: int = 4) -> DataFrame:
+    """``doc_id, token, target``: every other document that has a word of a document's previews in its title, however many share it.
+
+    A document may have several previews; null texts and names give nothing. The rows grow with the square of a corpus that shares title words.
+    """
+    words = titles.select(F.col("doc_id").alias("target"), F.explode(T.title_tokens("name")).alias("token")).where(F.length("token") >= least)
+    seen = previews.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9]+)"), F.lit(1)))).alias("token")).distinct()
+    return seen.join(words, "token").where("doc_id <> target").select("doc_id", "token", "target")
+
+
 def insert_links(text: str | None, links: list[tuple[str, str]]) -> str | None:
     """Wiki links for tokens, the longest first, at most one a target, at the token's first place outside a link, in any case."""
     if not text:
@@ -40,10 +50,10 @@ def insert_links(text: str | None, links: list[tuple[str, str]]) -> str | None:
     return text
 
 
-def linked_previews(previews: DataFrame, titles: DataFrame) -> DataFrame:
-    """``doc_id, text``: previews with links to the documents whose titles they name."""
+def linked_previews(previews: DataFrame, titles: DataFrame, shared: bool = False) -> DataFrame:
+    """``doc_id, text``: previews with links to the documents whose titles they name; with ``shared``, by words of several titles too."""
     names = titles.select(F.col("doc_id").alias("target"), T.safe_stem("name").alias("stem"))
-    c = link_candidates(previews, titles).join(names, "target").groupBy("doc_id").agg(F.collect_list(F.struct("token", "stem")).alias("links"))
+    c = (title_links if shared else link_candidates)(previews, titles).join(names, "target").groupBy("doc_id").agg(F.collect_list(F.struct("token", "stem")).alias("links"))
 
     def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:

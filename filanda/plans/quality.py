@@ -45,10 +45,9 @@ def unwrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def note_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that previews name by a word of their title alone."""
+    """Documents that have a word of another document's previews in their title; every section's preview counts."""
     titles = table(spark, sf_dir, "doc_skeleton").groupBy("doc_id").agg(F.max("file_name").alias("name"))
-    s = table(spark, sf_dir, "sections").distinct().where("preview_start is not null").groupBy("doc_id").agg(F.min_by("preview_start", F.struct("ord", "section_id")).alias("text"))
-    return N.link_candidates(s, titles)
+    return N.title_links(table(spark, sf_dir, "sections").select("doc_id", F.col("preview_start").alias("text")), titles)
 
 
 def index_sections(spark: SparkSession, sf_dir: str) -> DataFrame:

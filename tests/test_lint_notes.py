@@ -50,6 +50,18 @@ def test_links(spark):
     assert rows(notes.linked_previews(previews, titles)) == [(1, "Vedi [[Capitolato_7|capitolato]] e verbale"), (2, None)]
 
 
+def test_links_by_shared_words(spark, tmp_path):
+    from filanda.plans import quality
+
+    previews = spark.createDataFrame([(1, 1, 0, "Uno"), (2, 1, 1, "Vedi verbale, poi verbale"), (3, 2, 0, None)], "section_id long, doc_id long, ord int, preview_start string")
+    titles = spark.createDataFrame([(1, "Verbale_x.docx"), (3, "Verbale_a.docx"), (4, "Verbale_b.docx")], "doc_id long, file_name string")
+    previews.write.parquet(str(tmp_path / "sections.parquet"))
+    titles.write.parquet(str(tmp_path / "doc_skeleton.parquet"))
+    assert rows(quality.note_links(spark, str(tmp_path))) == [(1, "verbale", 3), (1, "verbale", 4)]
+    got = notes.linked_previews(previews.where("section_id = 2").selectExpr("doc_id", "preview_start as text"), titles.withColumnRenamed("file_name", "name"), shared=True)
+    assert rows(got) == [(1, "Vedi [[Verbale_a|verbale]], poi [[Verbale_b|verbale]]")]
+
+
 def test_exports(spark, tmp_path):
     d = spark.createDataFrame([(1, "a b", 5)], "total_words int, stem string, estimated_tokens int")
     notes.export_json(d, str(tmp_path / "x"))
