@@ -9,6 +9,7 @@ from filanda.functions import text as T
 from filanda.functions import typography as Y
 from filanda.operators import lint as L
 from filanda.operators import notes as N
+from filanda.operators import prose as P
 from filanda.runtime import table
 
 
@@ -28,8 +29,11 @@ def shell_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prose_families(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Matches of the prose families over all paragraphs."""
-    return L.prose_findings(_paras(spark, sf_dir)).groupBy("family").agg(F.count("*").alias("lines"), F.sum("n").alias("matches"))
+    """Signs of the prose families P1 to P6, and the lines they stand on; a document is the paragraphs of its sections in order."""
+    s = table(spark, sf_dir, "sections").distinct().where("paragraphs is not null")
+    one = F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("ord", "section_id", "paragraphs"))), lambda x: x["paragraphs"])), "\n\n")
+    found = P.prose_signs(s.groupBy(F.col("doc_id").alias("path")).agg(one.alias("text")))
+    return found.groupBy("family").agg(F.count_distinct("path", "line_no").alias("lines"), F.count("*").alias("matches"))
 
 
 def accent_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
