@@ -83,6 +83,8 @@ ADDRESS_EN = re.compile(
     r"|(?<![\w-])(?:[A-Z][a-z'’]+\s+){1,3}(?:Street|Road|Avenue|Lane|Drive|Crescent|Boulevard|Terrace)\s*,?\s+(?:no\.?\s?)?\d{1,4}\b"
 )
 _STREETS = ("via", "viale", "v.le", "piazz", "p.zza", "pzza", "p.za", "p.le", "corso", "c.so", "largo", "l.go", "vicolo", "v.lo", "strada", "str.", "contrada", "lungo", "galleria", "salita", "rione", "localit")
+#: The spellings of a square whose parts blanks or no dot divide, which no literal covers.
+_SQUARE = re.compile(r"p\.?\s?z?za")
 _STREETS_EN = (" street", " road", " avenue", " lane", " drive", " close", " square", " court", " terrace", " place", " crescent", " boulevard", " way", " gardens", " grove", " row", " hill", " st.", " rd.", " ave.", " ln.")
 _ACRONYM_STREET = re.compile(r"\Avia\s+[A-Z]{2,6}\s+\d")
 
@@ -93,6 +95,8 @@ _COMPANY = re.compile(
 _TOKEN = re.compile(r"(?<![^\W_])[A-ZÀ-ÖØ-Þ][^\W\d_]*(?:['’][^\W\d_]+)*['’]?")
 _TITLES = ("Sig", "sig", "SIG", "Dott", "dott", "DOTT", "Dr", " dr", "Ing.", " ing. ", "ING", "Avv", "avv", "AVV", "Geom", "geom", "Rag.", " rag.", "Arch.", " arch.", "Prof", "prof.", "Mr", "Ms", "Miss")
 _TITLE = re.compile(r"(?<![\w.])(?:[Ss]ig\.?(?:na|ra|\.ra|\.na)?|[Ss]igg|[Ss]ignora?|[Dd]ott\.?(?:ssa|\.ssa)?|DOTT|SIG|ING|AVV|[Dd]r|[Ii]ng|[Aa]vv|[Gg]eom|[Rr]ag|[Aa]rch|[Pp]rof\.?(?:ssa)?|Mr|Mrs|Ms|Dr|Miss)\.?\s+(?=[A-ZÀ-Ý])")
+#: The beginnings of all alternatives of _TITLE in lower case.
+_TITLE_STARTS = ("sig", "dott", "dr", "ing", "avv", "geom", "rag", "arch", "prof", "mr", "ms", "miss")
 #: Words that stand right before a person, or right after one.
 _BEFORE = re.compile(
     r"(?i)(?:firmato|presenti|referente(?: è)?|assegnato a|approvato da|indicato da|reviewed by|approved by|signed by|assigned to|issued to|rilasciato a|contattare|contact(?: is)?|rif\.|reference|attn\.?|att\.ne|c\.a\.|cc|dipendente|employee|sottoscritt[oa]|with|by|\bda|\ba|;)\s*:?\s*\Z"
@@ -171,8 +175,8 @@ def _promising(text: str, m: re.Match) -> bool:
 
 def find_persons(text: str) -> list[tuple[int, int]]:
     """Spans of persons' names: first name and surname in either order, shortened first names, surnames after a title."""
-    tokens = list(_TOKEN.finditer(text))
-    titled = any(t in text for t in _TITLES)
+    tokens, low = list(_TOKEN.finditer(text)), text.lower()
+    titled = any(t in text for t in _TITLES) or any(t in low for t in _TITLE_STARTS) and _TITLE.search(text) is not None
     out: list[tuple[int, int]] = []
     if not titled and not any(_promising(text, m) for m in tokens):
         return out
@@ -275,9 +279,10 @@ def find_items(text: str | None) -> list[tuple[int, int, str]]:
             if 7 <= _digits(number) <= 15 and not _DATE.fullmatch(number) and not _NO_PHONE.search(left[max(0, m.start() - 30) : m.start()]):
                 phones.append(m.span())
         take(phones, "phone")
-        if any(w in low for w in _STREETS):
+        if any(w in low for w in _STREETS) or _SQUARE.search(low):
             take([m.span() for m in ADDRESS.finditer(left) if not _ACRONYM_STREET.match(m.group())], "address")
-        if any(w in low for w in _STREETS_EN):
+        spaced = " ".join(low.split())
+        if any(w in spaced for w in _STREETS_EN):
             take([m.span() for m in ADDRESS_EN.finditer(left)], "address")
     persons = find_persons(left)
     if persons:  # none inside a company's name

@@ -41,6 +41,17 @@ def test_names_in_mailboxes_do_not_count():
     assert kinds("marta.vanzironne@tekmora.test") == ["email"]
 
 
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("Sentito l'ing. Gercemesso.", ["person"]), ("Nota dell'arch. Gercemesso.", ["person"]), ("Firma (ing. Gercemesso)", ["person"]), ("ing. Gercemesso", ["person"]), ("Ing Gercemesso", ["person"]), ("(dr. Gercemesso)", ["person"]), ("Il rag Gercemesso", ["person"]),
+        ("In P. zza Torrelunga 12", ["address"]), ("In p zza Torrelunga 12", ["address"]), ("In pza Torrelunga 12", ["address"]), ("In p za Torrelunga 12", ["address"]), ("at 140 Quarrystone\nLane, Harrowmere", ["address"]),
+    ],
+)
+def test_prefilters_lose_nothing(text, want):
+    assert kinds(text) == want
+
+
 @given(st.integers(2, 10**7), st.integers(0, 10**9))
 @settings(max_examples=60, deadline=None)
 def test_feistel_is_a_permutation(size, x):
