@@ -2,101 +2,211 @@
 
 Two forms share one rule set:
 
-* ``Ledger`` keeps a durable table of work items (pending, leased, done). A run leases pending items
-  under a fencing token that grows with every lease, writes its results to a path that depends on the
-  items only, and commits. A lease that expires returns its items to pending; a commit that carries an older
-  token than the item's current lease is rejected; a retry overwrites the same path.
-* ``replay`` works a whole history of listings and runs through the same states at once, as one
-  grouped pass: no driver loop over documents.
+* ``Ledger`` keeps a durable table of work items (pending, leased, done) on any Hadoop file system. A run leases pending items
+  under a fencing token that grows with every lease, writes its results to a staging folder of that token, and commits. A lease
+  that expires returns its items to pending; a commit whose items were leased again, or whose lease is over, is rejected and its
+  staging folder never becomes visible; a retry of the same items ends at the same path.
+* ``replay`` works a whole history of listings and runs through the same states at once: buckets of items, each run's
+  verbs applied to whole arrays.
 """
 
 from __future__ import annotations
 
+import datetime
 import hashlib
-import os
+import math
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LEDGER_SCHEMA = "item string, version string, state string, token long, lease_until timestamp, out_path string"
+PENDING, LEASED, DONE = 1, 2, 3
+#: Runs of one history at most; they are held by the driver and by every task.
+MAX_RUNS = 100_000
 
 
-def replay(listings: DataFrame, runs: DataFrame) -> DataFrame:
-    """Every lease of every item: ``doc_id, version, run_no, token, state`` with state ``done`` or ``expired``.
+def run_events(runs: list[tuple[int, int, int | None, str | None]]) -> list[tuple[str, int, int, int, int]]:
+    """The verbs of a history in order: ``(verb, slot, time, token, lease end)``, from ``(run_no, start, end, status)``.
 
-    ``listings``: ``doc_id, file_hash, arrived_at, error``; ``runs``: ``run_no, started_at, status``. An item is
-    a document in the version (``file_hash``) of its latest readable listing (``error`` null) that had arrived
-    before a run started. It is pending when the version differs from the one last done, or nothing was done before. Each
-    run leases the pending items, its position in time being the fencing token. A run with status ``ok`` commits
-    them (``done``); the leases of any other run expire and the items are pending again.
+    A run leases when it starts; its place among the runs is its fencing token. An ok run commits before the next one starts. The
+    lease of any other run is over when that run ends, and at the latest when the next one starts; if it has an end and was not plainly
+    ``failed``, its writer is taken to report at that end all the same, and the ledger has to turn it away.
+    """
+    out: list[tuple[str, int, int, int, int]] = []
+    order = sorted(runs, key=lambda r: (r[1], r[0]))
+    late: list[tuple[str, int, int, int, int]] = []
+    for slot, (_, start, end, status) in enumerate(order):
+        due = [x for x in late if x[2] <= start]
+        late = [x for x in late if x[2] > start]
+        out += sorted(due, key=lambda x: (x[2], x[1]))
+        nxt = order[slot + 1][1] if slot + 1 < len(order) else np.iinfo(np.int64).max
+        ok = status == "ok"
+        until = max(start, end if end is not None else start) + 1 if ok else min(end if end is not None else nxt, nxt)
+        out.append(("lease", slot, start, slot + 1, until))
+        if ok:
+            out.append(("commit", slot, until - 1, slot + 1, until))
+        elif end is not None and status != "failed":
+            late.append(("commit", slot, end, slot + 1, until))
+    return out + sorted(late, key=lambda x: (x[2], x[1]))
+
+
+def work_through(items: np.ndarray, slots: np.ndarray, versions: np.ndarray, events: list[tuple[str, int, int, int, int]]) -> tuple[np.ndarray, ...]:
+    """Every lease as arrays ``item, version, slot, token, committed``.
+
+    ``items`` (0..n-1), ``slots`` and ``versions`` (codes) say which version of an item the run of a slot is the first to see. The items'
+    states are arrays: a listing in another version than the one last done makes its item pending, in that version makes it done; leases take
+    what is pending; a commit counts for the items that its token still holds in time.
+    """
+    order = np.argsort(slots, kind="stable")
+    items, slots, versions = items[order], slots[order], versions[order]
+    n = int(items.max()) + 1 if len(items) else 0
+    state, token = np.zeros(n, dtype=np.int8), np.zeros(n, dtype=np.int64)
+    until, version, done = np.zeros(n, dtype=np.int64), np.full(n, -1), np.full(n, -1)
+    leases: dict[int, list[np.ndarray]] = {}
+    for verb, slot, time, mark, end in events:
+        if verb == "lease":
+            state[(state == LEASED) & (until <= time)] = PENDING
+            lo, hi = np.searchsorted(slots, [slot, slot + 1])
+            seen = items[lo:hi]
+            moved = version[seen] != versions[lo:hi]
+            version[seen] = versions[lo:hi]
+            state[seen] = np.where(version[seen] == done[seen], DONE, np.where(moved | (state[seen] != LEASED), PENDING, LEASED))
+            mine = np.flatnonzero(state == PENDING)
+            state[mine], token[mine], until[mine] = LEASED, mark, end
+            leases[slot] = [mine, version[mine], np.full(len(mine), mark), np.zeros(len(mine), dtype=bool)]
+        else:
+            mine = leases[slot][0]
+            held = (state[mine] == LEASED) & (token[mine] == mark) & (time < until[mine])
+            leases[slot][3] = held
+            got = mine[held]
+            state[got], done[got] = DONE, version[got]
+    parts = [(a, b, np.full(len(a), s), c, d) for s, (a, b, c, d) in leases.items()]
+    empty = (np.zeros(0, dtype=np.int64),) * 4 + (np.zeros(0, dtype=bool),)
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else empty
+
+
+def replay(listings: DataFrame, runs: DataFrame, rows_per_bucket: int = 200_000) -> DataFrame:
+    """Every lease of every item: ``doc_id, version, run_no, token, state, out_path`` with state ``done`` or ``expired``.
+
+    ``listings``: ``doc_id, file_hash, arrived_at, error``; ``runs``: ``run_no, started_at, status`` and, where there is one, ``finished_at``. An
+    item is a document in the version (``file_hash``) of its latest readable listing (``error`` null) that had arrived before a run started.
+    The verbs are those of ``run_events``. ``out_path`` depends on item and version only, so a retry ends at the same place.
 
     Defined cases: of listings with one ``arrived_at`` the largest hash counts, null being the smallest; a null hash is a version
-    like any other; null ``doc_id``, ``arrived_at`` or ``started_at`` give no item or run; repeated rows count once;
-    runs that start together follow ``run_no``. The runs must fit a broadcast: at most 100,000, which is checked.
+    like any other; null ``doc_id``, ``arrived_at``, ``run_no`` or ``started_at`` give no item or run; repeated rows count once; a run
+    listed more than once counts by its earliest start, and as ok if any of its rows is; runs that start together follow
+    ``run_no``. An empty table of listings or runs gives an empty result. Listings are reduced to one row for a document and run before
+    they are shuffled, so a document may hold any share of them. The runs are held by the driver: at most ``MAX_RUNS``, which is checked.
     """
-    order = runs.where("started_at is not null and run_no is not null").groupBy("run_no").agg(F.min("started_at").alias("started_at"), F.max(F.expr("coalesce(status, '') = 'ok'")).alias("ok"))
-    steps = order.select("run_no", "started_at", "ok", F.expr("row_number() over (order by started_at, run_no)").alias("token"))
-    line = steps.agg(F.sort_array(F.collect_list(F.struct("token", "started_at", "run_no", "ok"))).alias("line"))
-    line = line.withColumn("line", F.when(F.size("line") > 100_000, F.raise_error(F.lit("more than 100000 runs"))).otherwise(F.col("line")))
-    # each readable listing belongs to the first run that sees it; later runs see it until a newer one arrives
-    seen = listings.where("error is null and doc_id is not null and arrived_at is not null").select("doc_id", "file_hash", "arrived_at").join(F.broadcast(line))
-    slot = F.expr("aggregate(line, 0, (n, r) -> n + if(r.started_at <= arrived_at, 1, 0)) + 1")
-    placed = seen.withColumn("slot", slot).where("slot <= size(line)").select("doc_id", "slot", F.struct("arrived_at", "file_hash").alias("v"))
-    # the slot's latest listing; then one ordered list of slots for each document, never longer than the runs
-    latest = placed.groupBy("doc_id", "slot").agg(F.max("v").getField("file_hash").alias("version"))
-    docs = latest.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("slot", "version"))).alias("slots")).join(F.broadcast(line))
-    walked = docs.select("doc_id", F.expr(_WALK).alias("w")).select("doc_id", F.explode("w.out").alias("x"))
-    return walked.select("doc_id", "x.version", "x.run_no", F.col("x.token").cast("int").alias("token"), F.when(F.col("x.ok"), "done").otherwise("expired").alias("state"))
-
-
-#: Runs in order; acc: the current version (as a one-element array, empty before the first listing), the version
-#: last done likewise, and the leases so far.
-_WALK = """
-aggregate(line,
-  named_struct('cur', cast(array() as array<string>), 'done', cast(array() as array<string>),
-               'out', cast(array() as array<struct<version:string,run_no:int,token:int,ok:boolean>>)),
-  (a, r) -> transform(array(transform(filter(slots, s -> s.slot = r.token), s -> s.version)), now ->
-    named_struct('cur', if(size(now) > 0, now, a.cur),
-      'done', if(r.ok and size(if(size(now) > 0, now, a.cur)) > 0, if(size(now) > 0, now, a.cur), a.done),
-      'out', if(size(if(size(now) > 0, now, a.cur)) > 0 and not (if(size(now) > 0, now, a.cur) <=> a.done),
-        concat(a.out, array(named_struct('version', if(size(now) > 0, now, a.cur)[0], 'run_no', r.run_no, 'token', r.token, 'ok', r.ok))), a.out)))[0])
-"""
+    end = "unix_micros(finished_at)" if "finished_at" in runs.columns else "cast(null as bigint)"
+    usable = runs.where("started_at is not null and run_no is not null")
+    one = usable.groupBy("run_no").agg(F.min(F.unix_micros("started_at")).alias("s"), F.max(F.expr(end)).alias("e"), F.max_by("status", F.expr("coalesce(status, '') = 'ok'")).alias("status"))
+    got = [(r.run_no, r.s, r.e, r.status) for r in one.limit(MAX_RUNS + 1).collect()]
+    if len(got) > MAX_RUNS:
+        raise ValueError(f"more than {MAX_RUNS} runs")
+    events = run_events(got)
+    order = sorted(got, key=lambda r: (r[1], r[0]))
+    starts = np.array([r[1] for r in order], dtype=np.int64)
+    numbers = np.array([r[0] for r in order], dtype=np.int64)
+
+    @F.pandas_udf("int")
+    def first_run(at: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(starts, at.to_numpy(), side="right").astype("int32"))
+
+    seen = listings.where("error is null and doc_id is not null and arrived_at is not null").select("doc_id", "file_hash", F.unix_micros("arrived_at").alias("at"))
+    placed = seen.withColumn("slot", first_run("at")).where(F.col("slot") < len(starts))
+    latest = placed.groupBy("doc_id", "slot").agg(F.max(F.struct("at", "file_hash")).getField("file_hash").alias("version"))
+    buckets = max(1, math.ceil(listings.count() / rows_per_bucket))
+    kind = dict(listings.dtypes)["doc_id"]
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        item, names = pd.factorize(pdf["doc_id"])
+        code, texts = pd.factorize(pdf["version"], use_na_sentinel=False)
+        i, v, slot, token, ok = work_through(item, pdf["slot"].to_numpy(), code, events)
+        return pd.DataFrame({"doc_id": names[i], "version": texts[v], "run_no": numbers[slot].astype("int32"), "token": token.astype("int32"), "ok": ok})
+
+    bucketed = latest.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
+    walked = bucketed.groupBy("bucket").applyInPandas(walk, f"doc_id {kind}, version string, run_no int, token int, ok boolean")
+    path = F.concat(F.lit("out/"), F.substring(F.sha2(F.concat_ws("\x00", F.col("doc_id").cast("string"), F.coalesce("version", F.lit("\x01"))), 256), 1, 16))
+    return walked.select("doc_id", "version", "run_no", "token", F.when(F.col("ok"), "done").otherwise("expired").alias("state"), path.alias("out_path"))
 
 
 def new_or_changed(listings: DataFrame, runs: DataFrame) -> DataFrame:
-    """``run_no, doc_id``: for each ok run the documents it commits, being new or changed since the last ok run."""
+    """``run_no, doc_id``: for each run the documents whose leases it committed, being new or changed since the last ok run."""
     return replay(listings, runs).where("state = 'done'").select("run_no", "doc_id")
 
 
+class Conflict(RuntimeError):
+    """Another driver wrote the ledger's next generation first; nothing of this verb is in force."""
+
+
 class Ledger:
-    """A durable ledger below ``root``: one Parquet table a generation, and a pointer to the current one.
+    """A durable ledger below ``root``, on any Hadoop file system; only the driver calls it, all item work happens in DataFrames.
 
-    Only the driver calls it; all item work happens in DataFrames. A generation is written whole before the pointer moves (atomic
-    rename), so a crash leaves the previous one in force.
+    ``log/<n>`` names generation ``n``: it is created without overwriting, which is the compare-and-set between drivers, and only after
+    the generation's rows are written whole. A generation holds the items it changed; every ``COMPACT`` generations one holds all. A verb
+    that loses the race raises ``Conflict`` and may be called again.
     """
 
+    COMPACT = 16
+
     def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root
-        os.makedirs(root, exist_ok=True)
+        self.spark, self.root = spark, root.rstrip("/")
+        self._jvm = spark.sparkContext._jvm
+        self._fs = self._path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._fs.mkdirs(self._path("log"))
+
+    def _path(self, below: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{below}" if below else self.root)
 
-    def _generation(self) -> int:
-        at = os.path.join(self.root, "CURRENT")
-        return int(open(at).read()) if os.path.exists(at) else 0
+    def _log(self) -> list[tuple[int, list[str]]]:
+        """Generations in order, each with the words of its entry: data folder, ``full`` or ``delta``, and for commits from and to."""
+        out = []
+        for s in self._fs.listStatus(self._path("log")):
+            name = s.getPath().getName()
+            if name.isdigit() and s.getLen():
+                stream = self._fs.open(s.getPath())
+                out.append((int(name), bytes(stream.readAllBytes()).decode().split("\n")))
+                stream.close()
+        return sorted(out)
 
     def items(self) -> DataFrame:
-        """The current ledger table."""
-        n = self._generation()
-        if not n:
+        """The current ledger table: of each item the row of the latest generation that changed it."""
+        log = self._log()
+        base = max((n for n, e in log if e[1] == "full"), default=0)
+        parts = [self.spark.read.schema(LEDGER_SCHEMA).parquet(f"{self.root}/{e[0]}").withColumn("g", F.lit(n)) for n, e in log if n >= base]
+        if not parts:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        return self.spark.read.schema(LEDGER_SCHEMA).parquet(os.path.join(self.root, f"g{n}"))
+        rows = parts[0]
+        for p in parts[1:]:
+            rows = rows.unionByName(p)
+        names = [c for c in rows.columns if c not in ("item", "g")]
+        return rows.groupBy("item").agg(F.max_by(F.struct(*names), "g").alias("x")).select("item", "x.*")
 
-    def _write(self, items: DataFrame) -> None:
-        n = self._generation() + 1
-        items.selectExpr("item", "version", "state", "token", "lease_until", "out_path").write.mode("overwrite").parquet(os.path.join(self.root, f"g{n}"))
-        tmp = os.path.join(self.root, "CURRENT.tmp")
-        with open(tmp, "w") as f:
-            f.write(str(n))
-        os.replace(tmp, os.path.join(self.root, "CURRENT"))
+    def _write(self, at: int, changed: DataFrame, move: tuple[str, str] | None = None) -> None:
+        """Generation ``at + 1`` with the changed items, if no other driver has made it."""
+        n = at + 1
+        full = n % self.COMPACT == 0
+        rows = changed.select(*[c.split()[0] for c in LEDGER_SCHEMA.split(", ")])
+        if full:
+            rows = rows.unionByName(self.items().join(rows.select("item"), "item", "left_anti"))
+        data = f"data/{n}-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.root}/{data}")
+        entry = "\n".join([data, "full" if full else "delta", *(move or ())])
+        try:
+            stream = self._fs.create(self._path(f"log/{n}"), False)
+        except Exception as e:  # noqa: BLE001
+            self._fs.delete(self._path(data), True)
+            raise Conflict(f"generation {n} exists") from e
+        stream.write(bytearray(entry.encode()))
+        stream.close()
+
+    def _at(self) -> int:
+        log = self._log()
+        return log[-1][0] if log else 0
 
     def token(self) -> int:
         """The largest fencing token given so far."""
@@ -106,37 +216,73 @@ class Ledger:
         """Adds ``item, version`` pairs that are new; an item with another version becomes pending again under it.
 
         Rows with a null item are left out; of several versions of one item the largest counts; a version already known changes
-        nothing, whatever its state.
+        nothing, whatever its state. The item keeps its token, so an older writer stays shut out.
         """
+        at = self._at()
         fresh = listing.where("item is not null").groupBy("item").agg(F.max("version").alias("new_version"))
-        old = self.items()
-        moved = F.expr("state is null or (new_item and not (new_version <=> version))")
-        both = old.join(fresh.withColumn("new_item", F.lit(True)), "item", "full").withColumn("moved", F.coalesce(moved, F.lit(False)))
-        self._write(both.select("item", F.expr("if(moved, new_version, version)").alias("version"), F.expr("if(moved, 'pending', state)").alias("state"), F.coalesce("token", F.lit(0)).cast("long").alias("token"), F.expr("if(moved, null, lease_until)").alias("lease_until"), F.expr("if(moved, null, out_path)").alias("out_path")))
+        old = self.items().withColumn("known", F.lit(True))
+        moved = fresh.join(old, "item", "left").where("known is null or not (new_version <=> version)")
+        none = F.lit(None)
+        self._write(at, moved.select("item", F.col("new_version").alias("version"), F.lit("pending").alias("state"), F.coalesce("token", F.lit(0)).cast("long").alias("token"), none.cast("timestamp").alias("lease_until"), none.cast("string").alias("out_path")))
+
+    @staticmethod
+    def _over(now: str):
+        return F.expr(f"state = 'leased' and lease_until <= timestamp'{now}'")
 
     def expire(self, now: str) -> None:
-        """Leases that ended before ``now`` (a UTC timestamp) return to pending."""
-        over = F.expr(f"state = 'leased' and lease_until < timestamp'{now}'")
-        self._write(self.items().withColumn("state", F.when(over, "pending").otherwise(F.col("state"))))
+        """Leases that ended by ``now`` (a UTC timestamp) return to pending."""
+        at = self._at()
+        self._write(at, self.items().where(self._over(now)).withColumn("state", F.lit("pending")))
 
-    def lease(self, now: str, until: str) -> tuple[int, DataFrame]:
-        """Leases every pending item until ``until``; returns the fencing token and the leased items."""
-        self.expire(now)
-        token = self.token() + 1
-        pending = F.col("state") == "pending"
+    def lease(self, now: str, until: str, most: int | None = None) -> tuple[int, DataFrame]:
+        """Leases pending and expired items until ``until``, the ``most`` first by name if that is given; returns the fencing token and the leased items."""
+        at = self._at()
         items = self.items()
-        self._write(items.select("item", "version", F.when(pending, "leased").otherwise(F.col("state")).alias("state"), F.when(pending, F.lit(token)).otherwise(F.col("token")).cast("long").alias("token"), F.when(pending, F.expr(f"timestamp'{until}'")).otherwise(F.col("lease_until")).alias("lease_until"), "out_path"))
+        token = self.token() + 1
+        free = items.where((F.col("state") == "pending") | self._over(now))
+        if most is not None:
+            free = free.orderBy("item").limit(most)
+        self._write(at, free.withColumns({"state": F.lit("leased"), "token": F.lit(token).cast("long"), "lease_until": F.expr(f"timestamp'{until}'")}))
         return token, self.items().where((F.col("state") == "leased") & (F.col("token") == token))
 
+    def staging_path(self, token: int) -> str:
+        """Where the writer of a token puts its results; no other writer has it."""
+        return f"{self.root}/staging/{token}"
+
     def out_path(self, leased: DataFrame) -> str:
         """The path of a lease's results: a function of its items and versions only, so a retry lands on the same one."""
         digest = leased.agg(F.bit_xor(F.xxhash64("item", "version")), F.count("*")).first()
-        return os.path.join(self.root, "out", hashlib.sha256(repr(tuple(digest)).encode()).hexdigest()[:16])
-
-    def commit(self, token: int, out_path: str) -> int:
-        """Marks the items still leased under ``token`` as done; returns how many. 0: the writer was stale and nothing changed."""
-        mine = (F.col("state") == "leased") & (F.col("token") == token)
-        n = self.items().where(mine).count()
-        if n:
-            self._write(self.items().withColumn("out_path", F.when(mine, out_path).otherwise(F.col("out_path"))).withColumn("state", F.when(mine, "done").otherwise(F.col("state"))))
+        return f"{self.root}/out/{hashlib.sha256(repr(tuple(digest)).encode()).hexdigest()[:16]}"
+
+    def commit(self, token: int, leased: DataFrame, now: str | None = None) -> int:
+        """Marks the leased items as done and moves their staged results to ``out_path``; returns how many items.
+
+        0: the writer is stale, and nothing changed. That is so if any item of the lease is no longer leased under ``token``, or its lease had
+        ended by ``now``. ``leased`` are the rows that ``lease`` returned, made durable by the caller or read anew; the move is part of
+        the log, and ``recover`` completes it after a crash.
+        """
+        at = self._at()
+        when = now or datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%d %H:%M:%S")
+        want = leased.select("item", "version")
+        held = self.items().where((F.col("state") == "leased") & (F.col("token") == token)).where(~self._over(when))
+        mine = held.join(want, ["item", "version"], "left_semi")
+        n = mine.count()
+        if not n or n != want.count():
+            return 0
+        out = self.out_path(want)
+        self._write(at, mine.withColumns({"state": F.lit("done"), "out_path": F.lit(out)}), (self.staging_path(token), out))
+        self.recover()
         return n
+
+    def recover(self) -> int:
+        """Completes the moves of committed results; returns how many were open. Results of rejected writers stay in staging."""
+        done = 0
+        for _, entry in self._log():
+            if len(entry) == 4:
+                source, target = (self._jvm.org.apache.hadoop.fs.Path(p) for p in entry[2:])
+                if self._fs.exists(source):
+                    self._fs.mkdirs(target.getParent())
+                    self._fs.delete(target, True)
+                    self._fs.rename(source, target)
+                    done += 1
+        return done

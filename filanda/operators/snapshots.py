@@ -43,16 +43,15 @@ def normal_path(path: Column) -> Column:
 
 
 def snapshot_order(states: DataFrame) -> DataFrame:
-    """Usable snapshots: ``folder_key, state_id, seq`` plus ``files``; one row for each folder and instant.
+    """Usable snapshots: ``state_id, folder_key, seq, n_seq``, one row for each folder and instant, numbered from 1.
 
     A snapshot delivered again (same folder, same instant) counts once, under its smallest state_id.
-    Rows with null ``files``, null ``folder_key`` or an unusable instant are left out; empty maps stay.
+    Rows with null ``files``, null ``folder_key`` or an unusable instant are left out; empty maps stay. The maps themselves are neither sorted nor shuffled.
     """
-    usable = states.select("state_id", "folder_key", parse_instant(F.col("last_ingest_at")).alias("at"), "files").where("files is not null and at is not null and folder_key is not null and state_id is not null")
-    # the order is made from the narrow columns only; the maps are not sorted
+    usable = states.where("files is not null and folder_key is not null and state_id is not null").select("state_id", "folder_key", parse_instant(F.col("last_ingest_at")).alias("at")).where("at is not null")
     first = usable.groupBy("folder_key", "at").agg(F.min("state_id").alias("state_id"))
-    seq = first.select("state_id", "folder_key", F.expr("row_number() over (partition by folder_key order by at)").alias("seq"), F.expr("lag(state_id) over (partition by folder_key order by at)").alias("prev_id"))
-    return usable.drop("at").dropDuplicates(["state_id"]).join(seq, ["state_id", "folder_key"])
+    w = Window.partitionBy("folder_key")
+    return first.select("state_id", "folder_key", F.row_number().over(w.orderBy("at")).alias("seq"), F.count("*").over(w).cast("int").alias("n_seq"))
 
 
 def _members(needle: np.ndarray, hay: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,21 +64,28 @@ def _members(needle: np.ndarray, hay: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _compare_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Changes of one bucket: its entries as (snapshot, key) codes in one sorted array, searched for the neighbouring snapshot's."""
-    folders, folder = np.unique(pdf["folder"].to_numpy(), return_inverse=True)
-    keys, key = np.unique(pdf["k"].to_numpy(), return_inverse=True)
-    seq, row, n_seq = (pdf[c].to_numpy().astype(np.int64) for c in ("seq", "r", "n_seq"))
-    width = int(n_seq.max()) + 2
-    code = (folder.astype(np.int64) * width + seq) << 32 | key
-    order = np.lexsort((row, code))
-    order = order[np.concatenate([[True], code[order][1:] != code[order][:-1]])]  # under one key the smallest row hash counts
-    code, row, seq, n_seq = code[order], row[order], seq[order], n_seq[order]
-    at, kept = _members(code - (1 << 32), code)
+    """Changes of one bucket: its entries as codes (rank of the snapshot, rank of the key) in one sorted array, searched for those of the neighbouring snapshots."""
+    folder, seq, n_seq, key, row = (pdf[c].to_numpy() for c in ("folder", "seq", "n_seq", "k", "r"))
+    keys, key = np.unique(key, return_inverse=True)
+    order = np.lexsort((row, key, seq, folder))
+    folder, seq, n_seq, key, row = folder[order], seq[order], n_seq[order], key[order], row[order]
+    new_snap = np.concatenate([[True], (folder[1:] != folder[:-1]) | (seq[1:] != seq[:-1])])
+    snap = np.cumsum(new_snap) - 1  # ranks of the snapshots that have an entry in this bucket
+    first = np.flatnonzero(new_snap)
+    # the rank of the snapshot before and after, -1 where it has no entry here; no rank pair can overflow, as ranks are below the bucket's rows
+    near = (folder[first][1:] == folder[first][:-1]) & (seq[first][1:] == seq[first][:-1] + 1)
+    before = np.concatenate([[-1], np.where(near, np.arange(len(first) - 1), -1)])
+    after = np.concatenate([np.where(near, np.arange(1, len(first)), -1), [-1]])
+    width = np.int64(len(keys))
+    code = snap * width + key
+    one = np.concatenate([[True], code[1:] != code[:-1]])  # under one key the smallest row hash counts
+    code, row, snap, seq, n_seq, folder, key = (x[one] for x in (code, row, snap, seq, n_seq, folder, key))
+    at, kept = _members(np.where(before[snap] >= 0, before[snap] * width + key, -1), code)
     changed = np.zeros(len(code), dtype=bool)
     changed[kept] = row[at[kept]] != row[kept]
-    _, goes_on = _members(code + (1 << 32), code)
+    _, goes_on = _members(np.where(after[snap] >= 0, after[snap] * width + key, -1), code)
     picks = [((seq > 1) & ~kept, 0, 0), ((seq < n_seq) & ~goes_on, 1, 1), (changed, 2, 0)]
-    part = lambda m, c, ahead: pd.DataFrame({"folder": folders[(code[m] >> 32) // width], "seq": (seq[m] + ahead).astype("int32"), "k": keys[code[m] & 0xFFFFFFFF], "code": np.full(m.sum(), c, dtype="int32")})
+    part = lambda m, c, ahead: pd.DataFrame({"folder": folder[m], "seq": (seq[m] + ahead).astype("int32"), "k": keys[key[m]], "code": np.full(m.sum(), c, dtype="int32")})
     return pd.concat([part(*p) for p in picks], ignore_index=True)
 
 
@@ -92,29 +98,33 @@ def snapshot_changes(states: DataFrame, rows_per_bucket: int = 200_000) -> DataF
     twice in different notations, one listing (the smaller row hash) counts. Identical copies of a row count once. An empty
     table, and a folder's first snapshot, give no rows.
 
-    Entries spread over ``ceil(rows / rows_per_bucket)`` buckets by the hash of folder and path, so that
-    a folder may hold any share of them.
+    Entries move as hashes only, spread over ``ceil(rows / rows_per_bucket)`` buckets by the hash of folder and path, so that
+    a folder may hold any share of them. The differing keys become a table whose size the optimizer knows: it is broadcast to the
+    entries while it is small, else it filters them before they are shuffled; only entries found there are read for their full value.
     """
-    snaps = snapshot_order(states.select("state_id", "folder_key", "last_ingest_at", "files"))
-    n_seq = F.max("seq").over(Window.partitionBy("folder_key"))
-    heads = snaps.select("folder_key", "seq", "state_id", n_seq.alias("n_seq"), "files")
-    entries = heads.select("folder_key", "seq", "state_id", "n_seq", F.explode("files").alias("path", "f")).select("folder_key", "seq", "n_seq", normal_path(F.col("path")).alias("rel_path"), F.lower(F.trim("f.sha256")).alias("sha")).where("rel_path <> ''")
-    buckets = snaps.agg(F.greatest(F.lit(1), F.ceil(F.coalesce(F.sum(F.size("files")), F.lit(0)) / rows_per_bucket)).cast("int").alias("n_buckets"))  # one row
+    order = cut(snapshot_order(states.select("state_id", "folder_key", "last_ingest_at", "files")))
+    maps = states.where("files is not null and folder_key is not null").select("state_id", "folder_key", "files")
+    heads = maps.join(order, ["state_id", "folder_key"]).select("folder_key", "seq", "n_seq", "files")
+    sizes = maps.agg(F.ceil(F.coalesce(F.sum(F.size("files")), F.lit(0)) / rows_per_bucket).cast("int")).first()
+    n_buckets = max(1, sizes[0])
+    entries = heads.select("folder_key", "seq", "n_seq", F.explode("files").alias("path", "f")).select("folder_key", "seq", "n_seq", normal_path(F.col("path")).alias("rel_path"), F.lower(F.trim("f.sha256")).alias("sha")).where("rel_path <> ''")
     folder, k = F.xxhash64("folder_key"), F.xxhash64("folder_key", "rel_path")
-    hashed = entries.select(folder.alias("folder"), "seq", "n_seq", k.alias("k"), F.xxhash64(F.col("sha").isNull(), F.coalesce("sha", F.lit(""))).alias("r")).join(F.broadcast(buckets)).withColumn("bucket", F.pmod("k", "n_buckets")).drop("n_buckets")
+    row = F.xxhash64(F.col("sha").isNull(), F.coalesce("sha", F.lit("")))
+    hashed = entries.select(folder.alias("folder"), "seq", "n_seq", k.alias("k"), row.alias("r")).withColumn("bucket", F.pmod("k", F.lit(n_buckets)).cast("int"))
     diffs = hashed.groupBy("bucket").applyInPandas(lambda pdf: _compare_bucket(pdf), "folder long, seq int, k long, code int")
     # full values only for the differing keys: in the later snapshot, or for removed keys in the one before
-    wanted = diffs.select("folder", "k", "code", "seq", (F.col("seq") - F.when(F.col("code") == 1, 1).otherwise(0)).alias("in_seq"))
-    names = entries.select(folder.alias("folder"), F.col("seq").alias("in_seq"), k.alias("k"), "rel_path").distinct()
-    ids = snaps.select(folder.alias("folder"), "seq", "state_id")
+    ids = order.select(folder.alias("folder"), "seq", "state_id")
+    in_seq = F.col("seq") - F.when(F.col("code") == 1, 1).otherwise(0)
+    wanted = cut(diffs.join(ids, ["folder", "seq"]).select("k", in_seq.alias("in_seq"), "state_id", "code"))
+    names = entries.select(k.alias("k"), F.col("seq").alias("in_seq"), "rel_path")
     change = F.element_at(F.array(*[F.lit(c) for c in CHANGES]), F.col("code") + 1)
-    return wanted.join(names, ["folder", "in_seq", "k"]).join(ids, ["folder", "seq"]).select("state_id", "rel_path", change.alias("change"))
+    return names.join(wanted, ["k", "in_seq"]).select("state_id", "rel_path", change.alias("change")).distinct()
 
 
 def snapshot_changes_sql(states: DataFrame) -> DataFrame:
     """The same result as a plain full outer join; the operator's reference in tests."""
     snaps = snapshot_order(states)
-    e = cut(snaps.select("folder_key", "seq", F.explode("files").alias("p", "f")).select("folder_key", "seq", normal_path(F.col("p")).alias("rel_path"), F.lower(F.trim("f.sha256")).alias("sha")).where("rel_path <> ''").groupBy("folder_key", "seq", "rel_path").agg(F.min("sha").alias("sha")))
+    e = cut(states.where("files is not null").select("state_id", "folder_key", "files").join(snaps, ["state_id", "folder_key"]).select("folder_key", "seq", F.explode("files").alias("p", "f")).select("folder_key", "seq", normal_path(F.col("p")).alias("rel_path"), F.lower(F.trim("f.sha256")).alias("sha")).where("rel_path <> ''").groupBy("folder_key", "seq", "rel_path").agg(F.min("sha").alias("sha")))
     heads = snaps.select("folder_key", "seq", "state_id")
     old = e.select("folder_key", (F.col("seq") + 1).alias("seq"), "rel_path", F.col("sha").alias("old"), F.lit(True).alias("was"))
     both = e.withColumn("is", F.lit(True)).join(old, ["folder_key", "seq", "rel_path"], "full").join(heads, ["folder_key", "seq"]).where("seq > 1")
