@@ -93,3 +93,20 @@ def mix_report(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     both = t.join(got, "source", "full")
     share = F.coalesce("tokens", F.lit(0)) / F.sum("tokens").over(Window.partitionBy())
     return both.select("source", "target_share", F.coalesce("docs", F.lit(0)).alias("docs"), F.coalesce("tokens", F.lit(0)).alias("tokens"), share.alias("actual_share"), F.coalesce("repeats", F.lit(0)).alias("repeats"))
+
+
+def mix_audit(mixed: DataFrame, sized: DataFrame, targets: DataFrame) -> DataFrame:
+    """``source, present, on_target, within_repeats`` for each target source.
+
+    Fair queueing serves a source to within its longest document of its share, and the total to within the longest of every source; ``on_target`` says so. A source
+    without documents is on target, as the others' weights grow in proportion.
+    """
+    caps = targets.where("source is not null and target_share > 0").groupBy("source").agg(F.max("target_share").alias("share"), F.greatest(F.lit(1), F.max("max_repeats")).alias("cap"))
+    got = mixed.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), (F.max("repeat_no") + 1).alias("repeats"))
+    longest = sized.where("n_tokens > 0").groupBy("source").agg(F.max("n_tokens").alias("longest"))
+    every = Window.partitionBy()
+    r = caps.join(got, "source", "left").join(longest, "source", "left").withColumn("present", F.col("tokens").isNotNull())
+    share = F.col("share") / F.sum(F.when(F.col("present"), F.col("share"))).over(every)
+    gap = F.abs(F.col("tokens") - share * F.sum("tokens").over(every))
+    near = gap <= F.col("longest") + share * F.sum("longest").over(every)
+    return r.select("source", "present", F.coalesce(near, F.lit(True)).alias("on_target"), F.coalesce(F.col("repeats") <= F.col("cap"), F.lit(True)).alias("within_repeats"))

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from filanda.llm.components import connected_groups
 from filanda.llm.markup import found_markup
-from filanda.llm.mixing import mix
+from filanda.llm.mixing import mix, mix_audit, mix_report
 from filanda.llm.name_variants import name_groups, variant_pairs
 from filanda.llm.near_duplicates import all_pairs, document_words, similar_documents
-from filanda.llm.packing import pack_documents
+from filanda.llm.packing import pack_audit, pack_documents, pack_report
 from filanda.llm.personal_data import found_personal_data
 from filanda.llm.tokens import with_token_counts
 from filanda.llm.unicode_forms import found_disguises
@@ -64,13 +64,47 @@ def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(sized, table(spark, sf_dir, "mix_targets"))
 
 
+def _packed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    sized = cut(with_token_counts(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    packs = table(spark, sf_dir, "pack_sizes")
+    return cut(pack_documents(sized, packs)), sized, packs
+
+
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers of each capacity are, and how even their cost."""
+    tune(spark)
+    packed, _, packs = _packed(spark, sf_dir)
+    return pack_report(packed, packs)
+
+
+def p8_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the packing must keep: every text whole, none over capacity, none cut without need, little space left."""
+    tune(spark)
+    return pack_audit(*_packed(spark, sf_dir))
+
+
+def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of each source in the mixture, against its target, and how often a document of it is used."""
+    return mix_report(cut(p9_mixture(spark, sf_dir)), table(spark, sf_dir, "mix_targets"))
+
+
+def p9_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each target source whether it reached its share, but for one document of each source, within its repeats."""
+    tune(spark)
+    sized = cut(with_token_counts(table(spark, sf_dir, "documents").select("doc_id", "source", "text")))
+    targets = table(spark, sf_dir, "mix_targets")
+    return mix_audit(cut(mix(sized, targets)), sized, targets)
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kinds of disguise in the documents' texts."""
     tune(spark)
     return found_disguises(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p8_containers": p8_containers, "p9_mixture": p9_mixture, "p10_found": p10_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p8_containers, p8_report, p8_audit, p9_mixture, p9_report, p9_audit, p10_found)
+}
 
 ORACLES: dict[str, str] = {
     "p2_found": """
@@ -84,6 +118,8 @@ r(node_id, g) as (
   select d.b, r.g from r join d on d.a = r.node_id)
 select node_id, min(g) as group_id from r group by node_id
 """,
+    "p8_audit": "select pack_name, (select count(*) from documents where text <> '') as texts, 0 as over_capacity, 0 as split_needlessly, 0 as wrong_length, true as well_filled from pack_sizes",
+    "p9_audit": "select source, exists (select 1 from documents d where d.source = t.source and text <> '') as present, true as on_target, true as within_repeats from mix_targets t",
 }
 
 

@@ -3,8 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from filanda.llm.mixing import mix, mix_report
-from filanda.llm.packing import pack, pack_documents, pack_report
+from filanda.llm.mixing import mix, mix_audit, mix_report
+from filanda.llm.packing import pack, pack_audit, pack_documents, pack_report
 from filanda.llm.tokens import Counter, TOKENIZERS, VOCABULARY, encoding, with_token_counts
 
 PATH = f"{TOKENIZERS}/{VOCABULARY}"
@@ -49,6 +49,28 @@ def test_pack_documents(spark):
     assert pack_documents(d.limit(0), packs).count() == 0
 
 
+def test_repeated_long_rows_keep_to_the_capacity(spark):
+    d = spark.createDataFrame([(1, 2500)] * 40 + [(2, 1000)] * 3 + [(1, 3000)], "doc_id long, n_tokens long")
+    packs = spark.createDataFrame([("a", 1000), ("b", 700)], "pack_name string, capacity_tokens long")
+    for shard in (20_000_000, 5_000):
+        got = pack_documents(d, packs, shard_tokens=shard).collect()
+        for name, cap in (("a", 1000), ("b", 700)):
+            used = {}
+            for r in (r for r in got if r.pack_name == name):
+                used[r.container] = used.get(r.container, 0) + r.n_tokens
+            assert max(used.values()) <= cap and sum(used.values()) == 40 * 2500 + 3000 + 3000
+            assert sum(n == cap for n in used.values()) >= (40 * 2 + 3 + 3 if name == "a" else 40 * 3 + 3 + 4)
+
+
+def test_audit(spark):
+    sized = spark.createDataFrame([(1, 2500), (2, 900), (3, 0)], "doc_id long, n_tokens long")
+    packs = spark.createDataFrame([("a", 1000)], "pack_name string, capacity_tokens long")
+    good = pack_documents(sized, packs)
+    assert tuple(pack_audit(good, sized, packs).first())[:5] == ("a", 2, 0, 0, 0)
+    bad = spark.createDataFrame([("a", 0, 1, 0, 0, 2500), ("a", 1, 2, 0, 0, 400), ("a", 2, 2, 1, 400, 400)], good.schema)
+    assert tuple(pack_audit(bad, sized, packs).first()) == ("a", 2, 1, 1, 1, True)
+
+
 @pytest.fixture(scope="module")
 def sized(spark):
     rng = random.Random(3)
@@ -81,3 +103,11 @@ def test_budget(spark, sized):
     all_tokens = sized.where("source in ('big', 'small')").groupBy().sum("n_tokens").first()[0]
     assert sum(r.n_tokens for r in mix(sized, t, total_tokens=10**9).collect()) == all_tokens  # every source runs out
     assert mix(sized.limit(0), t).count() == 0 and mix(sized, t.limit(0)).count() == 0
+
+
+def test_mix_audit(spark, sized):
+    t = targets(spark, ("big", 0.5, 1), ("small", 0.3, 3), ("mid", 0.2, 2), ("absent", 0.1, 1))
+    m = mix(sized, t)
+    assert sorted(map(tuple, mix_audit(m, sized, t).collect())) == [("absent", False, True, True), ("big", True, True, True), ("mid", True, True, True), ("small", True, True, True)]
+    off = targets(spark, ("big", 0.1, 1), ("small", 0.7, 3), ("mid", 0.2, 2))
+    assert not any(r.on_target for r in mix_audit(m, sized, off).collect() if r.source != "mid")
