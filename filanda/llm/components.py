@@ -40,13 +40,15 @@ def clean_edges(links: DataFrame, min_weight: float | None) -> DataFrame:
 def _hook(edges: DataFrame) -> DataFrame:
     """``c, p``: the neighbour over each component's smallest edge by (cost, lo, hi).
 
-    The order is total over edges, so the only cycles are two components that chose one edge; the smaller of them becomes a root.
+    The order is total over edges, so the only cycles are two components that chose one edge; the smaller of them becomes a root. An edge is chosen at most twice, so the
+    grouping by chosen edge that finds this has no hot key, as a join on the neighbour would in a star.
     """
-    ends = edges.select(F.explode(F.array(F.struct(F.col("lo").alias("c"), F.col("hi").alias("p")), F.struct(F.col("hi").alias("c"), F.col("lo").alias("p")))).alias("x"), "cost", "lo", "hi").select("x.c", F.struct("cost", "lo", "hi", "x.p").alias("e"))
-    chosen = cut(ends.groupBy("c").agg(F.min("e").getField("p").alias("p")))
-    back = chosen.select(F.col("c").alias("p"), F.col("p").alias("pp"))
-    mutual = (F.col("pp") == F.col("c")) & (F.col("c") < F.col("p"))
-    return chosen.join(back, "p").select("c", F.when(mutual, F.col("c")).otherwise(F.col("p")).alias("p"))
+    ends = edges.select(F.explode(F.array("lo", "hi")).alias("c"), F.struct("cost", "lo", "hi").alias("e"))
+    chosen = ends.groupBy("c").agg(F.min("e").alias("e")).select("c", "e.lo", "e.hi")
+    by_edge = chosen.groupBy("lo", "hi").agg(F.min("c").alias("c"), F.count("*").alias("n"))
+    pair = lambda c, p: F.struct(F.col(c).alias("c"), F.col(p).alias("p"))
+    other = F.struct("c", F.when(F.col("c") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("p"))
+    return by_edge.select(F.explode(F.when(F.col("n") == 2, F.array(pair("lo", "lo"), pair("hi", "lo"))).otherwise(F.array(other))).alias("x")).select("x.*")
 
 
 def _collapse(parents: DataFrame) -> DataFrame:
@@ -75,21 +77,23 @@ def connected_groups(links: DataFrame, min_weight: float | None = None) -> DataF
     """
     edges = cut(clean_edges(links, min_weight))
     labels: DataFrame | None = None
+    first: DataFrame | None = None
     for _ in range(MAX_ROUNDS):
         if not edges.limit(1).count():
             break
         roots = _collapse(_hook(edges))
         if labels is None:
-            labels = roots.select(F.col("c").alias("node_id"), F.col("root").alias("group_id"))
+            labels, first = roots.select(F.col("c").alias("node_id"), F.col("root").alias("group_id")), roots
         else:
             new = roots.select(F.col("c").alias("group_id"), "root")
             before, labels = labels, cut(labels.join(new, "group_id", "left").select("node_id", F.coalesce("root", "group_id").alias("group_id")))
-            drop(before)
+            drop(before, first)
+            first = None
         a = roots.select(F.col("c").alias("lo"), F.col("root").alias("a"))
         b = roots.select(F.col("c").alias("hi"), F.col("root").alias("b"))
         left = edges.join(a, "lo").join(b, "hi").where("a <> b")
         before, edges = edges, cut(left.groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(F.min("cost").alias("cost")))
-        drop(before)
+        drop(before, roots if roots is not first else None)
     else:
         raise RuntimeError("components did not settle")
     return labels if labels is not None else edges.select(F.col("lo").alias("node_id"), F.col("hi").alias("group_id"))
