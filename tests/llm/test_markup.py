@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from filanda.llm.markup import clean, clean_sections, found_markup, kinds, max_flow
+from filanda.llm.markup import classifier, clean, clean_sections, cost, found_markup, kinds, label, max_flow
 
 MARKED = [
     "<p>uno</p>", "prima<br/>dopo", "testo <ref>nota", "a &lt; 4", "x&nbsp;y", "# Titolo\ntesto", "**forte** resto", "__forte__ resto", "~~via~~", "`ls -l` qui", "```bash\nls\n```", "| a | b |\n|---|---:|\n| 1 | 2 |",
@@ -41,6 +41,31 @@ def test_clean_keeps_structure():
     assert clean(None) == (None, [])
 
 
+def test_the_cut_decides():
+    """Labels, and rows, that the classifier alone would give otherwise."""
+    doubtful = label("totale 105&svilup")[-1]
+    assert cost("totale 105&svilup", doubtful) > 0 and not doubtful.markup and kinds("totale 105&svilup") == []  # alone in prose
+    assert kinds("totale <b>105</b>&svilup")[-1] == "charref_cut"  # beside a tag
+    brace = label(r"\emph{rete} x")[-2]
+    assert cost(r"\emph{rete} x", brace) < 0 and brace.markup  # by its opening mark
+    assert kinds("fine } x") == []
+
+
+def test_boilerplate():
+    assert clean("<nav><ul><li><a href='x'>Home</a></li><li>Dati</li></ul></nav>Il nodo è stato sostituito.")[0] == "Il nodo è stato sostituito."
+    assert clean("<script>var a = 1; if (a < 2) { b(); }</script>Testo.")[0].strip() == "Testo."
+    assert clean("<style>.a { color: red }</style><p>Uno due.</p>")[0].strip() == "Uno due."
+    long = "Questa è una frase di senso compiuto che sta per errore in un menu del sito."
+    assert long in clean(f"<nav><a>Home</a>{long}</nav>")[0]
+
+
+def test_classifier_is_bounded_and_fixed():
+    by_kind, by_feature = classifier()
+    assert by_kind["tag_cut"] > 2 > -1 > by_kind["angle"] and len(by_feature) == 7
+    classifier.cache_clear()
+    assert classifier()[0] == by_kind
+
+
 def cut_value(n, s, t, edges, side):
     return sum(t[i] if side[i] else s[i] for i in range(n)) + sum(c for u, v, c in edges if side[u] != side[v])
 
