@@ -36,6 +36,8 @@ EMAIL = re.compile(
 )
 
 _MAIL_SIGN = re.compile(r"@|[(\[{<]\s?(?:at|AT|chiocciola)\s?[)\]}>]|\s(?:chiocciola|CHIOCCIOLA)\s| at (?=[\w-]+\s?(?:\(dot\)|\[dot\]|\sdot\s))")
+#: What stands in every written-out sign.
+_MAIL_PARTS = ("chiocciola", "(at", "[at", "{at", "<at", "( at", "[ at", "{ at", "< at", " at ", "(\tat", "(\nat")
 _MAIL_LOCAL = re.compile(r"\w[\w.+%'-]*\s?\Z")
 
 IDENTITY = re.compile(
@@ -49,7 +51,11 @@ IDENTITY = re.compile(
     r"|(?P<nino>[A-CEGHJ-PR-TW-Z][A-CEGHJ-NPR-TW-Z][ ]?\d{2}[ ]?\d{2}[ ]?\d{2}[ ]?[A-D])"
     r")(?![\w-])"
 )
-_IDENTITY_HINT = re.compile(r"\d{5}|\d-\d\d-\d|[0-9LMNPQRSTUVlmnpqrstuv]{2}[A-Ea-eHhLlMmPpRrSsTt][0-9LMNPQRSTUVlmnpqrstuv]{2} ?[A-Za-z]\w{3}[A-Za-z]\b|\d\d ?\d\d ?\d\d ?[A-D]\b")
+# Each begins with a set of characters, which the engine finds fast.
+_LONG_NUMBER = re.compile(r"\d{4}[ -]?[0-9A-Z]{4}[ -]?[0-9A-Z]{4}")
+#: Every identity number has one of these: five digits, two dashes, a digit before a letter, or capitals that stand for a tax code's digits.
+_IDENTITY_HINT = re.compile(r"\d(?:\d{4}|-\d\d-\d|[A-Za-z]|\d ?\d\d ?\d\d ?[A-D]\b)")
+_IDENTITY_CAPITALS = re.compile(r"[A-Z]{3} ?[A-Z]{3} ?[LMNP-V]{2}[A-EHLMPRST][LMNP-V]{2}")
 _SAID = ("codice fisc", "cod. fisc", "cod.fisc", "c.f.", "c. f.", "carta d", "passap", "passport", "tessera san", " card", "social sec", "ssn", "nhs")
 #: Documents of other formats count where a word says whose number it is.
 IDENTITY_SAID = re.compile(
@@ -85,18 +91,17 @@ ADDRESS_EN = re.compile(
 _STREETS = ("via", "viale", "v.le", "piazz", "p.zza", "pzza", "p.za", "p.le", "corso", "c.so", "largo", "l.go", "vicolo", "v.lo", "strada", "str.", "contrada", "lungo", "galleria", "salita", "rione", "localit")
 #: The spellings of a square whose parts blanks or no dot divide, which no literal covers.
 _SQUARE = re.compile(r"p\.?\s?z?za")
-_STREETS_EN = (" street", " road", " avenue", " lane", " drive", " close", " square", " court", " terrace", " place", " crescent", " boulevard", " way", " gardens", " grove", " row", " hill", " st.", " rd.", " ave.", " ln.")
+_STREETS_EN = ("street", "road", "avenue", "lane", "drive", "close", "square", "court", "terrace", "place", "crescent", "boulevard", "way", "gardens", "grove", "row", "hill", "st.", "rd.", "ave.", "ln.")
 _ACRONYM_STREET = re.compile(r"\Avia\s+[A-Z]{2,6}\s+\d")
 
 _COMPANY = re.compile(
     r"(?:[A-ZÀ-Ý][\w.&'’]*[ ,-]+){1,5}(?:[Ss]\.? ?[Rr]\.? ?[Ll]\.?[Ss]?|[Ss]\.? ?[Pp]\.? ?[Aa]\.?|S\.?c\.?a\.?r\.?l\.?|SCARL|Scarl|G\.?m\.?b\.?H\.?|GMBH|Ltd|LTD|Limited|Inc|LLC|Società per Azioni)(?![\w])"
     r"|(?<!\w)(?:Gruppo|Group)\s+[A-ZÀ-Ý][\w'’]+"
 )
-_TOKEN = re.compile(r"(?<![^\W_])[A-ZÀ-ÖØ-Þ][^\W\d_]*(?:['’][^\W\d_]+)*['’]?")
-_TITLES = ("Sig", "sig", "SIG", "Dott", "dott", "DOTT", "Dr", " dr", "Ing.", " ing. ", "ING", "Avv", "avv", "AVV", "Geom", "geom", "Rag.", " rag.", "Arch.", " arch.", "Prof", "prof.", "Mr", "Ms", "Miss")
+_CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ][^\W\d_]*(?:['’][^\W\d_]+)*['’]?")
 _TITLE = re.compile(r"(?<![\w.])(?:[Ss]ig\.?(?:na|ra|\.ra|\.na)?|[Ss]igg|[Ss]ignora?|[Dd]ott\.?(?:ssa|\.ssa)?|DOTT|SIG|ING|AVV|[Dd]r|[Ii]ng|[Aa]vv|[Gg]eom|[Rr]ag|[Aa]rch|[Pp]rof\.?(?:ssa)?|Mr|Mrs|Ms|Dr|Miss)\.?\s+(?=[A-ZÀ-Ý])")
-#: The beginnings of all alternatives of _TITLE in lower case.
-_TITLE_STARTS = ("sig", "dott", "dr", "ing", "avv", "geom", "rag", "arch", "prof", "mr", "ms", "miss")
+#: The ends of all alternatives of _TITLE in lower case, without dot.
+_TITLE_ENDS = ("sig", "sigg", "na", "ra", "signor", "dott", "ssa", "dr", "ing", "avv", "geom", "rag", "arch", "prof", "mr", "mrs", "ms", "miss")
 #: Words that stand right before a person, or right after one.
 _BEFORE = re.compile(
     r"(?i)(?:firmato|presenti|referente(?: è)?|assegnato a|approvato da|indicato da|reviewed by|approved by|signed by|assigned to|issued to|rilasciato a|contattare|contact(?: is)?|rif\.|reference|attn\.?|att\.ne|c\.a\.|cc|dipendente|employee|sottoscritt[oa]|with|by|\bda|\ba|;)\s*:?\s*\Z"
@@ -111,7 +116,7 @@ secondo presso vista visto sentito fuori rispetto già gia alla al ogni perché
 the at by for from on of to in with before after when once if under outside during following pending as and or an a this that these please ship badge issued reviewed approved node
 contattare firmato presenti rilasciato assegnato approvato indicato referente recapito chiamare escalate inoltrare badge rif riferimento documento document vedi cfr nota compilare inserire eseguire
 gruppo sistema nodo sede ufficio squadra servizio fornitore cliente società societa direzione funzione progetto gara fase contratto centro piazza via viale corso largo vicolo strada san santa santo sant sede report verbale offerta
-piano relazione procedura analisi collaudo scheda checklist runbook manuale capitolato preventivo assessment listino campo modulo dosmarin
+piano relazione procedura analisi collaudo scheda checklist runbook manuale capitolato preventivo assessment listino campo modulo
     """.split()
 )
 _PLACE = re.compile(r"(?<!\w)(?:[Ss]an|[Ss]anta|[Ss]anto|[Vv]ia|[Pp]iazza|[Vv]iale|[Cc]orso|[Ll]argo|[Vv]icolo)\s+[A-ZÀ-Ý]\w+(?:\s+[A-ZÀ-Ý]\w+)?")
@@ -173,13 +178,71 @@ def _promising(text: str, m: re.Match) -> bool:
     return (h & 2 or len(m.group()) == 1) and text[m.end() : m.end() + 1] == "." and not text[m.end() + 1 : m.end() + 2].isalnum() and text[m.start() - 1 : m.start()] != "."
 
 
+def _capital_words(text: str) -> list[re.Match]:
+    """Words with a capital first letter; the pattern begins with a set of characters, which the engine finds fast, so what stands before is looked at here."""
+    out = []
+    for m in _CAPITAL.finditer(text):
+        if m.start() and text[m.start() - 1].isalnum():
+            apart = re.search(r"['’](?=[A-ZÀ-ÖØ-Þ])", m.group())  # the word goes on after an apostrophe
+            m = _CAPITAL.match(text, m.start() + apart.end()) if apart else None
+        if m:
+            out.append(m)
+    return out
+
+
+#: What stands right before a person and nothing else; the capital words after it are a name, whether known or not.
+_CUE_LABEL = re.compile(
+    r"(?i)\b(?:referente|contatto|contact|contact person|attn\.?|att\.ne|c\.a\.|all'attenzione di|(?:il|la) sottoscritt[oa]|nominativo|cognome e nome|nome e cognome|full name|name of employee|firma|firmato(?: da)?|signed(?: by)?|intestatari[oa])\s*\Z"
+)
+_CUE_VERB = re.compile(r"(?i)\b(?:chiamare|contattare|telefonare a|scrivere a|rivolgersi a|please call|please contact|ask for|signed by|firmato da)\s+")
+#: A part of every verb above, in lower case.
+_CUE_PARTS = ("chiamare", "contattare", "telefonare", "scrivere", "rivolgersi", "please c", "ask for", "signed", "firmato")
+_PARTICLE = re.compile(r"(?:[Dd]e|[Dd]i|[Dd]a|[Dd]el|[Dd]ella|[Dd]ei|[Vv]an|[Vv]on|[Dd]er|[Ee]l|[Aa]l|[Bb]in|[Bb]en|[Ll]a|[Ll]e|[Dd]os|[Tt]en)\Z")
+_CUED_NAME = re.compile(r"[A-ZÀ-ÖØ-Þ][^\W\d_]+(?:['’-][^\W\d_]+)*(?:[ \t]+(?:(?:de|di|da|del|della|dei|van|von|der|el|al|bin|ben|la|le|dos|ten)[ \t]+)*(?:[A-ZÀ-ÖØ-Þ]\.[ \t]*)?[A-ZÀ-ÖØ-Þ][^\W\d_]+(?:['’-][^\W\d_]+)*){1,3}")
+
+
+_COLON = re.compile(r":\s*")
+
+
+def _has(text: str, words: tuple[str, ...]) -> bool:
+    for w in words:  # faster than any() over a generator
+        if w in text:
+            return True
+    return False
+
+
+def cued_names(text: str, low: str) -> list[tuple[int, int]]:
+    """Spans of two to four capital words right after a cue that only persons follow, none of them a common or trade word."""
+    out: list[tuple[int, int]] = []
+    ends = [m.end() for m in _COLON.finditer(text) if _CUE_LABEL.search(text, max(0, m.start() - 24), m.start())] if ":" in text else []
+    if _has(low, _CUE_PARTS):
+        ends += [m.end() for m in _CUE_VERB.finditer(text)]
+    for end in sorted(set(ends)):
+        m = _CUED_NAME.match(text, end)
+        if not m:
+            continue
+        words = [w for w in re.findall(r"[^\W\d_]+(?:['’-][^\W\d_]+)*", m.group()) if not _PARTICLE.match(w) and len(w) > 1]
+        end = m.end()
+        while len(words) > 2 and fold(words[-1]) in _NOT_SURNAME:  # the name ends before the next sentence's words
+            end = m.start() + m.group().rindex(words.pop())
+        if len(words) >= 2 and not any(fold(w) in _NOT_SURNAME or w.isupper() and len(w) <= 4 for w in words):
+            out.append((m.start(), m.start() + len(text[m.start() : end].rstrip())))
+    return out
+
+
 def find_persons(text: str) -> list[tuple[int, int]]:
-    """Spans of persons' names: first name and surname in either order, shortened first names, surnames after a title."""
-    tokens, low = list(_TOKEN.finditer(text)), text.lower()
-    titled = any(t in text for t in _TITLES) or any(t in low for t in _TITLE_STARTS) and _TITLE.search(text) is not None
+    """Spans of persons' names: first name and surname in either order, shortened first names, surnames after a title, capital words after a cue for persons."""
+    tokens, low = _capital_words(text), text.lower()
+    titled = False
+    for m in tokens:
+        before = text[max(0, m.start() - 10) : m.start()]
+        if before and before[-1].isspace() and before.rstrip(" \t\n.").lower().endswith(_TITLE_ENDS):
+            titled = True
+            break
+    cued = cued_names(text, low)
     out: list[tuple[int, int]] = []
     if not titled and not any(_promising(text, m) for m in tokens):
-        return out
+        return cued
     busy = -1
     starts = {m.start(): m for m in tokens}
 
@@ -232,7 +295,7 @@ def find_persons(text: str) -> list[tuple[int, int]]:
         if s and _surname(s.group(), s.end() == len(text)) and len(s.group()) >= 4 and not any(a <= s.start() < b for a, b in out):
             t = after(s.end())
             out.append((m.start(), t.end() if t and _known(t.group()) else s.end()))
-    return out
+    return out + [(a, b) for a, b in cued if not any(x < b and a < y for x, y in out)]
 
 
 def _trade_like(word: str) -> bool:
@@ -247,6 +310,35 @@ def _digits(s: str) -> int:
     return sum(c.isdigit() for c in s)
 
 
+_PHONE_START = re.compile(r"[+(03]")
+
+
+def _phones(text: str) -> Iterator[re.Match]:
+    """The matches of ``PHONE``, tried only at the characters it can begin with."""
+    upto = 0
+    for start in _PHONE_START.finditer(text):
+        at = start.start()
+        if at >= upto and (not at or text[at - 1] not in "./+,-" and not text[at - 1].isalnum()) and (m := PHONE.match(text, at)):
+            yield m
+            upto = m.end()
+
+
+_IBAN = re.compile(r"(?<![\w-])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![\w-])")
+_CARD = re.compile(r"(?<![\w.,/-])\d(?:[ -]?\d){12,18}(?![\w-])")
+
+
+def is_iban(value: str) -> bool:
+    """Whether the check digits of an account number are right."""
+    bare = value.replace(" ", "")
+    return 15 <= len(bare) <= 34 and int("".join(str(int(c, 36)) for c in bare[4:] + bare[:4])) % 97 == 1
+
+
+def is_card(value: str) -> bool:
+    """Whether the last digit of a payment card's number is right (Luhn) and it begins like one."""
+    d = [int(c) for c in value if c.isdigit()]
+    return 13 <= len(d) <= 19 and d[0] in (3, 4, 5, 6) and sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(reversed(d))) % 10 == 0
+
+
 def find_items(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every item, in order, without overlaps; none for null."""
     if not text:
@@ -262,27 +354,29 @@ def find_items(text: str | None) -> list[tuple[int, int, str]]:
             left = left[:a] + "\x00" * (b - a) + left[b:]
 
     low = text.lower()
-    mails = []
-    for sign in _MAIL_SIGN.finditer(text):
+    mails: list[tuple[int, int]] = []
+    for sign in _MAIL_SIGN.finditer(text) if "@" in text or _has(low, _MAIL_PARTS) else ():
         local = _MAIL_LOCAL.search(text, max(mails[-1][1] if mails else 0, sign.start() - 80), sign.start())
         if local and (m := EMAIL.match(text, local.start())) and m.end() > sign.start():
             mails.append(m.span())
     take(mails, "email")
     if any(c in text for c in "0123456789"):
-        if _IDENTITY_HINT.search(left):
+        if _LONG_NUMBER.search(left):  # accounts and cards, which are replaced but are none of the kinds reported
+            take([m.span() for m in _IBAN.finditer(left) if is_iban(m.group())], "account")
+            take([m.span() for m in _CARD.finditer(left) if is_card(m.group())], "account")
+        if _IDENTITY_HINT.search(left) or _IDENTITY_CAPITALS.search(left):
             take([m.span() for m in IDENTITY.finditer(left)], "identity")
-        if any(w in low for w in _SAID):
+        if _has(low, _SAID):
             take([m.span("v") for m in IDENTITY_SAID.finditer(left)], "identity")
         phones = []
-        for m in PHONE.finditer(left):
+        for m in _phones(left):
             number = re.sub(r"(?:int|ext).*", "", m.group())
             if 7 <= _digits(number) <= 15 and not _DATE.fullmatch(number) and not _NO_PHONE.search(left[max(0, m.start() - 30) : m.start()]):
                 phones.append(m.span())
         take(phones, "phone")
-        if any(w in low for w in _STREETS) or _SQUARE.search(low):
+        if _has(low, _STREETS) or _SQUARE.search(low):
             take([m.span() for m in ADDRESS.finditer(left) if not _ACRONYM_STREET.match(m.group())], "address")
-        spaced = " ".join(low.split())
-        if any(w in spaced for w in _STREETS_EN):
+        if _has(low, _STREETS_EN):
             take([m.span() for m in ADDRESS_EN.finditer(left)], "address")
     persons = find_persons(left)
     if persons:  # none inside a company's name
@@ -382,15 +476,40 @@ def permute_date(value: str, key: bytes, back: bool = False) -> str:
     return f"{new.day:02d}{m[2]}{new.month:02d}{m[2]}{new.year}" if m[1] else new.isoformat()
 
 
+# Country codes of one and two digits; all others have three.
+_COUNTRY = re.compile(r"(?:\+|00)[ ./-]?(1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})")
+HOME = "39"
+
+
+def permute_phone(value: str, key: bytes, back: bool = False) -> str:
+    """Another number in the same writing; the country's code and the first digit stay, as they tell what line it is.
+
+    The permuted digits depend on country and national number only, so one number in several writings, with or without the code of ``HOME``, stays one number.
+    """
+    m = re.match(r"(.*?)((?: ?(?:int|ext|interno)\.? ?\d{1,4})?)\Z", value, re.S)
+    number, ext = m[1], m[2]
+    code = _COUNTRY.match(number)
+    start = code.end() if code else 0
+    digits = "".join(c for c in number[start:] if c.isdigit())
+    if len(digits) < 3:
+        return permute_format(value, key, back)
+    country = code[1] if code else HOME
+    size = 10 ** (len(digits) - 1)
+    new = digits[0] + str(feistel(int(digits[1:]), size, key, f"phone{country}{len(digits)}".encode(), back=back)).zfill(len(digits) - 1)
+    left = iter(new)
+    out = number[:start] + "".join(next(left) if c.isdigit() else c for c in number[start:])
+    return out + re.sub(r"\d+", lambda d: permute_format(d.group(), key, back), ext)
+
+
 def pseudonym(kind: str, value: str, key: bytes) -> str:
-    """What stands for a value in its placeholder; equal values, whatever their writing of case and blanks, get equal pseudonyms."""
+    """What stands for a value in its placeholder; equal values, whatever their writing of case, blanks and a number's signs, get equal pseudonyms."""
     if kind == "identity":
         m = IDENTITY.fullmatch(value)
         return permute_tax_code(value, key) if m and m["tax"] else permute_format(value, key)
     if kind == "phone":
-        # prefix and extension word stay readable; the number itself is permuted in its writing
-        m = re.match(r"((?:\+|00)[1-9]\d(?!\d{9})[ ./-]?)?(.*?)((?: ?(?:int|ext|interno)\.? ?\d{1,4})?)\Z", value, re.S)
-        return (m[1] or "") + permute_format(m[2], key) + re.sub(r"\d+", lambda d: permute_format(d.group(), key), m[3])
+        return permute_phone(value, key)
+    if kind == "account":
+        return permute_format(value, key)
     words = " ".join(sorted(re.findall(r"\w+", fold(value)))) if kind == "person" else re.sub(r"\s+", "", fold(value))
     return hashlib.blake2b(f"{kind}:{words}".encode(), key=key[:64], digest_size=4).hexdigest()
 
@@ -408,7 +527,8 @@ def redact(text: str | None, key: bytes) -> tuple[str | None, list[str]]:
         out += [text[at:a], f"[{kind.upper()} {pseudonym(kind, text[a:b], key)}]"]
         at = b
     done = "".join([*out, text[at:]])
-    done = _BORN.sub(lambda m: m.group().replace(m[1], permute_date(m[1], key)), done)
+    if _has(text.lower(), ("nato", "nata", "nascita", "born", "birth", "d.o.b")):
+        done = _BORN.sub(lambda m: m.group().replace(m[1], permute_date(m[1], key)), done)
     return done, [k for k in KINDS if any(i[2] == k for i in items)]
 
 
@@ -431,19 +551,13 @@ def redacted_texts(sections: DataFrame, taxonomy: DataFrame, key: bytes) -> Data
 
     def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            done = [redact(t, key) for t in p["text"]]
-            yield p.assign(text=[t for t, _ in done], kinds=[k for _, k in done])
+            done = {t: redact(t, key) for t in p["text"].unique()}  # quoted passages and boilerplate recur
+            yield p.assign(text=[done[t][0] for t in p["text"]], kinds=[done[t][1] for t in p["text"]])
 
     return _texts(sections, taxonomy).mapInPandas(batches, "tab string, row_id long, para_no int, text string, kinds array<string>")
 
 
-def found_personal_data(sections: DataFrame, taxonomy: DataFrame) -> DataFrame:
+def found_personal_data(sections: DataFrame, taxonomy: DataFrame, key: bytes) -> DataFrame:
     """``tab, row_id, para_no, kind``: one row for each kind of item that ``redacted_texts`` replaces in a text."""
-
-    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            kinds = [sorted({k for _, _, k in find_items(t)}) for t in p["text"]]
-            yield p[["tab", "row_id", "para_no"]].assign(kinds=kinds)
-
-    found = _texts(sections, taxonomy).mapInPandas(batches, "tab string, row_id long, para_no int, kinds array<string>")
+    found = redacted_texts(sections, taxonomy, key)
     return found.select("tab", "row_id", "para_no", F.explode("kinds").alias("kind")).distinct()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,11 +31,20 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return connected_groups(table(spark, sf_dir, "links").select("source", "target", "weight"), 0.5)
 
 
+def pseudonym_key(spark: SparkSession) -> bytes:
+    """The secret of the pseudonyms: the session's ``filanda.pseudonym.key``; without one, a key of the session alone, so that its pseudonyms cannot be linked to another's."""
+    named = spark.conf.get("filanda.pseudonym.key", None)
+    return named.encode() if named else hashlib.sha256(spark.sparkContext.applicationId.encode() + _SESSION_SALT).digest()
+
+
+_SESSION_SALT = os.urandom(16)
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kinds of personal data in paragraphs and previews."""
     tune(spark)
     sections = table(spark, sf_dir, "sections").select("section_id", "preview_start", "paragraphs")
-    return found_personal_data(sections, table(spark, sf_dir, "taxonomy_diff").select("diff_id", "text_preview"))
+    return found_personal_data(sections, table(spark, sf_dir, "taxonomy_diff").select("diff_id", "text_preview"), pseudonym_key(spark))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

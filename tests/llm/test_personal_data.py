@@ -2,7 +2,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from filanda.llm.personal_data import feistel, find_items, found_personal_data, permute_date, permute_format, permute_tax_code, redact, redacted_texts, tax_check
+from filanda.llm import personal_data
+from filanda.llm.personal_data import feistel, find_items, found_personal_data, permute_date, permute_format, permute_phone, permute_tax_code, redact, redacted_texts, tax_check
 
 KEY = b"a key"
 
@@ -90,6 +91,40 @@ def test_redact():
 def test_tables(spark):
     s = spark.createDataFrame([(1, "a@b.example", ["0329/146804 e 0329/146805", None], 1), (1, "a@b.example", ["0329/146804 e 0329/146805", None], 1), (2, None, None, 1), (3, "x " * 100_000 + "a@b.example", [""], 1)], "section_id long, preview_start string, paragraphs array<string>, kind int")
     t = spark.createDataFrame([(7, "Firmato: Marta Vanzironne", 1), (8, None, 1)], "diff_id long, text_preview string, tab int")
-    assert sorted(map(tuple, found_personal_data(s, t).collect())) == [("sections", 1, -1, "email"), ("sections", 1, 0, "phone"), ("sections", 3, -1, "email"), ("taxonomy_diff", 7, -1, "person")]
+    assert sorted(map(tuple, found_personal_data(s, t, KEY).collect())) == [("sections", 1, -1, "email"), ("sections", 1, 0, "phone"), ("sections", 3, -1, "email"), ("taxonomy_diff", 7, -1, "person")]
     assert redacted_texts(s, t, KEY).count() == 6
-    assert found_personal_data(s.limit(0), t.limit(0)).count() == 0
+    assert found_personal_data(s.limit(0), t.limit(0), KEY).count() == 0
+
+
+@pytest.mark.parametrize("text", ["Chiamare Wei Zhang al mattino", "Referente: Fatima El Amrani.", "Contact: Olga Petrova, ok", "Firmato da: Xavier Dubois", "Ask for Chidi van der Okafor today", "Rivolgersi a Dosmarin Popescu in sede"])
+def test_names_on_no_list_by_their_cue(text):
+    assert kinds(text) == ["person"]
+
+
+@pytest.mark.parametrize("text", ["Referente: Ufficio Acquisti Sede", "Contattare Servizi Generali S.r.l. in sede", "Contact: SLA Manager", "Chiamare il numero verde", "Firma: ", "il sistema Dosmarin ha"])
+def test_cues_without_a_name(text):
+    assert kinds(text) == []
+
+
+def test_phones_of_two_writings_stay_linked():
+    digits = lambda v: "".join(c for c in permute_phone(v, KEY).removeprefix("+39").removeprefix("0039") if c.isdigit())
+    same = ["+39 02 5551234", "+39025551234", "02 555 1234", "02/5551234", "0039 02-555.12.34", "(02) 5551234"]
+    assert len({digits(v) for v in same}) == 1 and digits(same[0]) != "025551234" and digits("02 5551235") != digits(same[0])
+    assert permute_phone("+39 02 5551234", KEY)[:5] == "+39 0" and permute_phone("+44 1632 960017", KEY).startswith("+44 1")
+    for v in same:
+        assert permute_phone(permute_phone(v, KEY), KEY, back=True) == v
+    assert permute_phone("02 5551234 int. 73", KEY).split(" int. ")[0] == permute_phone("02 5551234", KEY)
+
+
+def test_accounts_are_replaced_but_not_reported():
+    out, found = redact("IBAN IT60X0542811101000000123456 e carta 4111 1111 1111 1111 e lotto 4111 1111 1111 1112", KEY)
+    assert found == [] and "0542811101000000123456" not in out and "4111 1111 1111 1111" not in out and out.endswith("4111 1111 1111 1112") and out.count("[ACCOUNT ") == 2
+
+
+def test_rows_come_from_the_redaction(spark, monkeypatch):
+    s = spark.createDataFrame([(1, "tel. 0329/146804", None)], "section_id long, preview_start string, paragraphs array<string>")
+    t = spark.createDataFrame([], "diff_id long, text_preview string")
+    both = redacted_texts(s, t, KEY).first()
+    assert both.kinds == ["phone"] and both.text == f"tel. [PHONE {permute_phone('0329/146804', KEY)}]"
+    monkeypatch.setattr(personal_data, "redacted_texts", lambda *a: redacted_texts(*a).limit(0))
+    assert found_personal_data(s, t, KEY).count() == 0
