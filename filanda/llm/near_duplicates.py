@@ -3,18 +3,20 @@
 The elements of a document are its words with their occurrence number, so that the overlap of two documents counts repeated words.
 Documents of equal elements form a class; the search runs over one representative of each.
 
-1. Representatives are partitioned into groups of similar ones: equal smallest hashes of the first band, in chunks of
-   bounded size, so that no group grows with the data.
+1. Representatives are laid in the order of their first two minimum hashes, which puts similar ones side by side, and cut into groups of at most ``GROUP`` neighbours that agree in
+   the first. No group grows with the data, whatever share of the documents looks alike.
 2. A group's row of the token-group matrix is the union of its members' elements, as a bitmap of ``BITS`` hashed
    positions, with the smallest and largest size of a member.
-3. A query meets the groups that hold a document with a band of minimum hashes like its own. The overlap of a query with any member is
+3. A query meets its own group and the groups that hold a document with a band of minimum hashes like its own. The overlap of a query with any member is
    at most its size less the positions that the group's row lacks; a group that cannot reach the threshold is never opened.
 4. The members of the groups left are compared by their own bitmaps, with the same bound, then exactly by their elements. For that the
    pairs are laid on a grid of cells, and a document goes once to each cell that it has a pair in, however many pairs that is.
 
 Step 3 finds a pair with similarity ``s`` unless all bands differ: ``(1 - s**ROWS) ** BANDS``, which is below 2e-6 at 0.75 and
 below 1e-9 at 0.8. (A prefix index over the rarest words misses nothing, but met 2e9 pairs on 90,000 documents here, most
-of the words being common; hence the bands.) All later steps are exact up to collisions of 64-bit hashes.
+of the words being common; hence the bands. A row more in a band divides the unlike pairs that meet by about three.) All later steps are exact up to collisions of 64-bit hashes.
+
+Nothing is broadcast by hint: which side of a join is small is left to the sizes the optimizer knows, its own bound being ten megabytes.
 """
 
 from __future__ import annotations
@@ -30,11 +32,11 @@ from pyspark.sql import functions as F
 
 from filanda.runtime import cut
 
-BANDS, ROWS = 70, 6
+BANDS, ROWS = 92, 7
 BITS = 512
 WORDS = BITS // 64
-#: Members of a group at most, about.
-GROUP = 32
+#: Members of a group at most; the union of more would fill its bitmap.
+GROUP = 6
 
 _MULT = np.random.default_rng(7).integers(1, 2**63, size=BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _ADD = np.random.default_rng(8).integers(0, 2**63, size=BANDS * ROWS, dtype=np.uint64)
@@ -59,16 +61,19 @@ def elements(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return el[np.lexsort((el, doc))], doc
 
 
-def band_hashes(el: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """(documents, BANDS) hashes of the minimum hashes of each band; every document has an element."""
+def band_hashes(el: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(documents, BANDS) hashes of the minimum hashes of each band, and the first two minimum hashes in one number; every document has an element."""
     starts, keys = offsets[:-1], np.zeros((len(offsets) - 1, BANDS), dtype=np.uint64)
+    place = np.zeros(len(starts), dtype=np.uint64)
     for b in range(BANDS):
         h = np.full(len(starts), np.uint64(b))
         for r in range(b * ROWS, (b + 1) * ROWS):
             low = np.minimum.reduceat((el * _MULT[r] + _ADD[r]) >> np.uint64(16), starts)
             h = _mix(h ^ low + np.uint64(0x9E3779B97F4A7C15))
+            if r < 2:  # 48 bits each, of which the upper ones count
+                place |= (low >> np.uint64(17)) << np.uint64(32) if r == 0 else low >> np.uint64(16)
         keys[:, b] = h
-    return keys
+    return keys, place
 
 
 def bitmaps(el: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
@@ -93,9 +98,10 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         el, doc = elements(np.asarray(words.flatten()).astype(np.int64), offsets)
         one = np.bitwise_xor.reduceat(_mix(el), offsets[:-1])
         two = np.add.reduceat(_mix(el ^ np.uint64(0xA5A5A5A5A5A5A5A5)), offsets[:-1])
-        bands = (band_hashes(el, offsets) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+        hashes, place = band_hashes(el, offsets)
+        bands = (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
         cols = {
-            "id": batch.column("id"), "c1": pa.array(one.view(np.int64)), "c2": pa.array(two.view(np.int64)), "n": pa.array(np.diff(offsets).astype(np.int32)),
+            "id": batch.column("id"), "c1": pa.array(one.view(np.int64)), "c2": pa.array(two.view(np.int64)), "n": pa.array(np.diff(offsets).astype(np.int32)), "place": pa.array(place.view(np.int64)),
             "bits": _lists(bitmaps(el, doc, n).ravel().view(np.int64), np.arange(n + 1) * WORDS, pa.int64()),
             "bands": _lists(bands.ravel(), np.arange(n + 1) * BANDS, pa.int32()),
             "el": _lists(el.view(np.int64), offsets, pa.int64()),
@@ -103,7 +109,22 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
 
-SKETCH = "id long, c1 long, c2 long, n int, bits array<long>, bands array<int>, el array<long>"
+SKETCH = "id long, c1 long, c2 long, n int, place long, bits array<long>, bands array<int>, el array<long>"
+
+
+def _group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a partition in order of their place, each with the id of the first member of its group."""
+    first, head, size = 0, -1, 0
+    for batch in batches:
+        ids, heads = batch.column("id").to_pylist(), (np.asarray(batch.column("place")) >> 32).tolist()
+        groups = []
+        for i, h in zip(ids, heads, strict=True):
+            if h != head or size == GROUP:
+                first, head, size = i, h, 0
+            size += 1
+            groups.append(first)
+        cols = [batch.column(c) for c in ("id", "n", "bits", "bands")]
+        yield pa.RecordBatch.from_arrays([*cols, pa.array(groups, pa.int64())], names=["id", "n", "bits", "bands", "g"])
 
 
 #: Pairs of a grid cell, about; larger cells move documents less often, and hold more of them at once.
@@ -118,20 +139,6 @@ def _exact(pairs: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
     return out.loc[out["shared"] >= out["need"], ["id", "d", "shared", "qn", "dn"]]
 
 
-#: Ids that a semi-join may broadcast (8 bytes each); beyond it the join shuffles.
-FEW = 2_000_000
-
-
-#: Representatives whose bitmaps may be broadcast (about 100 bytes each); beyond them the joins shuffle.
-SMALL = 300_000
-
-
-def _only(df: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose id is among ``ids``, which were counted: few are broadcast, so that the wide rows need not move."""
-    few = ids.limit(FEW + 1).count() <= FEW
-    return df.join(F.broadcast(ids) if few else ids, "id", "left_semi")
-
-
 def _missing(a: str, b: str) -> Column:
     """Positions of bitmap ``a`` that bitmap ``b`` lacks."""
     parts = [F.expr(f"bit_count({a}[{i}] & ~{b}[{i}])") for i in range(WORDS)]
@@ -155,34 +162,32 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFram
     base = cut(usable.mapInArrow(_sketch, SKETCH))
     classes = base.groupBy("c1", "c2").agg(F.min("id").alias("class_id"))
     members = cut(base.select("id", "c1", "c2").join(classes, ["c1", "c2"]).select("id", "class_id"))
-    first = members.where("id = class_id").select("id")
-    few = first.count() <= SMALL
-    side = F.broadcast if few else lambda df: df
-    reps = base.select("id", "n", "bits", "bands").join(side(first), "id", "left_semi")
-    # groups: equal first band, in chunks of about GROUP members; any partition is a right one, so names of large groups' chunks may collide
-    heads = reps.groupBy(F.col("bands")[0].alias("b0")).agg(F.count("*").alias("c"), F.min("id").alias("least"))
-    chunk = F.xxhash64("b0", F.pmod(F.xxhash64("id"), F.ceil(F.col("c") / GROUP)))
-    own = cut(reps.withColumn("b0", F.col("bands")[0]).join(side(heads), "b0").select("id", "n", "bits", "bands", F.when(F.col("c") <= GROUP, F.col("least")).otherwise(chunk).alias("g"), (F.col("c") > 1).alias("shares")))
+    copies = members.where("id <> class_id").select("id")
+    reps = base.select("id", "n", "place", "bits", "bands").join(copies, "id", "left_anti")
+    own = cut(reps.repartitionByRange("place", "id").sortWithinPartitions("place", "id").mapInArrow(_group, "id long, n int, bits array<long>, bands array<int>, g long"))
     union = [F.bit_or(F.col("bits")[i]).alias(f"u{i}") for i in range(WORDS)]
-    matrix = own.groupBy("g").agg(*union, F.min("n").alias("lo"), F.max("n").alias("hi")).select("g", F.array(*[f"u{i}" for i in range(WORDS)]).alias("row"), "lo", "hi")
+    matrix = own.groupBy("g").agg(*union, F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("size")).select("g", F.array(*[f"u{i}" for i in range(WORDS)]).alias("row"), "lo", "hi", "size")
     # a query meets its own group, and the groups of later documents that share a band with it; both sides of the join are one shuffle
     postings = own.select("id", "n", "g", F.posexplode("bands").alias("band", "h")).select("id", "n", "g", (F.col("band").cast("long") * 2**32 + F.col("h")).alias("k"))
     alike = F.least("a.n", "b.n") >= F.lit(threshold) * F.greatest("a.n", "b.n") - 1e-9
-    others = postings.alias("a").join(postings.alias("b"), F.expr("a.k = b.k and a.id < b.id and a.g <> b.g")).where(alike).select("a.id", "b.g").distinct()
-    meets = others.unionByName(own.where("shares").select("id", "g"))
+    others = postings.alias("a").join(postings.alias("b"), F.expr("a.k = b.k and a.id < b.id and a.g <> b.g")).where(alike).select("a.id", "b.g")
+    meets = others.unionByName(own.select("id", "g")).distinct()
     least = F.ceil(F.lit(threshold) * F.col("qn") - 1e-9)  # the smallest size that could qualify
     q = own.select("id", F.col("bits").alias("qb"), F.col("n").alias("qn"))
-    bounded = meets.join(side(q), "id").join(side(matrix), "g")
+    bounded = meets.join(matrix, "g").where((F.col("size") > 1) | (F.col("g") != F.col("id"))).join(q, "id")
     opened = bounded.where((F.col("hi") >= least) & (F.col("lo") <= F.col("qn") / threshold + 1e-9)).where(F.col("qn") - _missing("qb", "row") >= overlap_needed(F.col("qn"), F.greatest(F.col("lo"), least), threshold))
     m = own.select("g", F.col("id").alias("d"), F.col("bits").alias("db"), F.col("n").alias("dn"))
     need = overlap_needed(F.col("qn"), F.col("dn"), threshold)
-    near = opened.select("id", "g", "qb", "qn").join(m, "g").where("id < d").where(F.least(F.col("qn") - _missing("qb", "db"), F.col("dn") - _missing("db", "qb")) >= need)
-    near = cut(near.select("id", "d", "qn", "dn", need.alias("need")))
+    near = opened.select("id", "g", "qb", "qn").join(m, "g").where("id <> d").where(F.least(F.col("qn") - _missing("qb", "db"), F.col("dn") - _missing("db", "qb")) >= need)
+    # a member is met by the smaller id or by a group mate of the other one; the pair is taken once
+    a, b = F.least("id", "d"), F.greatest("id", "d")
+    small = F.col("id") < F.col("d")
+    near = cut(near.select(a.alias("id"), b.alias("d"), F.when(small, F.col("qn")).otherwise(F.col("dn")).alias("qn"), F.when(small, F.col("dn")).otherwise(F.col("qn")).alias("dn"), need.alias("need")).distinct())
     grid = max(1, math.ceil(math.sqrt(near.count() / CELL)))
     cell = F.pmod(F.xxhash64("id"), F.lit(grid)) * grid + F.pmod(F.xxhash64("d"), F.lit(grid))
     pairs = near.withColumn("cell", cell.cast("int"))
-    places = pairs.select(F.col("cell").alias("spot"), F.explode(F.array("id", "d")).alias("id")).distinct()
-    docs_at = _only(base.select("id", "el"), places.select("id").distinct()).join(places, "id").select("spot", "id", "el")
+    places = cut(pairs.select(F.col("cell").alias("spot"), F.explode(F.array("id", "d")).alias("id")).distinct())
+    docs_at = base.select("id", "el").join(places, "id").select("spot", "id", "el")
     exact = pairs.groupBy("cell").cogroup(docs_at.groupBy("spot")).applyInPandas(lambda a, b: _exact(a, b), "id long, d long, shared long, qn int, dn int")
     sim = F.col("shared") / (F.col("qn") + F.col("dn") - F.col("shared"))
     return members, exact.select(F.col("id").alias("class_a"), F.col("d").alias("class_b"), sim.alias("similarity"))
