@@ -61,12 +61,12 @@ def _cuts(n: int, k: int) -> list[tuple[int, int]]:
 
 
 def segment_pairs(strings: DataFrame, k: int = K) -> DataFrame:
-    """``a, b`` (``a < b``): different strings of ``strings.s`` within ``k`` edits.
+    """``a, b`` (``a < b``): different strings of ``strings.s`` within ``k`` edits; where the shorter one has fewer than ``2 * (k + 1)`` characters, one edit or one swap apart.
 
-    Strings shorter than ``2 * (k + 1)`` match nothing but themselves: an edit in them changes too much. Null and repeated strings are ignored.
-    The longer string of a pair looks up its substrings in the index of the shorter one's segments.
+    The longer string of a pair looks up its substrings in the index of the shorter one's segments. Short strings would have segments of one character, which say
+    nothing; two of them one edit or swap apart are equal with one character left out of either, so they are joined over these. Null, empty and repeated strings are ignored.
     """
-    distinct = strings.where("s is not null").select("s").distinct()
+    distinct = strings.where("s <> ''").select("s").distinct()
 
     def index(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
@@ -88,8 +88,12 @@ def segment_pairs(strings: DataFrame, k: int = K) -> DataFrame:
     a = distinct.mapInPandas(index, "n int, i int, seg string, s string")
     b = distinct.mapInPandas(probe, "n int, i int, seg string, t string")
     near = a.join(b, ["n", "i", "seg"]).where("s <> t and (length(s) < length(t) or s < t)")
-    pairs = near.select(F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b")).distinct()
-    return pairs.where(F.levenshtein("a", "b", k) >= 0)
+    least = 2 * (k + 1)
+    parts = F.expr("array_distinct(concat(array(s), transform(sequence(1, length(s)), i -> concat(substring(s, 1, i - 1), substring(s, i + 1)))))")
+    some = distinct.where(F.length("s") <= least).select("s", F.explode(parts).alias("part")).where("part <> ''")
+    short = some.where(F.length("s") < least).join(some.withColumnRenamed("s", "t"), "part").where("s <> t").select("s", "t")
+    in_order = lambda df: df.select(F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b")).distinct()
+    return in_order(near).where(F.levenshtein("a", "b", k) >= 0).unionByName(in_order(short).mapInPandas(_near, "a string, b string"))
 
 
 _CANON: dict[str, str | None] = {}
@@ -230,6 +234,12 @@ def _near(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield p.loc[[osa(a, b, 1) <= 1 for a, b in zip(p["a"], p["b"], strict=True)]]
 
 
+def _slips(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of strings one typing error apart; among strings of fewer than six characters another letter is another name, so only swapped, doubled and left-out letters count."""
+    for p in parts:
+        yield p.loc[[osa(a, b, 1) <= 1 and (min(len(a), len(b)) >= 6 or len(a) != len(b) and min(len(a), len(b)) >= 4 or len(a) == len(b) >= 4 and sorted(a) == sorted(b)) for a, b in zip(p["a"], p["b"], strict=True)]]
+
+
 def name_groups(entities: DataFrame) -> DataFrame:
     """``category, value, entity``: each distinct PROPER_NOUN and COMPANY value with the smallest value that means the same.
 
@@ -238,7 +248,7 @@ def name_groups(entities: DataFrame) -> DataFrame:
 
     Persons agree when surname and first name do, the first name also as a pet form, a beginning or a mistyped form, with
     one typing error in either; a shortened form that fits several persons links to none. Organisations agree when their distinctive words do, whatever legal
-    form or trade words stand beside them; with a typing error in the distinctive words the trade words must agree.
+    form or trade words stand beside them; with a typing error in the distinctive words the trade words must agree, or be missing on a side and the two spellings near no third one.
     """
     values = entities.where("category in ('PROPER_NOUN', 'COMPANY') and trim(value) <> ''").select("category", "value").distinct()
     read = cut(values.mapInPandas(_read, "category string, value string, key string, kind string, name string"))
@@ -246,24 +256,31 @@ def name_groups(entities: DataFrame) -> DataFrame:
     named = read.withColumn("node", node)
     nodes = cut(named.select("category", "key", "kind", "name", "node").distinct())
     edge = lambda df: df.select(F.col("x").alias("source"), F.col("y").alias("target"), F.lit(1.0).alias("weight"))
-    # full persons: one typing error in the whole name; equal readings are one node already
-    full = nodes.where("category = 'PROPER_NOUN' and kind in ('full', 'other')").withColumn("s", F.concat_ws(" ", "name", "key"))
-    close = segment_pairs(full.select("s")).mapInPandas(_near, "a string, b string")
-    fa, fb = (full.select(F.col("s").alias(c), F.col("node").alias(f"n{c}"), F.col("kind").alias(f"k{c}"), F.col("name").alias(f"f{c}")) for c in "ab")
-    strong = close.join(fa, "a").join(fb, "b").where("fa = fb or ka = 'other' or kb = 'other'").select(F.col("na").alias("x"), F.col("nb").alias("y"))
+    # full persons: one typing error in the surname beside an equal first name, or in an unknown first name beside an equal surname. The
+    # segment join runs over distinct surnames and distinct first names, so a frequent first name is no hot segment of everybody's string
+    full = cut(nodes.where("category = 'PROPER_NOUN' and kind in ('full', 'other')"))
+    weak = nodes.where("category = 'PROPER_NOUN' and kind in ('short', 'none', 'pet')")
+    keys = full.select("key").unionByName(weak.select("key")).distinct()
+    close = cut(segment_pairs(keys.select(F.col("key").alias("s"))))
+    both_ways = lambda df, x, y: df.select(F.col("a").alias(x), F.col("b").alias(y)).unionByName(df.select(F.col("b").alias(x), F.col("a").alias(y)))
+    surnames = close.mapInPandas(_near, "a string, b string")
+    right = full.select(F.col("key").alias("b"), "name", F.col("node").alias("y"))
+    by_surname = full.select(F.col("key").alias("a"), "name", F.col("node").alias("x")).join(surnames, "a").join(right, ["b", "name"]).select("x", "y")
+    firsts = segment_pairs(full.select(F.col("name").alias("s"))).mapInPandas(_near, "a string, b string")
+    other = full.select("key", F.col("name").alias("b"), F.col("kind").alias("kb"), F.col("node").alias("y"))
+    by_first = full.select("key", F.col("name").alias("a"), F.col("kind").alias("ka"), F.col("node").alias("x")).join(firsts, "a").join(other, ["key", "b"]).where("ka = 'other' or kb = 'other'").select("x", "y")
+    strong = by_surname.unionByName(by_first)
     # the same words read in different order are one string of another node only if a first name is unknown: s equal up to order
     turned = full.select("node", F.array_join(F.array_sort(F.array("name", "key")), " ").alias("u"))
-    firsts = turned.groupBy("u").agg(F.min("node").alias("x"))
-    strong = strong.unionByName(turned.join(firsts, "u").where("x <> node").select("x", F.col("node").alias("y")))
+    heads = turned.groupBy("u").agg(F.min("node").alias("x"))
+    strong = strong.unionByName(turned.join(heads, "u").where("x <> node").select("x", F.col("node").alias("y")))
     strong = cut(strong)
     alone = full.select(F.col("node").alias("node_id"), F.col("node").alias("group_id"))
     joined = connected_groups(edge(strong))
     persons = cut(joined.unionByName(alone.join(joined.select("node_id"), "node_id", "left_anti")))
     # shortened persons: the one full person they fit
-    weak = nodes.where("category = 'PROPER_NOUN' and kind in ('short', 'none', 'pet')")
-    keys = full.select("key").unionByName(weak.select("key")).distinct()
-    same = segment_pairs(keys.select(F.col("key").alias("s")))
-    both = same.select(F.col("a").alias("key"), F.col("b").alias("fkey")).unionByName(same.select(F.col("b").alias("key"), F.col("a").alias("fkey"))).unionByName(keys.select("key", F.col("key").alias("fkey")))
+    same = close.mapInPandas(_slips, "a string, b string")
+    both = both_ways(same, "key", "fkey").unionByName(keys.select("key", F.col("key").alias("fkey")))
     options = weak.join(both, "key").join(full.select(F.col("key").alias("fkey"), F.col("kind").alias("fkind"), F.col("name").alias("fname"), F.col("node").alias("fnode")), "fkey")
     fits = options.select("kind", "name", "fkind", "fname", "key", "fkey", "node", "fnode").mapInPandas(_fits, "node string, fnode string")
     grouped = fits.join(persons, fits.fnode == persons.node_id).select("node", "group_id", (F.split("node", r"\|")[2] != F.split("fnode", r"\|")[2]).alias("far"))
@@ -274,9 +291,15 @@ def name_groups(entities: DataFrame) -> DataFrame:
     orgs = nodes.where("kind = 'org'")
     heads = orgs.groupBy("key").agg(F.min("node").alias("x"))
     equal = orgs.join(heads, "key").where("x <> node").select("x", F.col("node").alias("y"))
-    oclose = segment_pairs(orgs.select(F.col("key").alias("s"))).mapInPandas(_near, "a string, b string")
-    oa, ob = (orgs.select(F.col("key").alias(c), F.col("node").alias(n), "name") for c, n in (("a", "x"), ("b", "y")))
-    alike = oclose.join(oa, "a").join(ob, ["b", "name"]).where("name <> ''").select("x", "y")
+    oclose = cut(segment_pairs(orgs.select(F.col("key").alias("s"))).mapInPandas(_slips, "a string, b string"))
+    oa, ob = (orgs.select(F.col("key").alias(c), F.col("node").alias(n), F.col("name").alias(w)) for c, n, w in (("a", "x", "wa"), ("b", "y", "wb")))
+    linked = oclose.join(oa, "a").join(ob, "b")
+    told = linked.where("wa = wb and wa <> ''").select("x", "y")
+    # without trade words to tell: where either key has no other neighbour
+    lonely = both_ways(oclose, "k", "o").groupBy("k").agg(F.count("*").alias("n")).where("n = 1").select("k")
+    pairs = oclose.join(lonely.withColumnRenamed("k", "a"), "a", "left_semi").join(lonely.withColumnRenamed("k", "b"), "b", "left_semi")
+    untold = pairs.join(oa, "a").join(ob, "b").where("(wa = '' or wb = '') and least(length(a), length(b)) >= 6").select("x", "y")
+    alike = told.unionByName(untold)
     edges = edge(strong.unionByName(weak_edges).unionByName(equal).unionByName(alike))
     groups = connected_groups(edges)
     labelled = named.join(groups, F.lower("node") == groups.node_id, "left").withColumn("g", F.coalesce("group_id", F.lower("node")))

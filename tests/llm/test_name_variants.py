@@ -21,8 +21,8 @@ def test_osa():
 
 def test_segment_join_is_complete(spark):
     rng = random.Random(2)
-    words = {"".join(rng.choices("abc", k=rng.randrange(4, 12))) for _ in range(220)}
-    want = sorted((a, b) for a in words for b in words if a < b and min(len(a), len(b)) >= 6 and lev(a, b) <= 2)
+    words = {"".join(rng.choices("abc", k=rng.randrange(2, 12))) for _ in range(220)}
+    want = sorted((a, b) for a in words for b in words if a < b and (min(len(a), len(b)) >= 6 and lev(a, b) <= 2 or min(len(a), len(b)) < 6 and osa(a, b, 1) <= 1))
     got = sorted(map(tuple, segment_pairs(spark.createDataFrame([(w,) for w in words], "s string")).collect()))
     assert len(want) > 20 and got == want
 
@@ -68,3 +68,30 @@ def test_empty(spark):
 def test_two_errors_are_different(spark, a, b):
     g = {r.value: r.entity for r in name_groups(spark.createDataFrame([("PROPER_NOUN", a), ("PROPER_NOUN", b)], "category string, value string")).collect()}
     assert g[a] != g[b]
+
+
+def entity_of(spark, category, values):
+    return {r.value: r.entity for r in name_groups(spark.createDataFrame([(category, v) for v in values], "category string, value string")).collect()}
+
+
+def test_one_first_name_for_all(spark):
+    """A first name that everybody has links nobody, and its bearers' mistyped surnames are found all the same."""
+    rng = random.Random(8)
+    surnames = sorted({"".join(rng.choices("bcdfglmnprstvz", k=3)) + "a" + "".join(rng.choices("bcdfglmnprstvz", k=3)) + "o" for _ in range(150)})
+    slips = {s: s[:2] + s[3] + s[2] + s[4:] for s in surnames[::7] if s[2] != s[3]}
+    g = entity_of(spark, "PROPER_NOUN", [f"Mario {s.title()}" for s in surnames] + [f"Mario {s.title()}" for s in slips.values()] + ["Wendelin Bacado", "Wendelni Bacado"])
+    for a, b in slips.items():
+        assert g[f"Mario {a.title()}"] == g[f"Mario {b.title()}"]
+    assert len(set(g.values())) >= len(surnames) - 3 and g["Wendelin Bacado"] == g["Wendelni Bacado"]
+
+
+def test_short_names(spark):
+    g = entity_of(spark, "PROPER_NOUN", ["Mario Rossi", "M. Rosis", "Ugo Neri", "U. Nerri", "Anna Neve", "A. Nave"])
+    assert g["Mario Rossi"] == g["M. Rosis"] and g["Ugo Neri"] == g["U. Nerri"] and g["Anna Neve"] != g["A. Nave"]
+    g = entity_of(spark, "COMPANY", ["Enel Energia", "Enle Energia S.p.A.", "Enil Energia"])
+    assert g["Enel Energia"] == g["Enle Energia S.p.A."] != g["Enil Energia"]
+
+
+def test_mistyped_without_trade_words(spark):
+    g = entity_of(spark, "COMPANY", ["Rethalon", "Rethalno S.p.A.", "Orxidami Reti", "Orixdami", "Vestagor Cloud", "Vestagro Energia"])
+    assert g["Rethalon"] == g["Rethalno S.p.A."] and g["Orxidami Reti"] == g["Orixdami"] and g["Vestagor Cloud"] != g["Vestagro Energia"]
