@@ -16,6 +16,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +53,7 @@ IDENTITY = re.compile(
     r")(?![\w-])"
 )
 # Each begins with a set of characters, which the engine finds fast.
+_DIGIT = re.compile(r"[0-9]")
 _LONG_NUMBER = re.compile(r"\d{4}[ -]?[0-9A-Z]{4}[ -]?[0-9A-Z]{4}")
 #: Every identity number has one of these: five digits, two dashes, a digit before a letter, or capitals that stand for a tax code's digits.
 _IDENTITY_HINT = re.compile(r"\d(?:\d{4}|-\d\d-\d|[A-Za-z]|\d ?\d\d ?\d\d ?[A-D]\b)")
@@ -90,7 +92,7 @@ ADDRESS_EN = re.compile(
 )
 _STREETS = ("via", "viale", "v.le", "piazz", "p.zza", "pzza", "p.za", "p.le", "corso", "c.so", "largo", "l.go", "vicolo", "v.lo", "strada", "str.", "contrada", "lungo", "galleria", "salita", "rione", "localit")
 #: The spellings of a square whose parts blanks or no dot divide, which no literal covers.
-_SQUARE = re.compile(r"p\.?\s?z?za")
+_SQUARE = re.compile(r"[Pp]\.?\s?[Zz]?[Zz][Aa]")
 _STREETS_EN = ("street", "road", "avenue", "lane", "drive", "close", "square", "court", "terrace", "place", "crescent", "boulevard", "way", "gardens", "grove", "row", "hill", "st.", "rd.", "ave.", "ln.")
 _ACRONYM_STREET = re.compile(r"\Avia\s+[A-Z]{2,6}\s+\d")
 
@@ -204,18 +206,30 @@ _CUED_NAME = re.compile(r"[A-ZÀ-ÖØ-Þ][^\W\d_]+(?:['’-][^\W\d_]+)*(?:[ \t]+
 _COLON = re.compile(r":\s*")
 
 
-def _has(text: str, words: tuple[str, ...]) -> bool:
-    for w in words:  # faster than any() over a generator
-        if w in text:
-            return True
-    return False
+def _hints(low: str) -> int:
+    """The sets of ``_HINT_SETS`` that have a member in a lower-cased text, as bits: one pass of an automaton for all of them."""
+    found = 0
+    for _, bits in _HINT_AUTO.iter(low):
+        found |= bits
+    return found
 
 
-def cued_names(text: str, low: str) -> list[tuple[int, int]]:
+SAID, STREET, STREET_EN, CUE, MAIL, BORN = (1 << i for i in range(6))
+_HINT_SETS = {
+    SAID: _SAID, STREET: _STREETS, STREET_EN: _STREETS_EN, CUE: _CUE_PARTS, MAIL: _MAIL_PARTS, BORN: ("nato", "nata", "nascita", "born", "birth", "d.o.b"),
+}
+_HINT_AUTO = ahocorasick.Automaton()
+for _bit, _words in _HINT_SETS.items():
+    for _w in _words:
+        _HINT_AUTO.add_word(_w, _HINT_AUTO.get(_w, 0) | _bit)
+_HINT_AUTO.make_automaton()
+
+
+def cued_names(text: str, hints: int) -> list[tuple[int, int]]:
     """Spans of two to four capital words right after a cue that only persons follow, none of them a common or trade word."""
     out: list[tuple[int, int]] = []
     ends = [m.end() for m in _COLON.finditer(text) if _CUE_LABEL.search(text, max(0, m.start() - 24), m.start())] if ":" in text else []
-    if _has(low, _CUE_PARTS):
+    if hints & CUE:
         ends += [m.end() for m in _CUE_VERB.finditer(text)]
     for end in sorted(set(ends)):
         m = _CUED_NAME.match(text, end)
@@ -230,16 +244,16 @@ def cued_names(text: str, low: str) -> list[tuple[int, int]]:
     return out
 
 
-def find_persons(text: str) -> list[tuple[int, int]]:
+def find_persons(text: str, hints: int | None = None) -> list[tuple[int, int]]:
     """Spans of persons' names: first name and surname in either order, shortened first names, surnames after a title, capital words after a cue for persons."""
-    tokens, low = _capital_words(text), text.lower()
+    tokens = _capital_words(text)
     titled = False
     for m in tokens:
         before = text[max(0, m.start() - 10) : m.start()]
-        if before and before[-1].isspace() and before.rstrip(" \t\n.").lower().endswith(_TITLE_ENDS):
+        if before and before[-1].isspace() and before.rstrip(" \t\n.").lower().endswith(_TITLE_ENDS) and _TITLE.search(text, max(0, m.start() - 14), m.end()):
             titled = True
             break
-    cued = cued_names(text, low)
+    cued = cued_names(text, _hints(text.lower()) if hints is None else hints)
     out: list[tuple[int, int]] = []
     if not titled and not any(_promising(text, m) for m in tokens):
         return cued
@@ -341,8 +355,10 @@ def is_card(value: str) -> bool:
 
 def find_items(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every item, in order, without overlaps; none for null."""
-    if not text:
-        return []
+    return _find(text, _hints(text.lower())) if text else []
+
+
+def _find(text: str, hints: int) -> list[tuple[int, int, str]]:
     found: list[tuple[int, int, str]] = []
     left = text
 
@@ -353,20 +369,19 @@ def find_items(text: str | None) -> list[tuple[int, int, str]]:
                 found.append((a, b, kind))
             left = left[:a] + "\x00" * (b - a) + left[b:]
 
-    low = text.lower()
     mails: list[tuple[int, int]] = []
-    for sign in _MAIL_SIGN.finditer(text) if "@" in text or _has(low, _MAIL_PARTS) else ():
+    for sign in _MAIL_SIGN.finditer(text) if hints & MAIL or "@" in text else ():
         local = _MAIL_LOCAL.search(text, max(mails[-1][1] if mails else 0, sign.start() - 80), sign.start())
         if local and (m := EMAIL.match(text, local.start())) and m.end() > sign.start():
             mails.append(m.span())
     take(mails, "email")
-    if any(c in text for c in "0123456789"):
+    if _DIGIT.search(text):
         if _LONG_NUMBER.search(left):  # accounts and cards, which are replaced but are none of the kinds reported
             take([m.span() for m in _IBAN.finditer(left) if is_iban(m.group())], "account")
             take([m.span() for m in _CARD.finditer(left) if is_card(m.group())], "account")
         if _IDENTITY_HINT.search(left) or _IDENTITY_CAPITALS.search(left):
             take([m.span() for m in IDENTITY.finditer(left)], "identity")
-        if _has(low, _SAID):
+        if hints & SAID:
             take([m.span("v") for m in IDENTITY_SAID.finditer(left)], "identity")
         phones = []
         for m in _phones(left):
@@ -374,11 +389,11 @@ def find_items(text: str | None) -> list[tuple[int, int, str]]:
             if 7 <= _digits(number) <= 15 and not _DATE.fullmatch(number) and not _NO_PHONE.search(left[max(0, m.start() - 30) : m.start()]):
                 phones.append(m.span())
         take(phones, "phone")
-        if _has(low, _STREETS) or _SQUARE.search(low):
+        if hints & STREET or _SQUARE.search(text):
             take([m.span() for m in ADDRESS.finditer(left) if not _ACRONYM_STREET.match(m.group())], "address")
-        if _has(low, _STREETS_EN):
+        if hints & STREET_EN:
             take([m.span() for m in ADDRESS_EN.finditer(left)], "address")
-    persons = find_persons(left)
+    persons = find_persons(left, hints)
     if persons:  # none inside a company's name
         others = [m.span() for m in _COMPANY.finditer(left)] + [m.span() for m in _PLACE.finditer(left)]
         take([(a, b) for a, b in persons if not any(x <= a and b <= y for x, y in others)], "person")
@@ -521,13 +536,14 @@ def redact(text: str | None, key: bytes) -> tuple[str | None, list[str]]:
     """The text with every item replaced by ``[KIND pseudonym]``, dates of birth permuted, and the kinds found; null stays null."""
     if not text:
         return text, []
-    items = find_items(text)
+    hints = _hints(text.lower())
+    items = _find(text, hints)
     out, at = [], 0
     for a, b, kind in items:
         out += [text[at:a], f"[{kind.upper()} {pseudonym(kind, text[a:b], key)}]"]
         at = b
     done = "".join([*out, text[at:]])
-    if _has(text.lower(), ("nato", "nata", "nascita", "born", "birth", "d.o.b")):
+    if hints & BORN:
         done = _BORN.sub(lambda m: m.group().replace(m[1], permute_date(m[1], key)), done)
     return done, [k for k in KINDS if any(i[2] == k for i in items)]
 
