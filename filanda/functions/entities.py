@@ -20,13 +20,26 @@ HOST_STOP = (
     "IT-EN EN-IT UTF-8 UTF-16 ISO-8859 X-64 X86-64 WIN-32 WIN-64 MAC-OS IPV-4 IPV-6 RFC-822 RFC-2822 RFC-5321 RFC-5322 TCP-IP IP-SEC HTTP-2 HTTP-3 IEEE-802 IEEE-8021X "
     "USB-3 USB-C HDMI-2 PCI-E PCI-EX M-2 DDR-4 DDR-5 SATA-3 SATA-III SAS-3 US-EN IT-IT EN-US EN-GB FR-FR DE-DE ES-ES"
 ).split()
-# Names of products and makers that are neither hosts nor persons.
-BRANDS = "Windows Linux Ubuntu Debian Microsoft Office Excel Word Outlook Teams Azure Google Chrome Android Apple Oracle Java Python Docker Kubernetes VMware Cisco Fortinet Sophos Veeam Zabbix Synology".split()
+# Words of products, makers and interfaces that are neither hosts nor persons; those that the patterns can meet, one capital and small letters.
+BRANDS = (
+    "Microsoft Apple Google Amazon Meta Facebook Intel Qualcomm Cisco Juniper Fortinet Palo Sophos Symantec Oracle Salesforce Atlassian Adobe Autodesk Red Canonical Asrock Asus Gigabyte Acer Lenovo Dell "
+    "Samsung Kingston Western Seagate Hitachi Toshiba Crucial Logitech Razer Corsair Telegram Signal Slack Discord Zoom Bitbucket Windows Win Linux Ubuntu Xubuntu Lubuntu Kubuntu Debian Fedora Arch Mint "
+    "Android Noble Plucky Power Bash Python Java Bit Outlook Teams Office Edge Chrome Firefox Safari Opera Acrobat Photoshop Illustrator Docker Kubernetes Terraform Ansible Puppet Chef Xbox Skype Yammer "
+    "Stream Cortana Siri Alexa Visual Studio Code Notepad Word Excel Active Directory Internet Explorer Group Policy Server Client Mobile Desktop Cloud Mixed Reality Async Sync Cred Dialog Audio Video "
+    "Image Webp Web Wmi Get Set New Remove Appx Original Product Microsoftcorporation Boot Hardware Software Driver Firmware Kernel Disk Drive Partition Volume File Folder User Account Login Logoff Password "
+    "Memory Integrity Security Update Upgrade Secure Trusted Platform Module Gnome Cinnamon Plasma Mate Clonezilla Rufus Etcher Dism Diskpart Diskmgmt Sysprep Wim Bios Phoenix Tcp Udp Http Https Ftp Sftp "
+    "Ssh Telnet Json Xml Yaml Csv Sql Photo Screenshot Bitdefender Gravityzone Eset Kaspersky Avast Malwarebytes Norton Defender Trellix Cylance Nessus Qualys Tenable Metasploit Wireshark Veeam Proxmox "
+    "Zyxel Fortigate Trados Groupshare Multiterm Worldserver Passolo Termbase Sdlxliff Sdltm Xliff Tmx Deactivate Offline Read Only Aruba Seeweb Fastnet Vianova Register Ionos"
+).split()
 # Italian words that begin no name.
-NAME_STOP = "Il Lo La Gli Le Un Una Uno Per Con Nel Nella Nelle Negli Del Della Delle Degli Dei Dal Dalla Al Alla Alle Sul Sulla Questo Questa Quando Come Dopo Prima Durante Secondo Se Ogni Tutti Tutte Anche Non In Di Da".split()
+NAME_STOP = (
+    "Il Lo La I Gli Le Un Uno Una Del Dello Della Dei Degli Delle Al Allo Alla Ai Agli Alle Dal Dallo Dalla Dai Dagli Dalle Nel Nello Nella Nei Negli Nelle Sul Sullo Sulla Sui Sugli Sulle "
+    "Per Con Senza Tra Fra Su In A Di Da Questo Questa Questi Queste Quello Quella Quelli Quelle Tale Tali Stesso Stessa Stessi Stesse "
+    "Articolo Comma Punto Capo Titolo Sezione Allegato Capitolo Anno Mese Giorno Data Sede Ufficio"
+).split()
 
 # The formats.
-COMPANY = r"(?U)\b([A-ZÀ-Ý][\w&.\-]{1,40}(?:\s+[A-ZÀ-Ý][\w&.\-]{1,40}){0,4})\s+(S\.p\.A\.|SpA|S\.r\.l\.|Srl|S\.n\.c\.|Snc|S\.a\.s\.|Sas|S\.S\.|SCarl|Coop\.?|Ltd\.?|GmbH|Inc\.?|Corp\.?|LLC|S\.A\.|SA|AG|NV|BV)(?![\w])"
+COMPANY = r"(?<![\p{L}\p{N}_])([A-ZÀ-Ý][\p{L}\p{N}_&.\-]{1,40}(?:\s+[A-ZÀ-Ý][\p{L}\p{N}_&.\-]{1,40}){0,4})\s+(S\.p\.A\.|SpA|S\.r\.l\.|Srl|S\.n\.c\.|Snc|S\.a\.s\.|Sas|S\.S\.|SCarl|Coop\.?|Ltd\.?|GmbH|Inc\.?|Corp\.?|LLC|S\.A\.|SA|AG|NV|BV)(?![\p{L}\p{N}_])"
 LAW = r"(?iU)(?:D\.?\s?Lgs\.?|D\.?\s?L\.?|D\.?\s?P\.?R\.?|D\.?\s?M\.?|Legge|Reg(?:olamento)?\.?\s*(?:UE|CE|CEE)?|Direttiva|art(?:icolo|t)?\.?|comma\s+|Allegato\s+)\s*n?\.?\s*\d+(?:[./\-]\d+)*(?:/\d+)?"
 PROJECT = r"\b([A-Z]{2,5}[-_/]\d{1,4}(?:[-_/][A-Z0-9]{1,8}){0,3})\b"
 DATE = r"(?i)\b(\d{1,2}[/\-.]\d{1,2}[/\-.]\d{2,4}|\d{4}[/\-]\d{1,2}[/\-]\d{1,2}|\d{1,2}\s+(?:gennaio|febbraio|marzo|aprile|maggio|giugno|luglio|agosto|settembre|ottobre|novembre|dicembre)\s+\d{4})\b"

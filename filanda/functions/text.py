@@ -212,13 +212,13 @@ def anchored_preview(text: C, label: C, length: int = 200) -> Column:
 
 # The first of these words in a file name gives its type.
 DOC_TYPES = [
-    ("verbale", "verbale"), ("relazione", "relazione"), ("manuale", "manuale"), ("procedura", "procedura"), ("specifica", "specifica"), ("capitolato", "capitolato"),
-    ("contratto", "contratto"), ("offerta", "offerta"), ("preventivo", "preventivo"), ("report", "report"), ("piano", "piano"), ("analisi", "analisi"), ("progetto", "progetto"),
-    ("checklist", "checklist"), ("runbook", "runbook"), ("collaudo", "collaudo"), ("assessment", "assessment"),
+    ("verbale", "verbale"), ("contratto", "contratto"), ("accordo", "contratto"), ("procedura", "procedura"), ("istruzione", "procedura"), ("manuale", "manuale"), ("capitolato", "capitolato"),
+    ("specifica", "specifica"), ("offerta", "offerta"), ("preventivo", "offerta"), ("fattura", "amministrativo"), ("ddt", "amministrativo"), ("report", "report"), ("relazione", "report"),
+    ("scheda", "scheda_tecnica"), ("modulo", "modulo"), ("template", "template"),
 ]
 
 
-def doc_type(file_name: C, rules: list[tuple[str, str]] = DOC_TYPES, default: str = "documento") -> Column:
+def doc_type(file_name: C, rules: list[tuple[str, str]] = DOC_TYPES, default: str = "altro") -> Column:
     """The type of the first rule whose word the name contains."""
     name = F.lower(col(file_name))
     return F.coalesce(*[F.when(F.contains(name, F.lit(w)), F.lit(t)) for w, t in rules], F.lit(default))

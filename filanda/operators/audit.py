@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filanda.functions import text as T
-from filanda.operators.gate import RESIDUE, SECRETS, Rule
+from filanda.operators.gate import RESIDUE, SECRET_PARTS, SECRETS, Rule
 
 # Extensions of text files.
 TEXT_SUFFIXES = "md txt py sh ps1 json jsonl yml yaml toml html css js csv ini cfg".split()
 
 
+def may_match(rule: str, text: str = "text") -> Column:
+    """A cheap test that every text with a match of a known rule passes; true for other rules."""
+    low = F.lower(F.col(text))
+    if rule.startswith("secret-"):
+        return functools.reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in SECRET_PARTS])
+    if rule == "residue-email":
+        return F.contains(F.col(text), F.lit("@"))
+    if rule == "residue-ip-abbreviated":
+        return F.contains(F.col(text), F.lit("(."))
+    return F.lit(True)
+
+
 def leak_findings(files: DataFrame, rules: list[Rule] | None = None, allowed: list[str] | None = None, benign: str | None = None) -> DataFrame:
     """``path, category, value``: distinct matches, their first 80 characters. ``files``: ``path, text``.
 
@@ -19,7 +33,9 @@ def leak_findings(files: DataFrame, rules: list[Rule] | None = None, allowed: li
     """
     suffix = F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1))
     texts = files.where(suffix.isin(*TEXT_SUFFIXES) & F.col("text").isNotNull())
-    per = F.array(*[F.struct(F.lit(n).alias("category"), F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias("vs")) for n, p in rules or [*SECRETS, *RESIDUE]])
+    none = F.array().cast("array<string>")
+    found_by = lambda n, p: F.when(may_match(n), F.regexp_extract_all("text", F.lit(p), F.lit(0))).otherwise(none)
+    per = F.array(*[F.struct(F.lit(n).alias("category"), found_by(n, p).alias("vs")) for n, p in rules or [*SECRETS, *RESIDUE]])
     found = texts.select("path", F.explode(per).alias("x")).select("path", "x.category", F.explode("x.vs").alias("value"))
     if allowed:
         found = found.where(~F.col("value").isin(*allowed))

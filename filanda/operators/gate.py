@@ -17,21 +17,42 @@ PREFIXES = [("COMPANY", "AZIENDA"), ("PROPER_NOUN", "PERSONA"), ("EMAIL", "EMAIL
 MASK = "[REDATTO]"
 MIN_CHARS = 10
 
-_WORD = r"(?:password|passwd|pwd|passphrase|psw|pin|secret|token|api[ _-]?key|chiave|credenzial[ei]|segreto)"
-# six characters or more with a digit or sign among them, or eight letters; written without look-ahead
-_VALUE = "(?:" + "|".join(rf"[^\s,;]{{{i},}}[\d!@#$%^&*_][^\s,;]{{{5 - i},}}" for i in range(6)) + "|[A-Za-z]{8,})"
+# What a credential looks like, the words it is announced by, and the forms of both together.
+_VALUE = r"(?:(?=\S{6,})\S*[\d!@#$%^&*_+=]\S*|[A-Za-z]{8,})"
+_KEY = r"(?:password|passwd|pwd|pw|credenzial\w*|chiave|api[\s_\-]?key|psk|passphrase|token|secret)"
 #: Secrets: any of them drops the row.
 SECRETS = [
-    ("secret-assignment", rf"(?i)\b{_WORD}\b[^:=\n]{{0,24}}[:=]\s*{_VALUE}"),
-    ("secret-phrase", rf"(?i)\b{_WORD}\b(?:\s+\S+){{0,2}}\s+(?:è|e'|is|sono|are|was|era)\s+{_VALUE}"),
-    ("secret-card", r"(?i)\b(?:credenziali|credentials)\b.{0,30}\b(?:account|utente|user|utenza)\b"),
-    ("secret-file", r"(?i)\b[\w-]*(?:password|credenzial|secret|passwd)[\w-]*\.(?:txt|xlsx?|docx?|csv|kdbx?|pdf|json|ya?ml|env)\b"),
+    ("secret-assignment", rf"(?i)\b{_KEY}\b[^\n:=]{{0,24}}[:=]\s*{_VALUE}"),
+    ("secret-phrase", rf"(?i)\b(?:password|passwd|pwd|credenzial\w*|passphrase|psk)\b(?:\s+\w+){{0,2}}\s+(?:e'|era|sono|is|was)\s+{_VALUE}"),
+    ("secret-card", r"(?i)\b(?:credenzial\w*|credentials)\b[^\n]{0,30}\b(?:id|login|utenza|account|user(?:name)?|e-?mail)\b"),
+    ("secret-file", r"(?i)\b\w*(?:credenzial\w*|password|secret)\w*\.(?:crd|txt|docx?|xlsx?|kdbx|csv)\b"),
 ]
+#: A part of every secret, in lower case: texts without one of these match no pattern above.
+SECRET_PARTS = ("passw", "pwd", "pw", "credenzial", "credentials", "chiave", "api", "psk", "passphrase", "token", "secret")
 #: Residue: drops a label, is masked in other text.
 RESIDUE = [
     ("residue-ip", r"\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?:/\d{1,2})?\b"),
-    ("residue-email", r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_.-]+\.[\p{L}\p{N}_]{2,}"),
-    ("residue-hostname", r"(?i)\b(?:srv|dc|nas|vm|pc|db|app|fw|sw|prx|esx|vdi)-[a-z0-9][a-z0-9-]*\d\b"),
+    ("residue-email", r"[\p{L}\p{N}_][\p{L}\p{N}_.\-]*@[\p{L}\p{N}_.\-]+\.[\p{L}\p{N}_]{2,}"),
+    ("residue-hostname", r"\b(?:(?!WINDOWS\b)WIN(?:SRV|GROUP|SERVER|DC|SQL|EX|HOST)?[A-Z0-9][A-Z0-9\-]{2,}|SRV[-_]?[A-Z0-9][A-Z0-9\-]+|PC[-_][A-Z0-9][A-Z0-9\-]+|NAS[-_]?[A-Z0-9][A-Z0-9\-]*|USG[-_]?[A-Z0-9][A-Z0-9\-]*|VM\d{1,4}(?:[-_][A-Z0-9\-]+)?|DC\d{1,2}(?:[-_][A-Z0-9\-]+)?)\b"),
+    ("residue-ip-abbreviated", r"\(\.\d{1,3}\b"),
+]
+# The ends of domain names that are looked for.
+TLDS = "cloud info tech com net org dev app biz gov edu it eu io ai co de fr es uk ch at nl be us ca".split()
+# Domains that may stand in public text, with all below them: makers and products, standards and authorities, and names of code that look like domains.
+PUBLIC_DOMAINS = (
+    "microsoft.com microsoftonline.com office.com office365.com azure.com windows.com live.com sharepoint.com google.com gmail.com googleapis.com youtube.com apple.com amazon.com amazonaws.com cloudflare.com "
+    "github.com github.io gitlab.com bitbucket.org atlassian.com atlassian.net stackoverflow.com wikipedia.org python.org pypi.org docker.com kubernetes.io mkdocs.org dokuwiki.org ubuntu-it.org unpkg.com "
+    "jsdelivr.net readthedocs.io readthedocs.org ubuntu.com canonical.com debian.org redhat.com suse.com kernel.org gnu.org apache.org mozilla.org letsencrypt.org vmware.com veeam.com acronis.com synology.com "
+    "qnap.com zyxel.com fortinet.com sophos.com cisco.com ubnt.com eset.com kaspersky.com malwarebytes.com virustotal.com nvidia.com intel.com amd.com dell.com hp.com lenovo.com openai.com anthropic.com claude.ai "
+    "obsidian.md bitdefender.com myzyxel.com supremocontrol.com rws.com sdl.com iso.org w3.org ietf.org rfc-editor.org nist.gov cisa.gov europa.eu garanteprivacy.it agid.gov.it acn.gov.it "
+    "asp.net vb.net ado.net system.net system.io java.io java.net microsoft.net"
+).split()
+# Providers whose own name may stand in public text, but no machine below it.
+PROVIDER_DOMAINS = "seeweb.it seewebcloud.it fastnet.it aruba.it arubabusiness.it vianova.it register.it ovh.it ionos.it".split()
+# Signs of damaged pages: a sentence inside a heading, and a mask glued to the rest of a word.
+STRUCTURE = [
+    ("structure-heading", r"(?im)^#{1,6}\s+.*\b(?:In data\s+\d|Please complete|si e' scritto|e' stato creato|In alternativa dal)"),
+    ("structure-partial-mask", r"\[(?:RIMOSSO|REDATTO)\][a-z]{2,}"),
 ]
 
 Rule = tuple[str, str]
@@ -42,6 +63,21 @@ def term_rule(terms: list[str], name: str = "own-term") -> list[Rule]:
     return [(name, r"(?iU)\b(?:" + "|".join(re.escape(t) for t in sorted(terms, key=len, reverse=True)) + r")\b")] if terms else []
 
 
+def domain_rules(public: list[str] = PUBLIC_DOMAINS, providers: list[str] = PROVIDER_DOMAINS, own: list[str] = ()) -> list[Rule]:
+    """Rules for domain names: the organisation's ``own`` ones, those of third parties that are neither public nor below a public one, and machines below a provider's."""
+    alt = lambda ds: "|".join(re.escape(d) for d in ds)
+    label = r"[a-z0-9](?:[a-z0-9\-]*[a-z0-9])?\."
+    third = rf"(?iU)(?<![\w@.\-])(?!(?:[a-z0-9\-]+\.)*(?:{alt([*public, *providers])})(?![\w\-]))(?:{label})+(?:{'|'.join(TLDS)})(?![\w\-])"
+    mine = [("residue-domain-own", rf"(?i)\b(?:{alt(own)})\b")] if own else []
+    return [*mine, ("residue-domain-third-party", third), ("residue-provider-subdomain", rf"(?i)\b[a-z0-9][a-z0-9\-]*\.(?:{alt(providers)})\b")]
+
+
+def literal_rules(literals: dict[str, list[str]]) -> list[Rule]:
+    """Rules of the organisation's own literals by name (clients, sites, machines, programs): whole words in any case, blanks of any width."""
+    word = lambda t: r"\s+".join(re.escape(x) for x in t.split())
+    return [(f"residue-{name}", r"(?iU)\b(?:" + "|".join(word(t) for t in sorted(ts, key=len, reverse=True)) + r")\b") for name, ts in literals.items() if ts]
+
+
 def first_rule(text: T.C, rules: list[Rule]) -> Column:
     """The name of the first rule that a text matches; null for none."""
     return F.coalesce(*[F.when(T.col(text).rlike(p), F.lit(n)) for n, p in rules], F.lit(None).cast("string"))
@@ -87,6 +123,24 @@ def anonymise(texts: DataFrame, anon: DataFrame, key: str, text: str, most_terms
     return texts.join(lists, key, "left").select(key, F.when(F.col("pairs").isNull(), F.col(text)).otherwise(T.replace_all(text, "pairs")).alias(text))
 
 
+def audit_person_terms(maps: DataFrame, not_names: DataFrame, declared: list[str] = ()) -> DataFrame:
+    """``token``: words of persons' names over all maps, without those that are no names (``word``, any case) and without declared identities."""
+    tokens = person_tokens(maps).where(~F.lower("token").isin(*[d.lower() for d in declared]) if declared else F.lit(True))
+    return tokens.join(not_names.select(F.lower("word").alias("w")).distinct(), F.lower("token") == F.col("w"), "left_anti")
+
+
+def token_residue(texts: DataFrame, tokens: DataFrame, key: str, text: str, mask: str = MASK) -> DataFrame:
+    """``texts`` with ``tokens_found`` (sorted) and the text with these masked: whole words in their case.
+
+    Words meet tokens by an equi-join on distinct words of a text, so neither the list of tokens nor a text's length matters.
+    """
+    words = texts.select(key, F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?U)(\w+)"), F.lit(1)))).alias("token"))
+    hits = words.join(tokens.distinct(), "token").groupBy(key).agg(F.array_sort(F.collect_set("token")).alias("tokens_found"))
+    found = F.coalesce("tokens_found", F.array().cast("array<string>"))
+    masked = F.aggregate(F.col("tokens_found"), F.col(text), lambda acc, t: F.regexp_replace(acc, F.concat(F.lit(r"(?U)\b"), t, F.lit(r"\b")), F.lit(mask.replace("[", r"\["))))
+    return texts.join(hits, key, "left").withColumn(text, F.coalesce(masked, F.col(text))).withColumn("tokens_found", found)
+
+
 def person_tokens(anon: DataFrame) -> DataFrame:
     """``token``: words of four letters or more of persons' names that are two capital words."""
     two = anon.where(F.col("category") == "PROPER_NOUN").where(F.col("original").rlike(r"^\p{Lu}\p{L}+ \p{Lu}\p{L}+$"))

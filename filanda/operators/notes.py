@@ -33,6 +33,23 @@ def title_links(previews: DataFrame, titles: DataFrame, least: int = 4) -> DataF
     return seen.join(words, "token").where("doc_id <> target").select("doc_id", "token", "target")
 
 
+def title_words(titles: DataFrame, least: int = 4) -> DataFrame:
+    """``token, target``: the words of titles that a text may be linked by, each with every document it names."""
+    return titles.where("doc_id is not null").select(F.col("doc_id").alias("target"), F.explode(T.title_tokens("name")).alias("token")).where(F.length("token") >= least).select("token", "target").distinct()
+
+
+def linked_words(previews: DataFrame, titles: DataFrame, least: int = 4) -> DataFrame:
+    """``doc_id, token, n_targets``: the words of a document's previews that other documents have in their title, with the number of these.
+
+    Together with ``title_words`` this holds every link of ``title_links`` without its pairs: the rows grow with the texts, however many titles share a word.
+    """
+    words = title_words(titles, least)
+    seen = previews.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9]+)"), F.lit(1)))).alias("token")).where(F.length("token") >= least).distinct()
+    own = words.select(F.col("target").alias("doc_id"), "token", F.lit(1).alias("own"))
+    many = seen.join(words.groupBy("token").agg(F.count("*").alias("n")), "token").join(own, ["doc_id", "token"], "left")
+    return many.select("doc_id", "token", (F.col("n") - F.coalesce("own", F.lit(0))).alias("n_targets")).where("n_targets > 0")
+
+
 def insert_links(text: str | None, links: list[tuple[str, str]]) -> str | None:
     """Wiki links for tokens, the longest first, at most one a target, at the token's first place outside a link, in any case."""
     if not text:

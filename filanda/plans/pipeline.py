@@ -12,7 +12,7 @@ from filanda.operators import gate as G
 from filanda.operators import publish as P
 from filanda.operators import taxonomy as X
 from filanda.operators.snapshots import snapshot_changes
-from filanda.plans.changes import ORACLES as CHANGES
+from filanda.plans import patterns as R
 from filanda.runtime import table
 
 #: A small taxonomy: domain, its place, capability's place, name, overview, tasks, kept for hand-picked evidence.
@@ -233,8 +233,7 @@ QUERIES = {
 }
 
 _LIT = ", ".join("('{}', {}, {}, '{}', '{}', '{}', {})".format(*p[:6], str(p[6]).lower()) for p in PAGES)
-_ISTOP = ", ".join(f"'{x}'" for x in T.INDEX_STOP)
-_CSTOP = ", ".join(f"'{x}'" for x in T.CLASS_STOP)
+_ISTOP, _CSTOP = R.INDEX_STOP, R.CLASS_STOP
 _KW = f"""
 with pg(domain, domain_ord, cap_ord, name, overview, tasks, manual_only) as (values {_LIT}),
 tk as (select domain, domain_ord, cap_ord, name, unnest(list_transform(ls, lambda x, i: {{'k': x, 'p': i * 2 + side}})) as z from (
@@ -246,31 +245,29 @@ kw as (select domain, domain_ord, cap_ord, name, z.k as keyword, row_number() ov
 
 def _res(column: str) -> str:
     out = column
-    for _, p in G.RESIDUE:
-        out = f"regexp_replace({out}, '{p}', '{G.MASK}', 'g')"
+    for _, p in R.RESIDUE:
+        out = f"regexp_replace({out}, '{p}', '[REDATTO]', 'g')"
     return out
 
 
-def _case(column: str, rules: list[G.Rule]) -> str:
-    q = lambda p: p.replace("'", "''")
-    return "case " + " ".join(f"when regexp_matches({column}, '{q(p)}') then '{n}'" for n, p in rules) + " end"
+def _case(column: str, rules: list[tuple[str, str]]) -> str:
+    return "case " + " ".join(f"when regexp_matches({column}, '{p}') then '{n}'" for n, p in rules) + " end"
 
 
 _GATE = f"""
 with d as (select distinct * from taxonomy_diff),
-g as (select *, coalesce({_case('label', G.SECRETS)}, {_case('text_preview', G.SECRETS)}, {_case('label', G.RESIDUE)}, case when coalesce(length(regexp_replace(regexp_replace(label, '\\[[A-Z_]+(?:_\\d+)?\\]', '', 'g'), '[^\\p{{L}}\\p{{N}}]', '', 'g')), 0) < 10 then 'label-too-short' end) as reason from d)
+g as (select *, coalesce({_case('label', R.SECRETS)}, {_case('text_preview', R.SECRETS)}, {_case('label', R.RESIDUE)}, case when coalesce(length(regexp_replace(regexp_replace(label, '\\[[A-Z_]+(?:_\\d+)?\\]', '', 'g'), '[^\\p{{L}}\\p{{N}}]', '', 'g')), 0) < 10 then 'label-too-short' end) as reason from d)
 """
 _FITS = """
 with d as (select node_id, capability as page, arg_min({'l': label, 't': text_preview, 'c': community_id}, diff_id) as x from (select distinct * from taxonomy_diff) where bucket = 'fit' and node_id is not null and capability is not null group by 1, 2),
 n as (select id as node_id, min(source_file) as source_file from nodes where label is not null group by 1),
 f as (select d.node_id, page, x.l as label, x.t as text_preview, x.c as community, source_file, sha256(d.node_id || '::' || regexp_replace(page, '\\.(it|es|en)$', ''))[1:12] as sid from d left join n using (node_id))
 """
-_P6 = CHANGES["p6_found"].strip()
 _LISTED = "with k as (select doc_id as key, file_hash, arrived_at from doc_skeleton where error is null and doc_id is not null), a as (select key, arg_max(file_hash, (arrived_at, file_hash)) as h1, arg_min(file_hash, (arrived_at, file_hash)) as h0 from k group by 1)"
-_TYPE = "case " + " ".join(f"when contains(lower({{}}), '{w}') then '{t}'" for w, t in T.DOC_TYPES) + " else 'documento' end"
+_TYPE = R.DOC_TYPE
 _SLUG = "regexp_replace(regexp_replace(lower({}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
 _WC = r"coalesce(len(regexp_extract_all({}, '\S+')), 0)"
-_RULES = [*G.SECRETS, *G.RESIDUE]
+_RULES = [*R.SECRETS, *R.RESIDUE]
 
 ORACLES = {
     "taxonomy_index": _KW + "select domain, name, pos, keyword from kw where pos < 90",
@@ -289,7 +286,7 @@ with e as (select case when category = 'IP_ADDRESS' then 'IP_ADDR' else category
 k as (select *, list_position(['COMPANY', 'PROPER_NOUN', 'EMAIL', 'IP_ADDR', 'HOSTNAME'], category) as prio from e where category in ('COMPANY', 'PROPER_NOUN', 'EMAIL', 'IP_ADDR', 'HOSTNAME')),
 f as (select * from k qualify row_number() over (partition by value order by prio) = 1)
 select value as original, category, '[' || ['AZIENDA', 'PERSONA', 'EMAIL', 'IP', 'HOSTNAME'][prio] || '_' || row_number() over (partition by category order by cnt desc, first_id, value) || ']' as placeholder from f""",
-    "gate_decisions": _GATE + f"select diff_id, reason is null as kept, reason, {_res('text_preview')} as text_preview, " + "array_to_string(list_filter([" + ", ".join(f"case when regexp_matches(text_preview, '{p}') then '{n}' end" for n, p in G.RESIDUE) + "], lambda x: x is not null), ' ') as scrubbed from g",
+    "gate_decisions": _GATE + f"select diff_id, reason is null as kept, reason, {_res('text_preview')} as text_preview, " + "array_to_string(list_filter([" + ", ".join(f"case when regexp_matches(text_preview, '{p}') then '{n}' end" for n, p in R.RESIDUE) + "], lambda x: x is not null), ' ') as scrubbed from g",
     "gate_stats": _GATE + "select bucket, reason, count(*) as n from g group by 1, 2",
     "evidence_blocks": _FITS + r""", b as (select *, trim(regexp_replace(coalesce(text_preview, ''), '(?m)^[ \t]*#{1,6}[ \t]+', '', 'g')) as t from f)
 select page, sid, node_id, coalesce(nullif(trim(regexp_replace(replace(regexp_replace(label, '^\s*#{1,6}\s*', ''), '#', ''), '\s+', ' ', 'g')), ''), node_id) as title,
@@ -299,7 +296,7 @@ select page, sid, node_id, coalesce(nullif(trim(regexp_replace(replace(regexp_re
     "stale_placements": _FITS + """, k as (select distinct node_id, capability as page from taxonomy_diff where bucket = 'fit' and score >= 0.2 and node_id is not null and capability is not null),
 m as (select node_id, string_agg(page, ',' order by page) as moved from k group by 1)
 select page, sid, node_id, case when moved is null then 'withdrawn' else 'moved' end as reason, coalesce(moved, '') as moved_to from f left join m using (node_id) where (node_id, page) not in (select (node_id, page) from k)""",
-    "leak_findings": " union ".join("select doc_id || '.md' as path, '{}' as category, unnest(list_transform(regexp_extract_all(text, '{}'), lambda v: v[1:80])) as value from documents".format(n, p.replace("'", "''")) for n, p in _RULES),
+    "leak_findings": " union ".join("select doc_id || '.md' as path, '{}' as category, unnest(list_transform(regexp_extract_all(text, '{}'), lambda v: v[1:80])) as value from documents".format(n, p) for n, p in _RULES),
     "history_blobs": "select file_hash as blob_sha, arg_min({'p': relative_path, 'n': file_name}, (arrived_at, relative_path)).p as path, arg_min({'p': relative_path, 'n': file_name}, (arrived_at, relative_path)).n as text from doc_skeleton where error is null and file_hash is not null group by 1",
     "registry_status": """
 with k as (select * from doc_skeleton where doc_id is not null),
@@ -313,8 +310,16 @@ from i left join a using (artifact) left join s on s.doc_id = i.id""",
     "text_budget": "select doc_id as path, coalesce(length(text), 0) as n_chars, coalesce(length(text), 0) - case when n_chars > 1000 then n_chars else 0 end as growth, coalesce(length(text), 0) > 20000 as over_file, (select sum(length(text)) from documents where lang is not null) > 1000000 as over_total from documents",
     "incremental_changed": _LISTED + " select key, h1 as file_hash from a where h1 is distinct from h0",
     "incremental_merge": _LISTED + " select key, h1 as file_hash from a where key in (select doc_id from documents where text <> '')",
-    "snapshot_status": f"select state_id, count_if(change = 'added') as added, count_if(change = 'removed') as removed, count_if(change = 'changed') as changed from ({_P6}) group by 1",
-    "doc_types": f"select {_TYPE.replace('{}', 'file_name')} as doc_type, count(*) as docs from (select distinct doc_id, file_name from doc_skeleton) group by 1",
+    "snapshot_status": r"""
+with u as (select folder_key, try_cast(last_ingest_at as timestamptz) as inst, state_id, files from ingest_state where files is not null and folder_key is not null and try_cast(last_ingest_at as timestamptz) is not null),
+one as (select folder_key, inst, arg_min(files, state_id) as files, min(state_id) as state_id from u group by 1, 2),
+m as (select *, list_transform(map_keys(files), lambda k: regexp_replace(replace(k, '\', '/'), '^(\./+)+', '')) as ks, list_transform(map_values(files), lambda v: coalesce(lower(trim(v.sha256)), '?')) as vs from one),
+p as (select *, list_transform(list_zip(ks, vs), lambda z: z[1] || chr(9) || z[2]) as rows from m),
+l as (select state_id, ks, rows, lag(ks) over w as ks0, lag(rows) over w as rows0 from p window w as (partition by folder_key order by inst)),
+c as (select state_id, len(list_filter(list_distinct(ks), lambda k: not list_contains(ks0, k))) as added, len(list_filter(list_distinct(ks0), lambda k: not list_contains(ks, k))) as removed,
+  len(list_filter(list_distinct(rows), lambda r: not list_contains(rows0, r) and list_contains(ks0, split_part(r, chr(9), 1)))) as changed from l where ks0 is not null)
+select * from c where added + removed + changed > 0""",
+    "doc_types": f"select {_TYPE.format('lower(file_name)')} as doc_type, count(*) as docs from (select distinct doc_id, file_name from doc_skeleton) group by 1",
     "note_heads": rf"""
 with k as (select doc_id, max(file_name) as name from doc_skeleton group by 1),
 e as (select doc_id, category, value, sum(coalesce(cnt, 0)) as cnt from (select distinct * from entities) where value is not null and category in ('COMPANY', 'PROJECT_CODE', 'DATE') group by all),
@@ -322,7 +327,7 @@ r as (select *, row_number() over (partition by doc_id, category order by cnt de
 g as (select doc_id, list('company/' || {_SLUG.format('value')} order by r) filter (where category = 'COMPANY') as co, list('project/' || {_SLUG.format('value')} order by r) filter (where category = 'PROJECT_CODE') as pr, arg_min(value, r) filter (where category = 'DATE') as da from r group by 1),
 x as (select k.*, regexp_replace(name, '(.)\.[^.]*$', '\1') as stem, co, pr, da from k left join g using (doc_id))
 select doc_id, '---' || chr(10) || 'title: ' || case when regexp_matches(stem, '[:#\[\]{{}}",&*!|>''%@`]') then '"' || replace(stem, '"', '\"') || '"' else stem end || chr(10) || 'date: ' || coalesce(da, '') || chr(10) || 'tags: [' ||
-  array_to_string(['type/' || {_TYPE.replace('{}', 'name')}] || coalesce(co, []) || coalesce(pr, []), ', ') || ']' || chr(10) || '---' as head from x""",
+  array_to_string(['type/' || {_TYPE.format('lower(name)')}] || coalesce(co, []) || coalesce(pr, []), ', ') || ']' || chr(10) || '---' as head from x""",
     "paragraph_uniformity": f"select doc_id, count(*) as n, case when count(*) >= 2 and avg(w) <> 0 then round(stddev_pop(w) / avg(w), 6) end as cv from (select doc_id, {_WC.format('p')} as w from (select doc_id, unnest(paragraphs) as p from (select distinct * from sections))) group by 1",
     "table_rows": r"""
 with p as (select section_id, generate_subscripts(paragraphs, 1) - 1 as para_no, unnest(paragraphs) as p from (select distinct * from sections)),

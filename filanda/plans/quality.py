@@ -10,6 +10,7 @@ from filanda.functions import typography as Y
 from filanda.operators import lint as L
 from filanda.operators import notes as N
 from filanda.operators import prose as P
+from filanda.plans import patterns as R
 from filanda.runtime import table
 
 
@@ -49,9 +50,17 @@ def unwrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def note_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that have a word of another document's previews in their title; every section's preview counts."""
-    titles = table(spark, sf_dir, "doc_skeleton").groupBy("doc_id").agg(F.max("file_name").alias("name"))
-    return N.title_links(table(spark, sf_dir, "sections").select("doc_id", F.col("preview_start").alias("text")), titles)
+    """The words of a document's previews, of every section, that other documents have in their title, with the number of these; ``note_targets`` has the other end."""
+    return N.linked_words(table(spark, sf_dir, "sections").select("doc_id", F.col("preview_start").alias("text")), _titles(spark, sf_dir))
+
+
+def note_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of titles, each with every document it names."""
+    return N.title_words(_titles(spark, sf_dir))
+
+
+def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "doc_skeleton").groupBy("doc_id").agg(F.max("file_name").alias("name"))
 
 
 def index_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,19 +87,19 @@ def title_similarity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, "doc_id").where("a < b").select("a", "b", F.round(T.jaccard("ta", "tb"), 4).alias("sim")).where("sim >= 0.5")
 
 
-QUERIES = {f.__name__: f for f in (table_defects, shell_defects, prose_families, accent_fixes, unwrapped, note_links, index_sections, scan_progress, size_growth, title_similarity_pairs)}
+QUERIES = {f.__name__: f for f in (table_defects, shell_defects, prose_families, accent_fixes, unwrapped, note_links, note_targets, index_sections, scan_progress, size_growth, title_similarity_pairs)}
 
-_STOP = ", ".join(f"'{x}'" for x in T.CLASS_STOP)
-_NOISE = ", ".join(f"'{x}'" for x in T.NAME_NOISE)
-_TYPE = "case " + " ".join(f"when contains(lower(name), '{w}') then '{t}'" for w, t in T.DOC_TYPES) + " else 'documento' end"
-ORACLES = {
-    "note_links": rf"""
+_STOP, _NOISE, _TYPE = R.CLASS_STOP, R.NAME_NOISE, R.DOC_TYPE.format("lower(name)")
+_TITLE_WORDS = rf"""
 with k as (select doc_id, max(file_name) as name from doc_skeleton group by 1),
-w as (select doc_id as target, unnest(list_distinct(list_filter(regexp_extract_all(lower(regexp_replace(name, '(.)\.[^.]*$', '\1')), '[a-z0-9]+'), lambda x: length(x) > 1 and x not in ({_NOISE})))) as token from k),
-o as (select token, min(target) as target from w where length(token) >= 4 group by 1 having count(*) = 1),
-p as (select doc_id, arg_min(preview_start, (ord, section_id)) as t from (select distinct * from sections) where preview_start is not null group by 1),
-s as (select doc_id, unnest(list_distinct(regexp_extract_all(lower(t), '[a-z0-9]+'))) as token from p)
-select doc_id, token, target from s join o using (token) where doc_id <> target""",
+w as (select distinct doc_id as target, token from (select doc_id, unnest(regexp_extract_all(lower(regexp_replace(name, '(.)\.[^.]*$', '\1')), '[a-z0-9]+')) as token from k) where length(token) >= 4 and token not in ({_NOISE}))
+"""
+ORACLES = {
+    "note_links": _TITLE_WORDS + r""",
+s as (select distinct doc_id, unnest(regexp_extract_all(lower(preview_start), '[a-z0-9]+')) as token from sections where preview_start is not null),
+n as (select s.doc_id, s.token, count(*) as n_targets from s join w on s.token = w.token and s.doc_id <> w.target group by all)
+select * from n""",
+    "note_targets": _TITLE_WORDS + "select token, target from w",
     "index_sections": f"""
 with t as (select name, {_TYPE} as doc_type from (select distinct doc_id, file_name as name from doc_skeleton)),
 r as (select *, row_number() over (partition by doc_type order by name) as r, count(*) over (partition by doc_type) as n_docs from t)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from filanda.functions import entities as E
 from filanda.functions import text as T
+from filanda.plans import patterns as R
 from filanda.runtime import table
 
 
@@ -126,17 +127,15 @@ def _matches(values: str) -> str:
     return f"select doc_id, value, count(*) as cnt from (select doc_id, unnest({values}) as value from documents where text is not null) group by all"
 
 
-_STOP = ", ".join(f"'{x}'" for x in E.ACRONYM_STOP)
-_HOST_STOP = ", ".join(f"'{x}'" for x in E.HOST_STOP)
-_BRAND = ", ".join(f"'{x.lower()}'" for x in E.BRANDS)
+_STOP, _HOST_STOP, _BRAND = R.ACRONYM_STOP, R.HOST_STOP, R.HOST_BRANDS
 _NUM = r"[\d.,]*\d[\d.,]*"
 _AMT = " || ".join(
     f"list_transform(list_zip(regexp_extract_all(text, '{p}', 1, '{o}'), regexp_extract_all(text, '{p}', 2, '{o}')), lambda z: 'EUR ' || coalesce(nullif(z[1], ''), z[2]))"
     for p, o in ((rf"(?:euro|EUR)\s*({_NUM})|({_NUM})\s*(?:euro|EUR)", "i"), (rf"€\s*({_NUM})|({_NUM})\s*€", ""))
 )
 _ACR = f"list_filter(regexp_extract_all(text, '[A-Za-z]+'), lambda w: regexp_full_match(w, '[A-Z]{{2,7}}') and w not in ({_STOP}))"
-_EMAIL = f"regexp_extract_all(text, '{E.EMAIL}', 1)"
-_PROJ = f"regexp_extract_all(text, '{E.PROJECT}', 1)"
+_EMAIL = f"regexp_extract_all(text, '{R.EMAIL}', 1)"
+_PROJ = f"regexp_extract_all(text, '{R.PROJECT}', 1)"
 _WORDS = r"coalesce(len(regexp_extract_all(text, '\S+')), 0)"
 _NUMBERED = r"^\s*(\d+(?:\.\d+){0,4})\.?\s+(\S.*)$"
 
@@ -162,16 +161,17 @@ select section_id, regexp_replace(substr(text, 1, 200), '^[\s\p{{Z}}]+|[\s\p{{Z}
     "entity_project_code": _matches(_PROJ),
     "entity_email": _matches(_EMAIL),
     "entity_url": _matches(r"regexp_extract_all(text, '(https?://[^\s)\]]+|www\.[^\s)\]]+)')"),
-    "entity_date": _matches(f"regexp_extract_all(text, '{E.DATE[4:]}', 1, 'i')"),
+    "entity_date": _matches(f"regexp_extract_all(text, '{R.DATE}', 1, 'i')"),
     "entity_amount": _matches(_AMT),
-    "entity_law_ref": _matches(f"list_transform(regexp_extract_all(text, '{E.LAW[5:]}', 0, 'i'), lambda x: trim(x))"),
-    "entity_doc_ref": _matches(f"list_transform(regexp_extract_all(text, '{E.DOC_REF[4:]}', 1, 'i'), lambda x: trim(x))"),
+    "entity_law_ref": _matches(f"list_transform(regexp_extract_all(text, '{R.LAW}', 0, 'i'), lambda x: trim(x))"),
+    "entity_doc_ref": _matches(f"list_transform(regexp_extract_all(text, '{R.DOC_REF}', 1, 'i'), lambda x: trim(x))"),
+    "entity_company": _matches(f"list_transform(list_zip(regexp_extract_all(text, '{R.COMPANY}', 1), regexp_extract_all(text, '{R.COMPANY}', 2)), lambda z: z[1] || ' ' || z[2])"),
     "entity_ip_addr": r"""
 with m as (select doc_id, unnest(list_zip(regexp_extract_all(text, '([0-9.]+)(/[0-9]{1,2})?([0-9.]*)', 1), regexp_extract_all(text, '([0-9.]+)(/[0-9]{1,2})?([0-9.]*)', 2), regexp_extract_all(text, '([0-9.]+)(/[0-9]{1,2})?([0-9.]*)', 3))) as z from documents where text is not null),
 q as (select doc_id, z[1] as ip, case when coalesce(z[3], '') = '' then z[1] || coalesce(z[2], '') else z[1] end as value from m where regexp_full_match(z[1], '\d{1,3}(\.\d{1,3}){3}'))
 select doc_id, value, count(*) as cnt from q where list_max(list_transform(string_split(ip, '.'), lambda o: o::int)) <= 255 group by all""",
     "entity_hostname": f"""
-with c as (select doc_id, list_distinct(regexp_extract_all(text, '{E.HOST_PREFIX}', 1) || list_filter(regexp_extract_all(text, '{E.HOST_DASHED}', 1), lambda h: regexp_matches(h, '\\d') or len(h) - len(replace(h, '-', '')) >= 2)) as hs from documents where text is not null)
+with c as (select doc_id, list_distinct(regexp_extract_all(text, '{R.HOST_PREFIX}', 1) || list_filter(regexp_extract_all(text, '{R.HOST_DASHED}', 1), lambda h: regexp_matches(h, '\\d') or len(h) - len(replace(h, '-', '')) >= 2)) as hs from documents where text is not null)
 select doc_id, value, 1 as cnt from (select doc_id, unnest(hs) as value from c) where value not in ({_HOST_STOP}) and lower(value) not in ({_BRAND})""",
     "entity_counts": f"""
 with m as (select doc_id, 'ACRONYM' as category, unnest({_ACR}) as value from documents union all select doc_id, 'EMAIL', unnest({_EMAIL}) from documents
@@ -184,7 +184,7 @@ select category, value, cnt, rnk from (select *, row_number() over (partition by
     "company_alias_merge": rf"""
 with g as (select value, sum(coalesce(cnt, 0)) as cnt, min(entity_id) as first_id from (select distinct * from entities) where value is not null and category = 'COMPANY' group by all),
 t as (select *, row_number() over (order by cnt desc, first_id) as rnk from g qualify rnk <= 80),
-k as (select *, regexp_replace(lower(regexp_replace(value, '{E.SUFFIX[4:]}', '', 'i')), '[^\p{{L}}\p{{N}}_]', '', 'g') as company_key from t)
+k as (select *, regexp_replace(lower(regexp_replace(value, '{R.LEGAL_END}', '', 'i')), '[^\p{{L}}\p{{N}}_]', '', 'g') as company_key from t)
 select company_key, arg_max(value, (length(value), -rnk)) as value, sum(cnt) as cnt from k group by 1""",
     "entities_by_node": """
 with n as (select source_file, count(*) as n_nodes from (select distinct * from nodes) where source_file is not null group by 1),
