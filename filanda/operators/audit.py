@@ -76,8 +76,9 @@ def text_budget(files: DataFrame, baseline: DataFrame, per_file: int, total: int
     """
     n = F.coalesce(F.length("text"), F.lit(0))
     f = files.select("path", n.alias("n_chars"), "conditional").join(baseline.select("path", F.col("n_chars").alias("was")), "path", "left")
-    all_of = F.sum(F.when(F.col("conditional"), 0).otherwise(F.col("n_chars"))).over(Window.partitionBy())
-    return f.select("path", "n_chars", (F.col("n_chars") - F.coalesce("was", F.lit(0))).alias("growth"), (F.col("n_chars") > per_file).alias("over_file"), (all_of > total).alias("over_total"))
+    size = F.when(F.col("conditional"), 0).otherwise(F.coalesce(F.length("text"), F.lit(0)))
+    whole = files.agg(F.coalesce(F.sum(size), F.lit(0)).alias("all_of"))  # one row
+    return f.crossJoin(F.broadcast(whole)).select("path", "n_chars", (F.col("n_chars") - F.coalesce("was", F.lit(0))).alias("growth"), (F.col("n_chars") > per_file).alias("over_file"), (F.col("all_of") > total).alias("over_total"))
 
 
 def changed_files(current: DataFrame, previous: DataFrame) -> DataFrame:

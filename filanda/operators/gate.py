@@ -110,16 +110,31 @@ def anonymisation_map(counts: DataFrame) -> DataFrame:
     return first.select(F.col("value").alias("original"), "category", F.concat(F.lit("["), name, F.lit("_"), number.cast("string"), F.lit("]")).alias("placeholder"))
 
 
-def anonymise(texts: DataFrame, anon: DataFrame, key: str, text: str, most_terms: int = 200_000) -> DataFrame:
-    """``key, text`` with the originals replaced, the longest first; later ones see earlier placeholders.
+#: Characters of the pieces over which originals meet texts.
+PIECE = 5
 
-    Only originals that occur are carried to a text: its words meet each original's first word by an equi-join, so neither side is broadcast.
+
+def _pieces(text: Column, n: Column) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substr(text, i, n))
+
+
+def anonymise(texts: DataFrame, anon: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, text`` with the originals replaced wherever they stand, the longest first; later ones see earlier placeholders.
+
+    An original meets a text over its rarest piece of ``PIECE`` characters (a shorter original is its own piece), counted over all texts: an equi-join without a
+    hot key and without losing originals inside words, after which only originals that occur are carried to a text. Null texts stay null.
     """
-    head = lambda c: F.regexp_extract(F.lower(c), r"([\p{L}\p{N}]+)", 1)
-    words = texts.select(key, F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)))).alias("w"))
-    terms = anon.select(head(F.col("original")).alias("w"), "original", "placeholder")
-    hits = words.join(terms, "w").select(key, "original", "placeholder").join(texts.select(key, text), key).where(F.contains(text, F.col("original")))
-    lists = hits.groupBy(key).agg(F.array_sort(F.collect_list(F.struct((-F.length("original")).alias("l"), "original", "placeholder"))).alias("pairs"))
+    own = F.least(F.length("original"), F.lit(PIECE))
+    terms = anon.where("original <> ''").select("original", "placeholder", own.alias("n"))
+    sizes = terms.agg(F.array_sort(F.collect_set("n")).alias("sizes"))  # one row of at most PIECE numbers
+    some = texts.where(F.col(text).isNotNull()).select(key, text).crossJoin(F.broadcast(sizes)).select(key, F.col(text).alias("_t"), F.explode("sizes").alias("n")).where(F.length("_t") >= F.col("n"))
+    seen = some.select(key, F.explode(F.array_distinct(_pieces(F.col("_t"), F.col("n")))).alias("piece"))
+    often = seen.groupBy("piece").agg(F.count("*").alias("texts"))
+    cut = terms.select("original", "placeholder", F.size(_pieces(F.col("original"), F.col("n"))).alias("all"), F.explode(F.array_distinct(_pieces(F.col("original"), F.col("n")))).alias("piece"))
+    # an original with a piece that no text has cannot occur
+    known = cut.join(often, "piece", "left").groupBy("original", "placeholder").agg(F.min_by("piece", F.struct("texts", "piece")).alias("piece"), F.min(F.col("texts").isNotNull()).alias("possible")).where("possible")
+    hits = seen.join(known, "piece").select(key, "original", "placeholder").join(texts.select(key, text), key).where(F.contains(text, F.col("original")))
+    lists = hits.groupBy(key).agg(F.array_sort(F.collect_set(F.struct((-F.length("original")).alias("l"), "original", "placeholder"))).alias("pairs"))
     return texts.join(lists, key, "left").select(key, F.when(F.col("pairs").isNull(), F.col(text)).otherwise(T.replace_all(text, "pairs")).alias(text))
 
 
@@ -164,3 +179,15 @@ def gate(rows: DataFrame, rules: list[Rule] = RESIDUE, secrets: list[Rule] = SEC
 def gate_statistics(gated: DataFrame) -> DataFrame:
     """``bucket, reason, n``: rows kept (null reason) and dropped."""
     return gated.groupBy("bucket", "reason").agg(F.count("*").alias("n"))
+
+
+def gate_groups(nodes: DataFrame, rules: list[Rule] = RESIDUE, secrets: list[Rule] = SECRETS) -> DataFrame:
+    """``group_id, node_id, kept``: the nodes of proposals made of several, each once. ``nodes``: ``group_id, node_id, label, text_preview``.
+
+    A secret in any node drops the group; a node with residue in its label is left out, and a group without nodes left is dropped. Nodes that are not kept are the keys that
+    nothing later may bring back. Groups are reduced to one flag before they meet their nodes, so a group may hold any share of them.
+    """
+    bad = F.coalesce(first_rule("label", secrets), first_rule("text_preview", secrets)).isNotNull()
+    flagged = nodes.select("group_id", "node_id", bad.alias("secret"), first_rule("label", rules).isNotNull().alias("residue")).groupBy("group_id", "node_id").agg(F.bool_or("secret").alias("secret"), F.bool_or("residue").alias("residue"))
+    groups = flagged.groupBy("group_id").agg(F.bool_or("secret").alias("lost"))
+    return flagged.join(groups, "group_id").select("group_id", "node_id", (~F.col("lost") & ~F.col("residue")).alias("kept"))

@@ -93,9 +93,11 @@ def index_sections(docs: DataFrame, shown: int = 50) -> DataFrame:
     """``doc_type, n_docs, listing``: documents by type, the first ``shown`` names of each listed in order. ``docs``: ``doc_id, name``."""
     t = docs.select("name", T.doc_type("name").alias("doc_type"))
     r = F.row_number().over(Window.partitionBy("doc_type").orderBy("name"))
-    n = F.count("*").over(Window.partitionBy("doc_type"))
-    top = t.withColumn("r", r).withColumn("n_docs", n).where(F.col("r") <= shown)
-    return top.groupBy("doc_type", "n_docs").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "name"))), lambda x: F.concat(F.lit("- "), x["name"])), "\n").alias("listing"))
+    # numbers by a partial aggregate; the window keeps no more than ``shown`` rows a type before its shuffle
+    numbers = t.groupBy("doc_type").agg(F.count("*").alias("n_docs"))
+    top = t.withColumn("r", r).where(F.col("r") <= shown)
+    lists = top.groupBy("doc_type").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "name"))), lambda x: F.concat(F.lit("- "), x["name"])), "\n").alias("listing"))
+    return lists.join(numbers, "doc_type").select("doc_type", "n_docs", "listing")
 
 
 def review_report(classified: DataFrame) -> DataFrame:

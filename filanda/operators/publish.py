@@ -52,17 +52,21 @@ def upsert(blocks: DataFrame, wanted: DataFrame, section: str = SECTION) -> Data
     return j.select("page", "sid", F.when(F.col("old_body").isNull(), "inject").when(same, "skip").otherwise("refresh").alias("action"))
 
 
-def stale(blocks: DataFrame, known: DataFrame, expected: DataFrame) -> DataFrame:
+def stale(blocks: DataFrame, known: DataFrame, expected: DataFrame, published: DataFrame | None = None) -> DataFrame:
     """``page, sid, node_id, reason, moved_to``: anchors of known nodes on pages where they are not expected.
 
-    ``known``: ``node_id``; ``expected``: ``node_id, page``. Anchors of nodes not known belong to another corpus and stay. An id
-    says nothing of its node, so each known node's ids on the pages with anchors are computed and joined by equality; the pages are those of the taxonomy, at most ``MAX_PAGES``, which is checked.
+    ``known``: ``node_id``; ``expected``: ``node_id, page``. Anchors of nodes not known belong to another corpus and stay. ``published`` (``page, sid, node_id``) is the
+    record of what was published, as ``evidence`` gives it, and is joined by equality. Without such a record an id says nothing of its node, so each known node's ids on the pages
+    with anchors are computed; the pages are those of the taxonomy, at most ``MAX_PAGES``, which is checked.
     """
     anchors = blocks.where("sid is not null").select("page", "sid").distinct()
-    pages = anchors.select("page").distinct().agg(F.collect_list("page").alias("pages"))
-    pages = pages.withColumn("pages", F.when(F.size("pages") > MAX_PAGES, F.raise_error(F.lit(f"more than {MAX_PAGES} pages"))).otherwise(F.col("pages")))
-    tried = known.select("node_id").distinct().join(F.broadcast(pages)).select("node_id", F.explode("pages").alias("page"))
-    ids = tried.withColumn("sid", T.stable_id("node_id", "page"))
+    if published is not None:
+        ids = published.select("page", "sid", "node_id").distinct().join(known.select("node_id").distinct(), "node_id", "left_semi")
+    else:
+        pages = anchors.select("page").distinct().agg(F.collect_list("page").alias("pages"))
+        pages = pages.withColumn("pages", F.when(F.size("pages") > MAX_PAGES, F.raise_error(F.lit(f"more than {MAX_PAGES} pages"))).otherwise(F.col("pages")))
+        tried = known.select("node_id").distinct().join(F.broadcast(pages)).select("node_id", F.explode("pages").alias("page"))
+        ids = tried.withColumn("sid", T.stable_id("node_id", "page"))
     placed = ids.join(anchors, ["page", "sid"])
     lost = placed.join(expected.select("node_id", "page"), ["node_id", "page"], "left_anti")
     moved = expected.groupBy("node_id").agg(F.array_sort(F.collect_set("page")).alias("moved_to"))
@@ -91,3 +95,26 @@ def apply(blocks: DataFrame, wanted: DataFrame, stale_rows: DataFrame | None = N
     lines = rows.withColumn("text", text).where("text <> ''")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "late", "sid", "text"))), lambda x: x["text"]), "\n\n")
     return lines.groupBy("page").agg(F.concat(joined, F.lit("\n")).alias("markdown"))
+
+
+def new_page(groups: DataFrame, most: int = 10) -> DataFrame:
+    """``page, markdown``: the first page of each proposed capability that has none, with its four sections. ``groups``: ``name, domain, label, text_preview, ord``, one row a node, already anonymised.
+
+    The page's name is the slug of the name; the first preview in order goes into the overview, the first ``most`` labels into the scope. Groups of one slug are one page, under the smallest name.
+    """
+    g = groups.where("name is not null").withColumn("page", T.slug("name"))
+    rank = F.row_number().over(Window.partitionBy("page").orderBy("ord", "label"))
+    first = g.where("label <> ''").select("page", "ord", "label").withColumn("r", rank).where(F.col("r") <= most)
+    labels = first.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("r", "label"))).alias("labels"))
+    p = F.regexp_replace(F.substring("text_preview", 1, 80), "\n", " ")
+    preview = F.min(F.when(F.col("text_preview") != "", F.struct("ord", p.alias("p")))).getField("p")
+    per = g.groupBy("page").agg(F.min("name").alias("name"), F.min("domain").alias("domain"), preview.alias("preview")).join(labels, "page", "left")
+    overview = F.concat(F.lit("*Capability proposed from documents.*\nDomain: **"), F.coalesce("domain", F.lit("-")), F.lit("**."), F.coalesce(F.concat(F.lit("\nPreview: "), "preview"), F.lit("")))
+    scope = F.coalesce(F.array_join(F.transform("labels", lambda x: F.concat(F.lit("- "), x["label"])), "\n"), F.lit(""))
+    parts = [F.concat(F.lit("# "), "name"), F.lit("## Overview"), overview, F.lit("## Technologies & tools"), F.lit(PLACEHOLDER), F.lit("## Responsibilities & operational scope"), scope, F.lit(f"## {SECTION}"), F.lit(PLACEHOLDER)]
+    return per.select("page", F.concat(F.array_join(F.filter(F.array(*parts), lambda x: x != ""), "\n\n"), F.lit("\n")).alias("markdown"))
+
+
+def missing_pages(proposed: DataFrame, pages: DataFrame) -> DataFrame:
+    """The proposed pages that do not exist yet; both have ``page``."""
+    return proposed.join(pages.select("page").distinct(), "page", "left_anti")

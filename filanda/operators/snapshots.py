@@ -130,3 +130,36 @@ def snapshot_changes_sql(states: DataFrame) -> DataFrame:
     both = e.withColumn("is", F.lit(True)).join(old, ["folder_key", "seq", "rel_path"], "full").join(heads, ["folder_key", "seq"]).where("seq > 1")
     change = F.when(F.col("was").isNull(), "added").when(F.col("is").isNull(), "removed").when(~F.col("sha").eqNullSafe(F.col("old")), "changed")
     return both.select("state_id", "rel_path", change.alias("change")).where("change is not null")
+
+
+# ------------------------------------------------------------------------------------------ verbs on the state of ingest
+
+STATE = "folder_key string, label string, last_ingest_at string, last_ingest_commit string, files map<string, struct<sha256: string, mtime: string>>"
+
+
+def folder_files(listing: DataFrame) -> DataFrame:
+    """``folder_key, files``: each folder's present files as one map. ``listing``: ``folder_key, path, sha256, mtime``; of a path listed twice the largest digest counts."""
+    one = listing.where("folder_key is not null and path is not null").groupBy("folder_key", normal_path(F.col("path")).alias("path")).agg(F.max(F.struct("sha256", "mtime")).alias("f"))
+    return one.groupBy("folder_key").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("path", "f")))).alias("files"))
+
+
+def track(state: DataFrame, listing: DataFrame, now: str, commit: str, labels: DataFrame | None = None) -> DataFrame:
+    """The state with every listed folder taken at ``now`` under ``commit``: new folders are added, known ones keep their label. ``labels``: ``folder_key, label`` for new ones; else the key."""
+    new = folder_files(listing)
+    names = state.select("folder_key", "label")
+    fresh = new.join(names, "folder_key", "left")
+    if labels is not None:
+        fresh = fresh.join(labels.select("folder_key", F.col("label").alias("_l")), "folder_key", "left").withColumn("label", F.coalesce("label", "_l"))
+    fresh = fresh.select("folder_key", F.coalesce("label", "folder_key").alias("label"), F.lit(now).alias("last_ingest_at"), F.lit(commit).alias("last_ingest_commit"), "files")
+    return state.select("folder_key", "label", "last_ingest_at", "last_ingest_commit", "files").join(new.select("folder_key"), "folder_key", "left_anti").unionByName(fresh)
+
+
+def resnapshot(state: DataFrame, listing: DataFrame) -> DataFrame:
+    """The state with the present files of listed folders it knows; date and commit of their ingest stay, and folders it does not know are not added."""
+    new = folder_files(listing).withColumnRenamed("files", "_files")
+    return state.join(new, "folder_key", "left").select("folder_key", "label", "last_ingest_at", "last_ingest_commit", F.coalesce("_files", "files").alias("files"))
+
+
+def untrack(state: DataFrame, folders: DataFrame) -> DataFrame:
+    """The state without the named folders (``folder_key``)."""
+    return state.join(folders.select("folder_key").distinct(), "folder_key", "left_anti")

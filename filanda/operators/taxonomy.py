@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,19 +37,24 @@ def scores(nodes: DataFrame, index: DataFrame) -> DataFrame:
     return hit.select("node_id", "domain", "domain_ord", "cap_ord", "name", (F.size("matched") / F.col("n")).alias("score"), "matched")
 
 
-def classify(nodes: DataFrame, index: DataFrame, domains: DataFrame) -> DataFrame:
+Scorer = Callable[[DataFrame, DataFrame], DataFrame]
+
+
+def classify(nodes: DataFrame, index: DataFrame, domains: DataFrame, scorer: Scorer = scores) -> DataFrame:
     """One row a node: winner, runner-up, margin, matched tokens, review flag, domain and bucket.
 
+    ``scorer`` may be any function with the arguments and columns of ``scores``, such as one over embeddings.
+
     ``domains``: ``domain, domain_ord, keywords``. The winner is the first capability in order of the highest score, the runner-up the first of the next. Buckets: ``fit`` from 0.15,
     ``near`` from 0.01, else ``unclassified``. The domain is the first with the highest recall of its own keywords; a winner's domain without any
     recall takes its place, unless a later domain's recall is higher than any before.
     """
-    s = scores(nodes, index)
+    s = scorer(nodes, index)
     order = Window.partitionBy("node_id").orderBy(F.desc("score"), "domain_ord", "cap_ord")
     ranked = s.withColumn("r", F.row_number().over(order)).withColumn("second", F.lead("score").over(order)).withColumn("second_name", F.lead("name").over(order))
     best = ranked.where("r = 1").select("node_id", F.col("name").alias("capability"), F.col("domain").alias("cap_domain"), F.col("domain_ord").alias("cap_domain_ord"), "score", "second", "second_name", "matched")
     # the fold over domains as events: a domain's record, or a capability's becoming best in a domain without recall; the last event names the domain
-    d = scores(nodes, domains.select(F.col("domain"), "domain_ord", F.lit(-1).alias("cap_ord"), F.col("domain").alias("name"), "keywords"))
+    d = scorer(nodes, domains.select(F.col("domain"), "domain_ord", F.lit(-1).alias("cap_ord"), F.col("domain").alias("name"), "keywords"))
     prior = Window.partitionBy("node_id").orderBy("domain_ord", "cap_ord").rowsBetween(Window.unboundedPreceding, -1)
     records = d.withColumn("prev", F.coalesce(F.max("score").over(prior), F.lit(0.0))).where("score > prev").select("node_id", "domain", "domain_ord", "cap_ord")
     risen = s.withColumn("prev", F.coalesce(F.max("score").over(prior), F.lit(0.0))).where("score > prev").select("node_id", "domain", "domain_ord", "cap_ord")

@@ -115,9 +115,9 @@ def published_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stale_placements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Placements of known nodes that are no longer expected: those of score below 0.2 are withdrawn here."""
     fits = _fits(spark, sf_dir)
-    anchors = P.evidence(fits).select("page", "sid")
+    anchors = P.evidence(fits).select("page", "sid", "node_id")
     keep = table(spark, sf_dir, "taxonomy_diff").where("bucket = 'fit' and score >= 0.2").select("node_id", F.col("capability").alias("page")).where("node_id is not null and page is not null").distinct()
-    return P.stale(anchors, fits.select("node_id"), keep).select("page", "sid", "node_id", "reason", F.array_join("moved_to", ",").alias("moved_to"))
+    return P.stale(anchors, fits.select("node_id"), keep, anchors).select("page", "sid", "node_id", "reason", F.array_join("moved_to", ",").alias("moved_to"))
 
 
 def leak_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,6 +269,11 @@ _SLUG = "regexp_replace(regexp_replace(lower({}), '[^a-z0-9]+', '-', 'g'), '^-+|
 _WC = r"coalesce(len(regexp_extract_all({}, '\S+')), 0)"
 _RULES = [*R.SECRETS, *R.RESIDUE]
 
+_ANON = """
+with e as (select case when category = 'IP_ADDRESS' then 'IP_ADDR' else category end as category, value, sum(coalesce(cnt, 0)) as cnt, min(entity_id) as first_id from (select distinct * from entities) where value is not null group by 1, 2),
+k as (select *, list_position(['COMPANY', 'PROPER_NOUN', 'EMAIL', 'IP_ADDR', 'HOSTNAME'], category) as prio from e where category in ('COMPANY', 'PROPER_NOUN', 'EMAIL', 'IP_ADDR', 'HOSTNAME')),
+f as (select * from k qualify row_number() over (partition by value order by prio) = 1)
+select value as original, category, '[' || ['AZIENDA', 'PERSONA', 'EMAIL', 'IP', 'HOSTNAME'][prio] || '_' || row_number() over (partition by category order by cnt desc, first_id, value) || ']' as placeholder from f"""
 ORACLES = {
     "taxonomy_index": _KW + "select domain, name, pos, keyword from kw where pos < 90",
     "classify_nodes": _KW
@@ -281,11 +286,14 @@ select n.node_id, name as capability, round(coalesce(score, 0), 3) as score, cas
   name is not null and (round(coalesce(score, 0) - coalesce(second, 0), 4) <= 0.05 or m <= 1) as needs_review
 from n left join r on r.node_id = n.node_id and r = 1""",
     "diff_summary": "select bucket, domain, count(*) as n, count_if(is_hyperedge) as hyperedges, count_if(score >= 0.15) as strong, round(max(score), 3) as best from (select distinct * from taxonomy_diff) group by 1, 2",
-    "anonymisation_map": """
-with e as (select case when category = 'IP_ADDRESS' then 'IP_ADDR' else category end as category, value, sum(coalesce(cnt, 0)) as cnt, min(entity_id) as first_id from (select distinct * from entities) where value is not null group by 1, 2),
-k as (select *, list_position(['COMPANY', 'PROPER_NOUN', 'EMAIL', 'IP_ADDR', 'HOSTNAME'], category) as prio from e where category in ('COMPANY', 'PROPER_NOUN', 'EMAIL', 'IP_ADDR', 'HOSTNAME')),
-f as (select * from k qualify row_number() over (partition by value order by prio) = 1)
-select value as original, category, '[' || ['AZIENDA', 'PERSONA', 'EMAIL', 'IP', 'HOSTNAME'][prio] || '_' || row_number() over (partition by category order by cnt desc, first_id, value) || ']' as placeholder from f""",
+    "anonymisation_map": _ANON,
+    "anonymised_previews": f"""
+with m as ({_ANON}),
+d as (select distinct diff_id, text_preview as t from taxonomy_diff where text_preview is not null),
+h as (select diff_id, list(original || chr(1) || placeholder order by -length(original), original) as ps from d join m on original <> '' and contains(t, original) group by 1)
+select diff_id, case when ps is null then t else list_reduce(list_concat([t], ps), lambda acc, x: replace(acc, split_part(x, chr(1), 1), split_part(x, chr(1), 2))) end as text_preview from d left join h using (diff_id)""",
+    "plain_dashes": """
+select section_id, regexp_replace(preview_start, '[‒–—―−]', '-', 'g') as text, len(regexp_extract_all(preview_start, '[‒–—―−]')) as dashes from (select distinct * from sections) where length(preview_start) > 0""",
     "gate_decisions": _GATE + f"select diff_id, reason is null as kept, reason, {_res('text_preview')} as text_preview, " + "array_to_string(list_filter([" + ", ".join(f"case when regexp_matches(text_preview, '{p}') then '{n}' end" for n, p in R.RESIDUE) + "], lambda x: x is not null), ' ') as scrubbed from g",
     "gate_stats": _GATE + "select bucket, reason, count(*) as n from g group by 1, 2",
     "evidence_blocks": _FITS + r""", b as (select *, trim(regexp_replace(coalesce(text_preview, ''), '(?m)^[ \t]*#{1,6}[ \t]+', '', 'g')) as t from f)

@@ -114,3 +114,54 @@ def to_markdown(section_table: DataFrame) -> DataFrame:
     part = F.concat_ws("\n\n", head, F.array_join("paragraphs", "\n\n"))
     ordered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", part.alias("p")))), lambda x: x["p"]), "\n\n")
     return section_table.groupBy("doc_id").agg(F.concat(ordered, F.lit("\n")).alias("markdown"))
+
+
+NOTES = "doc_id string, note_id string, text string"
+MEDIA = "doc_id string, name string, content binary"
+
+
+def notes_of(content: bytes) -> list[tuple[str, str]]:
+    """(id, text) of a document's footnotes: paragraphs joined by blanks, separators and empty notes left out."""
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        if "word/footnotes.xml" not in z.namelist():
+            return []
+        root = ET.fromstring(z.read("word/footnotes.xml"))
+    out = []
+    for n in root.findall(_W + "footnote"):
+        if n.get(_W + "type") not in ("separator", "continuationSeparator"):
+            text = " ".join(t for t in ("".join(x.text or "" for x in p.iter(_W + "t")).strip() for p in n.iter(_W + "p")) if t)
+            if text:
+                out.append((n.get(_W + "id"), text))
+    return out
+
+
+def media_of(content: bytes) -> list[tuple[str, bytes]]:
+    """(name, content) of the files that a document embeds."""
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        return [(f.rsplit("/", 1)[-1], z.read(f)) for f in z.namelist() if f.startswith("word/media/") and not f.endswith("/")]
+
+
+def _parts(files: DataFrame, read, schema: str) -> DataFrame:
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def parse(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            rows = []
+            for rel, content in zip(p["rel"], p["content"], strict=True):
+                try:
+                    rows += [(rel, *x) for x in read(content)]
+                except Exception:  # noqa: BLE001, S112
+                    continue
+            yield pd.DataFrame(rows, columns=names)
+
+    return files.select("rel", "content").mapInPandas(parse, schema)
+
+
+def read_footnotes(files: DataFrame) -> DataFrame:
+    """``doc_id, note_id, text`` of each file's footnotes; ``files``: ``rel, content``. Files that are no documents give none; ``read_blocks`` says which they are."""
+    return _parts(files, notes_of, NOTES)
+
+
+def read_media(files: DataFrame) -> DataFrame:
+    """``doc_id, name, content`` of the files embedded in each document."""
+    return _parts(files, media_of, MEDIA)

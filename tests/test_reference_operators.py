@@ -136,7 +136,7 @@ def test_classifier_against_loops(spark):
 
 
 def test_gate(spark):
-    r = [("Nodo rete principale", "password: Abc123xyz", "fit"), ("srv-db01 attivo e sano", "x", "fit"), ("Breve", "x", "fit"), ("Etichetta lunga e buona", "ip 10.0.0.1 e a.b@c.example", "fit"), (None, None, "new")]
+    r = [("Nodo rete principale", "password: Abc123xyz", "fit"), ("SRV-DB01 attivo e sano", "x", "fit"), ("Breve", "x", "fit"), ("Etichetta lunga e buona", "ip 10.0.0.1 e a.b@c.example", "fit"), (None, None, "new")]
     g = {x.label: x for x in gate.gate(spark.createDataFrame(r, "label string, text_preview string, bucket string")).collect()}
     assert [g[k].reason for k, _, _ in r] == ["secret-assignment", "residue-hostname", "label-too-short", None, "label-too-short"]
     assert g[r[3][0]].text_preview == "ip [REDATTO] e [REDATTO]" and g[r[3][0]].scrubbed == ["residue-ip", "residue-email"]
