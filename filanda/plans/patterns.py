@@ -20,6 +20,21 @@ HOST_STOP = quoted(
     "IT-EN EN-IT UTF-8 UTF-16 ISO-8859 X-64 X86-64 WIN-32 WIN-64 MAC-OS IPV-4 IPV-6 RFC-822 RFC-2822 RFC-5321 RFC-5322 TCP-IP IP-SEC HTTP-2 HTTP-3 IEEE-802 IEEE-8021X "
     "USB-3 USB-C HDMI-2 PCI-E PCI-EX M-2 DDR-4 DDR-5 SATA-3 SATA-III SAS-3 US-EN IT-IT EN-US EN-GB FR-FR DE-DE ES-ES"
 )
+BRANDS = quoted(
+    "Microsoft Apple Google Amazon Meta Facebook Intel Qualcomm Cisco Juniper Fortinet Palo Sophos Symantec Oracle Salesforce Atlassian Adobe Autodesk Red Canonical Asrock Asus Gigabyte Acer Lenovo Dell "
+    "Samsung Kingston Western Seagate Hitachi Toshiba Crucial Logitech Razer Corsair Telegram Signal Slack Discord Zoom Bitbucket Windows Win Linux Ubuntu Xubuntu Lubuntu Kubuntu Debian Fedora Arch Mint "
+    "Android Noble Plucky Power Bash Python Java Bit Outlook Teams Office Edge Chrome Firefox Safari Opera Acrobat Photoshop Illustrator Docker Kubernetes Terraform Ansible Puppet Chef Xbox Skype Yammer "
+    "Stream Cortana Siri Alexa Visual Studio Code Notepad Word Excel Active Directory Internet Explorer Group Policy Server Client Mobile Desktop Cloud Mixed Reality Async Sync Cred Dialog Audio Video "
+    "Image Webp Web Wmi Get Set New Remove Appx Original Product Microsoftcorporation Boot Hardware Software Driver Firmware Kernel Disk Drive Partition Volume File Folder User Account Login Logoff Password "
+    "Memory Integrity Security Update Upgrade Secure Trusted Platform Module Gnome Cinnamon Plasma Mate Clonezilla Rufus Etcher Dism Diskpart Diskmgmt Sysprep Wim Bios Phoenix Tcp Udp Http Https Ftp Sftp "
+    "Ssh Telnet Json Xml Yaml Csv Sql Photo Screenshot Bitdefender Gravityzone Eset Kaspersky Avast Malwarebytes Norton Defender Trellix Cylance Nessus Qualys Tenable Metasploit Wireshark Veeam Proxmox "
+    "Zyxel Fortigate Trados Groupshare Multiterm Worldserver Passolo Termbase Sdlxliff Sdltm Xliff Tmx Deactivate Offline Read Only Aruba Seeweb Fastnet Vianova Register Ionos"
+)
+NAME_STOP = quoted(
+    "Il Lo La I Gli Le Un Uno Una Del Dello Della Dei Degli Delle Al Allo Alla Ai Agli Alle Dal Dallo Dalla Dai Dagli Dalle Nel Nello Nella Nei Negli Nelle Sul Sullo Sulla Sui Sugli Sulle "
+    "Per Con Senza Tra Fra Su In A Di Da Questo Questa Questi Queste Quello Quella Quelli Quelle Tale Tali Stesso Stessa Stessi Stesse "
+    "Articolo Comma Punto Capo Titolo Sezione Allegato Capitolo Anno Mese Giorno Data Sede Ufficio"
+)
 HOST_BRANDS = quoted("windows win")  # of the brands, those that a host's pattern can give
 CLASS_STOP = quoted(
     "the a an and or of in for to with on at by from is are was be been it its as use using via see also this that all per such based "
@@ -47,6 +62,10 @@ _CAP = r"[A-ZÀ-Ý][\p{L}\p{N}_&.\-]{1,40}"
 COMPANY = rf"\b({_CAP}(?:\s+{_CAP}){{0,4}})\s+(S\.p\.A\.|SpA|S\.r\.l\.|Srl|S\.n\.c\.|Snc|S\.a\.s\.|Sas|S\.S\.|SCarl|Coop\.?|Ltd\.?|GmbH|Inc\.?|Corp\.?|LLC|S\.A\.|SA|AG|NV|BV)(?:[^\p{{L}}\p{{N}}_]|$)"
 LEGAL_END = r"\s+(S\.?p\.?A\.?|S\.?r\.?l\.?|S\.?a\.?s\.?|S\.?n\.?c\.?|SCarl|Coop\.?|Ltd\.?|GmbH|Inc\.?|Corp\.?|LLC|S\.?A\.?|AG|NV|BV)\s*$"
 
+# a name, unless it begins a text or follows a full stop: there the first capital word is passed over
+_NAME = r"[A-ZÀ-Ý][a-zà-ÿ]+(?:\s+(?:di|della|del|degli|delle|dei|da|de|d'')\s+|\s+)[A-ZÀ-Ý][a-zà-ÿ]+(?:\s+[A-ZÀ-Ý][a-zà-ÿ]+){0,2}"
+PROPER = rf"(?:(?:^|[.!?]\s)[A-ZÀ-Ý][a-zà-ÿ]*)|({_NAME})"
+
 _SIGN = r"[0-9!@#$%^&*_+=]"
 _VALUE = "(?:" + "|".join(rf"\S{{{i}}}{_SIGN}\S{{{5 - i},}}" for i in range(5)) + rf"|\S{{5,}}{_SIGN}\S*|[A-Za-z]{{8,}})"
 SECRETS = [

@@ -81,8 +81,8 @@ def _entity(category: str):
 
 
 def entity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entities by category: occurrences, documents, rank; the fifty most frequent of four categories."""
-    e = E.extract(_docs(spark, sf_dir), ["ACRONYM", "EMAIL", "PROJECT_CODE", "AMOUNT"])
+    """Entities of all twelve categories: occurrences, documents, rank; the fifty most frequent of each."""
+    e = E.extract(_docs(spark, sf_dir))
     g = e.groupBy("category", "value").agg(F.sum("cnt").alias("cnt"), F.count("*").alias("n_docs"))
     rank = F.row_number().over(Window.partitionBy("category").orderBy(F.desc("cnt"), "value"))
     return g.withColumn("rnk", rank).where("rnk <= 50")
@@ -94,16 +94,22 @@ def _global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def global_top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fifty most frequent values of each category over the corpus; equal counts by first appearance."""
+    """The fifty most frequent values of each category over the corpus; equal counts by first appearance. Of companies the eighty most frequent are merged before the cut."""
     rank = F.row_number().over(Window.partitionBy("category").orderBy(F.desc("cnt"), "first_id"))
-    return _global(spark, sf_dir).select("category", "value", "cnt", rank.alias("rnk")).where("rnk <= 50")
+    plain = _global(spark, sf_dir).where("category <> 'COMPANY'").select("category", "value", "cnt", rank.alias("rnk")).where("rnk <= 50")
+    merged = _merged_companies(spark, sf_dir).select("value", "cnt", F.row_number().over(Window.orderBy(F.desc("cnt"), "first_rnk")).alias("rnk")).where("rnk <= 50")  # of eighty rows
+    return plain.unionByName(merged.select(F.lit("COMPANY").alias("category"), "value", "cnt", "rnk"))
 
 
-def company_alias_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The eighty most frequent companies merged by name without legal form; the longest spelling stands for its group, the most frequent of equals."""
+def _merged_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     rank = F.row_number().over(Window.orderBy(F.desc("cnt"), "first_id"))
     top = _global(spark, sf_dir).where("category = 'COMPANY'").orderBy(F.desc("cnt"), "first_id").limit(80).withColumn("rnk", rank)
-    return top.groupBy(T.col(E.company_key("value")).alias("company_key")).agg(F.max_by("value", F.struct(F.length("value"), -F.col("rnk"))).alias("value"), F.sum("cnt").alias("cnt"))
+    return top.groupBy(T.col(E.company_key("value")).alias("company_key")).agg(F.max_by("value", F.struct(F.length("value"), -F.col("rnk"))).alias("value"), F.sum("cnt").alias("cnt"), F.min("rnk").alias("first_rnk"))
+
+
+def company_alias_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eighty most frequent companies merged by name without legal form; the longest spelling stands for its group, the most frequent of equals."""
+    return _merged_companies(spark, sf_dir).drop("first_rnk")
 
 
 def entities_by_node(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,14 +179,18 @@ select doc_id, value, count(*) as cnt from q where list_max(list_transform(strin
     "entity_hostname": f"""
 with c as (select doc_id, list_distinct(regexp_extract_all(text, '{R.HOST_PREFIX}', 1) || list_filter(regexp_extract_all(text, '{R.HOST_DASHED}', 1), lambda h: regexp_matches(h, '\\d') or len(h) - len(replace(h, '-', '')) >= 2)) as hs from documents where text is not null)
 select doc_id, value, 1 as cnt from (select doc_id, unnest(hs) as value from c) where value not in ({_HOST_STOP}) and lower(value) not in ({_BRAND})""",
-    "entity_counts": f"""
-with m as (select doc_id, 'ACRONYM' as category, unnest({_ACR}) as value from documents union all select doc_id, 'EMAIL', unnest({_EMAIL}) from documents
-  union all select doc_id, 'PROJECT_CODE', unnest({_PROJ}) from documents union all select doc_id, 'AMOUNT', unnest({_AMT}) from documents),
-g as (select category, value, count(*) as cnt, count(distinct doc_id) as n_docs from m group by all)
-select * from (select *, row_number() over (partition by category order by cnt desc, value) as rnk from g) where rnk <= 50""",
-    "global_top_entities": """
-with g as (select category, value, sum(coalesce(cnt, 0)) as cnt, min(entity_id) as first_id from (select distinct * from entities) where value is not null group by all)
-select category, value, cnt, rnk from (select *, row_number() over (partition by category order by cnt desc, first_id) as rnk from g) where rnk <= 50""",
+    "entity_proper_noun": f"""
+with f as (select doc_id, list_distinct(flatten(list(regexp_split_to_array(n, '\\s+')))) as firm from (select doc_id, unnest(regexp_extract_all(text, '{R.COMPANY}', 1)) as n from documents) group by 1),
+m as (select doc_id, trim(unnest(regexp_extract_all(text, '{R.PROPER}', 1))) as value from documents where text is not null),
+t as (select doc_id, value, regexp_split_to_array(value, '\\s+') as ts from m where value <> '')
+select doc_id, value, count(*) as cnt from t left join f using (doc_id) where ts[1] not in ({R.NAME_STOP}) and not list_has_any(ts, coalesce(firm, [])) and not list_has_any(ts, [{R.BRANDS}]) group by all""",
+    "global_top_entities": rf"""
+with g as (select category, value, sum(coalesce(cnt, 0)) as cnt, min(entity_id) as first_id from (select distinct * from entities) where value is not null group by all),
+p as (select category, value, cnt, row_number() over (partition by category order by cnt desc, first_id) as rnk from g),
+k as (select *, regexp_replace(lower(regexp_replace(value, '{R.LEGAL_END}', '', 'i')), '[^\p{{L}}\p{{N}}_]', '', 'g') as company_key from p where category = 'COMPANY' and rnk <= 80),
+c as (select arg_max(value, (length(value), -rnk)) as value, sum(cnt) as cnt, min(rnk) as first_rnk from k group by company_key)
+select category, value, cnt, rnk from p where category <> 'COMPANY' and rnk <= 50
+union all select 'COMPANY', value, cnt, row_number() over (order by cnt desc, first_rnk) as rnk from c qualify rnk <= 50""",
     "company_alias_merge": rf"""
 with g as (select value, sum(coalesce(cnt, 0)) as cnt, min(entity_id) as first_id from (select distinct * from entities) where value is not null and category = 'COMPANY' group by all),
 t as (select *, row_number() over (order by cnt desc, first_id) as rnk from g qualify rnk <= 80),
@@ -193,3 +203,8 @@ c as (select doc_id, sum(n_nodes) as n_nodes from f join n using (source_file) g
 e as (select doc_id, category, value, sum(coalesce(cnt, 0)) as cnt from (select distinct * from entities) where value is not null group by all)
 select category, value, sum(cnt * n_nodes) as weighted_cnt from e join c using (doc_id) group by all""",
 }
+
+_ALL = " union all ".join(f"select '{c}' as category, doc_id, value, cnt from ({ORACLES[f'entity_{c.lower()}']})" for c in ("ACRONYM", "COMPANY", "LAW_REF", "PROJECT_CODE", "DATE", "AMOUNT", "EMAIL", "URL", "IP_ADDR", "HOSTNAME", "DOC_REF", "PROPER_NOUN"))
+ORACLES["entity_counts"] = f"""
+with g as (select category, value, sum(cnt) as cnt, count(*) as n_docs from ({_ALL}) group by 1, 2)
+select * from (select *, row_number() over (partition by category order by cnt desc, value) as rnk from g) where rnk <= 50"""

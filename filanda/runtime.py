@@ -37,13 +37,15 @@ def tune(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The shared checkpoint folder: spark.checkpoint.dir, or one of our own where it is unset and there is one machine only (tests); a cluster must name one."""
     sc = spark.sparkContext
     at = sc.getCheckpointDir()
     if at:
         return at
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not named:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
         named = tempfile.mkdtemp(prefix="filanda-")
     sc.setCheckpointDir(named)
     return named

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +16,15 @@ def event_windows(events: DataFrame, window: str = "1 hour", late: str = "2 hour
     return g.select(F.col("w.start").alias("hour"), "event_type", "events", "value")
 
 
+def batches_below(spark: SparkSession, target: str) -> list[str]:
+    """The batch folders of a target on any Hadoop file system; none where the target does not exist yet."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    return sorted(s.getPath().toString() for s in fs.listStatus(path) if s.isDirectory() and s.getPath().getName().startswith("batch="))
+
+
 def ingest_new_files(spark: SparkSession, incoming: str, target: str, checkpoint: str, schema: str) -> StreamingQuery:
     """Reads the Parquet files that arrived in ``incoming`` since the last run, and appends the rows whose ``(doc_id, file_hash)`` the target does not hold.
 
@@ -28,9 +35,9 @@ def ingest_new_files(spark: SparkSession, incoming: str, target: str, checkpoint
     def write(batch: DataFrame, number: int) -> None:
         s = batch.sparkSession
         new = batch.dropDuplicates(["doc_id", "file_hash"])
-        done = [os.path.join(target, d) for d in sorted(os.listdir(target)) if d.startswith("batch=") and d != f"batch={number}"] if os.path.isdir(target) else []
+        done = [d for d in batches_below(s, target) if not d.endswith(f"/batch={number}")]
         if done:
             new = new.join(s.read.schema(schema).parquet(*done).select("doc_id", "file_hash").distinct(), ["doc_id", "file_hash"], "left_anti")
-        new.write.mode("overwrite").parquet(os.path.join(target, f"batch={number}"))
+        new.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
