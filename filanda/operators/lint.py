@@ -69,21 +69,46 @@ def placeholders(texts: DataFrame, template: DataFrame, key: str = "path") -> Da
 
 
 def front_matter(texts: DataFrame, key: str = "path") -> DataFrame:
-    """``key, name, value``: scalar lines of a YAML front matter, quotes stripped; lists in brackets stay as written."""
-    head = F.regexp_extract("text", r"(?s)\A---\s*\n(.*?)\n---\s*(?:\n|\z)", 1)
-    lines = texts.select(key, F.explode(F.split(head, "\n")).alias("l")).where(F.col("l").rlike(r"^[\w-]+:"))
-    return lines.select(key, F.regexp_extract("l", r"^([\w-]+):", 1).alias("name"), F.regexp_replace(T.strip(F.regexp_extract("l", r"^[\w-]+:(.*)$", 1)), r"^([\"'])(.*)\1$", "$2").alias("value"))
+    """``key, name, value, items``: entries of a YAML front matter, quotes stripped.
+
+    ``items`` holds a list's members, written in brackets or one a line after ``-``; ``value`` a scalar, a folded (``>``) block joined by blanks and a literal (``|``) one by line
+    breaks. Nested maps are left out; a text without front matter gives no rows.
+    """
+    head = F.regexp_extract("text", r"(?s)\A\ufeff?---\s*\n(.*?)\n---\s*(?:\n|\z)", 1)
+    entry = F.filter(F.split(head, r"\n(?=[\w-]+:)"), lambda e: e.rlike(r"(?s)^[\w-]+:"))
+    e = texts.select(key, F.explode(entry).alias("e")).select(key, F.regexp_extract("e", r"^([\w-]+):", 1).alias("name"), F.regexp_extract("e", r"(?s)^[\w-]+:[ \t]*(.*)$", 1).alias("raw"))
+    bare = lambda c: F.regexp_replace(T.strip(c), r"(?s)^([\"'])(.*)\1$", "$2")
+    lines = F.filter(F.split("raw", "\n"), lambda l: F.trim(l) != "")
+    block = F.transform(F.slice(F.split("raw", "\n"), 2, 10_000), T.strip)
+    dashed = F.transform(F.filter(lines, lambda l: l.rlike(r"^\s*-\s")), lambda l: bare(F.regexp_replace(l, r"^\s*-\s+", "")))
+    inline = F.transform(F.split(F.regexp_extract("raw", r"(?s)^\[(.*)\]\s*$", 1), ","), bare)
+    is_inline, is_dashed = F.col("raw").rlike(r"(?s)^\[.*\]\s*$"), F.col("raw").rlike(r"(?s)^\s*\n?\s*-\s")
+    items = F.when(is_inline, F.filter(inline, lambda x: x != "")).when(is_dashed, dashed)
+    folded, literal = F.col("raw").rlike(r"^>[+-]?\s*\n"), F.col("raw").rlike(r"^\|[+-]?\s*\n")
+    value = F.when(folded, T.strip(F.array_join(block, " "))).when(literal, T.strip(F.array_join(block, "\n"))).when(is_inline | is_dashed, None).otherwise(bare(F.split("raw", "\n")[0]))
+    return e.select(key, "name", value.alias("value"), items.alias("items")).where("items is not null or value is not null")
 
 
 def draft_blocks(texts: DataFrame, key: str = "path") -> DataFrame:
-    """``key, line_no, kind, level, value``: headings and lines of a draft from its first level-2 heading on, and footnote definitions anywhere."""
+    """``key, line_no, kind, level, value``: headings and lines of a draft from its first heading of level 2 or below on, and footnote definitions anywhere.
+
+    Indented lines right after a definition go on with it, joined by blanks; a blank line or one without indent ends it.
+    """
     l = numbered_lines(texts, key).where("not in_code")
     note = F.regexp_extract("line", r"^\[\^([^\]]+)\]:\s*(.*)$", 1)
     head = F.regexp_extract("line", r"^(#{1,6})\s+\S", 1)
-    started = F.sum(F.when(F.length(head) >= 2, 1).otherwise(0)).over(Window.partitionBy(key).orderBy("line_no")) > 0
-    kind = F.when(note != "", "footnote").when(started & (head != ""), "heading").when(started & (F.trim("line") != ""), "text")
-    value = F.when(note != "", F.regexp_extract("line", r"^\[\^[^\]]+\]:\s*(.*)$", 1)).otherwise(T.strip(F.regexp_replace("line", r"^#{1,6}\s+", "")))
-    return l.select(key, "line_no", kind.alias("kind"), F.length(head).alias("level"), value.alias("value")).where("kind is not null")
+    order = Window.partitionBy(key).orderBy("line_no")
+    goes_on = F.col("line").rlike(r"^(?: {2,}|\t)\S")
+    # a run begins at each line that does not go on; a run that begins with a definition is the note
+    runs = l.withColumn("note", note).withColumn("run", F.sum(F.when(goes_on, 0).otherwise(1)).over(order))
+    starts = runs.withColumn("of_note", F.first("note").over(Window.partitionBy(key, "run").orderBy("line_no")) != "")
+    started = F.sum(F.when(F.length(head) >= 2, 1).otherwise(0)).over(order) > 0
+    kind = F.when(F.col("of_note"), "footnote").when(started & (head != ""), "heading").when(started & (F.trim("line") != ""), "text")
+    value = F.when(F.col("note") != "", F.regexp_extract("line", r"^\[\^[^\]]+\]:\s*(.*)$", 1)).otherwise(T.strip(F.regexp_replace("line", r"^#{1,6}\s+", "")))
+    rows = starts.select(key, "line_no", "run", kind.alias("kind"), F.length(head).alias("level"), value.alias("value")).where("kind is not null")
+    notes = rows.where("kind = 'footnote'").groupBy(key, "run").agg(F.min("line_no").alias("line_no"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "value"))), lambda x: x["value"]), " ").alias("value"))
+    others = rows.where("kind <> 'footnote'").drop("run")
+    return others.unionByName(notes.select(key, "line_no", F.lit("footnote").alias("kind"), F.lit(0).alias("level"), F.trim("value").alias("value")))
 
 
 def orphan_footnotes(texts: DataFrame, key: str = "path") -> DataFrame:

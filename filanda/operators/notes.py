@@ -107,6 +107,24 @@ def review_report(classified: DataFrame) -> DataFrame:
     return classified.where("bucket = 'fit'").select("domain", "capability", line.alias("line"))
 
 
+def report_parts(classified: DataFrame, proposals: DataFrame) -> DataFrame:
+    """``part, head, place, line``: a review report as lines in order: the counts, the fits under their capability, proposed capabilities by falling recall, proposed domains, and what is left.
+
+    ``proposals`` are rows of ``near_misses``. Each part's lines have their own numbers, by a window over one capability, so no part passes through one task as a whole.
+    """
+    counts = classified.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("needs_review").alias("r"))
+    summary = counts.select(F.lit("1 summary").alias("part"), F.lit("").alias("head"), F.col("bucket").alias("o"), F.format_string("| %s | %d | %d |", "bucket", "n", "r").alias("line"))
+    head = F.concat(F.lit("["), F.coalesce("domain", F.lit("-")), F.lit("] "), F.coalesce("capability", F.lit("-")))
+    score = F.format_string("%08.3f", F.lit(1000) - F.col("score"))
+    mark = F.when(F.col("needs_review"), F.lit(" **review**")).otherwise(F.lit(""))
+    fit_line = F.concat(F.lit("- "), "node_id", F.format_string(" (%.3f, margin %.4f)", F.col("score"), F.col("margin")), mark)
+    fits = classified.where("bucket = 'fit'").select(F.lit("2 fits").alias("part"), head.alias("head"), F.concat(score, "node_id").alias("o"), fit_line.alias("line"))
+    new = proposals.select(F.when(F.col("proposal") == "new_capability", "3 new capabilities").otherwise("4 new domains").alias("part"), F.lit("").alias("head"), F.concat(F.format_string("%08.4f", F.lit(1000) - F.col("domain_recall")), F.format_string("%012d", F.col("community").cast("long"))).alias("o"), F.format_string("- community %d: %d nodes, mean %.4f, recall %.4f", F.col("community").cast("long"), "nodes", "mean_score", "domain_recall").alias("line"))
+    left = classified.where("bucket = 'unclassified'").select(F.lit("5 unclassified").alias("part"), F.substring("node_id", 1, 1).alias("head"), F.col("node_id").alias("o"), F.concat(F.lit("- "), "node_id").alias("line"))
+    every = summary.unionByName(fits).unionByName(new).unionByName(left)
+    return every.select("part", "head", F.row_number().over(Window.partitionBy("part", "head").orderBy("o")).alias("place"), "line")
+
+
 def export_json(df: DataFrame, path: str, overwrite: bool = False) -> None:
     """Rows as JSON lines; an existing export is an error unless it may be overwritten."""
     df.write.mode("overwrite" if overwrite else "errorifexists").json(path)

@@ -118,3 +118,35 @@ def new_page(groups: DataFrame, most: int = 10) -> DataFrame:
 def missing_pages(proposed: DataFrame, pages: DataFrame) -> DataFrame:
     """The proposed pages that do not exist yet; both have ``page``."""
     return proposed.join(pages.select("page").distinct(), "page", "left_anti")
+
+
+# The locales that a page may have beside its default.
+LOCALES = ("it", "en", "es")
+
+
+def locale_variants(pages: DataFrame) -> DataFrame:
+    """``base, locale, page``: each page under its name without locale; the default page has none. ``pages``: ``page``, such as ``rete`` or ``rete.en``."""
+    locale = F.regexp_extract("page", r"\.(" + "|".join(LOCALES) + ")$", 1)
+    base = F.regexp_replace("page", r"\.(" + "|".join(LOCALES) + ")$", "")
+    return pages.select(base.alias("base"), F.nullif(locale, F.lit("")).alias("locale"), "page").distinct()
+
+
+def on_variants(wanted: DataFrame, pages: DataFrame) -> DataFrame:
+    """Rows of ``wanted`` (by ``page``, a default page) once for each variant of their page that exists; those of a page that does not exist are left out."""
+    v = locale_variants(pages).select("base", F.col("page").alias("_page"))
+    return wanted.join(v, F.col("page") == F.col("base")).drop("page", "base").withColumnRenamed("_page", "page").select(wanted.columns)
+
+
+def repair(blocks: DataFrame, section: str = SECTION, prose: str = r"(?i)\b(?:in data\s+\d|please complete|si e' scritto|e' stato creato|in alternativa dal)") -> DataFrame:
+    """``blocks`` without prose headings inside the section: headings of level 2 that a flattened text opened there by mistake become text of the block before them.
+
+    What follows such a heading belongs to the section again. Blocks without anchor, and headings elsewhere, stay.
+    """
+    order = Window.partitionBy("page").orderBy("ord")
+    wrong = (F.col("kind") == "h2") & F.col("title").rlike(prose)
+    kept = F.when(~wrong & (F.col("kind") == "h2"), F.col("title"))
+    b = blocks.withColumn("wrong", F.coalesce(wrong, F.lit(False))).withColumn("section", F.last(kept, True).over(order))
+    b = b.withColumn("wrong", F.col("wrong") & (F.col("section") == section))
+    carried = F.concat_ws("\n\n", F.col("body"), F.lead(F.when(F.col("wrong"), F.col("body"))).over(order))
+    follows = F.coalesce(F.lead("wrong").over(order), F.lit(False))
+    return b.withColumn("body", F.when(follows, F.trim(carried)).otherwise(F.col("body"))).where("not wrong").drop("wrong")

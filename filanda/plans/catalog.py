@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from filanda.functions import text as T
 from filanda.functions import typography as Y
 from filanda.operators import audit as A
 from filanda.operators import gate as G
+from filanda.operators import notes as N
 from filanda.operators import publish as P
 from filanda.operators import registry as R
 from filanda.plans import patterns, pipeline
@@ -104,6 +105,26 @@ def scrub_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(F.explode("scrubbed").alias("rule")).groupBy("rule").agg(F.count("*").alias("fields"))
 
 
+def gate_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to five rows of each bucket and reason of the gate."""
+    g = G.gate(table(spark, sf_dir, "taxonomy_diff").distinct()).select("bucket", "reason", "diff_id", "label")
+    return g.withColumn("r", F.row_number().over(Window.partitionBy("bucket", "reason").orderBy("diff_id"))).where("r <= 5")
+
+
+def page_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capabilities as pages with an English and an Italian variant of every other one, and the evidence each variant gets."""
+    wanted = P.evidence(pipeline._fits(spark, sf_dir)).select("page", "sid")
+    base = wanted.select("page").distinct()
+    pages = base.unionByName(base.where("length(page) % 2 = 0").select(F.concat("page", F.lit(".en")).alias("page"))).unionByName(base.where("length(page) % 3 = 0").select(F.concat("page", F.lit(".it")).alias("page")))
+    return P.on_variants(wanted, pages).groupBy("page").agg(F.count("*").alias("blocks"))
+
+
+def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fits of the review report under their capability, and the names left unclassified."""
+    c = pipeline._classified(spark, sf_dir)
+    return N.report_parts(c, pipeline.near_miss_communities(spark, sf_dir)).where("part in ('1 summary', '5 unclassified')")
+
+
 def gated_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proposals by community: the nodes that stay and those dropped."""
     d = table(spark, sf_dir, "taxonomy_diff").distinct().where("bucket in ('new_capability', 'new_domain') and community_id is not null and node_id is not null")
@@ -171,7 +192,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         registry_lines, registry_counts, next_items, documents_by_path, path_areas, listed_paths, wrapper_changes, sanitized_stems, sanitized_notes, collected_text, findings_total, audit_gate, scrub_counts,
-        gated_groups, structure_findings, domain_findings, person_token_scrub, audit_person_terms, keyword_averages, token_report, new_pages, published_markdown,
+        gate_examples, page_variants, review_lines, gated_groups, structure_findings, domain_findings, person_token_scrub, audit_person_terms, keyword_averages, token_report, new_pages, published_markdown,
     )
 }
 
@@ -217,6 +238,10 @@ d as (select doc_id, coalesce(string_agg(t, chr(10) order by ord, section_id) fi
 select doc_id, length(text) as n_chars, md5(text) as digest from d""",
     "findings_total": f"with f as ({_FOUND}) select category, count(*) as findings, count(distinct path) as files from f group by 1 union all select 'total', count(*), count(distinct path) from f",
     "audit_gate": f"with f as ({_FOUND}), c as (select count_if(starts_with(category, 'secret-')) as secrets, count_if(starts_with(category, 'residue-')) as residues from f) select *, secrets = 0 as no_secrets, secrets + residues = 0 as passed from c",
+    "gate_examples": pipeline._GATE + "select bucket, reason, diff_id, label, row_number() over (partition by bucket, reason order by diff_id) as r from g qualify r <= 5",
+    "page_variants": pipeline._FITS + ", c as (select page, count(*) as blocks from f group by 1) select page, blocks from c union all select page || '.en', blocks from c where length(page) % 2 = 0 union all select page || '.it', blocks from c where length(page) % 3 = 0",
+    "review_lines": f"with c as ({pipeline.ORACLES['classify_nodes']}) select '1 summary' as part, '' as head, row_number() over (order by bucket) as place, '| ' || bucket || ' | ' || count(*) || ' | ' || count_if(needs_review) || ' |' as line from c group by bucket "
+    "union all select '5 unclassified', node_id[1:1], row_number() over (partition by node_id[1:1] order by node_id), '- ' || node_id from c where bucket = 'unclassified'",
     "scrub_counts": " union all ".join(f"select '{n}' as rule, count(*) as fields from (select distinct * from taxonomy_diff) where regexp_matches(text_preview, '{p}') having count(*) > 0" for n, p in patterns.RESIDUE),
     "gated_groups": f"""
 with d as (select community_id as group_id, node_id, coalesce({pipeline._case('label', patterns.SECRETS)}, {pipeline._case('text_preview', patterns.SECRETS)}) is not null as secret, {pipeline._case('label', patterns.RESIDUE)} is not null as residue

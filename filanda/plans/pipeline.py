@@ -11,7 +11,7 @@ from filanda.operators import audit as A
 from filanda.operators import gate as G
 from filanda.operators import publish as P
 from filanda.operators import taxonomy as X
-from filanda.operators.snapshots import snapshot_changes
+from filanda.operators.snapshots import normal_path, snapshot_changes, snapshot_order
 from filanda.plans import patterns as R
 from filanda.runtime import table
 
@@ -165,9 +165,14 @@ def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Added, removed and changed paths of each snapshot."""
-    c = snapshot_changes(table(spark, sf_dir, "ingest_state"))
-    return c.groupBy("state_id").agg(*[F.count_if(F.col("change") == x).alias(x) for x in ("added", "removed", "changed")])
+    """Added, removed, changed and unchanged paths of each snapshot but a folder's first."""
+    states = table(spark, sf_dir, "ingest_state")
+    c = snapshot_changes(states).groupBy("state_id").agg(*[F.count_if(F.col("change") == x).alias(x) for x in ("added", "removed", "changed")])
+    held = F.size(F.array_distinct(F.filter(F.transform(F.map_keys("files"), normal_path), lambda k: k != "")))
+    sizes = states.where("files is not null").groupBy("state_id").agg(F.max(held).alias("held"))
+    later = snapshot_order(states).where("seq > 1").select("state_id").join(sizes, "state_id").join(c, "state_id", "left")
+    n = {x: F.coalesce(F.col(x), F.lit(0)) for x in ("added", "removed", "changed")}
+    return later.select("state_id", *[v.alias(k) for k, v in n.items()], (F.col("held") - n["added"] - n["changed"]).alias("unchanged"))
 
 
 def doc_types(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,8 +330,8 @@ m as (select *, list_transform(map_keys(files), lambda k: regexp_replace(replace
 p as (select *, list_transform(list_zip(ks, vs), lambda z: z[1] || chr(9) || z[2]) as rows from m),
 l as (select state_id, ks, rows, lag(ks) over w as ks0, lag(rows) over w as rows0 from p window w as (partition by folder_key order by inst)),
 c as (select state_id, len(list_filter(list_distinct(ks), lambda k: not list_contains(ks0, k))) as added, len(list_filter(list_distinct(ks0), lambda k: not list_contains(ks, k))) as removed,
-  len(list_filter(list_distinct(rows), lambda r: not list_contains(rows0, r) and list_contains(ks0, split_part(r, chr(9), 1)))) as changed from l where ks0 is not null)
-select * from c where added + removed + changed > 0""",
+  len(list_filter(list_distinct(rows), lambda r: not list_contains(rows0, r) and list_contains(ks0, split_part(r, chr(9), 1)))) as changed, len(list_distinct(ks)) as held from l where ks0 is not null)
+select state_id, added, removed, changed, held - added - changed as unchanged from c""",
     "doc_types": f"select {_TYPE.format('lower(file_name)')} as doc_type, count(*) as docs from (select distinct doc_id, file_name from doc_skeleton) group by 1",
     "note_heads": rf"""
 with k as (select doc_id, max(file_name) as name from doc_skeleton group by 1),

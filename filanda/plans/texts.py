@@ -46,11 +46,11 @@ def heading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def section_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines assigned to sections: a numbered heading opens one; sections without lines are dropped."""
-    lines = _docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line")).where(F.trim("line") != "")
+    """Lines assigned to sections: a numbered heading opens one; sections without lines are dropped, unless the document would have none left."""
+    lines = _docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line")).where(T.strip("line") != "")
     head = T.numbered_level("line").isNotNull()
     placed = lines.withColumn("sec", F.sum(head.cast("int")).over(Window.partitionBy("doc_id").orderBy("n"))).withColumn("head", head)
-    return placed.groupBy("doc_id", "sec").agg(F.max(F.when(F.col("head"), F.col("line"))).alias("title"), F.sum((~F.col("head")).cast("int")).alias("n_lines"), F.sum(F.when(~F.col("head"), T.word_count("line")).otherwise(0)).alias("n_words")).where("n_lines > 0")
+    return placed.groupBy("doc_id", "sec").agg(F.max(F.when(F.col("head"), F.col("line"))).alias("title"), F.sum((~F.col("head")).cast("int")).alias("n_lines"), F.sum(F.when(~F.col("head"), T.word_count("line")).otherwise(0)).alias("n_words")).withColumn("most", F.max("n_lines").over(Window.partitionBy("doc_id"))).where("n_lines > 0 or most = 0").drop("most")
 
 
 def section_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,9 +155,9 @@ with l as (select doc_id, generate_subscripts(ls, 1) - 1 as line_no, unnest(ls)
 select doc_id, line_no, len(string_split(regexp_extract(line, '{_NUMBERED}', 1), '.')) as level, regexp_extract(line, '{_NUMBERED}', 2) as title from l where regexp_matches(line, '{_NUMBERED}')""",
     "section_split": rf"""
 with l as (select doc_id, generate_subscripts(ls, 1) as n, unnest(ls) as text from (select doc_id, string_split(text, chr(10)) as ls from documents where text is not null)),
-h as (select *, regexp_matches(text, '{_NUMBERED}') as head from l where trim(text) <> ''),
+h as (select *, regexp_matches(text, '{_NUMBERED}') as head from l where regexp_replace(text, '[\s\p{{Z}}]+', '', 'g') <> ''),
 p as (select *, sum(head::int) over (partition by doc_id order by n rows unbounded preceding) as sec from h)
-select doc_id, sec, max(text) filter (where head) as title, sum((not head)::int) as n_lines, sum(case when head then 0 else {_WORDS} end) as n_words from p group by doc_id, sec having sum((not head)::int) > 0""",
+select doc_id, sec, max(text) filter (where head) as title, sum((not head)::int) as n_lines, sum(case when head then 0 else {_WORDS} end) as n_words from p group by doc_id, sec qualify sum((not head)::int) > 0 or max(sum((not head)::int)) over (partition by doc_id) = 0""",
     "section_previews": rf"""
 with s as (select distinct section_id, array_to_string(paragraphs, chr(10) || chr(10)) as text, paragraphs from sections where paragraphs is not null)
 select section_id, regexp_replace(substr(text, 1, 200), '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g') as start, case when length(text) > 300 then regexp_replace(right(text, 100), '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g') else '' end as tail, length(text) as n_chars, {_WORDS} as n_words from s""",

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from filanda import config
 from filanda.functions import typography as Y
-from filanda.operators import audit, gate, publish, registry
+from filanda.operators import audit, gate, notes, publish, registry
 from filanda.operators import snapshots as S
 from filanda.operators import taxonomy as X
-from filanda.sources import docx
+from filanda.sources import docx, files
 from tests.conftest import rows
 
 
@@ -216,3 +216,49 @@ def test_guards_lose_nothing(spark):
     audit_rules = [(n + "-x" if n.startswith(("secret", "residue-email", "residue-ip-abb")) else n, p) for n, p in [*gate.SECRETS, *gate.RESIDUE]]
     plain = [(p, c.removesuffix("-x"), v) for p, c, v in rows(audit.leak_findings(files, [(n.replace("secret-", "s-").replace("residue-", "r-"), p) for n, p in audit_rules]))]
     assert [(p, v) for p, _, v in with_guards] and sorted((p, v) for p, _, v in with_guards) == sorted((p, v) for p, _, v in plain)
+
+
+def test_file_lists(spark):
+    f = spark.createDataFrame([("a/x.md",), ("a/b/y.md",), ("c/.md-unwrap-ignore",), ("c/d/z.md",), ("e.txt",), ("a+b/q.md",)], "rel string")
+    assert [r[0] for r in rows(files.matching(f, ["a/*.md", "**/z.md"]))] == ["a/x.md", "c/d/z.md"] and [r[0] for r in rows(files.matching(f, ["a/**", "a+b/?.md"]))] == ["a+b/q.md", "a/b/y.md", "a/x.md"]
+    assert files.matching(f, []).count() == 0
+    assert "c/d/z.md" not in [r[0] for r in rows(files.without_marked(f))] and files.without_marked(f).count() == 4
+    assert files.without_marked(f.unionByName(spark.createDataFrame([(".md-unwrap-ignore",)], "rel string"))).count() == 0
+    lines = ["## commento", "", "a/b/ # generato", "x.md #", "# solo motivo", "y.md # perché # sì"]
+    got = {r.line_no: (r.path, r.reason, r.subtree, r.error) for r in files.exclusion_rules(spark.createDataFrame(list(enumerate(lines)), "line_no int, line string")).collect()}
+    assert got == {2: ("a/b/", "generato", True, None), 3: ("x.md", "", False, "no-reason"), 4: ("", "solo motivo", False, "no-path"), 5: ("y.md", "perché # sì", False, None)}
+
+
+def test_texts_come_back_as_they_were(spark):
+    raws = ["\ufeffuno\r\ndue\r\n", "uno\ndue\n", "", "\ufeffx"]
+    d = spark.createDataFrame([(i, r.encode()) for i, r in enumerate(raws)], "i int, content binary")
+    raw = F.col("content").cast("string")
+    back = d.select("i", files.decoded("content").alias("t"), raw.startswith("\ufeff").alias("b"), F.contains(raw, F.lit("\r\n")).alias("c")).select("i", files.restored("t", "b", "c").alias("r"))
+    assert [r.r for r in back.orderBy("i").collect()] == raws
+
+
+def test_texts_of_nodes(spark):
+    n = spark.createDataFrame([(1, "a.md"), (2, "b.png"), (3, None), (4, " "), (5, "gone.md")], "id int, source_file string")
+    f = spark.createDataFrame([("a.md", b"testo\xff"), ("b.png", b"x")], "rel string, content binary")
+    assert rows(files.source_texts(n, f).select("id", F.coalesce("text", F.lit("-")))) == [(1, "testo\ufffd"), (2, "-"), (3, "-"), (4, "-"), (5, "-")]
+
+
+def test_variants_and_repair(spark):
+    pages = spark.createDataFrame([("rete",), ("rete.en",), ("altro.it",)], "page string")
+    assert sorted(map(str, rows(publish.locale_variants(pages).select("base", F.coalesce("locale", F.lit("-")))))) == ["('altro', 'it')", "('rete', '-')", "('rete', 'en')"]
+    w = spark.createDataFrame([("rete", "s1"), ("nuova", "s2")], "page string, sid string")
+    assert rows(publish.on_variants(w, pages)) == [("rete", "s1"), ("rete.en", "s1")]
+    page = spark.createDataFrame([("p", "# P\n\n## Evidence\n\n### Uno\n\ncorpo\n\n## In data 15/11/2024 si nota\n\nseguito\n\n### Due\n\nx\n\n## Altro\n\n## Please complete\n")], "page string, markdown string")
+    b = publish.repair(publish.parse_pages(page)).orderBy("ord").collect()
+    assert [r.title for r in b if r.kind != "text"] == ["Evidence", "Uno", "Due", "Altro", "Please complete"] and next(r.body for r in b if r.title == "Uno").endswith("seguito")
+    assert next(r.section for r in b if r.title == "Due") == "Evidence"
+
+
+def test_review_report_in_parts(spark):
+    c = [("n1", "d", "x", 0.5, "fit", 0.1, True), ("n2", "d", "x", 0.9, "fit", 0.4, False), ("n3", None, None, 0.0, "unclassified", 0.0, False), ("n4", "d", "x", 0.1, "near", 0.0, True)]
+    classified = spark.createDataFrame(c, "node_id string, domain string, capability string, score double, bucket string, margin double, needs_review boolean")
+    near = spark.createDataFrame([(7, "d", 2, 0.05, 0.5, "new_capability"), (8, "d", 1, 0.05, 0.9, "new_capability"), (9, "d", 1, 0.02, 0.0, "new_domain")], "community int, domain string, nodes long, mean_score double, domain_recall double, proposal string")
+    got = notes.report_parts(classified, near).orderBy("part", "head", "place").collect()
+    assert [r.line for r in got if r.part.startswith("1")] == ["| fit | 2 | 1 |", "| near | 1 | 1 |", "| unclassified | 1 | 0 |"]
+    assert [r.line for r in got if r.part.startswith("2")] == ["- n2 (0.900, margin 0.4000)", "- n1 (0.500, margin 0.1000) **review**"] and got[3].head == "[d] x"
+    assert [r.line[:13] for r in got if r.part[0] in "34"] == ["- community 8", "- community 7", "- community 9"] and got[-1].line == "- n3"

@@ -23,7 +23,12 @@ def test_prose(spark):
 
 def test_heads_and_drafts(spark):
     d = spark.createDataFrame([("a", "---\ntitle: \"Uno: due\"\ntags: [a, b]\n---\nx"), ("b", "x")], PATHS)
-    assert rows(lint.front_matter(d)) == [("a", "tags", "[a, b]"), ("a", "title", "Uno: due")]
+    assert {r.name: (r.value, r["items"]) for r in lint.front_matter(d).collect()} == {"tags": (None, ["a", "b"]), "title": ("Uno: due", None)}
+    long = "---\ncovers:\n  - a/b\n  - 'c d'\nnote: >\n  una riga\n  e due\nraw: |\n  x\n  y\nempty: []\nplain: 7\n---\n"
+    got = {r.name: (r.value, r["items"]) for r in lint.front_matter(spark.createDataFrame([("a", long)], PATHS)).collect()}
+    assert got == {"covers": (None, ["a/b", "c d"]), "note": ("una riga e due", None), "raw": ("x\ny", None), "empty": (None, []), "plain": ("7", None)}
+    f = spark.createDataFrame([("a", "## Uno\n[^1]: nota\n    che segue\n\ttesto\n\naltro\n  rientro")], PATHS)
+    assert rows(lint.draft_blocks(f).select("line_no", "kind", "value")) == [(1, "heading", "Uno"), (2, "footnote", "nota che segue testo"), (6, "text", "altro"), (7, "text", "rientro")]
     e = spark.createDataFrame([("a", "prima\n## Uno\ntesto[^1] e[^2]\n[^1]: nota\n[^3]: sola")], PATHS)
     assert rows(lint.draft_blocks(e).select("line_no", "kind", "value")) == [(2, "heading", "Uno"), (3, "text", "testo[^1] e[^2]"), (4, "footnote", "nota"), (5, "footnote", "sola")]
     assert rows(lint.orphan_footnotes(e)) == [("a", "2", "undefined"), ("a", "3", "unused")]
@@ -57,7 +62,11 @@ def test_links_by_shared_words(spark, tmp_path):
     titles = spark.createDataFrame([(1, "Verbale_x.docx"), (3, "Verbale_a.docx"), (4, "Verbale_b.docx")], "doc_id long, file_name string")
     previews.write.parquet(str(tmp_path / "sections.parquet"))
     titles.write.parquet(str(tmp_path / "doc_skeleton.parquet"))
-    assert rows(quality.note_links(spark, str(tmp_path))) == [(1, "verbale", 3), (1, "verbale", 4)]
+    words, targets = quality.note_links(spark, str(tmp_path)), quality.note_targets(spark, str(tmp_path))
+    assert rows(words) == [(1, "verbale", 2)] and rows(targets) == [("verbale", 1), ("verbale", 3), ("verbale", 4)]
+    pairs = words.join(targets, "token").where("doc_id <> target").select("doc_id", "token", "target")
+    whole = notes.title_links(previews.selectExpr("doc_id", "preview_start as text"), titles.withColumnRenamed("file_name", "name"))
+    assert rows(pairs) == rows(whole) == [(1, "verbale", 3), (1, "verbale", 4)]  # the two tables hold every link
     got = notes.linked_previews(previews.where("section_id = 2").selectExpr("doc_id", "preview_start as text"), titles.withColumnRenamed("file_name", "name"), shared=True)
     assert rows(got) == [(1, "Vedi [[Verbale_a|verbale]], poi [[Verbale_b|verbale]]")]
 
