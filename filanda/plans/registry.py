@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filanda.plans import catalog, changes, graph, pipeline, quality, texts
+from filanda.plans import catalog, changes, folders, graph, pipeline, quality, texts
 
-MODULES = (changes, texts, graph, pipeline, quality, catalog)
+MODULES = (changes, texts, graph, pipeline, quality, catalog, folders)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
