@@ -45,8 +45,10 @@ COMPANY = r"(?<![\p{L}\p{N}_])([A-ZÀ-Ý][\p{L}\p{N}_&.\-]{1,40}(?:\s+[A-ZÀ-Ý]
 LAW = r"(?iU)(?:D\.?\s?Lgs\.?|D\.?\s?L\.?|D\.?\s?P\.?R\.?|D\.?\s?M\.?|Legge|Reg(?:olamento)?\.?\s*(?:UE|CE|CEE)?|Direttiva|art(?:icolo|t)?\.?|comma\s+|Allegato\s+)\s*n?\.?\s*\d+(?:[./\-]\d+)*(?:/\d+)?"
 PROJECT = r"\b([A-Z]{2,5}[-_/]\d{1,4}(?:[-_/][A-Z0-9]{1,8}){0,3})\b"
 DATE = r"(?i)\b(\d{1,2}[/\-.]\d{1,2}[/\-.]\d{2,4}|\d{4}[/\-]\d{1,2}[/\-]\d{1,2}|\d{1,2}\s+(?:gennaio|febbraio|marzo|aprile|maggio|giugno|luglio|agosto|settembre|ottobre|novembre|dicembre)\s+\d{4})\b"
-AMOUNT_WORD = r"(?i)(?:euro|EUR)\s*([\d.,]*\d[\d.,]*)|([\d.,]*\d[\d.,]*)\s*(?:euro|EUR)"
-AMOUNT_SIGN = r"€\s*([\d.,]*\d[\d.,]*)|([\d.,]*\d[\d.,]*)\s*€"
+# possessive, and from a run's start only: a run is whole or no number, so nothing is tried twice
+_RUN = r"(?<![\d.,])[.,]*+\d[\d.,]*+"
+AMOUNT_WORD = rf"(?i)(?:euro|EUR)\s*[.,]*+\d[\d.,]*+|{_RUN}\s*(?:euro|EUR)"
+AMOUNT_SIGN = rf"€\s*[.,]*+\d[\d.,]*+|{_RUN}\s*€"
 EMAIL = r"([\p{L}\p{N}_][\p{L}\p{N}_.\-]*@[\p{L}\p{N}_.\-]+\.[\p{L}\p{N}_]{2,})"
 URL = r"(https?://[^\s)\]]+|www\.[^\s)\]]+)"
 IP = r"(?<![\d.])(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?:/\d{1,2})?)(?![\d.])"
@@ -70,8 +72,8 @@ def _keep(items: Column, stop: list[str]) -> Column:
 
 
 def acronyms(text: C) -> Column:
-    """Runs of letters that are 2 to 7 capitals, without stop words."""
-    return _keep(F.filter(_all(text, r"([A-Za-z]+)"), lambda w: w.rlike(r"^[A-Z]{2,7}$")), ACRONYM_STOP)
+    """Runs of 2 to 7 capitals that touch no other ASCII letter, without stop words."""
+    return _keep(_all(text, r"(?<![A-Za-z])([A-Z]{2,7})(?![A-Za-z])"), ACRONYM_STOP)
 
 
 def companies(text: C) -> Column:
@@ -94,8 +96,8 @@ def dates(text: C) -> Column:
 def amounts(text: C) -> Column:
     """"EUR " and the number, by word and by sign, a digit being required."""
 
-    def of(p: str) -> Column:
-        return F.zip_with(_all(text, p, 1), _all(text, p, 2), lambda a, b: F.concat(F.lit("EUR "), F.when(a != "", a).otherwise(b)))
+    def of(p: str) -> Column:  # a match has one run of digits, whichever side it is on
+        return F.transform(_all(text, p, 0), lambda m: F.concat(F.lit("EUR "), F.regexp_extract(m, r"[\d.,]*\d[\d.,]*", 0)))
 
     return F.concat(of(AMOUNT_WORD), of(AMOUNT_SIGN))
 
@@ -129,10 +131,10 @@ def proper_nouns(text: C) -> Column:
     """Two to four capital words away from a sentence's start; none that begins with a stop word, or holds a company's word or a brand."""
     firm = F.flatten(F.transform(_all(text, COMPANY, 1), lambda n: F.split(n, r"\s+")))
     tokens = lambda x: F.split(x, r"\s+")
-    return F.filter(
-        F.transform(_all(text, PROPER), lambda x: F.trim(x)),
-        lambda x: ~F.array_contains(_list(NAME_STOP), tokens(x)[0]) & ~F.arrays_overlap(tokens(x), firm) & ~F.arrays_overlap(tokens(x), _list(BRANDS)),
-    )
+    fits = lambda x, words: ~F.array_contains(_list(NAME_STOP), tokens(x)[0]) & ~F.arrays_overlap(tokens(x), words) & ~F.arrays_overlap(tokens(x), _list(BRANDS))
+    names = F.transform(_all(text, PROPER), lambda x: F.trim(x))
+    # the companies' words as the one element of an array, so that they are found once a text and not once a name
+    return F.transform(F.array(firm), lambda words: F.filter(names, lambda x: fits(x, words)))[0]
 
 
 EXTRACTORS = {
