@@ -105,8 +105,8 @@ def mix_audit(mixed: DataFrame, sized: DataFrame, targets: DataFrame) -> DataFra
     got = mixed.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), (F.max("repeat_no") + 1).alias("repeats"))
     longest = sized.where("n_tokens > 0").groupBy("source").agg(F.max("n_tokens").alias("longest"))
     every = Window.partitionBy()
-    r = caps.join(got, "source", "left").join(longest, "source", "left").withColumn("present", F.col("tokens").isNotNull())
+    r = caps.join(got, "source", "left").join(longest, "source", "left").withColumn("present", F.col("longest").isNotNull()).withColumn("tokens", F.coalesce("tokens", F.lit(0)))
     share = F.col("share") / F.sum(F.when(F.col("present"), F.col("share"))).over(every)
     gap = F.abs(F.col("tokens") - share * F.sum("tokens").over(every))
     near = gap <= F.col("longest") + share * F.sum("longest").over(every)
-    return r.select("source", "present", F.coalesce(near, F.lit(True)).alias("on_target"), F.coalesce(F.col("repeats") <= F.col("cap"), F.lit(True)).alias("within_repeats"))
+    return r.select("source", "present", F.coalesce(near | ~F.col("present"), F.lit(True)).alias("on_target"), F.coalesce(F.col("repeats") <= F.col("cap"), F.lit(True)).alias("within_repeats"))

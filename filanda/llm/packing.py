@@ -101,14 +101,14 @@ def pack_documents(sized: DataFrame, packs: DataFrame, shard_tokens: int = 20_00
 def pack_audit(packed: DataFrame, sized: DataFrame, packs: DataFrame) -> DataFrame:
     """``pack_name, texts, over_capacity, split_needlessly, wrong_length, well_filled``: what a packing must keep, counted for each capacity.
 
-    Texts placed; containers beyond their capacity; texts cut although they fit; texts whose pieces do not add up to their length; and whether more than 95 % of the space is used.
+    Texts placed; containers beyond their capacity; texts cut although they fit; texts whose pieces do not add up to their length; and whether more than 95 % of the space of all containers but one is used.
     """
     caps = packs.groupBy("pack_name").agg(F.min("capacity_tokens").alias("cap"))
     lengths = sized.groupBy("doc_id").agg(F.sum("n_tokens").alias("want"), F.max("n_tokens").alias("longest"))
     texts = packed.groupBy("pack_name", "doc_id").agg(F.sum("n_tokens").alias("got"), F.max("piece_no").alias("last")).join(lengths, "doc_id").join(F.broadcast(caps), "pack_name")
     per_text = texts.groupBy("pack_name").agg(F.count("*").alias("texts"), F.count_if(F.expr("last > 0 and longest <= cap")).alias("split_needlessly"), F.count_if(F.expr("got <> want")).alias("wrong_length"))
     used = packed.groupBy("pack_name", "container").agg(F.sum("n_tokens").alias("n")).join(F.broadcast(caps), "pack_name")
-    per_box = used.groupBy("pack_name").agg(F.count_if(F.expr("n > cap")).alias("over_capacity"), (F.sum("n") > F.lit(0.95) * F.sum("cap")).alias("well_filled"))
+    per_box = used.groupBy("pack_name").agg(F.count_if(F.expr("n > cap")).alias("over_capacity"), (F.sum("n") > F.lit(0.95) * (F.sum("cap") - F.max("cap"))).alias("well_filled"))
     return per_text.join(per_box, "pack_name").select("pack_name", "texts", "over_capacity", "split_needlessly", "wrong_length", "well_filled")
 
 

@@ -117,6 +117,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p8_containers, p8_report, p8_audit, p9_mixture, p9_report, p9_audit, p10_found)
 }
 
+#: Characters without width, as DuckDB's engine writes them.
+_HIDDEN = r"\x{ad}\x{34f}\x{61c}\x{180e}\x{200b}-\x{200f}\x{202a}-\x{202e}\x{2060}-\x{2064}\x{2066}-\x{2069}\x{feff}"
+
 ORACLES: dict[str, str] = {
     "p2_found": """
 with recursive e as (
@@ -128,6 +131,25 @@ r(node_id, g) as (
   union
   select d.b, r.g from r join d on d.a = r.node_id)
 select node_id, min(g) as group_id from r group by node_id
+""",
+    "p4_found": r"""
+with k as (select doc_id, max(regexp_replace(file_name, '\.[^.]*$', '')) as name from doc_skeleton where doc_id is not null group by 1),
+s as (select distinct doc_id, section_id, preview_start from sections where doc_id is not null and preview_start is not null),
+t as (select doc_id, preview_start as t from s union all select doc_id, name from k where doc_id in (select doc_id from s)),
+w as (select doc_id, unnest(regexp_extract_all(lower(t), '[\p{L}\p{N}]+')) as word from t),
+e as (select doc_id, word, row_number() over (partition by doc_id, word) as nth from w),
+n as (select doc_id, count(*) as n from e group by 1),
+p as (select a.doc_id as doc_id_a, b.doc_id as doc_id_b, count(*) as shared from e a join e b on a.word = b.word and a.nth = b.nth and a.doc_id < b.doc_id group by 1, 2)
+select doc_id_a, doc_id_b from p join n a on a.doc_id = doc_id_a join n b on b.doc_id = doc_id_b where shared >= 0.75 * (a.n + b.n - shared)
+""",
+    "p10_found": rf"""
+with d as (select doc_id, text from documents where text is not null),
+w as (select doc_id, unnest(regexp_extract_all(text, '[\p{{L}}\p{{M}}\p{{N}}{_HIDDEN}]+')) as w from d)
+select doc_id, 'fullwidth' as kind from d where regexp_matches(text, '[０-９Ａ-Ｚａ-ｚ]')
+union all select doc_id, 'combining' from d where regexp_matches(text, '\p{{L}}[\x{{300}}-\x{{36f}}]')
+union all select doc_id, 'zerowidth' from d where regexp_matches(text, '[\p{{Latin}}\p{{Greek}}\p{{Cyrillic}}\p{{N}}\x{{300}}-\x{{36f}}][{_HIDDEN}]+[\p{{Latin}}\p{{Greek}}\p{{Cyrillic}}\p{{N}}]')
+union all select doc_id, 'space' from d where regexp_matches(text, '[\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{202f}}\x{{205f}}\x{{3000}}]')
+union all select distinct doc_id, 'lookalike' from w where regexp_matches(w, '\p{{Latin}}') and regexp_matches(w, '[\p{{Cyrillic}}\p{{Greek}}\p{{Armenian}}\p{{Cherokee}}\p{{Coptic}}\p{{Lisu}}]')
 """,
     "p8_audit": "select pack_name, (select count(*) from documents where text <> '') as texts, 0 as over_capacity, 0 as split_needlessly, 0 as wrong_length, true as well_filled from pack_sizes",
     "p9_audit": "select source, exists (select 1 from documents d where d.source = t.source and text <> '') as present, true as on_target, true as within_repeats from mix_targets t",
