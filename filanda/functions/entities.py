@@ -131,14 +131,16 @@ def proper_nouns(text: C) -> Column:
     """Two to four capital words away from a sentence's start; none that begins with a stop word, or holds a company's word or a brand."""
     firm = F.flatten(F.transform(_all(text, COMPANY, 1), lambda n: F.split(n, r"\s+")))
     tokens = lambda x: F.split(x, r"\s+")
-    fits = lambda x, words: ~F.array_contains(_list(NAME_STOP), tokens(x)[0]) & ~F.arrays_overlap(tokens(x), words) & ~F.arrays_overlap(tokens(x), _list(BRANDS))
+    fits = lambda x, words: ~F.array_contains(_list(NAME_STOP), tokens(x)[0]) & ~F.arrays_overlap(tokens(x), words) & ~F.arrays_overlap(tokens(x),
+        _list(BRANDS))
     names = F.transform(_all(text, PROPER), lambda x: F.trim(x))
     # the companies' words as the one element of an array, so that they are found once a text and not once a name
     return F.transform(F.array(firm), lambda words: F.filter(names, lambda x: fits(x, words)))[0]
 
 
 EXTRACTORS = {
-    "ACRONYM": acronyms, "COMPANY": companies, "LAW_REF": law_refs, "PROJECT_CODE": project_codes, "DATE": dates, "AMOUNT": amounts, "EMAIL": emails, "URL": urls,
+    "ACRONYM": acronyms, "COMPANY": companies, "LAW_REF": law_refs, "PROJECT_CODE": project_codes, "DATE": dates, "AMOUNT": amounts, "EMAIL": emails,
+        "URL": urls,
     "IP_ADDR": ip_addresses, "HOSTNAME": hostnames, "DOC_REF": doc_refs, "PROPER_NOUN": proper_nouns,
 }
 
@@ -147,15 +149,18 @@ def may_hold(category: str, text: C) -> Column:
     """A cheap test that every text with an entity of the category passes, so that its pattern is spared the others."""
     t, low = col(text), F.lower(col(text))
     has = lambda *words: functools.reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words])
-    return {"EMAIL": F.contains(t, F.lit("@")), "URL": has("http", "www."), "AMOUNT": has("euro", "eur", "€"), "DOC_REF": has(".doc"), "HOSTNAME": t.rlike("[A-Z][A-Z0-9]|VM|DC")}.get(category, F.lit(True))
+    return {"EMAIL": F.contains(t, F.lit("@")), "URL": has("http", "www."), "AMOUNT": has("euro", "eur", "€"), "DOC_REF": has(".doc"),
+        "HOSTNAME": t.rlike("[A-Z][A-Z0-9]|VM|DC")}.get(category, F.lit(True))
 
 
 def extract(docs: DataFrame, categories: list[str] | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, category, value, cnt, first_no``: entities of each document, counted; ``first_no`` is the place of the first among its category's matches."""
+    """``key, category, value, cnt, first_no``: entities of each document, counted; ``first_no`` is the place of the first among
+    its category's matches."""
     cats = categories or list(EXTRACTORS)
     none = F.array().cast("array<string>")
     found = F.array(*[F.struct(F.lit(c).alias("category"), F.when(may_hold(c, text), EXTRACTORS[c](text)).otherwise(none).alias("vs")) for c in cats])
-    long = docs.where(F.col(text).isNotNull()).select(key, F.explode(found).alias("e")).select(key, "e.category", F.posexplode("e.vs").alias("no", "value"))
+    long = docs.where(F.col(text).isNotNull()).select(key, F.explode(found).alias("e")).select(key, "e.category",
+        F.posexplode("e.vs").alias("no", "value"))
     return long.groupBy(key, "category", "value").agg(F.count("*").alias("cnt"), F.min("no").alias("first_no"))
 
 

@@ -198,7 +198,8 @@ def label_tokens(label: C) -> Column:
 
 
 def anchored_preview(text: C, label: C, length: int = 200) -> Column:
-    """The paragraph with the most tokens of the label, the first of equals, with the next two, cut to ``length``; the text's start if none has any."""
+    """The paragraph with the most tokens of the label, the first of equals, with the next two, cut to ``length``; the text's
+    start if none has any."""
     paras = F.filter(F.transform(F.split(col(text), r"\n\s*\n"), strip), lambda p: p != "")
     tokens = label_tokens(label)
     scores = F.transform(paras, lambda p: F.size(F.filter(tokens, lambda t: F.contains(F.lower(p), t))))
@@ -212,8 +213,10 @@ def anchored_preview(text: C, label: C, length: int = 200) -> Column:
 
 # The first of these words in a file name gives its type.
 DOC_TYPES = [
-    ("verbale", "verbale"), ("contratto", "contratto"), ("accordo", "contratto"), ("procedura", "procedura"), ("istruzione", "procedura"), ("manuale", "manuale"), ("capitolato", "capitolato"),
-    ("specifica", "specifica"), ("offerta", "offerta"), ("preventivo", "offerta"), ("fattura", "amministrativo"), ("ddt", "amministrativo"), ("report", "report"), ("relazione", "report"),
+    ("verbale", "verbale"), ("contratto", "contratto"), ("accordo", "contratto"), ("procedura", "procedura"), ("istruzione", "procedura"),
+        ("manuale", "manuale"), ("capitolato", "capitolato"),
+    ("specifica", "specifica"), ("offerta", "offerta"), ("preventivo", "offerta"), ("fattura", "amministrativo"), ("ddt", "amministrativo"),
+        ("report", "report"), ("relazione", "report"),
     ("scheda", "scheda_tecnica"), ("modulo", "modulo"), ("template", "template"),
 ]
 

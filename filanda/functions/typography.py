@@ -57,7 +57,8 @@ def accents(text: C) -> Column:
         for w in GRAVE:
             if w.endswith("_"):
                 continue
-            p = F.regexp_replace(p, rf"(?i)\b({w[:-1]}){w[-1]}'(?!\p{{L}})" if len(w) > 1 else rf"(?<![\p{{L}}'])()([{w}])'(?!\p{{L}})", "$1" + _VOWELS[w[-1]])
+            p = F.regexp_replace(p, rf"(?i)\b({w[:-1]}){w[-1]}'(?!\p{{L}})" if len(w) > 1 else rf"(?<![\p{{L}}'])()([{w}])'(?!\p{{L}})",
+                "$1" + _VOWELS[w[-1]])
         for v in "aiou":
             keep = "|".join(x for x in ELISIONS if x.endswith(v)) or "-"
             p = F.regexp_replace(p, rf"\b(?!(?:{keep})')([A-Za-z]{{2,}}){v}'(?!\p{{L}})", "$1" + _VOWELS[v])
@@ -159,7 +160,8 @@ def python_prose(sources: pd.Series) -> pd.Series:
         try:
             before = tokenize.NEWLINE
             for t in tokenize.generate_tokens(io.StringIO(source).readline):
-                doc = t.type == tokenize.STRING and before in (tokenize.NEWLINE, tokenize.INDENT, tokenize.DEDENT) and t.string.lstrip("rRbBuU")[:3] in ('"""', "'''")
+                doc = t.type == tokenize.STRING and before in (tokenize.NEWLINE, tokenize.INDENT,
+                    tokenize.DEDENT) and t.string.lstrip("rRbBuU")[:3] in ('"""', "'''")
                 if t.type == tokenize.COMMENT or doc:
                     spans.append((starts[t.start[0] - 1] + t.start[1], starts[t.end[0] - 1] + t.end[1]))
                 if t.type not in (tokenize.NL, tokenize.COMMENT):
@@ -183,5 +185,6 @@ def on_python(source: C, change) -> Column:
 @F.pandas_udf(StringType())
 def unified_diff(before: pd.Series, after: pd.Series) -> pd.Series:
     """The unified diff of two texts, empty where they are equal; null counts as empty."""
-    diff = lambda a, b: "".join(difflib.unified_diff((a or "").splitlines(keepends=True), (b or "").splitlines(keepends=True), "before", "after"))
+    diff = lambda a, b: "".join(difflib.unified_diff((a or "").splitlines(keepends=True), (b or "").splitlines(keepends=True), "before",
+        "after"))
     return pd.Series([diff(a, b) for a, b in zip(before, after, strict=True)])

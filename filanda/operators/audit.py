@@ -46,14 +46,15 @@ def leak_findings(files: DataFrame, rules: list[Rule] | None = None, allowed: li
 
 def history_blobs(blobs: DataFrame) -> DataFrame:
     """``blob_sha, path, text``: each distinct blob once, under the path it first came by. ``blobs``: ``commit_no, blob_sha, path, text``."""
-    return blobs.groupBy("blob_sha").agg(F.min_by(F.struct("path", "text"), F.struct("commit_no", "path")).alias("x")).select("blob_sha", "x.path", "x.text")
+    return blobs.groupBy("blob_sha").agg(F.min_by(F.struct("path", "text"), F.struct("commit_no", "path")).alias("x")).select("blob_sha", "x.path",
+        "x.text")
 
 
 def registry_status(items: DataFrame, artifacts: DataFrame, sources: DataFrame, least_bytes: int = 32) -> DataFrame:
     """``id, state, verdict``: what a declared state is worth.
 
-    ``items``: ``id, state, artifact, source, hash, note``; ``artifacts``: ``artifact, n_bytes``; ``sources``: ``source, hash_now``. ``done`` needs an artifact of
-    at least ``least_bytes`` and an unchanged source; ``skipped`` needs a note.
+    ``items``: ``id, state, artifact, source, hash, note``; ``artifacts``: ``artifact, n_bytes``; ``sources``: ``source,
+    hash_now``. ``done`` needs an artifact of at least ``least_bytes`` and an unchanged source; ``skipped`` needs a note.
     """
     j = items.join(artifacts, "artifact", "left").join(sources, "source", "left")
     done = F.col("state") == "done"
@@ -78,7 +79,8 @@ def text_budget(files: DataFrame, baseline: DataFrame, per_file: int, total: int
     f = files.select("path", n.alias("n_chars"), "conditional").join(baseline.select("path", F.col("n_chars").alias("was")), "path", "left")
     size = F.when(F.col("conditional"), 0).otherwise(F.coalesce(F.length("text"), F.lit(0)))
     whole = files.agg(F.coalesce(F.sum(size), F.lit(0)).alias("all_of"))  # one row
-    return f.crossJoin(F.broadcast(whole)).select("path", "n_chars", (F.col("n_chars") - F.coalesce("was", F.lit(0))).alias("growth"), (F.col("n_chars") > per_file).alias("over_file"), (F.col("all_of") > total).alias("over_total"))
+    return f.crossJoin(F.broadcast(whole)).select("path", "n_chars", (F.col("n_chars") - F.coalesce("was", F.lit(0))).alias("growth"),
+        (F.col("n_chars") > per_file).alias("over_file"), (F.col("all_of") > total).alias("over_total"))
 
 
 def changed_files(current: DataFrame, previous: DataFrame) -> DataFrame:
@@ -94,8 +96,11 @@ def incremental_merge(previous: DataFrame, parsed: DataFrame, present: DataFrame
 
 
 def scope_check(declared: DataFrame, dirty: DataFrame) -> DataFrame:
-    """``path, status``: dirty paths outside the declared scope, and declared paths without change. Both have ``path``; a declared path that ends in ``/`` covers all below it."""
-    tree = F.explode(F.transform(F.sequence(F.lit(1), F.size(F.split("path", "/"))), lambda i: F.concat(F.array_join(F.slice(F.split("path", "/"), 1, i), "/"), F.when(i < F.size(F.split("path", "/")), F.lit("/")).otherwise(F.lit("")))))
+    """``path, status``: dirty paths outside the declared scope, and declared paths without change. Both have ``path``; a declared
+    path that ends in ``/`` covers all below it."""
+    tree = F.explode(F.transform(F.sequence(F.lit(1), F.size(F.split("path", "/"))),
+        lambda i: F.concat(F.array_join(F.slice(F.split("path", "/"), 1, i), "/"),
+        F.when(i < F.size(F.split("path", "/")), F.lit("/")).otherwise(F.lit("")))))
     covers = dirty.select("path", tree.alias("scope"))
     hit = covers.join(declared.select(F.col("path").alias("scope")), "scope")
     outside = dirty.join(hit.select("path"), "path", "left_anti").select("path", F.lit("outside").alias("status"))
@@ -110,15 +115,18 @@ def uniformity(values: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def tree_fingerprint(files: DataFrame) -> DataFrame:
-    """One row: ``fingerprint``, 16 digits over the sorted lines ``path hash``. The lines are hashed first and combined in order of a digest for each bucket, so no task holds all."""
+    """One row: ``fingerprint``, 16 digits over the sorted lines ``path hash``. The lines are hashed first and combined in order
+    of a digest for each bucket, so no task holds all."""
     lines = files.select(F.concat_ws(" ", "path", "file_hash").alias("l"))
-    buckets = lines.groupBy(F.substring(F.sha2("l", 256), 1, 2).alias("b")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.sha2("l", 256))), ""), 256).alias("h"))
+    buckets = lines.groupBy(F.substring(F.sha2("l", 256), 1, 2).alias("b")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.sha2("l", 256))),
+        ""), 256).alias("h"))
     return buckets.agg(F.substring(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat("b", "h"))), ""), 256), 1, 16).alias("fingerprint"))
 
 
 def word_runs(texts: DataFrame, key: str = "doc_id", text: str = "text", short: int = 6) -> DataFrame:
     """``key, para_no``: paragraphs with three sentences in a row of fewer than ``short`` words; one row a paragraph."""
     para = texts.select(key, F.posexplode(F.split(text, "\n")).alias("para_no", "p"))
-    s = para.select(key, "para_no", F.posexplode(F.split("p", r"(?<=[.!?])\s+")).alias("s_no", "s")).where("s <> ''").withColumn("few", T.word_count("s") < short)
+    s = para.select(key, "para_no", F.posexplode(F.split("p", r"(?<=[.!?])\s+")).alias("s_no", "s")).where("s <> ''").withColumn("few",
+        T.word_count("s") < short)
     w = Window.partitionBy(key, "para_no").orderBy("s_no")
     return s.withColumn("run", F.col("few") & F.lead("few", 1).over(w) & F.lead("few", 2).over(w)).where("run").select(key, "para_no").distinct()

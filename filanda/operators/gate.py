@@ -33,7 +33,8 @@ SECRET_PARTS = ("passw", "pwd", "pw", "credenzial", "credentials", "chiave", "ap
 RESIDUE = [
     ("residue-ip", r"\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?:/\d{1,2})?\b"),
     ("residue-email", r"[\p{L}\p{N}_][\p{L}\p{N}_.\-]*@[\p{L}\p{N}_.\-]+\.[\p{L}\p{N}_]{2,}"),
-    ("residue-hostname", r"\b(?:(?!WINDOWS\b)WIN(?:SRV|GROUP|SERVER|DC|SQL|EX|HOST)?[A-Z0-9][A-Z0-9\-]{2,}|SRV[-_]?[A-Z0-9][A-Z0-9\-]+|PC[-_][A-Z0-9][A-Z0-9\-]+|NAS[-_]?[A-Z0-9][A-Z0-9\-]*|USG[-_]?[A-Z0-9][A-Z0-9\-]*|VM\d{1,4}(?:[-_][A-Z0-9\-]+)?|DC\d{1,2}(?:[-_][A-Z0-9\-]+)?)\b"),
+    ("residue-hostname",
+        r"\b(?:(?!WINDOWS\b)WIN(?:SRV|GROUP|SERVER|DC|SQL|EX|HOST)?[A-Z0-9][A-Z0-9\-]{2,}|SRV[-_]?[A-Z0-9][A-Z0-9\-]+|PC[-_][A-Z0-9][A-Z0-9\-]+|NAS[-_]?[A-Z0-9][A-Z0-9\-]*|USG[-_]?[A-Z0-9][A-Z0-9\-]*|VM\d{1,4}(?:[-_][A-Z0-9\-]+)?|DC\d{1,2}(?:[-_][A-Z0-9\-]+)?)\b"),
     ("residue-ip-abbreviated", r"\(\.\d{1,3}\b"),
 ]
 # The ends of domain names that are looked for.
@@ -64,7 +65,8 @@ def term_rule(terms: list[str], name: str = "own-term") -> list[Rule]:
 
 
 def domain_rules(public: list[str] = PUBLIC_DOMAINS, providers: list[str] = PROVIDER_DOMAINS, own: list[str] = ()) -> list[Rule]:
-    """Rules for domain names: the organisation's ``own`` ones, those of third parties that are neither public nor below a public one, and machines below a provider's."""
+    """Rules for domain names: the organisation's ``own`` ones, those of third parties that are neither public nor below a public
+    one, and machines below a provider's."""
     alt = lambda ds: "|".join(re.escape(d) for d in ds)
     label = r"[a-z0-9](?:[a-z0-9\-]*[a-z0-9])?\."
     third = rf"(?iU)(?<![\w@.\-])(?!(?:[a-z0-9\-]+\.)*(?:{alt([*public, *providers])})(?![\w\-]))(?:{label})+(?:{'|'.join(TLDS)})(?![\w\-])"
@@ -75,7 +77,8 @@ def domain_rules(public: list[str] = PUBLIC_DOMAINS, providers: list[str] = PROV
 def literal_rules(literals: dict[str, list[str]]) -> list[Rule]:
     """Rules of the organisation's own literals by name (clients, sites, machines, programs): whole words in any case, blanks of any width."""
     word = lambda t: r"\s+".join(re.escape(x) for x in t.split())
-    return [(f"residue-{name}", r"(?iU)\b(?:" + "|".join(word(t) for t in sorted(ts, key=len, reverse=True)) + r")\b") for name, ts in literals.items() if ts]
+    return [(f"residue-{name}", r"(?iU)\b(?:" + "|".join(word(t) for t in sorted(ts, key=len, reverse=True)) + r")\b") for name, ts in literals
+        .items() if ts]
 
 
 def first_rule(text: T.C, rules: list[Rule]) -> Column:
@@ -99,15 +102,16 @@ def scrub(text: T.C, rules: list[Rule] = RESIDUE, mask: str = MASK) -> Column:
 def anonymisation_map(counts: DataFrame) -> DataFrame:
     """``original, category, placeholder``: values numbered by falling frequency within their prefix, equal counts by first appearance.
 
-    ``counts``: ``category, value, cnt, first_id``. A value of several categories belongs to the first prefix and uses up no number of the others. Each prefix is
-    ranked in one sort over distinct values.
+    ``counts``: ``category, value, cnt, first_id``. A value of several categories belongs to the first prefix and uses up no
+    number of the others. Each prefix is ranked in one sort over distinct values.
     """
     prio = F.array_position(F.array(*[F.lit(c) for c, _ in PREFIXES]), F.col("category"))
     known = counts.where(F.col("category").isin(*[c for c, _ in PREFIXES])).withColumn("prio", prio)
     first = known.groupBy("value").agg(F.min_by(F.struct("category", "prio", "cnt", "first_id"), "prio").alias("x")).select("value", "x.*")
     number = F.row_number().over(Window.partitionBy("category").orderBy(F.desc("cnt"), "first_id", "value"))
     name = F.element_at(F.create_map(*[F.lit(x) for pair in PREFIXES for x in pair]), F.col("category"))
-    return first.select(F.col("value").alias("original"), "category", F.concat(F.lit("["), name, F.lit("_"), number.cast("string"), F.lit("]")).alias("placeholder"))
+    return first.select(F.col("value").alias("original"), "category",
+        F.concat(F.lit("["), name, F.lit("_"), number.cast("string"), F.lit("]")).alias("placeholder"))
 
 
 #: Characters of the pieces over which originals meet texts.
@@ -121,21 +125,27 @@ def _pieces(text: Column, n: Column) -> Column:
 def anonymise(texts: DataFrame, anon: DataFrame, key: str, text: str) -> DataFrame:
     """``key, text`` with the originals replaced wherever they stand, the longest first; later ones see earlier placeholders.
 
-    An original meets a text over its rarest piece of ``PIECE`` characters (a shorter original is its own piece), counted over all texts: an equi-join without a
-    hot key and without losing originals inside words, after which only originals that occur are carried to a text. Null texts stay null.
+    An original meets a text over its rarest piece of ``PIECE`` characters (a shorter original is its own piece), counted over all
+    texts: an equi-join without a hot key and without losing originals inside words, after which only originals that occur are
+    carried to a text. Null texts stay null.
     """
     own = F.least(F.length("original"), F.lit(PIECE))
     terms = anon.where("original <> ''").select("original", "placeholder", own.alias("n"))
     sizes = terms.agg(F.array_sort(F.collect_set("n")).alias("sizes"))  # one row of at most PIECE numbers
-    some = texts.where(F.col(text).isNotNull()).select(key, text).crossJoin(F.broadcast(sizes)).select(key, F.col(text).alias("_t"), F.explode("sizes").alias("n")).where(F.length("_t") >= F.col("n"))
+    some = texts.where(F.col(text).isNotNull()).select(key, text).crossJoin(F.broadcast(sizes)).select(key, F.col(text).alias("_t"),
+        F.explode("sizes").alias("n")).where(F.length("_t") >= F.col("n"))
     seen = some.select(key, F.explode(F.array_distinct(_pieces(F.col("_t"), F.col("n")))).alias("piece"))
     often = seen.groupBy("piece").agg(F.count("*").alias("texts"))
-    cut = terms.select("original", "placeholder", F.size(_pieces(F.col("original"), F.col("n"))).alias("all"), F.explode(F.array_distinct(_pieces(F.col("original"), F.col("n")))).alias("piece"))
+    cut = terms.select("original", "placeholder", F.size(_pieces(F.col("original"), F.col("n"))).alias("all"),
+        F.explode(F.array_distinct(_pieces(F.col("original"), F.col("n")))).alias("piece"))
     # an original with a piece that no text has cannot occur
-    known = cut.join(often, "piece", "left").groupBy("original", "placeholder").agg(F.min_by("piece", F.struct("texts", "piece")).alias("piece"), F.min(F.col("texts").isNotNull()).alias("possible")).where("possible")
-    hits = seen.join(known, "piece").select(key, "original", "placeholder").join(texts.select(key, text), key).where(F.contains(text, F.col("original")))
+    known = cut.join(often, "piece", "left").groupBy("original", "placeholder").agg(F.min_by("piece", F.struct("texts", "piece")).alias("piece"),
+        F.min(F.col("texts").isNotNull()).alias("possible")).where("possible")
+    hits = seen.join(known, "piece").select(key, "original", "placeholder").join(texts.select(key, text),
+        key).where(F.contains(text, F.col("original")))
     lists = hits.groupBy(key).agg(F.array_sort(F.collect_set(F.struct((-F.length("original")).alias("l"), "original", "placeholder"))).alias("pairs"))
-    return texts.join(lists, key, "left").select(key, F.when(F.col("pairs").isNull(), F.col(text)).otherwise(T.replace_all(text, "pairs")).alias(text))
+    return texts.join(lists, key, "left").select(key, F.when(F.col("pairs").isNull(),
+        F.col(text)).otherwise(T.replace_all(text, "pairs")).alias(text))
 
 
 def audit_person_terms(maps: DataFrame, not_names: DataFrame, declared: list[str] = ()) -> DataFrame:
@@ -152,7 +162,8 @@ def token_residue(texts: DataFrame, tokens: DataFrame, key: str, text: str, mask
     words = texts.select(key, F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?U)(\w+)"), F.lit(1)))).alias("token"))
     hits = words.join(tokens.distinct(), "token").groupBy(key).agg(F.array_sort(F.collect_set("token")).alias("tokens_found"))
     found = F.coalesce("tokens_found", F.array().cast("array<string>"))
-    masked = F.aggregate(F.col("tokens_found"), F.col(text), lambda acc, t: F.regexp_replace(acc, F.concat(F.lit(r"(?U)\b"), t, F.lit(r"\b")), F.lit(mask.replace("[", r"\["))))
+    masked = F.aggregate(F.col("tokens_found"), F.col(text), lambda acc, t: F.regexp_replace(acc, F.concat(F.lit(r"(?U)\b"), t, F.lit(r"\b")),
+        F.lit(mask.replace("[", r"\["))))
     return texts.join(hits, key, "left").withColumn(text, F.coalesce(masked, F.col(text))).withColumn("tokens_found", found)
 
 
@@ -165,8 +176,9 @@ def person_tokens(anon: DataFrame) -> DataFrame:
 def gate(rows: DataFrame, rules: list[Rule] = RESIDUE, secrets: list[Rule] = SECRETS, least: int = MIN_CHARS) -> DataFrame:
     """``rows`` with ``kept, reason, label, text_preview, scrubbed``.
 
-    ``rows``: ``label, text_preview`` and others. A secret in label or preview drops the row, by its raw text; residue in the label drops it; residue in the preview is
-    masked; a label of fewer than ``least`` significant characters drops the row. The first reason in this order counts. Null texts match nothing.
+    ``rows``: ``label, text_preview`` and others. A secret in label or preview drops the row, by its raw text; residue in the
+    label drops it; residue in the preview is masked; a label of fewer than ``least`` significant characters drops the row. The
+    first reason in this order counts. Null texts match nothing.
     """
     secret = F.coalesce(first_rule("label", secrets), first_rule("text_preview", secrets))
     residue = first_rule("label", rules)
@@ -184,10 +196,12 @@ def gate_statistics(gated: DataFrame) -> DataFrame:
 def gate_groups(nodes: DataFrame, rules: list[Rule] = RESIDUE, secrets: list[Rule] = SECRETS) -> DataFrame:
     """``group_id, node_id, kept``: the nodes of proposals made of several, each once. ``nodes``: ``group_id, node_id, label, text_preview``.
 
-    A secret in any node drops the group; a node with residue in its label is left out, and a group without nodes left is dropped. Nodes that are not kept are the keys that
-    nothing later may bring back. Groups are reduced to one flag before they meet their nodes, so a group may hold any share of them.
+    A secret in any node drops the group; a node with residue in its label is left out, and a group without nodes left is dropped.
+    Nodes that are not kept are the keys that nothing later may bring back. Groups are reduced to one flag before they meet their
+    nodes, so a group may hold any share of them.
     """
     bad = F.coalesce(first_rule("label", secrets), first_rule("text_preview", secrets)).isNotNull()
-    flagged = nodes.select("group_id", "node_id", bad.alias("secret"), first_rule("label", rules).isNotNull().alias("residue")).groupBy("group_id", "node_id").agg(F.bool_or("secret").alias("secret"), F.bool_or("residue").alias("residue"))
+    flagged = nodes.select("group_id", "node_id", bad.alias("secret"), first_rule("label", rules).isNotNull().alias("residue")).groupBy("group_id",
+        "node_id").agg(F.bool_or("secret").alias("secret"), F.bool_or("residue").alias("residue"))
     groups = flagged.groupBy("group_id").agg(F.bool_or("secret").alias("lost"))
     return flagged.join(groups, "group_id").select("group_id", "node_id", (~F.col("lost") & ~F.col("residue")).alias("kept"))

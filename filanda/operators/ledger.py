@@ -103,7 +103,8 @@ def replay(listings: DataFrame, runs: DataFrame, rows_per_bucket: int = 200_000)
     """
     end = "unix_micros(finished_at)" if "finished_at" in runs.columns else "cast(null as bigint)"
     usable = runs.where("started_at is not null and run_no is not null")
-    one = usable.groupBy("run_no").agg(F.min(F.unix_micros("started_at")).alias("s"), F.max(F.expr(end)).alias("e"), F.max_by("status", F.expr("coalesce(status, '') = 'ok'")).alias("status"))
+    one = usable.groupBy("run_no").agg(F.min(F.unix_micros("started_at")).alias("s"), F.max(F.expr(end)).alias("e"),
+        F.max_by("status", F.expr("coalesce(status, '') = 'ok'")).alias("status"))
     got = [(r.run_no, r.s, r.e, r.status) for r in one.limit(MAX_RUNS + 1).collect()]
     if len(got) > MAX_RUNS:
         raise ValueError(f"more than {MAX_RUNS} runs")
@@ -116,7 +117,8 @@ def replay(listings: DataFrame, runs: DataFrame, rows_per_bucket: int = 200_000)
     def first_run(at: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(starts, at.to_numpy(), side="right").astype("int32"))
 
-    seen = listings.where("error is null and doc_id is not null and arrived_at is not null").select("doc_id", "file_hash", F.unix_micros("arrived_at").alias("at"))
+    seen = listings.where("error is null and doc_id is not null and arrived_at is not null").select("doc_id", "file_hash",
+        F.unix_micros("arrived_at").alias("at"))
     placed = seen.withColumn("slot", first_run("at")).where(F.col("slot") < len(starts))
     latest = placed.groupBy("doc_id", "slot").agg(F.max(F.struct("at", "file_hash")).getField("file_hash").alias("version"))
     buckets = max(1, math.ceil(listings.count() / rows_per_bucket))
@@ -126,12 +128,15 @@ def replay(listings: DataFrame, runs: DataFrame, rows_per_bucket: int = 200_000)
         item, names = pd.factorize(pdf["doc_id"])
         code, texts = pd.factorize(pdf["version"], use_na_sentinel=False)
         i, v, slot, token, ok = work_through(item, pdf["slot"].to_numpy(), code, events)
-        return pd.DataFrame({"doc_id": names[i], "version": texts[v], "run_no": numbers[slot].astype("int32"), "token": token.astype("int32"), "ok": ok})
+        return pd.DataFrame({"doc_id": names[i], "version": texts[v], "run_no": numbers[slot].astype("int32"), "token": token.astype("int32"),
+            "ok": ok})
 
     bucketed = latest.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
     walked = bucketed.groupBy("bucket").applyInPandas(walk, f"doc_id {kind}, version string, run_no int, token int, ok boolean")
-    path = F.concat(F.lit("out/"), F.substring(F.sha2(F.concat_ws("\x00", F.col("doc_id").cast("string"), F.coalesce("version", F.lit("\x01"))), 256), 1, 16))
-    return walked.select("doc_id", "version", "run_no", "token", F.when(F.col("ok"), "done").otherwise("expired").alias("state"), path.alias("out_path"))
+    path = F.concat(F.lit("out/"), F.substring(F.sha2(F.concat_ws("\x00", F.col("doc_id").cast("string"), F.coalesce("version", F.lit("\x01"))), 256),
+        1, 16))
+    return walked.select("doc_id", "version", "run_no", "token", F.when(F.col("ok"), "done").otherwise("expired").alias("state"),
+        path.alias("out_path"))
 
 
 def new_or_changed(listings: DataFrame, runs: DataFrame) -> DataFrame:
@@ -223,7 +228,9 @@ class Ledger:
         old = self.items().withColumn("known", F.lit(True))
         moved = fresh.join(old, "item", "left").where("known is null or not (new_version <=> version)")
         none = F.lit(None)
-        self._write(at, moved.select("item", F.col("new_version").alias("version"), F.lit("pending").alias("state"), F.coalesce("token", F.lit(0)).cast("long").alias("token"), none.cast("timestamp").alias("lease_until"), none.cast("string").alias("out_path")))
+        self._write(at, moved.select("item", F.col("new_version").alias("version"), F.lit("pending").alias("state"),
+            F.coalesce("token", F.lit(0)).cast("long").alias("token"), none.cast("timestamp").alias("lease_until"),
+            none.cast("string").alias("out_path")))
 
     @staticmethod
     def _over(now: str):
@@ -235,14 +242,16 @@ class Ledger:
         self._write(at, self.items().where(self._over(now)).withColumn("state", F.lit("pending")))
 
     def lease(self, now: str, until: str, most: int | None = None) -> tuple[int, DataFrame]:
-        """Leases pending and expired items until ``until``, the ``most`` first by name if that is given; returns the fencing token and the leased items."""
+        """Leases pending and expired items until ``until``, the ``most`` first by name if that is given; returns the fencing
+        token and the leased items."""
         at = self._at()
         items = self.items()
         token = self.token() + 1
         free = items.where((F.col("state") == "pending") | self._over(now))
         if most is not None:
             free = free.orderBy("item").limit(most)
-        self._write(at, free.withColumns({"state": F.lit("leased"), "token": F.lit(token).cast("long"), "lease_until": F.expr(f"timestamp'{until}'")}))
+        self._write(at, free.withColumns({"state": F.lit("leased"), "token": F.lit(token).cast("long"),
+            "lease_until": F.expr(f"timestamp'{until}'")}))
         return token, self.items().where((F.col("state") == "leased") & (F.col("token") == token))
 
     def staging_path(self, token: int) -> str:

@@ -11,14 +11,16 @@ from filanda.functions import typography as Y
 
 def numbered_lines(texts: DataFrame, key: str = "path", text: str = "text") -> DataFrame:
     """``key, line_no, line, in_code``: lines from 1; ``in_code`` inside fences, the fence lines themselves included."""
-    lines = texts.where(F.col(text).isNotNull()).select(key, F.posexplode(F.split(text, "\n")).alias("n", "line")).withColumn("line_no", F.col("n") + 1)
+    lines = texts.where(F.col(text).isNotNull()).select(key, F.posexplode(F.split(text, "\n")).alias("n", "line")).withColumn("line_no",
+        F.col("n") + 1)
     fence = F.col("line").rlike(r"^\s*(```|~~~)")
     opened = F.sum(fence.cast("int")).over(Window.partitionBy(key).orderBy("line_no"))
     return lines.select(key, "line_no", "line", ((opened % 2 == 1) | fence).alias("in_code"))
 
 
 def table_defects(texts: DataFrame, key: str = "path") -> DataFrame:
-    """``key, line_no, defect``: rows of a table whose cells differ in number from its rule (``cells``), and rows of a run without rule (``detached``).
+    """``key, line_no, defect``: rows of a table whose cells differ in number from its rule (``cells``), and rows of a run without
+    rule (``detached``).
 
     A table is a run of rows that begin and end with a pipe; a run drawn with ``+--`` lines is a figure and has no defects; code is skipped.
     """
@@ -26,20 +28,24 @@ def table_defects(texts: DataFrame, key: str = "path") -> DataFrame:
     run = F.col("line_no") - F.row_number().over(Window.partitionBy(key).orderBy("line_no"))
     w = Window.partitionBy(key, "run")
     rule = F.col("line").rlike(r"^\s*\|[\s:|-]*-[\s:|-]*\|\s*$")
-    x = l.withColumn("run", run).withColumn("figure", F.max(F.col("line").rlike(r"^\s*\+")).over(w)).withColumn("want", F.max(F.when(rule, Y.cell_count("line"))).over(w)).where("not figure")
-    return x.select(key, "line_no", F.when(F.col("want").isNull(), "detached").when(Y.cell_count("line") != F.col("want"), "cells").alias("defect")).where("defect is not null")
+    x = l.withColumn("run", run).withColumn("figure", F.max(F.col("line").rlike(r"^\s*\+")).over(w)).withColumn("want",
+        F.max(F.when(rule, Y.cell_count("line"))).over(w)).where("not figure")
+    return x.select(key, "line_no", F.when(F.col("want").isNull(), "detached").when(Y.cell_count("line") != F.col("want"),
+        "cells").alias("defect")).where("defect is not null")
 
 
 def shell_defects(texts: DataFrame, key: str = "path") -> DataFrame:
-    """``key, line_no, defect``: in fenced shell blocks, a continuation at the block's end (``open-continuation``) or followed by a blank line (``broken-continuation``), and PowerShell's
-    back-tick in a POSIX block (``wrong-continuation``)."""
+    """``key, line_no, defect``: in fenced shell blocks, a continuation at the block's end (``open-continuation``) or followed by
+    a blank line (``broken-continuation``), and PowerShell's back-tick in a POSIX block (``wrong-continuation``)."""
     l = numbered_lines(texts, key).where("in_code")
     fence = F.col("line").rlike(r"^\s*(```|~~~)")
     w = Window.partitionBy(key).orderBy("line_no")
-    x = l.withColumn("fence", fence).withColumn("lang", F.last(F.when(fence, F.lower(F.regexp_extract("line", r"^\s*(?:```|~~~)\s*([\w+-]*)", 1))), ignorenulls=True).over(w)).withColumn("next", F.lead("line").over(w))
+    x = l.withColumn("fence", fence).withColumn("lang", F.last(F.when(fence, F.lower(F.regexp_extract("line", r"^\s*(?:```|~~~)\s*([\w+-]*)", 1))),
+        ignorenulls=True).over(w)).withColumn("next", F.lead("line").over(w))
     shell = F.col("lang").isin("bash", "sh", "shell", "zsh", "console") & ~F.col("fence")
     back = F.col("line").rlike(r"\\\s*$")
-    defect = F.when(back & F.col("next").rlike(r"^\s*(```|~~~)"), "open-continuation").when(back & (F.trim("next") == ""), "broken-continuation").when(F.col("line").rlike(r"\s`$"), "wrong-continuation")
+    defect = F.when(back & F.col("next").rlike(r"^\s*(```|~~~)"), "open-continuation").when(back & (F.trim("next") == ""),
+        "broken-continuation").when(F.col("line").rlike(r"\s`$"), "wrong-continuation")
     return x.where(shell).select(key, "line_no", defect.alias("defect")).where("defect is not null")
 
 
@@ -63,7 +69,8 @@ def prose_findings(texts: DataFrame, families: list[str] | None = None, key: str
 
 def placeholders(texts: DataFrame, template: DataFrame, key: str = "path") -> DataFrame:
     """``key, placeholder``: angle-bracket tokens of a text's prose that its template holds too. ``template``: ``text``, one row."""
-    tokens = lambda c: F.array_distinct(F.regexp_extract_all(F.regexp_replace(c, r"(?s)```.*?(?:```|\z)|`[^`\n]*`", ""), F.lit(r"(<[^<>\s][^<>\n]*>)"), F.lit(1)))
+    tokens = lambda c: F.array_distinct(F.regexp_extract_all(F.regexp_replace(c, r"(?s)```.*?(?:```|\z)|`[^`\n]*`", ""),
+        F.lit(r"(<[^<>\s][^<>\n]*>)"), F.lit(1)))
     known = template.select(F.explode(tokens("text")).alias("placeholder")).distinct()
     return texts.select(key, F.explode(tokens("text")).alias("placeholder")).join(known, "placeholder", "left_semi").select(key, "placeholder")
 
@@ -71,12 +78,14 @@ def placeholders(texts: DataFrame, template: DataFrame, key: str = "path") -> Da
 def front_matter(texts: DataFrame, key: str = "path") -> DataFrame:
     """``key, name, value, items``: entries of a YAML front matter, quotes stripped.
 
-    ``items`` holds a list's members, written in brackets or one a line after ``-``; ``value`` a scalar, a folded (``>``) block joined by blanks and a literal (``|``) one by line
-    breaks. Nested maps are left out; a text without front matter gives no rows.
+    ``items`` holds a list's members, written in brackets or one a line after ``-``; ``value`` a scalar, a folded (``>``) block
+    joined by blanks and a literal (``|``) one by line breaks. Nested maps are left out; a text without front matter gives no
+    rows.
     """
     head = F.regexp_extract("text", r"(?s)\A\ufeff?---\s*\n(.*?)\n---\s*(?:\n|\z)", 1)
     entry = F.filter(F.split(head, r"\n(?=[\w-]+:)"), lambda e: e.rlike(r"(?s)^[\w-]+:"))
-    e = texts.select(key, F.explode(entry).alias("e")).select(key, F.regexp_extract("e", r"^([\w-]+):", 1).alias("name"), F.regexp_extract("e", r"(?s)^[\w-]+:[ \t]*(.*)$", 1).alias("raw"))
+    e = texts.select(key, F.explode(entry).alias("e")).select(key, F.regexp_extract("e", r"^([\w-]+):", 1).alias("name"),
+        F.regexp_extract("e", r"(?s)^[\w-]+:[ \t]*(.*)$", 1).alias("raw"))
     bare = lambda c: F.regexp_replace(T.strip(c), r"(?s)^([\"'])(.*)\1$", "$2")
     lines = F.filter(F.split("raw", "\n"), lambda l: F.trim(l) != "")
     block = F.transform(F.slice(F.split("raw", "\n"), 2, 10_000), T.strip)
@@ -85,12 +94,14 @@ def front_matter(texts: DataFrame, key: str = "path") -> DataFrame:
     is_inline, is_dashed = F.col("raw").rlike(r"(?s)^\[.*\]\s*$"), F.col("raw").rlike(r"(?s)^\s*\n?\s*-\s")
     items = F.when(is_inline, F.filter(inline, lambda x: x != "")).when(is_dashed, dashed)
     folded, literal = F.col("raw").rlike(r"^>[+-]?\s*\n"), F.col("raw").rlike(r"^\|[+-]?\s*\n")
-    value = F.when(folded, T.strip(F.array_join(block, " "))).when(literal, T.strip(F.array_join(block, "\n"))).when(is_inline | is_dashed, None).otherwise(bare(F.split("raw", "\n")[0]))
+    value = F.when(folded, T.strip(F.array_join(block, " "))).when(literal, T.strip(F.array_join(block, "\n"))).when(is_inline | is_dashed,
+        None).otherwise(bare(F.split("raw", "\n")[0]))
     return e.select(key, "name", value.alias("value"), items.alias("items")).where("items is not null or value is not null")
 
 
 def draft_blocks(texts: DataFrame, key: str = "path") -> DataFrame:
-    """``key, line_no, kind, level, value``: headings and lines of a draft from its first heading of level 2 or below on, and footnote definitions anywhere.
+    """``key, line_no, kind, level, value``: headings and lines of a draft from its first heading of level 2 or below on, and
+    footnote definitions anywhere.
 
     Indented lines right after a definition go on with it, joined by blanks; a blank line or one without indent ends it.
     """
@@ -104,9 +115,11 @@ def draft_blocks(texts: DataFrame, key: str = "path") -> DataFrame:
     starts = runs.withColumn("of_note", F.first("note").over(Window.partitionBy(key, "run").orderBy("line_no")) != "")
     started = F.sum(F.when(F.length(head) >= 2, 1).otherwise(0)).over(order) > 0
     kind = F.when(F.col("of_note"), "footnote").when(started & (head != ""), "heading").when(started & (F.trim("line") != ""), "text")
-    value = F.when(F.col("note") != "", F.regexp_extract("line", r"^\[\^[^\]]+\]:\s*(.*)$", 1)).otherwise(T.strip(F.regexp_replace("line", r"^#{1,6}\s+", "")))
+    value = F.when(F.col("note") != "", F.regexp_extract("line", r"^\[\^[^\]]+\]:\s*(.*)$",
+        1)).otherwise(T.strip(F.regexp_replace("line", r"^#{1,6}\s+", "")))
     rows = starts.select(key, "line_no", "run", kind.alias("kind"), F.length(head).alias("level"), value.alias("value")).where("kind is not null")
-    notes = rows.where("kind = 'footnote'").groupBy(key, "run").agg(F.min("line_no").alias("line_no"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "value"))), lambda x: x["value"]), " ").alias("value"))
+    notes = rows.where("kind = 'footnote'").groupBy(key, "run").agg(F.min("line_no").alias("line_no"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "value"))), lambda x: x["value"]), " ").alias("value"))
     others = rows.where("kind <> 'footnote'").drop("run")
     return others.unionByName(notes.select(key, "line_no", F.lit("footnote").alias("kind"), F.lit(0).alias("level"), F.trim("value").alias("value")))
 
@@ -115,12 +128,15 @@ def orphan_footnotes(texts: DataFrame, key: str = "path") -> DataFrame:
     """``key, note, status``: footnotes referred to but ``undefined``, and defined but ``unused``."""
     l = numbered_lines(texts, key).where("not in_code")
     defined = l.select(key, F.regexp_extract("line", r"^\[\^([^\]]+)\]:", 1).alias("note")).where("note <> ''").distinct()
-    used = l.select(key, F.explode(F.regexp_extract_all(F.regexp_replace("line", r"^\[\^[^\]]+\]:", ""), F.lit(r"\[\^([^\]]+)\]"), F.lit(1))).alias("note")).distinct()
-    return used.join(defined, [key, "note"], "left_anti").withColumn("status", F.lit("undefined")).unionByName(defined.join(used, [key, "note"], "left_anti").withColumn("status", F.lit("unused")))
+    used = l.select(key, F.explode(F.regexp_extract_all(F.regexp_replace("line", r"^\[\^[^\]]+\]:", ""), F.lit(r"\[\^([^\]]+)\]"), F.lit(1)))
+        .alias("note")).distinct()
+    return used.join(defined, [key, "note"], "left_anti").withColumn("status",
+        F.lit("undefined")).unionByName(defined.join(used, [key, "note"], "left_anti").withColumn("status", F.lit("unused")))
 
 
 def nav_rows(nav: list, skip: tuple[str, ...] = ("Home",)) -> list[tuple[str, int, int, str, str]]:
-    """(domain, domain_ord, cap_ord, name, file) of a parsed navigation: direct leaves belong to the top name, each sub-section is a domain of its own, deeper ones are flattened."""
+    """(domain, domain_ord, cap_ord, name, file) of a parsed navigation: direct leaves belong to the top name, each sub-section is
+    a domain of its own, deeper ones are flattened."""
     out: list[tuple[str, int, int, str, str]] = []
     order: dict[str, int] = {}
 
@@ -157,7 +173,8 @@ def stalled(polls: DataFrame, still: int = 3) -> DataFrame:
 
 
 def growth_since(revisions: DataFrame, days: int) -> DataFrame:
-    """``path, n_chars, growth``: size at the last revision, and against the latest one at least ``days`` older (0 where there was none). ``revisions``: ``path, at, n_chars``."""
+    """``path, n_chars, growth``: size at the last revision, and against the latest one at least ``days`` older (0 where there was
+    none). ``revisions``: ``path, at, n_chars``."""
     last = revisions.groupBy("path").agg(F.max("at").alias("now"), F.max_by("n_chars", "at").alias("n_chars"))
     old = revisions.join(last.select("path", "now"), "path").where(F.col("at") <= F.col("now") - F.make_dt_interval(F.lit(days)))
     was = old.groupBy("path").agg(F.max_by("n_chars", "at").alias("was"))

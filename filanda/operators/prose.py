@@ -64,7 +64,8 @@ PARALLEL = [
         ("isn't|isnt", r"\bisn'?t (just|only) [^.;!?]{1,60}[,;]\s*it'?s\b"),
     ),
 ]
-CORRELATIVE = _rules(("non solo|non soltanto|not only|not just", r"\b(non solo|non soltanto|not only|not just)\b[^.;!?]{1,90}\b(ma|but)( anche| also)?\b"))
+CORRELATIVE = _rules(("non solo|non soltanto|not only|not just",
+    r"\b(non solo|non soltanto|not only|not just)\b[^.;!?]{1,90}\b(ma|but)( anche| also)?\b"))
 JARGON = _rules(
     ("tbh|lol|lmao|ngl|imo|fr|smh|idk", r"\b(tbh|lol|lmao|ngl|imo|fr|smh|idk)\b"),
     ("kinda|sorta|gonna|wanna|lowkey|highkey", r"\b(kinda|sorta|gonna|wanna|lowkey|highkey)\b"),
@@ -74,18 +75,25 @@ JARGON = _rules(
 )
 MANNERED = _rules(
     ("delv", r"\bdelv(e|es|ed|ing)\b"), ("tapestry", r"\btapestry\b"), ("testament to", r"\btestament to\b"), ("pivotal", r"\bpivotal\b"),
-    ("underscor", r"\bunderscor(e|es|ed|ing)\b"), ("showcas", r"\bshowcas(e|es|ed|ing)\b"), ("intricac", r"\bintricac(y|ies)\b"), ("intricate", r"\bintricate\b"),
-    ("meticulous", r"\bmeticulous(ly)?\b"), ("boast", r"\bboast(s|ed|ing)?\b"), ("bolster", r"\bbolster(ed|s|ing)?\b"), ("garner", r"\bgarner(s|ed|ing)?\b"),
-    ("interplay", r"\binterplay\b"), ("foster", r"\bfoster(s|ed|ing)?\b"), ("enduring", r"\benduring\b"), ("vibrant", r"\bvibrant\b"), ("ever-evolving", r"\bever-evolving\b"),
-    ("gioca", r"\bgioca(no)? un ruolo (cruciale|fondamentale|chiave|centrale)\b"), ("in un mondo", r"\bin un mondo (in cui|sempre più|in continua evoluzione)\b"),
+    ("underscor", r"\bunderscor(e|es|ed|ing)\b"), ("showcas", r"\bshowcas(e|es|ed|ing)\b"), ("intricac", r"\bintricac(y|ies)\b"),
+        ("intricate", r"\bintricate\b"),
+    ("meticulous", r"\bmeticulous(ly)?\b"), ("boast", r"\bboast(s|ed|ing)?\b"), ("bolster", r"\bbolster(ed|s|ing)?\b"),
+        ("garner", r"\bgarner(s|ed|ing)?\b"),
+    ("interplay", r"\binterplay\b"), ("foster", r"\bfoster(s|ed|ing)?\b"), ("enduring", r"\benduring\b"), ("vibrant", r"\bvibrant\b"),
+        ("ever-evolving", r"\bever-evolving\b"),
+    ("gioca", r"\bgioca(no)? un ruolo (cruciale|fondamentale|chiave|centrale)\b"),
+        ("in un mondo", r"\bin un mondo (in cui|sempre più|in continua evoluzione)\b"),
     ("nel panorama", r"\bnel panorama (attuale|odierno|digitale)\b"), ("è importante", r"\bè importante (notare|sottolineare|ricordare) che\b"),
     ("vale la pena", r"\bvale la pena (notare|sottolineare) che\b"), ("immergiamoci", r"\bimmergiamoci\b"), ("addentriamoci", r"\baddentriamoci\b"),
-    ("svela", r"\bsvela(re|ndo)? i segreti\b"), ("un vero e proprio", r"\bun vero e proprio (punto di svolta|game changer)\b"), ("game changer", r"\bgame changer\b"),
+    ("svela", r"\bsvela(re|ndo)? i segreti\b"), ("un vero e proprio", r"\bun vero e proprio (punto di svolta|game changer)\b"),
+        ("game changer", r"\bgame changer\b"),
     ("in conclusione,", r"\bin conclusione,\b"), ("in sintesi,", r"\bin sintesi,\b"),
 )
 COMMON = _rules(
-    ("crucial", r"\bcrucial\b"), ("key", r"\bkey\b"), ("landscape", r"\blandscape\b"), ("robust", r"\brobust\b"), ("enhanc", r"\benhanc(e|es|ed|ing)\b"), ("highlight", r"\bhighlight(s|ed|ing)?\b"),
-    ("valuable", r"\bvaluable\b"), ("additionally", r"\badditionally\b"), ("align", r"\balign(s|ed)? with\b"), ("emphasiz", r"\bemphasiz(e|es|ed|ing)\b"), ("deep dive", r"\bdeep dive\b"),
+    ("crucial", r"\bcrucial\b"), ("key", r"\bkey\b"), ("landscape", r"\blandscape\b"), ("robust", r"\brobust\b"),
+        ("enhanc", r"\benhanc(e|es|ed|ing)\b"), ("highlight", r"\bhighlight(s|ed|ing)?\b"),
+    ("valuable", r"\bvaluable\b"), ("additionally", r"\badditionally\b"), ("align", r"\balign(s|ed)? with\b"),
+        ("emphasiz", r"\bemphasiz(e|es|ed|ing)\b"), ("deep dive", r"\bdeep dive\b"),
 )
 
 SENTENCE = re.compile(r"(?<=[.!?])\s+(?=[\"'«(]?[A-ZÀ-ÖØ-Ý])")
@@ -195,4 +203,5 @@ def prose_signs(texts: DataFrame, families: tuple[str, ...] = ALL, key: str = "p
             found = [(k, *x) for k, t in zip(p[key], p["text"], strict=True) for x in signs(t, families)]
             yield pd.DataFrame(found, columns=[key, "line_no", "family", "excerpt"])
 
-    return texts.select(key, "text").where("text is not null").mapInPandas(scan, f"`{key}` {dict(texts.dtypes)[key]}, line_no int, family string, excerpt string")
+    return texts.select(key, "text").where("text is not null").mapInPandas(scan,
+        f"`{key}` {dict(texts.dtypes)[key]}, line_no int, family string, excerpt string")

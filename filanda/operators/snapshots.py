@@ -45,10 +45,11 @@ def normal_path(path: Column) -> Column:
 def snapshot_order(states: DataFrame) -> DataFrame:
     """Usable snapshots: ``state_id, folder_key, seq, n_seq``, one row for each folder and instant, numbered from 1.
 
-    A snapshot delivered again (same folder, same instant) counts once, under its smallest state_id.
-    Rows with null ``files``, null ``folder_key`` or an unusable instant are left out; empty maps stay. The maps themselves are neither sorted nor shuffled.
+    A snapshot delivered again (same folder, same instant) counts once, under its smallest state_id. Rows with null ``files``,
+    null ``folder_key`` or an unusable instant are left out; empty maps stay. The maps themselves are neither sorted nor shuffled.
     """
-    usable = states.where("files is not null and folder_key is not null and state_id is not null").select("state_id", "folder_key", parse_instant(F.col("last_ingest_at")).alias("at")).where("at is not null")
+    usable = states.where("files is not null and folder_key is not null and state_id is not null").select("state_id", "folder_key",
+        parse_instant(F.col("last_ingest_at")).alias("at")).where("at is not null")
     first = usable.groupBy("folder_key", "at").agg(F.min("state_id").alias("state_id"))
     w = Window.partitionBy("folder_key")
     return first.select("state_id", "folder_key", F.row_number().over(w.orderBy("at")).alias("seq"), F.count("*").over(w).cast("int").alias("n_seq"))
@@ -64,7 +65,8 @@ def _members(needle: np.ndarray, hay: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _compare_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Changes of one bucket: its entries as codes (rank of the snapshot, rank of the key) in one sorted array, searched for those of the neighbouring snapshots."""
+    """Changes of one bucket: its entries as codes (rank of the snapshot, rank of the key) in one sorted array, searched for those
+    of the neighbouring snapshots."""
     folder, seq, n_seq, key, row = (pdf[c].to_numpy() for c in ("folder", "seq", "n_seq", "k", "r"))
     keys, key = np.unique(key, return_inverse=True)
     order = np.lexsort((row, key, seq, folder))
@@ -85,7 +87,8 @@ def _compare_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     changed[kept] = row[at[kept]] != row[kept]
     _, goes_on = _members(np.where(after[snap] >= 0, after[snap] * width + key, -1), code)
     picks = [((seq > 1) & ~kept, 0, 0), ((seq < n_seq) & ~goes_on, 1, 1), (changed, 2, 0)]
-    part = lambda m, c, ahead: pd.DataFrame({"folder": folder[m], "seq": (seq[m] + ahead).astype("int32"), "k": keys[key[m]], "code": np.full(m.sum(), c, dtype="int32")})
+    part = lambda m, c, ahead: pd.DataFrame({"folder": folder[m], "seq": (seq[m] + ahead).astype("int32"), "k": keys[key[m]],
+        "code": np.full(m.sum(), c, dtype="int32")})
     return pd.concat([part(*p) for p in picks], ignore_index=True)
 
 
@@ -107,10 +110,12 @@ def snapshot_changes(states: DataFrame, rows_per_bucket: int = 200_000) -> DataF
     heads = maps.join(order, ["state_id", "folder_key"]).select("folder_key", "seq", "n_seq", "files")
     sizes = maps.agg(F.ceil(F.coalesce(F.sum(F.size("files")), F.lit(0)) / rows_per_bucket).cast("int")).first()
     n_buckets = max(1, sizes[0])
-    entries = heads.select("folder_key", "seq", "n_seq", F.explode("files").alias("path", "f")).select("folder_key", "seq", "n_seq", normal_path(F.col("path")).alias("rel_path"), F.lower(F.trim("f.sha256")).alias("sha")).where("rel_path <> ''")
+    entries = heads.select("folder_key", "seq", "n_seq", F.explode("files").alias("path", "f")).select("folder_key", "seq", "n_seq",
+        normal_path(F.col("path")).alias("rel_path"), F.lower(F.trim("f.sha256")).alias("sha")).where("rel_path <> ''")
     folder, k = F.xxhash64("folder_key"), F.xxhash64("folder_key", "rel_path")
     row = F.xxhash64(F.col("sha").isNull(), F.coalesce("sha", F.lit("")))
-    hashed = entries.select(folder.alias("folder"), "seq", "n_seq", k.alias("k"), row.alias("r")).withColumn("bucket", F.pmod("k", F.lit(n_buckets)).cast("int"))
+    hashed = entries.select(folder.alias("folder"), "seq", "n_seq", k.alias("k"), row.alias("r")).withColumn("bucket",
+        F.pmod("k", F.lit(n_buckets)).cast("int"))
     diffs = hashed.groupBy("bucket").applyInPandas(lambda pdf: _compare_bucket(pdf), "folder long, seq int, k long, code int")
     # full values only for the differing keys: in the later snapshot, or for removed keys in the one before
     ids = order.select(folder.alias("folder"), "seq", "state_id")
@@ -124,7 +129,9 @@ def snapshot_changes(states: DataFrame, rows_per_bucket: int = 200_000) -> DataF
 def snapshot_changes_sql(states: DataFrame) -> DataFrame:
     """The same result as a plain full outer join; the operator's reference in tests."""
     snaps = snapshot_order(states)
-    e = cut(states.where("files is not null").select("state_id", "folder_key", "files").join(snaps, ["state_id", "folder_key"]).select("folder_key", "seq", F.explode("files").alias("p", "f")).select("folder_key", "seq", normal_path(F.col("p")).alias("rel_path"), F.lower(F.trim("f.sha256")).alias("sha")).where("rel_path <> ''").groupBy("folder_key", "seq", "rel_path").agg(F.min("sha").alias("sha")))
+    e = cut(states.where("files is not null").select("state_id", "folder_key", "files").join(snaps, ["state_id", "folder_key"]).select("folder_key",
+        "seq", F.explode("files").alias("p", "f")).select("folder_key", "seq", normal_path(F.col("p")).alias("rel_path"),
+        F.lower(F.trim("f.sha256")).alias("sha")).where("rel_path <> ''").groupBy("folder_key", "seq", "rel_path").agg(F.min("sha").alias("sha")))
     heads = snaps.select("folder_key", "seq", "state_id")
     old = e.select("folder_key", (F.col("seq") + 1).alias("seq"), "rel_path", F.col("sha").alias("old"), F.lit(True).alias("was"))
     both = e.withColumn("is", F.lit(True)).join(old, ["folder_key", "seq", "rel_path"], "full").join(heads, ["folder_key", "seq"]).where("seq > 1")
@@ -138,26 +145,34 @@ STATE = "folder_key string, label string, last_ingest_at string, last_ingest_com
 
 
 def folder_files(listing: DataFrame) -> DataFrame:
-    """``folder_key, files``: each folder's present files as one map. ``listing``: ``folder_key, path, sha256, mtime``; of a path listed twice the largest digest counts."""
-    one = listing.where("folder_key is not null and path is not null").groupBy("folder_key", normal_path(F.col("path")).alias("path")).agg(F.max(F.struct("sha256", "mtime")).alias("f"))
+    """``folder_key, files``: each folder's present files as one map. ``listing``: ``folder_key, path, sha256, mtime``; of a path
+    listed twice the largest digest counts."""
+    one = listing.where("folder_key is not null and path is not null").groupBy("folder_key",
+        normal_path(F.col("path")).alias("path")).agg(F.max(F.struct("sha256", "mtime")).alias("f"))
     return one.groupBy("folder_key").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("path", "f")))).alias("files"))
 
 
 def track(state: DataFrame, listing: DataFrame, now: str, commit: str, labels: DataFrame | None = None) -> DataFrame:
-    """The state with every listed folder taken at ``now`` under ``commit``: new folders are added, known ones keep their label. ``labels``: ``folder_key, label`` for new ones; else the key."""
+    """The state with every listed folder taken at ``now`` under ``commit``: new folders are added, known ones keep their label.
+    ``labels``: ``folder_key, label`` for new ones; else the key."""
     new = folder_files(listing)
     names = state.select("folder_key", "label")
     fresh = new.join(names, "folder_key", "left")
     if labels is not None:
-        fresh = fresh.join(labels.select("folder_key", F.col("label").alias("_l")), "folder_key", "left").withColumn("label", F.coalesce("label", "_l"))
-    fresh = fresh.select("folder_key", F.coalesce("label", "folder_key").alias("label"), F.lit(now).alias("last_ingest_at"), F.lit(commit).alias("last_ingest_commit"), "files")
-    return state.select("folder_key", "label", "last_ingest_at", "last_ingest_commit", "files").join(new.select("folder_key"), "folder_key", "left_anti").unionByName(fresh)
+        fresh = fresh.join(labels.select("folder_key", F.col("label").alias("_l")), "folder_key", "left").withColumn("label",
+            F.coalesce("label", "_l"))
+    fresh = fresh.select("folder_key", F.coalesce("label", "folder_key").alias("label"), F.lit(now).alias("last_ingest_at"),
+        F.lit(commit).alias("last_ingest_commit"), "files")
+    return state.select("folder_key", "label", "last_ingest_at", "last_ingest_commit", "files").join(new.select("folder_key"), "folder_key",
+        "left_anti").unionByName(fresh)
 
 
 def resnapshot(state: DataFrame, listing: DataFrame) -> DataFrame:
-    """The state with the present files of listed folders it knows; date and commit of their ingest stay, and folders it does not know are not added."""
+    """The state with the present files of listed folders it knows; date and commit of their ingest stay, and folders it does not
+    know are not added."""
     new = folder_files(listing).withColumnRenamed("files", "_files")
-    return state.join(new, "folder_key", "left").select("folder_key", "label", "last_ingest_at", "last_ingest_commit", F.coalesce("_files", "files").alias("files"))
+    return state.join(new, "folder_key", "left").select("folder_key", "label", "last_ingest_at", "last_ingest_commit",
+        F.coalesce("_files", "files").alias("files"))
 
 
 def untrack(state: DataFrame, folders: DataFrame) -> DataFrame:

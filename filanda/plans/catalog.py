@@ -21,7 +21,8 @@ def _skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _state():
-    return F.when(F.col("error").isNotNull(), "error").when(F.col("file_hash").isNull(), "todo").when(F.col("has_images"), "doing").when(F.col("tables_count") > 0, "done").otherwise("skipped")
+    return F.when(F.col("error").isNotNull(), "error").when(F.col("file_hash").isNull(), "todo").when(F.col("has_images"),
+        "doing").when(F.col("tables_count") > 0, "done").otherwise("skipped")
 
 
 def registry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +40,8 @@ def registry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def next_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty listed documents that come next."""
-    items = _skeleton(spark, sf_dir).where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.min(_state()).alias("state")).withColumn("agent", F.lit(None).cast("string"))
+    items = _skeleton(spark, sf_dir).where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.min(_state())
+        .alias("state")).withColumn("agent", F.lit(None).cast("string"))
     return R.next_items(items, 20).select("id", "state")
 
 
@@ -55,14 +57,17 @@ def path_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listed_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paths of the scans and of the nodes, and which list has them."""
-    return R.listed_paths(_skeleton(spark, sf_dir).select(F.col("relative_path").alias("path")), table(spark, sf_dir, "nodes").select(F.col("source_file").alias("path")))
+    return R.listed_paths(_skeleton(spark, sf_dir).select(F.col("relative_path").alias("path")),
+        table(spark, sf_dir, "nodes").select(F.col("source_file").alias("path")))
 
 
 def wrapper_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of the scans against those that nodes cite: what would be created, updated or is an orphan."""
-    expected = table(spark, sf_dir, "nodes").where("source_file is not null").groupBy(F.col("source_file").alias("path")).agg(F.max("file_type").alias("content"))
+    expected = table(spark, sf_dir, "nodes").where("source_file is not null").groupBy(F.col("source_file").alias("path")).agg(F.max("file_type")
+        .alias("content"))
     k = _skeleton(spark, sf_dir).where("relative_path is not null").groupBy(F.col("relative_path").alias("path"))
-    return R.wrapper_changes(expected, k.agg(F.max(F.regexp_extract("file_name", r"\.([^.]*)$", 1)).alias("content"), F.bool_or(F.coalesce("has_images", F.lit(False))).alias("generated")))
+    return R.wrapper_changes(expected, k.agg(F.max(F.regexp_extract("file_name", r"\.([^.]*)$", 1)).alias("content"),
+        F.bool_or(F.coalesce("has_images", F.lit(False))).alias("generated")))
 
 
 def sanitized_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +86,8 @@ def sanitized_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def collected_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All text of each document's sections: length and digest."""
-    done = R.collect_text(table(spark, sf_dir, "sections").select("doc_id", "section_id", "ord", "title", "preview_start", "preview_end", "paragraphs"))
+    done = R.collect_text(table(spark, sf_dir, "sections").select("doc_id", "section_id", "ord", "title", "preview_start", "preview_end",
+        "paragraphs"))
     return done.select("doc_id", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
 
 
@@ -96,7 +102,8 @@ def audit_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the texts may be published, and what forbids it."""
     f = pipeline.leak_findings(spark, sf_dir)
     secrets, residue = F.count_if(F.col("category").startswith("secret-")), F.count_if(F.col("category").startswith("residue-"))
-    return f.agg(secrets.alias("secrets"), residue.alias("residues")).select("secrets", "residues", (F.col("secrets") == 0).alias("no_secrets"), (F.col("secrets") + F.col("residues") == 0).alias("passed"))
+    return f.agg(secrets.alias("secrets"), residue.alias("residues")).select("secrets", "residues", (F.col("secrets") == 0).alias("no_secrets"),
+        (F.col("secrets") + F.col("residues") == 0).alias("passed"))
 
 
 def scrub_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +122,8 @@ def page_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Capabilities as pages with an English and an Italian variant of every other one, and the evidence each variant gets."""
     wanted = P.evidence(pipeline._fits(spark, sf_dir)).select("page", "sid")
     base = wanted.select("page").distinct()
-    pages = base.unionByName(base.where("length(page) % 2 = 0").select(F.concat("page", F.lit(".en")).alias("page"))).unionByName(base.where("length(page) % 3 = 0").select(F.concat("page", F.lit(".it")).alias("page")))
+    pages = base.unionByName(base.where("length(page) % 2 = 0").select(F.concat("page", F.lit(".en")).alias("page"))).unionByName(base
+        .where("length(page) % 3 = 0").select(F.concat("page", F.lit(".it")).alias("page")))
     return P.on_variants(wanted, pages).groupBy("page").agg(F.count("*").alias("blocks"))
 
 
@@ -127,7 +135,8 @@ def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gated_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proposals by community: the nodes that stay and those dropped."""
-    d = table(spark, sf_dir, "taxonomy_diff").distinct().where("bucket in ('new_capability', 'new_domain') and community_id is not null and node_id is not null")
+    d = table(spark, sf_dir,
+        "taxonomy_diff").distinct().where("bucket in ('new_capability', 'new_domain') and community_id is not null and node_id is not null")
     return G.gate_groups(d.select(F.col("community_id").alias("group_id"), "node_id", "label", "text_preview"))
 
 
@@ -156,13 +165,15 @@ def person_token_scrub(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def audit_person_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of persons' names that are no words of titles of sections."""
-    titles = table(spark, sf_dir, "sections").where("title is not null").select(F.explode(F.regexp_extract_all("title", F.lit(r"([\p{L}]+)"), F.lit(1))).alias("word"))
+    titles = table(spark, sf_dir, "sections").where("title is not null").select(F.explode(F.regexp_extract_all("title", F.lit(r"([\p{L}]+)"),
+        F.lit(1))).alias("word"))
     return G.audit_person_terms(pipeline.anonymisation_map(spark, sf_dir), titles, ["Marta"])
 
 
 def keyword_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Capabilities, average keywords and cut-off lists of each domain."""
-    return pipeline._index(spark).groupBy("domain").agg(F.count("*").alias("capabilities"), F.round(F.avg(F.size("keywords")), 4).alias("mean_keywords"), F.count_if(F.col("keywords_dropped") > 0).alias("cut"))
+    return pipeline._index(spark).groupBy("domain").agg(F.count("*").alias("capabilities"),
+        F.round(F.avg(F.size("keywords")), 4).alias("mean_keywords"), F.count_if(F.col("keywords_dropped") > 0).alias("cut"))
 
 
 def token_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,29 +181,35 @@ def token_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = table(spark, sf_dir, "documents").select("doc_id", T.estimate_tokens("text").alias("est_tokens"))
     top = t.orderBy(F.desc("est_tokens"), "doc_id").limit(30)
     shown = top.agg(F.sum("est_tokens").alias("n"), F.count("*").alias("c"))
-    rest = t.agg(F.sum("est_tokens").alias("all_n"), F.count("*").alias("all_c")).crossJoin(F.broadcast(shown)).select(F.lit(None).cast("long").alias("doc_id"), F.expr("all_n - n").alias("est_tokens"), F.expr("all_c - c").alias("docs"))
+    rest = t.agg(F.sum("est_tokens").alias("all_n"), F.count("*").alias("all_c")).crossJoin(F.broadcast(shown)).select(F.lit(None).cast("long")
+        .alias("doc_id"), F.expr("all_n - n").alias("est_tokens"), F.expr("all_c - c").alias("docs"))
     return top.withColumn("docs", F.lit(1).cast("long")).unionByName(rest)
 
 
 def new_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages of proposed capabilities, whole."""
     d = table(spark, sf_dir, "taxonomy_diff").distinct().where("bucket = 'new_capability'")
-    g = d.select(F.concat(F.lit("Community "), F.col("community_id").cast("string")).alias("name"), "domain", "label", "text_preview", F.col("diff_id").alias("ord"))
+    g = d.select(F.concat(F.lit("Community "), F.col("community_id").cast("string")).alias("name"), "domain", "label", "text_preview",
+        F.col("diff_id").alias("ord"))
     return P.missing_pages(P.new_page(g), d.where("capability is not null").select(F.col("capability").alias("page")))
 
 
 def published_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Empty pages after publishing, as Markdown."""
     wanted = P.evidence(pipeline._fits(spark, sf_dir))
-    empty = wanted.select("page").distinct().select("page", F.concat(F.lit("# "), "page", F.lit("\n\n## Overview\n\nText.\n\n## Evidence\n")).alias("markdown"))
-    return P.apply(P.parse_pages(empty), wanted).select("page", F.length("markdown").alias("n_chars"), F.size(F.split("markdown", "\n### ")).alias("parts"))
+    empty = wanted.select("page").distinct().select("page", F.concat(F.lit("# "), "page",
+        F.lit("\n\n## Overview\n\nText.\n\n## Evidence\n")).alias("markdown"))
+    return P.apply(P.parse_pages(empty), wanted).select("page", F.length("markdown").alias("n_chars"),
+        F.size(F.split("markdown", "\n### ")).alias("parts"))
 
 
 QUERIES = {
     f.__name__: f
     for f in (
-        registry_lines, registry_counts, next_items, documents_by_path, path_areas, listed_paths, wrapper_changes, sanitized_stems, sanitized_notes, collected_text, findings_total, audit_gate, scrub_counts,
-        gate_examples, page_variants, review_lines, gated_groups, structure_findings, domain_findings, person_token_scrub, audit_person_terms, keyword_averages, token_report, new_pages, published_markdown,
+        registry_lines, registry_counts, next_items, documents_by_path, path_areas, listed_paths, wrapper_changes, sanitized_stems, sanitized_notes,
+            collected_text, findings_total, audit_gate, scrub_counts,
+        gate_examples, page_variants, review_lines, gated_groups, structure_findings, domain_findings, person_token_scrub, audit_person_terms,
+            keyword_averages, token_report, new_pages, published_markdown,
     )
 }
 
@@ -205,7 +222,8 @@ _PUBLIC = (
     "fortinet|sophos|cisco|ubnt|eset|kaspersky|malwarebytes|virustotal|nvidia|intel|amd|dell|hp|lenovo|openai|anthropic|bitdefender|myzyxel|supremocontrol|rws|sdl|atlassian|stackoverflow|docker|unpkg"
 )
 _PERSONS = """
-with m as (select original from (""" + pipeline.ORACLES["anonymisation_map"] + r""") where category = 'PROPER_NOUN' and regexp_full_match(original, '\p{Lu}\p{L}+ \p{Lu}\p{L}+')),
+with m as (select original from (""" + pipeline.ORACLES[
+    "anonymisation_map"] + r""") where category = 'PROPER_NOUN' and regexp_full_match(original, '\p{Lu}\p{L}+ \p{Lu}\p{L}+')),
 k as (select distinct token from (select unnest(string_split(original, ' ')) as token from m) where length(token) >= 4)
 """
 
@@ -226,7 +244,8 @@ with e as (select source_file as path, max(file_type) as want from nodes where s
 p as (select relative_path as path, max(regexp_extract(file_name, '\.([^.]*)$', 1)) as have, bool_or(coalesce(has_images, false)) as gen from doc_skeleton where relative_path is not null group by 1),
 j as (select coalesce(e.path, p.path) as path, case when p.path is null then 'create' when e.path is null and gen then 'orphan' when e.path is not null and want is distinct from have then 'update' end as action from e full join p on e.path = p.path)
 select path, action from j where action is not null""",
-    "sanitized_stems": "select distinct file_name, " + _NEUTRAL.format("'Passwords_' || " + _STEM.format("file_name") + " || '-private_KEY token'") + " as stem from doc_skeleton where file_name is not null",
+    "sanitized_stems": "select distinct file_name, " + _NEUTRAL.format("'Passwords_' || " + _STEM.format("file_name") + " || '-private_KEY token'")
+        + " as stem from doc_skeleton where file_name is not null",
     "sanitized_notes": f"""
 with n as (select doc_id, max(file_name) as name from doc_skeleton group by 1),
 c as (select doc_id, text, {_NEUTRAL.format(_STEM.format('name'))} as stem from documents join n using (doc_id)),
@@ -238,11 +257,14 @@ d as (select doc_id, coalesce(string_agg(t, chr(10) order by ord, section_id) fi
 select doc_id, length(text) as n_chars, md5(text) as digest from d""",
     "findings_total": f"with f as ({_FOUND}) select category, count(*) as findings, count(distinct path) as files from f group by 1 union all select 'total', count(*), count(distinct path) from f",
     "audit_gate": f"with f as ({_FOUND}), c as (select count_if(starts_with(category, 'secret-')) as secrets, count_if(starts_with(category, 'residue-')) as residues from f) select *, secrets = 0 as no_secrets, secrets + residues = 0 as passed from c",
-    "gate_examples": pipeline._GATE + "select bucket, reason, diff_id, label, row_number() over (partition by bucket, reason order by diff_id) as r from g qualify r <= 5",
-    "page_variants": pipeline._FITS + ", c as (select page, count(*) as blocks from f group by 1) select page, blocks from c union all select page || '.en', blocks from c where length(page) % 2 = 0 union all select page || '.it', blocks from c where length(page) % 3 = 0",
+    "gate_examples": pipeline._GATE
+        + "select bucket, reason, diff_id, label, row_number() over (partition by bucket, reason order by diff_id) as r from g qualify r <= 5",
+    "page_variants": pipeline._FITS
+        + ", c as (select page, count(*) as blocks from f group by 1) select page, blocks from c union all select page || '.en', blocks from c where length(page) % 2 = 0 union all select page || '.it', blocks from c where length(page) % 3 = 0",
     "review_lines": f"with c as ({pipeline.ORACLES['classify_nodes']}) select '1 summary' as part, '' as head, row_number() over (order by bucket) as place, '| ' || bucket || ' | ' || count(*) || ' | ' || count_if(needs_review) || ' |' as line from c group by bucket "
     "union all select '5 unclassified', node_id[1:1], row_number() over (partition by node_id[1:1] order by node_id), '- ' || node_id from c where bucket = 'unclassified'",
-    "scrub_counts": " union all ".join(f"select '{n}' as rule, count(*) as fields from (select distinct * from taxonomy_diff) where regexp_matches(text_preview, '{p}') having count(*) > 0" for n, p in patterns.RESIDUE),
+    "scrub_counts": " union all "
+        .join(f"select '{n}' as rule, count(*) as fields from (select distinct * from taxonomy_diff) where regexp_matches(text_preview, '{p}') having count(*) > 0" for n, p in patterns.RESIDUE),
     "gated_groups": f"""
 with d as (select community_id as group_id, node_id, coalesce({pipeline._case('label', patterns.SECRETS)}, {pipeline._case('text_preview', patterns.SECRETS)}) is not null as secret, {pipeline._case('label', patterns.RESIDUE)} is not null as residue
   from (select distinct * from taxonomy_diff) where bucket in ('new_capability', 'new_domain') and community_id is not null and node_id is not null),
@@ -268,7 +290,8 @@ select diff_id, array_to_string(ts, ' ') as tokens, (length(t) + list_sum(list_t
     "audit_person_terms": _PERSONS + r""",
 n as (select distinct lower(unnest(regexp_extract_all(title, '\p{L}+'))) as w from sections where title is not null)
 select token from k where lower(token) not in (select w from n) and token <> 'Marta'""",
-    "keyword_averages": pipeline._KW + ", c as (select p.domain, p.name, count(k.keyword) as n from pg p left join (select * from kw where pos < 90) k on k.domain = p.domain and k.name = p.name group by all) select domain, count(*) as capabilities, round(avg(n), 4) as mean_keywords, 0 as cut from c group by 1",
+    "keyword_averages": pipeline._KW
+        + ", c as (select p.domain, p.name, count(k.keyword) as n from pg p left join (select * from kw where pos < 90) k on k.domain = p.domain and k.name = p.name group by all) select domain, count(*) as capabilities, round(avg(n), 4) as mean_keywords, 0 as cut from c group by 1",
     "token_report": "with t as (select doc_id, greatest(1, coalesce(length(text), 0) // 4) as n, row_number() over (order by greatest(1, coalesce(length(text), 0) // 4) desc, doc_id) as r from documents) "
     "select doc_id, n as est_tokens, 1 as docs from t where r <= 30 union all select null, sum(n), count(*) from t where r > 30",
     "new_pages": r"""

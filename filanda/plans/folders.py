@@ -21,7 +21,8 @@ def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed files, a third of them renamed to telling names and to keys, by bucket."""
     h = F.length("rel") % 6
-    named = F.when(h == 0, F.concat("rel", F.lit(".PEM"))).when(h == 1, F.concat(F.lit("x/Password "), F.replace("rel", F.lit("/"), F.lit("-")))).otherwise(F.col("rel"))
+    named = F.when(h == 0, F.concat("rel", F.lit(".PEM"))).when(h == 1,
+        F.concat(F.lit("x/Password "), F.replace("rel", F.lit("/"), F.lit("-")))).otherwise(F.col("rel"))
     return S.bucketed(_files(spark, sf_dir).select(named.alias("rel"))).groupBy("bucket").agg(F.count("*").alias("files"))
 
 
@@ -34,7 +35,8 @@ def kept_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed files outside the excluded folders: those whose name has an even length."""
     f = _files(spark, sf_dir)
     folder = F.regexp_extract("rel", r"^(.*/)[^/]*$", 1)
-    lines = f.select(folder.alias("d")).distinct().where("d <> '' and length(d) % 2 = 0").select(F.lit(1).alias("line_no"), F.concat("d", F.lit(" # pari")).alias("line"))
+    lines = f.select(folder.alias("d")).distinct().where("d <> '' and length(d) % 2 = 0").select(F.lit(1).alias("line_no"),
+        F.concat("d", F.lit(" # pari")).alias("line"))
     return S.excluded(f, S.exclusion_rules(lines).where("error is null"))
 
 
@@ -46,7 +48,8 @@ def scope_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def left_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Previews that still hold a placeholder of the template."""
-    t = table(spark, sf_dir, "sections").where("preview_start is not null").select(F.col("section_id").alias("path"), F.col("preview_start").alias("text")).distinct()
+    t = table(spark, sf_dir, "sections").where("preview_start is not null").select(F.col("section_id").alias("path"),
+        F.col("preview_start").alias("text")).distinct()
     return L.placeholders(t, spark.createDataFrame([("Per <NOME-CLIENTE>, <DATA> e <NOME>; `<codice>`",)], "text string"))
 
 
@@ -59,21 +62,24 @@ def label_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def heading_styles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections by the level of a heading style written from their own level, in several languages."""
     word = F.element_at(F.array(*[F.lit(x) for x in ("Heading ", "Titolo ", "heading", "Normal ")]), (F.col("section_id") % 4 + 1).cast("int"))
-    s = table(spark, sf_dir, "sections").where("level is not null").select("section_id", F.concat(word, (F.col("level") * 3).cast("string")).alias("style")).distinct()
+    s = table(spark, sf_dir, "sections").where("level is not null").select("section_id",
+        F.concat(word, (F.col("level") * 3).cast("string")).alias("style")).distinct()
     return s.groupBy(T.heading_level("style").alias("level")).agg(F.count("*").alias("sections"))
 
 
 def note_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Front matter of the notes, read back: titles and dates, and the number of tags."""
     f = L.front_matter(pipeline.note_heads(spark, sf_dir).select(F.col("doc_id").alias("path"), F.concat("head", F.lit("\ntext")).alias("text")))
-    return f.select(F.col("path").alias("doc_id"), "name", F.replace("value", F.lit('\\"'), F.lit('"')).alias("value"), F.size(F.coalesce("items", F.array())).alias("n_items"))
+    return f.select(F.col("path").alias("doc_id"), "name", F.replace("value", F.lit('\\"'), F.lit('"')).alias("value"),
+        F.size(F.coalesce("items", F.array())).alias("n_items"))
 
 
 def restored_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files with byte order mark and carriage returns, read and written again."""
     bom, crlf = F.col("doc_id") % 2 == 0, F.col("doc_id") % 3 == 0
     d = table(spark, sf_dir, "documents").where("text is not null and not contains(text, chr(13))")
-    raw = F.concat(F.when(bom, "﻿").otherwise(""), F.when(crlf, F.replace("text", F.lit("\n"), F.lit("\r\n"))).otherwise(F.col("text"))).cast("binary")
+    raw = F.concat(F.when(bom, "﻿").otherwise(""), F.when(crlf, F.replace("text", F.lit("\n"), F.lit("\r\n")))
+        .otherwise(F.col("text"))).cast("binary")
     read = d.select("doc_id", raw.alias("content")).select("doc_id", "content", S.decoded("content").alias("text"))
     back = S.restored("text", F.col("content").cast("string").startswith("﻿"), F.contains(F.col("content").cast("string"), F.lit("\r\n")))
     return read.select("doc_id", F.md5("text").alias("digest"), (back.cast("binary") == F.col("content")).alias("same"))
@@ -87,7 +93,8 @@ def restored_accents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", n.alias("n")).where("n > 0")
 
 
-QUERIES = {f.__name__: f for f in (file_buckets, globbed_files, kept_files, scope_check, left_placeholders, label_words, heading_styles, note_fields, restored_texts, restored_accents)}
+QUERIES = {f.__name__: f for f in (file_buckets, globbed_files, kept_files, scope_check, left_placeholders, label_words, heading_styles, note_fields,
+    restored_texts, restored_accents)}
 
 _FILES = "select distinct relative_path as rel from doc_skeleton where relative_path is not null"
 _BARE = patterns.quoted(
@@ -111,7 +118,10 @@ select rel as path, 'outside' as status from f where rel not in (select path fro
     "left_placeholders": "select distinct section_id as path, p as placeholder from (select section_id, unnest(['<NOME-CLIENTE>', '<DATA>', '<NOME>']) as p, preview_start from sections where preview_start is not null) "
     "where contains(regexp_replace(preview_start, '`[^`\\n]*`', '', 'g'), p)",
     "label_words": "select word, count(*) as nodes from (select id, unnest(list_distinct(list_transform(regexp_extract_all(label, '[A-Za-zÀ-ÿ0-9]{4,}'), lambda x: lower(x)))) as word from (select distinct * from nodes) where label is not null) "
-    "where word not in (" + patterns.quoted("della delle degli dello dalla dalle nella nelle sono come questo questa quello quella essere anche with from that this have been were") + ") group by 1",
+    "where word not in ("
+        + patterns.quoted(
+        "della delle degli dello dalla dalle nella nelle sono come questo questa quello quella essere anche with from that this have been were")
+        + ") group by 1",
     "heading_styles": "select case when section_id % 4 = 3 then null else least(greatest(level * 3, 1), 6) end as level, count(distinct section_id) as sections from sections where level is not null group by 1",
     "note_fields": "with h as (" + pipeline.ORACLES["note_heads"] + r"""),
 l as (select doc_id, string_split(head, chr(10)) as ls from h),

@@ -69,7 +69,8 @@ PROPER = rf"(?:(?:^|[.!?]\s)[A-ZÀ-Ý][a-zà-ÿ]*)|({_NAME})"
 _SIGN = r"[0-9!@#$%^&*_+=]"
 _VALUE = "(?:" + "|".join(rf"\S{{{i}}}{_SIGN}\S{{{5 - i},}}" for i in range(5)) + rf"|\S{{5,}}{_SIGN}\S*|[A-Za-z]{{8,}})"
 SECRETS = [
-    ("secret-assignment", rf"(?i)\b(?:password|passwd|pwd|pw|credenzial\w*|chiave|api[\s_\-]?key|psk|passphrase|token|secret)\b[^\n:=]{{0,24}}[:=]\s*{_VALUE}"),
+    ("secret-assignment",
+        rf"(?i)\b(?:password|passwd|pwd|pw|credenzial\w*|chiave|api[\s_\-]?key|psk|passphrase|token|secret)\b[^\n:=]{{0,24}}[:=]\s*{_VALUE}"),
     ("secret-phrase", rf"(?i)\b(?:password|passwd|pwd|credenzial\w*|passphrase|psk)\b(?:\s+\w+){{0,2}}\s+(?:e''|era|sono|is|was)\s+{_VALUE}"),
     ("secret-card", r"(?i)\b(?:credenzial\w*|credentials)\b[^\n]{0,30}\b(?:id|login|utenza|account|user(?:name)?|e-?mail)\b"),
     ("secret-file", r"(?i)\b\w*(?:credenzial\w*|password|secret)\w*\.(?:crd|txt|docx?|xlsx?|kdbx|csv)\b"),

@@ -17,18 +17,21 @@ from filanda.runtime import table
 
 #: A small taxonomy: domain, its place, capability's place, name, overview, tasks, kept for hand-picked evidence.
 PAGES = [
-    ("infrastruttura", 1, 1, "backup", "backup archivio ripristino storage database virtualizzazione conclusioni", "Orvexa Rethalon misure premessa proposta", False),
+    ("infrastruttura", 1, 1, "backup", "backup archivio ripristino storage database virtualizzazione conclusioni",
+        "Orvexa Rethalon misure premessa proposta", False),
     ("infrastruttura", 1, 2, "rete", "rete monitoraggio telefonia network monitoring cablaggio", "Ilverna Ombrelia requisiti architettura", False),
     ("sicurezza", 2, 1, "accessi", "sicurezza accessi endpoint directory security access", "Calvento Zantero Nuvantis misure rischi", False),
     ("sicurezza", 2, 2, "collaudi", "collaudi database archive storage", "conclusioni allegati dettaglio", False),
     ("governo", 3, 1, "licenze", "licenze contratti fatturazione licensing billing", "Talmira Quendor proposta allegati", False),
     ("governo", 3, 2, "formazione", "formazione presenze stampa printing", "Ximora Fendaro Prelora", True),
 ]
-DOMAINS = [("infrastruttura", 1, ["rete", "storage", "backup", "infrastruttura"]), ("sicurezza", 2, ["sicurezza", "accessi", "rischi"]), ("governo", 3, ["licenze", "contratti", "proposta"])]
+DOMAINS = [("infrastruttura", 1, ["rete", "storage", "backup", "infrastruttura"]), ("sicurezza", 2, ["sicurezza", "accessi", "rischi"]),
+    ("governo", 3, ["licenze", "contratti", "proposta"])]
 
 
 def _index(spark: SparkSession) -> DataFrame:
-    return X.keyword_index(spark.createDataFrame(PAGES, "domain string, domain_ord int, cap_ord int, name string, overview string, tasks string, manual_only boolean"))
+    return X.keyword_index(spark.createDataFrame(PAGES,
+        "domain string, domain_ord int, cap_ord int, name string, overview string, tasks string, manual_only boolean"))
 
 
 def _domains(spark: SparkSession) -> DataFrame:
@@ -51,7 +54,8 @@ def taxonomy_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def classify_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each node's capability, score, margin over the runner-up, bucket and review flag."""
-    return _classified(spark, sf_dir).select("node_id", "capability", "score", "bucket", "margin", "runner_up", "runner_up_score", F.array_join("matched", " ").alias("matched"), "needs_review")
+    return _classified(spark, sf_dir).select("node_id", "capability", "score", "bucket", "margin", "runner_up", "runner_up_score",
+        F.array_join("matched", " ").alias("matched"), "needs_review")
 
 
 def classified_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,13 +71,16 @@ def near_miss_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def diff_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The taxonomy diff by bucket and domain."""
     d = table(spark, sf_dir, "taxonomy_diff").distinct()
-    return d.groupBy("bucket", "domain").agg(F.count("*").alias("n"), F.count_if("is_hyperedge").alias("hyperedges"), F.count_if(F.col("score") >= X.FIT).alias("strong"), F.round(F.max("score"), 3).alias("best"))
+    return d.groupBy("bucket", "domain").agg(F.count("*").alias("n"), F.count_if("is_hyperedge").alias("hyperedges"),
+        F.count_if(F.col("score") >= X.FIT).alias("strong"), F.round(F.max("score"), 3).alias("best"))
 
 
 def anonymisation_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Placeholders of companies, persons, mailboxes, addresses and hosts, by frequency."""
-    e = table(spark, sf_dir, "entities").distinct().where("value is not null").withColumn("category", F.when(F.col("category") == "IP_ADDRESS", "IP_ADDR").otherwise(F.col("category")))
-    return G.anonymisation_map(e.groupBy("category", "value").agg(F.sum(F.coalesce("cnt", F.lit(0))).alias("cnt"), F.min("entity_id").alias("first_id")))
+    e = table(spark, sf_dir, "entities").distinct().where("value is not null").withColumn("category",
+        F.when(F.col("category") == "IP_ADDRESS", "IP_ADDR").otherwise(F.col("category")))
+    return G.anonymisation_map(e.groupBy("category", "value").agg(F.sum(F.coalesce("cnt", F.lit(0))).alias("cnt"),
+        F.min("entity_id").alias("first_id")))
 
 
 def anonymised_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +91,8 @@ def anonymised_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gate_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each row of the taxonomy diff, kept or dropped and why, and its scrubbed preview."""
-    return G.gate(table(spark, sf_dir, "taxonomy_diff").distinct()).select("diff_id", "kept", "reason", "text_preview", F.array_join("scrubbed", " ").alias("scrubbed"))
+    return G.gate(table(spark, sf_dir, "taxonomy_diff").distinct()).select("diff_id", "kept", "reason", "text_preview",
+        F.array_join("scrubbed", " ").alias("scrubbed"))
 
 
 def gate_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,8 +103,10 @@ def gate_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fits(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "taxonomy_diff").distinct().where("bucket = 'fit' and node_id is not null and capability is not null")
     files = _nodes(spark, sf_dir).groupBy(F.col("id").alias("node_id")).agg(F.min("source_file").alias("source_file"))
-    one = d.groupBy("node_id", F.col("capability").alias("page")).agg(F.min_by(F.struct("label", "text_preview", "community_id"), "diff_id").alias("x"))
-    return one.select("node_id", "page", "x.label", F.col("x.text_preview").alias("text_preview"), F.col("x.community_id").alias("community")).join(files, "node_id", "left")
+    one = d.groupBy("node_id", F.col("capability").alias("page")).agg(F.min_by(F.struct("label", "text_preview", "community_id"),
+        "diff_id").alias("x"))
+    return one.select("node_id", "page", "x.label", F.col("x.text_preview").alias("text_preview"),
+        F.col("x.community_id").alias("community")).join(files, "node_id", "left")
 
 
 def evidence_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +117,8 @@ def evidence_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def published_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with the evidence of the first half of the capabilities already there: what is injected, refreshed and skipped."""
     wanted = P.evidence(_fits(spark, sf_dir))
-    empty = wanted.select("page").distinct().select("page", F.concat(F.lit("# "), "page", F.lit("\n\n## Overview\n\nText.\n\n## Evidence\n")).alias("markdown"))
+    empty = wanted.select("page").distinct().select("page", F.concat(F.lit("# "), "page",
+        F.lit("\n\n## Overview\n\nText.\n\n## Evidence\n")).alias("markdown"))
     first = P.apply(P.parse_pages(empty), wanted.where(F.ascii(F.col("sid")) < F.ascii(F.lit("8"))))
     return P.upsert(P.parse_pages(first), wanted)
 
@@ -116,8 +127,10 @@ def stale_placements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Placements of known nodes that are no longer expected: those of score below 0.2 are withdrawn here."""
     fits = _fits(spark, sf_dir)
     anchors = P.evidence(fits).select("page", "sid", "node_id")
-    keep = table(spark, sf_dir, "taxonomy_diff").where("bucket = 'fit' and score >= 0.2").select("node_id", F.col("capability").alias("page")).where("node_id is not null and page is not null").distinct()
-    return P.stale(anchors, fits.select("node_id"), keep, anchors).select("page", "sid", "node_id", "reason", F.array_join("moved_to", ",").alias("moved_to"))
+    keep = table(spark, sf_dir, "taxonomy_diff").where("bucket = 'fit' and score >= 0.2").select("node_id",
+        F.col("capability").alias("page")).where("node_id is not null and page is not null").distinct()
+    return P.stale(anchors, fits.select("node_id"), keep, anchors).select("page", "sid", "node_id", "reason",
+        F.array_join("moved_to", ",").alias("moved_to"))
 
 
 def leak_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +141,8 @@ def leak_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each content hash once, under the path it first came by."""
-    b = table(spark, sf_dir, "doc_skeleton").where("error is null and file_hash is not null").select(F.unix_micros("arrived_at").alias("commit_no"), F.col("file_hash").alias("blob_sha"), F.col("relative_path").alias("path"), F.col("file_name").alias("text"))
+    b = table(spark, sf_dir, "doc_skeleton").where("error is null and file_hash is not null").select(F.unix_micros("arrived_at").alias("commit_no"),
+        F.col("file_hash").alias("blob_sha"), F.col("relative_path").alias("path"), F.col("file_name").alias("text"))
     return A.history_blobs(b)
 
 
@@ -136,9 +150,12 @@ def registry_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each document's declared state is worth, against its file's size and latest hash."""
     k = table(spark, sf_dir, "doc_skeleton").where("doc_id is not null")
     first = k.groupBy("doc_id").agg(F.min_by("file_hash", F.struct("arrived_at", "file_hash")).alias("hash"), F.max("file_name").alias("artifact"))
-    items = first.join(table(spark, sf_dir, "documents").select("doc_id", "n_chars", "title"), "doc_id").select(F.col("doc_id").alias("id"), F.when(F.col("n_chars") > 0, "done").otherwise("skipped").alias("state"), "artifact", F.col("doc_id").alias("source"), "hash", F.col("title").alias("note"))
+    items = first.join(table(spark, sf_dir, "documents").select("doc_id", "n_chars", "title"), "doc_id").select(F.col("doc_id").alias("id"),
+        F.when(F.col("n_chars") > 0, "done").otherwise("skipped").alias("state"), "artifact", F.col("doc_id").alias("source"), "hash",
+        F.col("title").alias("note"))
     artifacts = k.groupBy(F.col("file_name").alias("artifact")).agg(F.max("file_size_bytes").alias("n_bytes"))
-    sources = k.where("error is null").groupBy(F.col("doc_id").alias("source")).agg(F.max_by("file_hash", F.struct("arrived_at", "file_hash")).alias("hash_now"))
+    sources = k.where("error is null").groupBy(F.col("doc_id").alias("source")).agg(F.max_by("file_hash",
+        F.struct("arrived_at", "file_hash")).alias("hash_now"))
     return A.registry_status(items, artifacts, sources, 20_000)
 
 
@@ -151,17 +168,21 @@ def text_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose latest hash differs from their first."""
-    k = table(spark, sf_dir, "doc_skeleton").where("error is null and doc_id is not null").select(F.col("doc_id").alias("key"), "file_hash", "arrived_at")
+    k = table(spark, sf_dir, "doc_skeleton").where("error is null and doc_id is not null").select(F.col("doc_id").alias("key"), "file_hash",
+        "arrived_at")
     when = F.struct("arrived_at", "file_hash")
-    return A.changed_files(k.groupBy("key").agg(F.max_by("file_hash", when).alias("file_hash")), k.groupBy("key").agg(F.min_by("file_hash", when).alias("file_hash")))
+    return A.changed_files(k.groupBy("key").agg(F.max_by("file_hash", when).alias("file_hash")),
+        k.groupBy("key").agg(F.min_by("file_hash", when).alias("file_hash")))
 
 
 def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First states replaced by latest ones where they changed, of documents that have a text."""
-    k = table(spark, sf_dir, "doc_skeleton").where("error is null and doc_id is not null").select(F.col("doc_id").alias("key"), "file_hash", "arrived_at")
+    k = table(spark, sf_dir, "doc_skeleton").where("error is null and doc_id is not null").select(F.col("doc_id").alias("key"), "file_hash",
+        "arrived_at")
     when = F.struct("arrived_at", "file_hash")
     first = k.groupBy("key").agg(F.min_by("file_hash", when).alias("file_hash"))
-    return A.incremental_merge(first, incremental_changed(spark, sf_dir), table(spark, sf_dir, "documents").where("text <> ''").select(F.col("doc_id").alias("key")))
+    return A.incremental_merge(first, incremental_changed(spark, sf_dir),
+        table(spark, sf_dir, "documents").where("text <> ''").select(F.col("doc_id").alias("key")))
 
 
 def snapshot_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,56 +205,70 @@ def doc_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 def note_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Front matter of each document's note: title, type, date and tags from its most frequent entities."""
     k = table(spark, sf_dir, "doc_skeleton").groupBy("doc_id").agg(F.max("file_name").alias("name"))
-    e = table(spark, sf_dir, "entities").distinct().where("value is not null").groupBy("doc_id", "category", "value").agg(F.sum(F.coalesce("cnt", F.lit(0))).alias("cnt"))
+    e = table(spark, sf_dir, "entities").distinct().where("value is not null").groupBy("doc_id", "category",
+        "value").agg(F.sum(F.coalesce("cnt", F.lit(0))).alias("cnt"))
     rank = F.row_number().over(Window.partitionBy("doc_id", "category").orderBy(F.desc("cnt"), "value"))
     top = e.where("category in ('COMPANY', 'PROJECT_CODE', 'DATE')").withColumn("r", rank).where("r <= 3")
-    of = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col("category") == c, F.struct("r", "value")))), lambda x: x["value"])
+    of = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col("category") == c, F.struct("r", "value")))),
+        lambda x: x["value"])
     g = top.groupBy("doc_id").agg(of("COMPANY").alias("co"), of("PROJECT_CODE").alias("pr"), of("DATE").alias("da"))
     x = k.join(g, "doc_id", "left")
     none = F.array().cast("array<string>")
-    tags = F.concat(F.array(F.concat(F.lit("type/"), T.doc_type("name"))), F.transform(F.coalesce("co", none), lambda v: F.concat(F.lit("company/"), T.slug(v))), F.transform(F.coalesce("pr", none), lambda v: F.concat(F.lit("project/"), T.slug(v))))
+    tags = F.concat(F.array(F.concat(F.lit("type/"), T.doc_type("name"))),
+        F.transform(F.coalesce("co", none), lambda v: F.concat(F.lit("company/"), T.slug(v))),
+        F.transform(F.coalesce("pr", none), lambda v: F.concat(F.lit("project/"), T.slug(v))))
     date = F.coalesce(F.get(F.col("da"), F.lit(0)), F.lit(""))
-    head = F.concat_ws("\n", F.lit("---"), F.concat(F.lit("title: "), T.yaml_scalar(T.file_stem("name"))), F.concat(F.lit("date: "), date), F.concat(F.lit("tags: ["), F.array_join(tags, ", "), F.lit("]")), F.lit("---"))
+    head = F.concat_ws("\n", F.lit("---"), F.concat(F.lit("title: "), T.yaml_scalar(T.file_stem("name"))), F.concat(F.lit("date: "), date),
+        F.concat(F.lit("tags: ["), F.array_join(tags, ", "), F.lit("]")), F.lit("---"))
     return x.select("doc_id", head.alias("head"))
 
 
 def plain_dashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Section titles and previews with dashes, as hyphens."""
     s = table(spark, sf_dir, "sections").distinct().where("preview_start is not null")
-    return s.where(F.length("preview_start") > 0).select("section_id", Y.plain_dashes("preview_start").alias("text"), Y.dash_count("preview_start").alias("dashes"))
+    return s.where(F.length("preview_start") > 0).select("section_id", Y.plain_dashes("preview_start").alias("text"),
+        Y.dash_count("preview_start").alias("dashes"))
 
 
 def paragraph_uniformity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coefficient of variation of the paragraphs' words in each document."""
-    p = table(spark, sf_dir, "sections").distinct().select("doc_id", F.explode("paragraphs").alias("p")).select("doc_id", T.word_count("p").alias("w"))
+    p = table(spark, sf_dir, "sections").distinct().select("doc_id", F.explode("paragraphs").alias("p")).select("doc_id",
+        T.word_count("p").alias("w"))
     return A.uniformity(p, "doc_id", "w")
 
 
 def table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of Markdown tables in paragraphs, with their cells; a table is a run of such lines."""
-    lines = table(spark, sf_dir, "sections").distinct().select("section_id", F.posexplode("paragraphs").alias("para_no", "p")).select("section_id", "para_no", F.posexplode(F.split("p", "\n")).alias("line_no", "line")).where(Y.is_table_row("line"))
+    lines = table(spark, sf_dir, "sections").distinct().select("section_id", F.posexplode("paragraphs").alias("para_no", "p")).select("section_id",
+        "para_no", F.posexplode(F.split("p", "\n")).alias("line_no", "line")).where(Y.is_table_row("line"))
     run = F.col("line_no") - F.row_number().over(Window.partitionBy("section_id", "para_no").orderBy("line_no"))
-    return lines.withColumn("run", run).groupBy("section_id", "para_no", "run").agg(F.count("*").alias("n_lines"), F.min(Y.cell_count("line")).alias("min_cells"), F.max(Y.cell_count("line")).alias("max_cells")).drop("run")
+    return lines.withColumn("run", run).groupBy("section_id", "para_no", "run").agg(F.count("*").alias("n_lines"),
+        F.min(Y.cell_count("line")).alias("min_cells"), F.max(Y.cell_count("line")).alias("max_cells")).drop("run")
 
 
 def anchored_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each node the passage of its document that speaks of its label."""
-    files = table(spark, sf_dir, "doc_skeleton").where("relative_path is not null").groupBy(F.col("relative_path").alias("source_file")).agg(F.min("doc_id").alias("doc_id"))
+    files = table(spark, sf_dir, "doc_skeleton").where("relative_path is not null").groupBy(F.col("relative_path").alias("source_file")).agg(F
+        .min("doc_id").alias("doc_id"))
     texts = table(spark, sf_dir, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("text"))
-    return _nodes(spark, sf_dir).select("id", "label", "source_file").join(files, "source_file").join(texts, "doc_id").select("id", T.anchored_preview(T.strip_head("text"), "label").alias("preview"))
+    return _nodes(spark, sf_dir).select("id", "label", "source_file").join(files, "source_file").join(texts, "doc_id").select("id",
+        T.anchored_preview(T.strip_head("text"), "label").alias("preview"))
 
 
 def event_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by hour and type: the batch twin of the windowed stream."""
     e = table(spark, sf_dir, "events")
-    return e.groupBy(F.date_trunc("HOUR", "ts").cast("timestamp_ntz").alias("hour"), "event_type").agg(F.count("*").alias("events"), F.round(F.sum("value"), 4).alias("value"))
+    return e.groupBy(F.date_trunc("HOUR", "ts").cast("timestamp_ntz").alias("hour"), "event_type").agg(F.count("*").alias("events"),
+        F.round(F.sum("value"), 4).alias("value"))
 
 
 QUERIES = {
     f.__name__: f
     for f in (
-        taxonomy_index, classify_nodes, classified_domains, near_miss_communities, diff_summary, anonymisation_map, anonymised_previews, gate_decisions, gate_stats, evidence_blocks, published_pages, stale_placements,
-        leak_findings, history_blobs, registry_status, text_budget, incremental_changed, incremental_merge, snapshot_status, doc_types, note_heads, plain_dashes, paragraph_uniformity, table_rows, anchored_previews, event_hours,
+        taxonomy_index, classify_nodes, classified_domains, near_miss_communities, diff_summary, anonymisation_map, anonymised_previews,
+            gate_decisions, gate_stats, evidence_blocks, published_pages, stale_placements,
+        leak_findings, history_blobs, registry_status, text_budget, incremental_changed, incremental_merge, snapshot_status, doc_types, note_heads,
+            plain_dashes, paragraph_uniformity, table_rows, anchored_previews, event_hours,
     )
 }
 
@@ -299,17 +334,21 @@ h as (select diff_id, list(original || chr(1) || placeholder order by -length(or
 select diff_id, case when ps is null then t else list_reduce(list_concat([t], ps), lambda acc, x: replace(acc, split_part(x, chr(1), 1), split_part(x, chr(1), 2))) end as text_preview from d left join h using (diff_id)""",
     "plain_dashes": """
 select section_id, regexp_replace(preview_start, '[‒–—―−]', '-', 'g') as text, len(regexp_extract_all(preview_start, '[‒–—―−]')) as dashes from (select distinct * from sections) where length(preview_start) > 0""",
-    "gate_decisions": _GATE + f"select diff_id, reason is null as kept, reason, {_res('text_preview')} as text_preview, " + "array_to_string(list_filter([" + ", ".join(f"case when regexp_matches(text_preview, '{p}') then '{n}' end" for n, p in R.RESIDUE) + "], lambda x: x is not null), ' ') as scrubbed from g",
+    "gate_decisions": _GATE + f"select diff_id, reason is null as kept, reason, {_res('text_preview')} as text_preview, "
+        + "array_to_string(list_filter([" + ", ".join(f"case when regexp_matches(text_preview, '{p}') then '{n}' end" for n, p in R.RESIDUE)
+        + "], lambda x: x is not null), ' ') as scrubbed from g",
     "gate_stats": _GATE + "select bucket, reason, count(*) as n from g group by 1, 2",
     "evidence_blocks": _FITS + r""", b as (select *, trim(regexp_replace(coalesce(text_preview, ''), '(?m)^[ \t]*#{1,6}[ \t]+', '', 'g')) as t from f)
 select page, sid, node_id, coalesce(nullif(trim(regexp_replace(replace(regexp_replace(label, '^\s*#{1,6}\s*', ''), '#', ''), '\s+', ' ', 'g')), ''), node_id) as title,
   '<!-- id:' || sid || ' -->' || chr(10) || 'Source: ' || coalesce(source_file, '-') || ' · community ' || coalesce(community::varchar, '-') || chr(10) || chr(10) ||
   case when t = '' then '_No evidence yet._' when length(t) > 300 then t[1:300] || '…' else t end as body from b""",
     "published_pages": _FITS + "select page, sid, case when ascii(sid) < ascii('8') then 'skip' else 'inject' end as action from f",
-    "stale_placements": _FITS + """, k as (select distinct node_id, capability as page from taxonomy_diff where bucket = 'fit' and score >= 0.2 and node_id is not null and capability is not null),
+    "stale_placements": _FITS
+        + """, k as (select distinct node_id, capability as page from taxonomy_diff where bucket = 'fit' and score >= 0.2 and node_id is not null and capability is not null),
 m as (select node_id, string_agg(page, ',' order by page) as moved from k group by 1)
 select page, sid, node_id, case when moved is null then 'withdrawn' else 'moved' end as reason, coalesce(moved, '') as moved_to from f left join m using (node_id) where (node_id, page) not in (select (node_id, page) from k)""",
-    "leak_findings": " union ".join("select doc_id || '.md' as path, '{}' as category, unnest(list_transform(regexp_extract_all(text, '{}'), lambda v: v[1:80])) as value from documents".format(n, p) for n, p in _RULES),
+    "leak_findings": " union "
+        .join("select doc_id || '.md' as path, '{}' as category, unnest(list_transform(regexp_extract_all(text, '{}'), lambda v: v[1:80])) as value from documents".format(n, p) for n, p in _RULES),
     "history_blobs": "select file_hash as blob_sha, arg_min({'p': relative_path, 'n': file_name}, (arrived_at, relative_path)).p as path, arg_min({'p': relative_path, 'n': file_name}, (arrived_at, relative_path)).n as text from doc_skeleton where error is null and file_hash is not null group by 1",
     "registry_status": """
 with k as (select * from doc_skeleton where doc_id is not null),

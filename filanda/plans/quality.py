@@ -32,7 +32,8 @@ def shell_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prose_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signs of the prose families P1 to P6, and the lines they stand on; a document is the paragraphs of its sections in order."""
     s = table(spark, sf_dir, "sections").distinct().where("paragraphs is not null")
-    one = F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("ord", "section_id", "paragraphs"))), lambda x: x["paragraphs"])), "\n\n")
+    one = F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("ord", "section_id", "paragraphs"))), lambda x: x["paragraphs"])),
+        "\n\n")
     found = P.prose_signs(s.groupBy(F.col("doc_id").alias("path")).agg(one.alias("text")))
     return found.groupBy("family").agg(F.count_distinct("path", "line_no").alias("lines"), F.count("*").alias("matches"))
 
@@ -46,11 +47,13 @@ def accent_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unwrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of each document before and after joining wrapped ones."""
     lines = lambda c: F.size(F.split(c, "\n"))
-    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", lines("text").alias("lines"), lines(Y.unwrap("text")).alias("joined"))
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", lines("text").alias("lines"),
+        lines(Y.unwrap("text")).alias("joined"))
 
 
 def note_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The words of a document's previews, of every section, that other documents have in their title, with the number of these; ``note_targets`` has the other end."""
+    """The words of a document's previews, of every section, that other documents have in their title, with the number of these;
+    ``note_targets`` has the other end."""
     return N.linked_words(table(spark, sf_dir, "sections").select("doc_id", F.col("preview_start").alias("text")), _titles(spark, sf_dir))
 
 
@@ -77,17 +80,20 @@ def scan_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 def size_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Growth of each listed file over thirty days before its last listing."""
     k = table(spark, sf_dir, "doc_skeleton").where("error is null and arrived_at is not null")
-    return L.growth_since(k.groupBy(F.col("relative_path").alias("path"), F.col("arrived_at").alias("at")).agg(F.max("file_size_bytes").alias("n_chars")), 30)
+    return L.growth_since(k.groupBy(F.col("relative_path").alias("path"),
+        F.col("arrived_at").alias("at")).agg(F.max("file_size_bytes").alias("n_chars")), 30)
 
 
 def title_similarity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections of one document with like titles, by their words."""
     s = table(spark, sf_dir, "sections").distinct().where("title is not null").select("doc_id", "section_id", T.class_tokens("title").alias("t"))
-    a, b = s.select("doc_id", F.col("section_id").alias("a"), F.col("t").alias("ta")), s.select("doc_id", F.col("section_id").alias("b"), F.col("t").alias("tb"))
+    a, b = s.select("doc_id", F.col("section_id").alias("a"), F.col("t").alias("ta")), s.select("doc_id", F.col("section_id").alias("b"),
+        F.col("t").alias("tb"))
     return a.join(b, "doc_id").where("a < b").select("a", "b", F.round(T.jaccard("ta", "tb"), 4).alias("sim")).where("sim >= 0.5")
 
 
-QUERIES = {f.__name__: f for f in (table_defects, shell_defects, prose_families, accent_fixes, unwrapped, note_links, note_targets, index_sections, scan_progress, size_growth, title_similarity_pairs)}
+QUERIES = {f.__name__: f for f in (table_defects, shell_defects, prose_families, accent_fixes, unwrapped, note_links, note_targets, index_sections,
+    scan_progress, size_growth, title_similarity_pairs)}
 
 _STOP, _NOISE, _TYPE = R.CLASS_STOP, R.NAME_NOISE, R.DOC_TYPE.format("lower(name)")
 _TITLE_WORDS = rf"""

@@ -18,12 +18,14 @@ def _docs(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
 def doc_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words, characters, estimated tokens and non-blank lines of each document."""
     lines = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.trim(x) != ""))
-    return _docs(spark, sf_dir).select("doc_id", T.word_count("text").alias("n_words"), F.coalesce(F.length("text"), F.lit(0)).alias("n_chars"), T.estimate_tokens("text").alias("est_tokens"), lines.alias("n_lines"))
+    return _docs(spark, sf_dir).select("doc_id", T.word_count("text").alias("n_words"), F.coalesce(F.length("text"), F.lit(0)).alias("n_chars"),
+        T.estimate_tokens("text").alias("est_tokens"), lines.alias("n_lines"))
 
 
 def corpus_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, words and estimated tokens of each language mark."""
-    s = _docs(spark, sf_dir, "lang").select(F.lower(F.trim("lang")).alias("lang"), T.word_count("text").alias("w"), T.estimate_tokens("text").alias("t"))
+    s = _docs(spark, sf_dir, "lang").select(F.lower(F.trim("lang")).alias("lang"), T.word_count("text").alias("w"),
+        T.estimate_tokens("text").alias("t"))
     return s.groupBy("lang").agg(F.count("*").alias("document_count"), F.sum("w").alias("total_words"), F.sum("t").alias("total_estimated_tokens"))
 
 
@@ -50,19 +52,24 @@ def section_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line")).where(T.strip("line") != "")
     head = T.numbered_level("line").isNotNull()
     placed = lines.withColumn("sec", F.sum(head.cast("int")).over(Window.partitionBy("doc_id").orderBy("n"))).withColumn("head", head)
-    return placed.groupBy("doc_id", "sec").agg(F.max(F.when(F.col("head"), F.col("line"))).alias("title"), F.sum((~F.col("head")).cast("int")).alias("n_lines"), F.sum(F.when(~F.col("head"), T.word_count("line")).otherwise(0)).alias("n_words")).withColumn("most", F.max("n_lines").over(Window.partitionBy("doc_id"))).where("n_lines > 0 or most = 0").drop("most")
+    return placed.groupBy("doc_id", "sec").agg(F.max(F.when(F.col("head"), F.col("line"))).alias("title"),
+        F.sum((~F.col("head")).cast("int")).alias("n_lines"), F.sum(F.when(~F.col("head"), T.word_count("line")).otherwise(0))
+        .alias("n_words")).withColumn("most", F.max("n_lines").over(Window.partitionBy("doc_id"))).where("n_lines > 0 or most = 0").drop("most")
 
 
 def section_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Previews and counts of every section's full text."""
-    s = table(spark, sf_dir, "sections").where("paragraphs is not null").select("section_id", F.array_join("paragraphs", "\n\n").alias("body"), "paragraphs").distinct()
-    return s.select("section_id", T.preview_start("body").alias("start"), T.preview_end("body").alias("tail"), F.length("body").alias("n_chars"), T.word_count("body").alias("n_words"))
+    s = table(spark, sf_dir, "sections").where("paragraphs is not null").select("section_id", F.array_join("paragraphs", "\n\n").alias("body"),
+        "paragraphs").distinct()
+    return s.select("section_id", T.preview_start("body").alias("start"), T.preview_end("body").alias("tail"), F.length("body").alias("n_chars"),
+        T.word_count("body").alias("n_words"))
 
 
 def section_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections by what was taken of them (previews, full text, both, neither), with their words."""
     s = table(spark, sf_dir, "sections").distinct()
-    mode = F.when(F.col("paragraphs").isNull() & F.col("preview_start").isNull(), "skeleton").when(F.col("paragraphs").isNull(), "preview").when(F.col("preview_start").isNull(), "full").otherwise("both")
+    mode = F.when(F.col("paragraphs").isNull() & F.col("preview_start").isNull(), "skeleton").when(F.col("paragraphs").isNull(),
+        "preview").when(F.col("preview_start").isNull(), "full").otherwise("both")
     return s.groupBy(mode.alias("mode"), "level").agg(F.count("*").alias("sections"), F.sum("word_count").alias("words"))
 
 
@@ -94,36 +101,44 @@ def _global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def global_top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fifty most frequent values of each category over the corpus; equal counts by first appearance. Of companies the eighty most frequent are merged before the cut."""
+    """The fifty most frequent values of each category over the corpus; equal counts by first appearance. Of companies the eighty
+    most frequent are merged before the cut."""
     rank = F.row_number().over(Window.partitionBy("category").orderBy(F.desc("cnt"), "first_id"))
     plain = _global(spark, sf_dir).where("category <> 'COMPANY'").select("category", "value", "cnt", rank.alias("rnk")).where("rnk <= 50")
-    merged = _merged_companies(spark, sf_dir).select("value", "cnt", F.row_number().over(Window.orderBy(F.desc("cnt"), "first_rnk")).alias("rnk")).where("rnk <= 50")  # of eighty rows
+    merged = _merged_companies(spark, sf_dir).select("value", "cnt",
+        F.row_number().over(Window.orderBy(F.desc("cnt"), "first_rnk")).alias("rnk")).where("rnk <= 50")  # of eighty rows
     return plain.unionByName(merged.select(F.lit("COMPANY").alias("category"), "value", "cnt", "rnk"))
 
 
 def _merged_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     rank = F.row_number().over(Window.orderBy(F.desc("cnt"), "first_id"))
     top = _global(spark, sf_dir).where("category = 'COMPANY'").orderBy(F.desc("cnt"), "first_id").limit(80).withColumn("rnk", rank)
-    return top.groupBy(T.col(E.company_key("value")).alias("company_key")).agg(F.max_by("value", F.struct(F.length("value"), -F.col("rnk"))).alias("value"), F.sum("cnt").alias("cnt"), F.min("rnk").alias("first_rnk"))
+    return top.groupBy(T.col(E.company_key("value")).alias("company_key")).agg(F.max_by("value",
+        F.struct(F.length("value"), -F.col("rnk"))).alias("value"), F.sum("cnt").alias("cnt"), F.min("rnk").alias("first_rnk"))
 
 
 def company_alias_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The eighty most frequent companies merged by name without legal form; the longest spelling stands for its group, the most frequent of equals."""
+    """The eighty most frequent companies merged by name without legal form; the longest spelling stands for its group, the most
+    frequent of equals."""
     return _merged_companies(spark, sf_dir).drop("first_rnk")
 
 
 def entities_by_node(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts weighted by node: a document's entities count once for each node that cites its file."""
     nodes = table(spark, sf_dir, "nodes").distinct().where("source_file is not null").groupBy("source_file").agg(F.count("*").alias("n_nodes"))
-    files = table(spark, sf_dir, "doc_skeleton").where("relative_path is not null").select(F.col("relative_path").alias("source_file"), "doc_id").distinct()
+    files = table(spark, sf_dir, "doc_skeleton").where("relative_path is not null").select(F.col("relative_path").alias("source_file"),
+        "doc_id").distinct()
     cited = files.join(nodes, "source_file").groupBy("doc_id").agg(F.sum("n_nodes").alias("n_nodes"))
-    e = table(spark, sf_dir, "entities").distinct().where("value is not null").groupBy("doc_id", "category", "value").agg(F.sum(F.coalesce("cnt", F.lit(0))).alias("cnt"))
+    e = table(spark, sf_dir, "entities").distinct().where("value is not null").groupBy("doc_id", "category",
+        "value").agg(F.sum(F.coalesce("cnt", F.lit(0))).alias("cnt"))
     return e.join(cited, "doc_id").groupBy("category", "value").agg(F.sum(F.col("cnt") * F.col("n_nodes")).alias("weighted_cnt"))
 
 
 QUERIES = {
-    "doc_stats": doc_stats, "corpus_summary": corpus_summary, "token_estimate_top30": token_estimate_top30, "doc_hash_dedup": doc_hash_dedup, "heading_lines": heading_lines, "section_split": section_split,
-    "section_previews": section_previews, "section_modes": section_modes, "section_lookup": section_lookup, "entity_counts": entity_counts, "global_top_entities": global_top_entities,
+    "doc_stats": doc_stats, "corpus_summary": corpus_summary, "token_estimate_top30": token_estimate_top30, "doc_hash_dedup": doc_hash_dedup,
+        "heading_lines": heading_lines, "section_split": section_split,
+    "section_previews": section_previews, "section_modes": section_modes, "section_lookup": section_lookup, "entity_counts": entity_counts,
+        "global_top_entities": global_top_entities,
     "company_alias_merge": company_alias_merge, "entities_by_node": entities_by_node, **{f"entity_{c.lower()}": _entity(c) for c in E.EXTRACTORS},
 }
 
@@ -171,7 +186,8 @@ select section_id, regexp_replace(substr(text, 1, 200), '^[\s\p{{Z}}]+|[\s\p{{Z}
     "entity_amount": _matches(_AMT),
     "entity_law_ref": _matches(f"list_transform(regexp_extract_all(text, '{R.LAW}', 0, 'i'), lambda x: trim(x))"),
     "entity_doc_ref": _matches(f"list_transform(regexp_extract_all(text, '{R.DOC_REF}', 1, 'i'), lambda x: trim(x))"),
-    "entity_company": _matches(f"list_transform(list_zip(regexp_extract_all(text, '{R.COMPANY}', 1), regexp_extract_all(text, '{R.COMPANY}', 2)), lambda z: z[1] || ' ' || z[2])"),
+    "entity_company": _matches(
+        f"list_transform(list_zip(regexp_extract_all(text, '{R.COMPANY}', 1), regexp_extract_all(text, '{R.COMPANY}', 2)), lambda z: z[1] || ' ' || z[2])"),
     "entity_ip_addr": r"""
 with m as (select doc_id, unnest(list_zip(regexp_extract_all(text, '([0-9.]+)(/[0-9]{1,2})?([0-9.]*)', 1), regexp_extract_all(text, '([0-9.]+)(/[0-9]{1,2})?([0-9.]*)', 2), regexp_extract_all(text, '([0-9.]+)(/[0-9]{1,2})?([0-9.]*)', 3))) as z from documents where text is not null),
 q as (select doc_id, z[1] as ip, case when coalesce(z[3], '') = '' then z[1] || coalesce(z[2], '') else z[1] end as value from m where regexp_full_match(z[1], '\d{1,3}(\.\d{1,3}){3}'))
@@ -204,7 +220,8 @@ e as (select doc_id, category, value, sum(coalesce(cnt, 0)) as cnt from (select
 select category, value, sum(cnt * n_nodes) as weighted_cnt from e join c using (doc_id) group by all""",
 }
 
-_ALL = " union all ".join(f"select '{c}' as category, doc_id, value, cnt from ({ORACLES[f'entity_{c.lower()}']})" for c in ("ACRONYM", "COMPANY", "LAW_REF", "PROJECT_CODE", "DATE", "AMOUNT", "EMAIL", "URL", "IP_ADDR", "HOSTNAME", "DOC_REF", "PROPER_NOUN"))
+_ALL = " union all ".join(f"select '{c}' as category, doc_id, value, cnt from ({ORACLES[f'entity_{c.lower()}']})" for c in ("ACRONYM", "COMPANY",
+    "LAW_REF", "PROJECT_CODE", "DATE", "AMOUNT", "EMAIL", "URL", "IP_ADDR", "HOSTNAME", "DOC_REF", "PROPER_NOUN"))
 ORACLES["entity_counts"] = f"""
 with g as (select category, value, sum(cnt) as cnt, count(*) as n_docs from ({_ALL}) group by 1, 2)
 select * from (select *, row_number() over (partition by category order by cnt desc, value) as rnk from g) where rnk <= 50"""

@@ -37,7 +37,8 @@ def tune(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: spark.checkpoint.dir, or one of our own where it is unset and there is one machine only (tests); a cluster must name one."""
+    """The shared checkpoint folder: spark.checkpoint.dir, or one of our own where it is unset and there is one machine only
+    (tests); a cluster must name one."""
     sc = spark.sparkContext
     at = sc.getCheckpointDir()
     if at:

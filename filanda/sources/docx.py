@@ -45,7 +45,8 @@ def blocks_of(content: bytes) -> Iterator[tuple[str, str | None, str, list | Non
             ident = style.get(_W + "val") if style is not None else None
             yield "p", names.get(ident) or ident, _text(x), None, drawing
         elif x.tag == _W + "tbl":
-            yield "tbl", None, "", [["\n".join(_text(p) for p in c.iter(_W + "p")) for c in r.findall(_W + "tc")] for r in x.findall(_W + "tr")], drawing
+            yield "tbl", None, "", [["\n".join(_text(p) for p in c.iter(_W + "p")) for c in r.findall(_W + "tc")] for r in x.findall(_W
+                + "tr")], drawing
 
 
 def read_blocks(files: DataFrame) -> DataFrame:
@@ -65,13 +66,15 @@ def read_blocks(files: DataFrame) -> DataFrame:
 
 
 def table_rows(cells: T.C):
-    """Rows of a table as maps by the header row: blank headers ``col_i``, short rows padded, surplus cells dropped, of equal headers the last counts; a table of a header only is empty."""
+    """Rows of a table as maps by the header row: blank headers ``col_i``, short rows padded, surplus cells dropped, of equal
+    headers the last counts; a table of a header only is empty."""
     c = T.col(cells)
     head = F.transform(c[0], lambda h, i: F.when(T.strip(h) == "", F.concat(F.lit("col_"), i.cast("string"))).otherwise(T.strip(h)))
 
     def row(r):
         values = F.transform(head, lambda h, i: F.coalesce(F.get(r, i), F.lit("")))
-        last = F.filter(F.transform(head, lambda h, i: F.when(F.size(F.filter(F.slice(head, i + 2, F.size(head) + 1), lambda x: x == h)) == 0, F.struct(h.alias("k"), F.get(values, i).alias("v")))), lambda x: x.isNotNull())
+        last = F.filter(F.transform(head, lambda h, i: F.when(F.size(F.filter(F.slice(head, i + 2, F.size(head) + 1), lambda x: x == h)) == 0,
+            F.struct(h.alias("k"), F.get(values, i).alias("v")))), lambda x: x.isNotNull())
         return F.map_from_entries(last)
 
     return F.when(F.size(c) > 1, F.transform(F.slice(c, 2, F.size(c)), row)).otherwise(F.array())
@@ -80,32 +83,39 @@ def table_rows(cells: T.C):
 def sections(blocks: DataFrame) -> DataFrame:
     """``doc_id, ord, level, title, word_count, char_count, preview_start, preview_end, tables_count, paragraphs``.
 
-    A paragraph with a heading style, or beginning with a number, opens a section; what stands before the first is a section of level 0. Sections without
-    paragraph and table are dropped, unless the document would have none.
+    A paragraph with a heading style, or beginning with a number, opens a section; what stands before the first is a section of
+    level 0. Sections without paragraph and table are dropped, unless the document would have none.
     """
     b = blocks.where("error is null").where((F.col("kind") == "tbl") | (T.strip("text") != ""))
     styled = T.heading_level("style")
     level = F.when(F.col("kind") == "p", F.coalesce(styled, T.numbered_level("text")))
     title = F.when(styled.isNotNull(), T.strip("text")).otherwise(T.numbered_title("text"))
     w = Window.partitionBy("doc_id").orderBy("ord")
-    x = b.withColumn("level", level).withColumn("title", F.when(level.isNotNull(), title)).withColumn("sec", F.sum(F.when(F.col("level").isNotNull(), 1).otherwise(0)).over(w))
-    body = F.transform(F.array_sort(F.collect_list(F.when(F.col("level").isNull() & (F.col("kind") == "p"), F.struct("ord", "text")))), lambda p: p["text"])
-    s = x.groupBy("doc_id", "sec").agg(F.coalesce(F.max("level"), F.lit(0)).alias("level"), F.max("title").alias("title"), body.alias("paragraphs"), F.count_if(F.col("kind") == "tbl").alias("tables_count"))
+    x = b.withColumn("level", level).withColumn("title", F.when(level.isNotNull(), title)).withColumn("sec",
+        F.sum(F.when(F.col("level").isNotNull(), 1).otherwise(0)).over(w))
+    body = F.transform(F.array_sort(F.collect_list(F.when(F.col("level").isNull() & (F.col("kind") == "p"), F.struct("ord", "text")))),
+        lambda p: p["text"])
+    s = x.groupBy("doc_id", "sec").agg(F.coalesce(F.max("level"), F.lit(0)).alias("level"), F.max("title").alias("title"), body.alias("paragraphs"),
+        F.count_if(F.col("kind") == "tbl").alias("tables_count"))
     s = s.withColumn("kept", (F.size("paragraphs") > 0) | (F.col("tables_count") > 0))
     any_kept = F.max("kept").over(Window.partitionBy("doc_id"))
     s = s.withColumn("any_kept", any_kept).where("kept or not any_kept")
     joined = F.array_join("paragraphs", "\n\n")
     order = F.row_number().over(Window.partitionBy("doc_id").orderBy("sec")) - 1
-    return s.select("doc_id", order.alias("ord"), "level", "title", T.word_count(joined).alias("word_count"), F.length(joined).alias("char_count"), T.preview_start(joined).alias("preview_start"), T.preview_end(joined).alias("preview_end"), "tables_count", "paragraphs")
+    return s.select("doc_id", order.alias("ord"), "level", "title", T.word_count(joined).alias("word_count"), F.length(joined).alias("char_count"),
+        T.preview_start(joined).alias("preview_start"), T.preview_end(joined).alias("preview_end"), "tables_count", "paragraphs")
 
 
 def skeleton(blocks: DataFrame) -> DataFrame:
     """``doc_id, total_paragraphs, total_words, total_chars, estimated_tokens, tables_count, has_images, error``: one row a document."""
     p = (F.col("kind") == "p") & (T.strip("text") != "")
-    per = blocks.groupBy("doc_id").agg(F.count_if(p).alias("total_paragraphs"), F.sum(F.when(p, F.length("text"))).alias("c"), F.count_if(F.col("kind") == "tbl").alias("tables_count"), F.max("has_drawing").alias("has_images"), F.max("error").alias("error"))
+    per = blocks.groupBy("doc_id").agg(F.count_if(p).alias("total_paragraphs"), F.sum(F.when(p, F.length("text"))).alias("c"),
+        F.count_if(F.col("kind") == "tbl").alias("tables_count"), F.max("has_drawing").alias("has_images"), F.max("error").alias("error"))
     s = sections(blocks).groupBy("doc_id").agg(F.sum("word_count").alias("total_words"), F.sum("char_count").alias("total_chars"))
     tokens = F.greatest(F.lit(1), F.floor((F.coalesce("c", F.lit(0)) + F.greatest(F.col("total_paragraphs") - 1, F.lit(0))) / 4))
-    return per.join(s, "doc_id", "left").select("doc_id", "total_paragraphs", F.coalesce("total_words", F.lit(0)).alias("total_words"), F.coalesce("total_chars", F.lit(0)).alias("total_chars"), tokens.cast("bigint").alias("estimated_tokens"), "tables_count", "has_images", "error")
+    return per.join(s, "doc_id", "left").select("doc_id", "total_paragraphs", F.coalesce("total_words", F.lit(0)).alias("total_words"),
+        F.coalesce("total_chars", F.lit(0)).alias("total_chars"), tokens.cast("bigint").alias("estimated_tokens"), "tables_count", "has_images",
+        "error")
 
 
 def to_markdown(section_table: DataFrame) -> DataFrame:
@@ -158,7 +168,8 @@ def _parts(files: DataFrame, read, schema: str) -> DataFrame:
 
 
 def read_footnotes(files: DataFrame) -> DataFrame:
-    """``doc_id, note_id, text`` of each file's footnotes; ``files``: ``rel, content``. Files that are no documents give none; ``read_blocks`` says which they are."""
+    """``doc_id, note_id, text`` of each file's footnotes; ``files``: ``rel, content``. Files that are no documents give none;
+    ``read_blocks`` says which they are."""
     return _parts(files, notes_of, NOTES)
 
 

@@ -19,7 +19,8 @@ def list_files(spark: SparkSession, root: str, suffixes: tuple[str, ...] = ("doc
     f = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     base = root.rstrip("/") + "/"
     rel = F.regexp_replace(F.regexp_replace("path", r"^file:/*", "/"), "^" + "".join(c if c.isalnum() or c in "/_-" else f"\\{c}" for c in base), "")
-    out = f.select("path", rel.alias("rel"), F.col("modificationTime").alias("modified"), F.col("length").alias("n_bytes"), *(["content"] if content else []))
+    out = f.select("path", rel.alias("rel"), F.col("modificationTime").alias("modified"), F.col("length").alias("n_bytes"),
+        *(["content"] if content else []))
     low = F.lower("rel")
     name = F.element_at(F.split("rel", "/"), -1)
     skip = "(^|/)(" + "|".join(x.replace(".", r"\.") for x in SKIPPED_FOLDERS) + ")/"
@@ -36,19 +37,23 @@ def read_texts(spark: SparkSession, root: str, suffixes: tuple[str, ...] = ("txt
     """``rel, text, has_bom, crlf, file_hash`` of text files."""
     f = list_files(spark, root, suffixes)
     raw = F.make_valid_utf8(F.col("content").cast("string"))
-    return f.select("rel", decoded("content").alias("text"), raw.startswith("﻿").alias("has_bom"), F.contains(raw, F.lit("\r\n")).alias("crlf"), F.sha2("content", 256).alias("file_hash"))
+    return f.select("rel", decoded("content").alias("text"), raw.startswith("﻿").alias("has_bom"), F.contains(raw, F.lit("\r\n")).alias("crlf"),
+        F.sha2("content", 256).alias("file_hash"))
 
 
-def bucketed(files: DataFrame, sensitive: str = r"(?i)password|credenzial|secret", keys: tuple[str, ...] = ("pem", "key", "pfx", "kdbx", "p12")) -> DataFrame:
+def bucketed(files: DataFrame, sensitive: str = r"(?i)password|credenzial|secret",
+    keys: tuple[str, ...] = ("pem", "key", "pfx", "kdbx", "p12")) -> DataFrame:
     """``files`` with ``bucket``: ``key-material`` by suffix, ``sensitive-name`` by file name, else ``ok``."""
     suffix = F.lower(F.regexp_extract("rel", r"\.([A-Za-z0-9]+)$", 1))
-    return files.withColumn("bucket", F.when(suffix.isin(*keys), "key-material").when(F.element_at(F.split("rel", "/"), -1).rlike(sensitive), "sensitive-name").otherwise("ok"))
+    return files.withColumn("bucket", F.when(suffix.isin(*keys), "key-material").when(F.element_at(F.split("rel", "/"), -1).rlike(sensitive),
+        "sensitive-name").otherwise("ok"))
 
 
 def excluded(files: DataFrame, rules: DataFrame) -> DataFrame:
     """``files`` without those that a rule ``path`` names, or, ending in ``/``, holds; by equi-join on every folder of a file."""
     parts = F.split("rel", "/")
-    heads = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.when(i < F.size(parts), F.lit("/")).otherwise(F.lit(""))))
+    heads = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"),
+        F.when(i < F.size(parts), F.lit("/")).otherwise(F.lit(""))))
     hit = files.select("rel", F.explode(heads).alias("path")).join(rules.select("path"), "path").select("rel")
     return files.join(hit, "rel", "left_anti")
 
@@ -89,7 +94,8 @@ def without_marked(files: DataFrame, marker: str = ".md-unwrap-ignore") -> DataF
     folder = F.regexp_extract("rel", r"^(.*/)?[^/]*$", 1)
     marked = files.where(F.element_at(F.split("rel", "/"), -1) == marker).select(folder.alias("folder")).distinct()
     parts = F.split("rel", "/")
-    folders = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.when(i == 0, F.lit("")).otherwise(F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/"))))
+    folders = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.when(i == 0,
+        F.lit("")).otherwise(F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/"))))
     hit = files.select("rel", F.explode(folders).alias("folder")).join(marked, "folder").select("rel")
     return files.join(hit, "rel", "left_anti")
 
@@ -97,11 +103,13 @@ def without_marked(files: DataFrame, marker: str = ".md-unwrap-ignore") -> DataF
 def exclusion_rules(lines: DataFrame) -> DataFrame:
     """``line_no, path, reason, subtree, error`` from lines ``path # reason``. ``lines``: ``line_no, line``.
 
-    Blank lines and those that begin with ``##`` are comments. A rule without reason has the error ``no-reason``, one without path ``no-path``; ``subtree`` is a path that ends in ``/``.
+    Blank lines and those that begin with ``##`` are comments. A rule without reason has the error ``no-reason``, one without path
+    ``no-path``; ``subtree`` is a path that ends in ``/``.
     """
     l = lines.withColumn("l", F.trim("line")).where("l <> '' and not startswith(l, '##')")
     path, reason = F.trim(F.regexp_extract("l", r"^([^#]*)", 1)), F.trim(F.regexp_extract("l", r"^[^#]*#(.*)$", 1))
-    return l.select("line_no", path.alias("path"), reason.alias("reason"), path.endswith("/").alias("subtree"), F.when(path == "", "no-path").when(reason == "", "no-reason").alias("error"))
+    return l.select("line_no", path.alias("path"), reason.alias("reason"), path.endswith("/").alias("subtree"),
+        F.when(path == "", "no-path").when(reason == "", "no-reason").alias("error"))
 
 
 # Suffixes of files that hold no text to read.
@@ -109,7 +117,8 @@ NO_TEXT = "png jpg jpeg gif svg webp pdf zip mp4 mp3".split()
 
 
 def source_texts(nodes: DataFrame, files: DataFrame) -> DataFrame:
-    """``nodes`` with ``text`` of their ``source_file``: null for a blank path, a file that is not there, and one of ``NO_TEXT``. ``files``: ``rel, content``."""
+    """``nodes`` with ``text`` of their ``source_file``: null for a blank path, a file that is not there, and one of ``NO_TEXT``.
+    ``files``: ``rel, content``."""
     suffix = F.lower(F.regexp_extract("source_file", r"\.([A-Za-z0-9]+)$", 1))
     readable = F.when((F.trim("source_file") != "") & ~suffix.isin(*NO_TEXT), F.col("source_file"))
     texts = files.select(F.col("rel").alias("_rel"), decoded("content").alias("text"))

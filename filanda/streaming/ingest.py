@@ -26,7 +26,8 @@ def batches_below(spark: SparkSession, target: str) -> list[str]:
 
 
 def ingest_new_files(spark: SparkSession, incoming: str, target: str, checkpoint: str, schema: str) -> StreamingQuery:
-    """Reads the Parquet files that arrived in ``incoming`` since the last run, and appends the rows whose ``(doc_id, file_hash)`` the target does not hold.
+    """Reads the Parquet files that arrived in ``incoming`` since the last run, and appends the rows whose ``(doc_id, file_hash)``
+    the target does not hold.
 
     A batch is written below ``batch=<number>`` in overwrite mode: one that is tried again replaces itself, so no row comes twice after a failure.
     """
