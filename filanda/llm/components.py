@@ -40,15 +40,17 @@ def clean_edges(links: DataFrame, min_weight: float | None) -> DataFrame:
 def _hook(edges: DataFrame) -> DataFrame:
     """``c, p``: the neighbour over each component's smallest edge by (cost, lo, hi).
 
-    The order is total over edges, so the only cycles are two components that chose one edge; the smaller of them becomes a root. An edge is chosen at most twice, so the
-    grouping by chosen edge that finds this has no hot key, as a join on the neighbour would in a star.
+    The order is total over edges, so the only cycles are two components that chose one edge; the smaller of them becomes a root.
+    An edge is chosen at most twice, so the grouping by chosen edge that finds this has no hot key, as a join on the neighbour
+    would in a star.
     """
     ends = edges.select(F.explode(F.array("lo", "hi")).alias("c"), F.struct("cost", "lo", "hi").alias("e"))
     chosen = ends.groupBy("c").agg(F.min("e").alias("e")).select("c", "e.lo", "e.hi")
     by_edge = chosen.groupBy("lo", "hi").agg(F.min("c").alias("c"), F.count("*").alias("n"))
     pair = lambda c, p: F.struct(F.col(c).alias("c"), F.col(p).alias("p"))
     other = F.struct("c", F.when(F.col("c") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("p"))
-    return by_edge.select(F.explode(F.when(F.col("n") == 2, F.array(pair("lo", "lo"), pair("hi", "lo"))).otherwise(F.array(other))).alias("x")).select("x.*")
+    return by_edge.select(F.explode(F.when(F.col("n") == 2, F.array(pair("lo", "lo"), pair("hi", "lo"))).otherwise(F.array(other)))
+        .alias("x")).select("x.*")
 
 
 def _collapse(parents: DataFrame) -> DataFrame:

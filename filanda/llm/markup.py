@@ -1,11 +1,13 @@
 """Markup residue in text: minimum-cut labelling of segments, and conversion to clean text.
 
-A text is cut into segments: pieces that look like markup (tags, character references, TeX commands, wiki and
-Markdown marks, table rules) and the runs between them. A classifier gives each segment the log-odds of being markup, which become the capacities of its edges to the two
-terminals; it is fitted by penalised logistic regression to the few dozen labelled passages of ``MARKED`` and ``PLAIN`` below, a fixed, bounded sample, so all tasks get the same
-weights. Smoothness edges join neighbouring segments (weaker for each line break between them, and weaker to text than between marks), the opening and closing mark of one element,
-and an element's marks to the text inside it, strongly where the element holds no prose (scripts, styles, menus). The minimum cut (Dinic's max-flow) labels all
-segments at once. So a doubtful mark alone in prose stays content, and is markup beside its like; and the text of a script or a menu is boilerplate, labelled with its tags.
+A text is cut into segments: pieces that look like markup (tags, character references, TeX commands, wiki and Markdown marks,
+table rules) and the runs between them. A classifier gives each segment the log-odds of being markup, which become the capacities
+of its edges to the two terminals; it is fitted by penalised logistic regression to the few dozen labelled passages of ``MARKED``
+and ``PLAIN`` below, a fixed, bounded sample, so all tasks get the same weights. Smoothness edges join neighbouring segments
+(weaker for each line break between them, and weaker to text than between marks), the opening and closing mark of one element, and
+an element's marks to the text inside it, strongly where the element holds no prose (scripts, styles, menus). The minimum cut
+(Dinic's max-flow) labels all segments at once. So a doubtful mark alone in prose stays content, and is markup beside its like;
+and the text of a script or a menu is boilerplate, labelled with its tags.
 
 Clean text keeps structure: headings become ``# Title``, list items ``- item``, code stays between ``` lines or single
 backquotes, formulas between ``$``, table rows ``a | b``; other marks and boilerplate vanish and character references are resolved.
@@ -35,7 +37,8 @@ TAGS = (
     "rp rt ruby s samp script section select small source span strike strong style sub summary sup svg syntaxhighlight table tbody td "
     "template textarea tfoot th thead time title tr track tt u ul var video wbr"
 ).split()
-BLOCKS = set("address article aside blockquote br center dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td tfoot th thead title tr ul".split())
+BLOCKS = set(
+    "address article aside blockquote br center dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td tfoot th thead title tr ul".split())
 
 #: Segment patterns in order of precedence: (type, pattern). The first that matches at a place wins.
 PATTERNS = [
@@ -62,7 +65,8 @@ PATTERNS = [
     ("image", r"!\[[^\]\n]*\](?:\([^)\s]*(?:\)|\Z)|\Z)|!\[[^\]\n]*\Z"),
     ("link", r"\[[^\[\]\n|]+\]\((?:[^)\s]*(?:\)|\Z))|\[[^\[\]\n|]+\]\[[^\]\n]*\]|^[ \t]*\[[^\]\n]+\]:[ \t]*\S+"),
     ("wiki_link", r"\[\[[^\[\]\n]*(?:\]\]|\]?\Z)"),
-    ("jira_link", r"\[[^\[\]\n|]*\|(?:https?://|mailto:|#|\^|www\.)[^\]\n]*(?:\]|\Z)|\[[^\[\]\n|]+\|(?:h(?:t(?:t(?:ps?(?::/?)?)?)?)?)?\Z|\[(?:https?://)[^\]\s]*(?:[ \t][^\]\n]*)?(?:\]|\Z)"),
+    ("jira_link",
+        r"\[[^\[\]\n|]*\|(?:https?://|mailto:|#|\^|www\.)[^\]\n]*(?:\]|\Z)|\[[^\[\]\n|]+\|(?:h(?:t(?:t(?:ps?(?::/?)?)?)?)?)?\Z|\[(?:https?://)[^\]\s]*(?:[ \t][^\]\n]*)?(?:\]|\Z)"),
     ("task", r"(?:^[ \t]*|(?<=\S[ \t]))[-*+][ \t]\[[ xX]\][ \t]"),
     ("bullet", r"^[ \t]*[-*+][ \t]+(?=\S)"),
     ("number", r"^[ \t]*#[ \t]*(?=\S)(?!#?\d)"),
@@ -85,22 +89,35 @@ PATTERNS = [
 SEGMENT = regex.compile("|".join(f"(?P<{n}>{p})" for n, p in PATTERNS), regex.M | regex.I)
 
 #: Where a segment may begin; between these places no pattern is tried.
-CANDIDATE = regex.compile(r"^[ \t]*(?=[#=|>*+\-_`~:\[]|h[1-6]\.|bq\.)|[<&`{}|\\$~\[\]*^#>]|!(?=\[)|''|==|(?<!\w)_|_(?!\w)|__|(?<=\S[ \t])[-+](?=[ \t]\[)", regex.M | regex.I)
+CANDIDATE = regex.compile(
+    r"^[ \t]*(?=[#=|>*+\-_`~:\[]|h[1-6]\.|bq\.)|[<&`{}|\\$~\[\]*^#>]|!(?=\[)|''|==|(?<!\w)_|_(?!\w)|__|(?<=\S[ \t])[-+](?=[ \t]\[)",
+    regex.M | regex.I)
 
 #: Kinds whose pattern is a whole construct of some markup; the classifier starts from them as likely, from the others as unlikely markup.
 LIKELY = {n for n, _ in PATTERNS} - {"angle", "brace", "close_brace", "square", "mark"}
 
 #: Labelled passages: every segment of the first list that is no text is markup, every one of the second is content.
 MARKED = [
-    "<p>Il nodo</p>", "riga<br/>riga", "<b>x</b> y <i>z</i>", "<ul><li>uno</li><li>due</li></ul>", "<td>a</td><td>9</td>", "fine <span clas", "nota <ref>1</ref>", "fine </", "<!-- nota --> x", "a &amp; b", "5 &lt; 9", "x &#8211; y", "testo &nbs", "testo &amp", "costo &eur",
-    "# Ambito\ntesto", "testo ## Rischi", "**forte** resto", "__forte__ resto", "~~via~~ resto", "*lieve* resto", "_lieve_ resto", "`ls -l` qui", "usare `ls", "```sh\nls\n```", "| a | b |\n|---|---|\n| 1 | 2 |", "![fig](a.png)", "[qui](https://x.example/1)", "- [ ] fare", "- [x] fatto",
-    "- uno\n- due", "* uno\n* due", "+ uno", "> citato", "Titolo\n=====\ntesto", "Titolo\n-----\ntesto", "***\ntesto", "== Ambito ==\ntesto", "\'\'\'forte\'\'\' x", "\'\'lieve\'\' x", "[[Rete|rete]]", "vedi [[Ret", "{{Avviso|tipo=1}} x", "{| class=\"wikitable\"\n|-\n| a || 3\n|}", "* voce\n# voce",
-    "{code:sh}ls{code}", "{noformat}x{noformat}", "h2. Misure\ntesto", "bq. citato", "[rete|https://x.example/1]", "||Voce||Valore||\n|a|3|", "[b]x[/b] y",
-    "\\section{Uno} testo", "\\textbf{uno} due", "\\emph{x}: y", "\\begin{itemize}\n\\item a\n\\end{itemize}", "\\[ x^2 \\le 9 \\]", "$D = 1 - t_{f}/8$ x", "32\\% del", "x~\\cite{r1}.", "fine \\textb", "\\frac{1}{2}",
+    "<p>Il nodo</p>", "riga<br/>riga", "<b>x</b> y <i>z</i>", "<ul><li>uno</li><li>due</li></ul>", "<td>a</td><td>9</td>", "fine <span clas",
+        "nota <ref>1</ref>", "fine </", "<!-- nota --> x", "a &amp; b", "5 &lt; 9", "x &#8211; y", "testo &nbs", "testo &amp", "costo &eur",
+    "# Ambito\ntesto", "testo ## Rischi", "**forte** resto", "__forte__ resto", "~~via~~ resto", "*lieve* resto", "_lieve_ resto", "`ls -l` qui",
+        "usare `ls", "```sh\nls\n```", "| a | b |\n|---|---|\n| 1 | 2 |", "![fig](a.png)", "[qui](https://x.example/1)", "- [ ] fare", "- [x] fatto",
+    "- uno\n- due", "* uno\n* due", "+ uno", "> citato", "Titolo\n=====\ntesto", "Titolo\n-----\ntesto", "***\ntesto", "== Ambito ==\ntesto",
+        "\'\'\'forte\'\'\' x", "\'\'lieve\'\' x", "[[Rete|rete]]", "vedi [[Ret", "{{Avviso|tipo=1}} x", "{| class=\"wikitable\"\n|-\n| a || 3\n|}",
+        "* voce\n# voce",
+    "{code:sh}ls{code}", "{noformat}x{noformat}", "h2. Misure\ntesto", "bq. citato", "[rete|https://x.example/1]", "||Voce||Valore||\n|a|3|",
+        "[b]x[/b] y",
+    "\\section{Uno} testo", "\\textbf{uno} due", "\\emph{x}: y", "\\begin{itemize}\n\\item a\n\\end{itemize}", "\\[ x^2 \\le 9 \\]",
+        "$D = 1 - t_{f}/8$ x", "32\\% del", "x~\\cite{r1}.", "fine \\textb", "\\frac{1}{2}",
 ]
 PLAIN = [
-    "se x < 92 && y > 22", "105 * 211 * 8", "da 30$ a 217$ l'uno", "il modello {nome}", "[omissis]", "[sic] e [...]", "<NOME-CLIENTE>", "compilare <DATA> e <SEDE>", "C:\\dati\\17\\export", "a_b_c.tar", "A|B|C", "600^2", "la #253", "il C#", "~281 gradi", ">= 96,4%", "le spese & il canone", "R&S interna",
-    "P&L dell'anno", "10 > 4 e 3 < 5", "a -> b", "<- qui", "{a, b}", "f(x) = {1, 2}", "[1] e [2]", "array[3]", "~/conf e $HOME", "50% * 2", "*", "nota *", "x_1 e y_2", "$ 500", "US$ 20", "\\\\server\\share", "2^10 | 3", "A & B", "<3", "{x}", '{"a": 1, "b": [2]}', "if (x > 0) { y = 2; }", "fine }", "awk '{print $1, $2}'", "insieme {a, b, c}", "x} e y}", "vedi <https://x.example/1>", "<nome>@<dominio>", "da <vedi allegato> in poi",
+    "se x < 92 && y > 22", "105 * 211 * 8", "da 30$ a 217$ l'uno", "il modello {nome}", "[omissis]", "[sic] e [...]", "<NOME-CLIENTE>",
+        "compilare <DATA> e <SEDE>", "C:\\dati\\17\\export", "a_b_c.tar", "A|B|C", "600^2", "la #253", "il C#", "~281 gradi", ">= 96,4%",
+        "le spese & il canone", "R&S interna",
+    "P&L dell'anno", "10 > 4 e 3 < 5", "a -> b", "<- qui", "{a, b}", "f(x) = {1, 2}", "[1] e [2]", "array[3]", "~/conf e $HOME", "50% * 2", "*",
+        "nota *", "x_1 e y_2", "$ 500", "US$ 20", "\\\\server\\share", "2^10 | 3", "A & B", "<3", "{x}", '{"a": 1, "b": [2]}',
+        "if (x > 0) { y = 2; }", "fine }", "awk '{print $1, $2}'", "insieme {a, b, c}", "x} e y}", "vedi <https://x.example/1>", "<nome>@<dominio>",
+        "da <vedi allegato> in poi",
     "vendite &svil", "ricerca&sviluppo", "bianco &nero", "carta&penna",
 ]
 #: Strength of the classifier's prior; small weights change little of what kinds say by themselves.
@@ -109,7 +126,8 @@ PRIOR = 0.3
 #: Smoothness: between neighbouring marks, between a mark and text (both halved for each line break between them), between the two marks of one
 #: element, and between an element's opening mark and the text inside it, by what it usually holds.
 NEIGHBOUR, BESIDE_TEXT, PAIRED = 0.8, 0.25, 2.0
-INSIDE = {"script": 8.0, "style": 8.0, "head": 8.0, "svg": 8.0, "template": 8.0, "noscript": 5.0, "nav": 3.0, "footer": 3.0, "aside": 2.0, "form": 2.0, "button": 3.0, "select": 3.0, "includeonly": 3.0}
+INSIDE = {"script": 8.0, "style": 8.0, "head": 8.0, "svg": 8.0, "template": 8.0, "noscript": 5.0, "nav": 3.0, "footer": 3.0, "aside": 2.0,
+    "form": 2.0, "button": 3.0, "select": 3.0, "includeonly": 3.0}
 
 #: Whole tags of known elements and comments are beyond doubt, whatever stands around or between them.
 SEEDS, CERTAIN = {"tag", "comment"}, 1000.0
@@ -353,7 +371,8 @@ _PART = regex.compile(r"\|")
 
 def _plain(kind: str, piece: str) -> str:
     """What a mark leaves in clean text."""
-    if kind in ("comment", "tag_cut", "charref_cut", "template", "md_rule", "setext", "hr", "strong", "strike", "wiki_quote", "em", "tex_cut", "bbcode", "jira_code"):
+    if kind in ("comment", "tag_cut", "charref_cut", "template", "md_rule", "setext", "hr", "strong", "strike", "wiki_quote", "em", "tex_cut",
+        "bbcode", "jira_code"):
         return "\n```\n" if kind == "jira_code" and piece[1:5].lower() in ("code", "nofo") else ""
     if kind == "tag":
         name = _NAME.match(piece).group(1).lower()
@@ -394,7 +413,8 @@ def _plain(kind: str, piece: str) -> str:
             return "## "
         if name == "item":
             return "- "
-        if name in ("textbf", "textit", "texttt", "textsc", "textrm", "textsf", "emph", "underline", "mbox", "href", "url", "noindent", "centering", "caption"):
+        if name in ("textbf", "textit", "texttt", "textsc", "textrm", "textsf", "emph", "underline", "mbox", "href", "url", "noindent", "centering",
+            "caption"):
             return ""
         return " (" if name in ("footnote", "cite", "citep", "citet", "ref") else piece
     if kind == "tex_escape":
@@ -453,8 +473,10 @@ def clean(text: str | None) -> tuple[str | None, list[str]]:
 def _texts(sections: DataFrame) -> DataFrame:
     """``section_id, para_no, text``: paragraphs from 0, the preview as -1; exact copies of a section once."""
     two = sections.select("section_id", "preview_start", "paragraphs")
-    arr = F.concat(F.array(F.struct(F.lit(-1).alias("n"), F.col("preview_start").alias("t"))), F.expr("coalesce(transform(paragraphs, (x, i) -> named_struct('n', i, 't', x)), array())"))
-    return two.select("section_id", F.explode(arr).alias("x")).select("section_id", F.col("x.n").alias("para_no"), F.col("x.t").alias("text")).where("text is not null")
+    arr = F.concat(F.array(F.struct(F.lit(-1).alias("n"), F.col("preview_start").alias("t"))),
+        F.expr("coalesce(transform(paragraphs, (x, i) -> named_struct('n', i, 't', x)), array())"))
+    return two.select("section_id", F.explode(arr).alias("x")).select("section_id", F.col("x.n").alias("para_no"),
+        F.col("x.t").alias("text")).where("text is not null")
 
 
 def clean_sections(sections: DataFrame) -> DataFrame:

@@ -29,16 +29,34 @@ philip rachel raymond rebecca richard robert ronald ruth ryan samuel sandra sara
 PET_NAMES = {
     k: v.split()
     for k, v in {
-        "ale": "alessandro alessandra", "sandra": "alessandra", "sandro": "alessandro", "anto": "antonio antonella", "nella": "antonella", "tonino": "antonio", "toni": "antonio", "tonio": "antonio",
-        "nanni": "giovanni", "gianni": "giovanni", "vanni": "giovanni", "nino": "antonio giovanni", "beppe": "giuseppe", "peppe": "giuseppe", "peppino": "giuseppe", "pino": "giuseppe", "geppi": "giuseppe",
-        "gigi": "luigi", "gino": "luigi", "luigino": "luigi", "mimmo": "domenico", "nico": "nicolo nicola", "nick": "nicholas", "toto": "salvatore", "turi": "salvatore", "salvo": "salvatore",
-        "enzo": "vincenzo lorenzo", "cenzo": "vincenzo", "renzo": "lorenzo", "lele": "emanuele raffaele gabriele", "manu": "emanuele manuela", "lello": "raffaele", "raffa": "raffaele raffaella", "leo": "leonardo", "nardo": "leonardo",
-        "tommy": "tommaso thomas", "masino": "tommaso", "teo": "matteo", "vale": "valentina valeria valerio", "fede": "federica federico", "chicca": "federica francesca", "rita": "margherita", "marghe": "margherita", "meg": "margaret", "maggie": "margaret", "peggy": "margaret",
-        "rina": "caterina", "cate": "caterina catherine", "katia": "caterina", "titti": "teresa", "terry": "teresa theresa", "resy": "teresa", "lory": "lorena", "lella": "raffaella gabriella", "betta": "elisabetta", "lisa": "elisabetta elizabeth", "lisetta": "elisabetta", "elly": "elena", "ely": "elisabetta elena",
-        "liz": "elizabeth", "beth": "elizabeth", "betty": "elizabeth", "lizzie": "elizabeth", "eliza": "elizabeth", "bill": "william", "billy": "william", "will": "william", "willy": "william", "bob": "robert", "bobby": "robert", "rob": "robert", "robbie": "robert", "bert": "robert albert",
-        "dick": "richard", "rich": "richard", "rick": "richard", "ricky": "richard", "howie": "howard", "ward": "howard", "kary": "karen", "kari": "karen", "greg": "gregorio gregory", "goyo": "gregorio", "dado": "dario edoardo", "rino": "salvatore silvano", "silvio": "silvano", "silva": "silvana",
-        "stellina": "stella", "moni": "monica", "nica": "monica", "mony": "monica", "paoletta": "paola", "pietro": "piero", "pierino": "piero", "marti": "marta martina", "noe": "noemi", "mimi": "noemi", "irenina": "irene", "flavietto": "flavio", "ivo": "ivano", "vanni ": "ivano", "bianchina": "bianca", "claretta": "clara", "ughetto": "ugo", "roccuccio": "rocco",
-        "jim": "james", "jimmy": "james", "joe": "joseph", "jack": "john", "mike": "michael", "tom": "thomas", "tim": "timothy", "dan": "daniel", "dave": "david", "chris": "christopher christine", "kate": "catherine katherine", "kathy": "catherine katherine", "sue": "susan", "steve": "stephen steven", "tony": "anthony antonio", "ed": "edward", "ted": "edward", "sam": "samuel", "ben": "benjamin", "alex": "alexander alessandro", "andy": "andrew", "matt": "matthew matteo", "pat": "patricia patrick", "ron": "ronald", "ken": "kenneth", "larry": "laurence",
+        "ale": "alessandro alessandra", "sandra": "alessandra", "sandro": "alessandro", "anto": "antonio antonella", "nella": "antonella",
+            "tonino": "antonio", "toni": "antonio", "tonio": "antonio",
+        "nanni": "giovanni", "gianni": "giovanni", "vanni": "giovanni", "nino": "antonio giovanni", "beppe": "giuseppe", "peppe": "giuseppe",
+            "peppino": "giuseppe", "pino": "giuseppe", "geppi": "giuseppe",
+        "gigi": "luigi", "gino": "luigi", "luigino": "luigi", "mimmo": "domenico", "nico": "nicolo nicola", "nick": "nicholas", "toto": "salvatore",
+            "turi": "salvatore", "salvo": "salvatore",
+        "enzo": "vincenzo lorenzo", "cenzo": "vincenzo", "renzo": "lorenzo", "lele": "emanuele raffaele gabriele", "manu": "emanuele manuela",
+            "lello": "raffaele", "raffa": "raffaele raffaella", "leo": "leonardo", "nardo": "leonardo",
+        "tommy": "tommaso thomas", "masino": "tommaso", "teo": "matteo", "vale": "valentina valeria valerio", "fede": "federica federico",
+            "chicca": "federica francesca", "rita": "margherita", "marghe": "margherita", "meg": "margaret", "maggie": "margaret",
+            "peggy": "margaret",
+        "rina": "caterina", "cate": "caterina catherine", "katia": "caterina", "titti": "teresa", "terry": "teresa theresa", "resy": "teresa",
+            "lory": "lorena", "lella": "raffaella gabriella", "betta": "elisabetta", "lisa": "elisabetta elizabeth", "lisetta": "elisabetta",
+            "elly": "elena", "ely": "elisabetta elena",
+        "liz": "elizabeth", "beth": "elizabeth", "betty": "elizabeth", "lizzie": "elizabeth", "eliza": "elizabeth", "bill": "william",
+            "billy": "william", "will": "william", "willy": "william", "bob": "robert", "bobby": "robert", "rob": "robert", "robbie": "robert",
+            "bert": "robert albert",
+        "dick": "richard", "rich": "richard", "rick": "richard", "ricky": "richard", "howie": "howard", "ward": "howard", "kary": "karen",
+            "kari": "karen", "greg": "gregorio gregory", "goyo": "gregorio", "dado": "dario edoardo", "rino": "salvatore silvano",
+            "silvio": "silvano", "silva": "silvana",
+        "stellina": "stella", "moni": "monica", "nica": "monica", "mony": "monica", "paoletta": "paola", "pietro": "piero", "pierino": "piero",
+            "marti": "marta martina", "noe": "noemi", "mimi": "noemi", "irenina": "irene", "flavietto": "flavio", "ivo": "ivano", "vanni ": "ivano",
+            "bianchina": "bianca", "claretta": "clara", "ughetto": "ugo", "roccuccio": "rocco",
+        "jim": "james", "jimmy": "james", "joe": "joseph", "jack": "john", "mike": "michael", "tom": "thomas", "tim": "timothy", "dan": "daniel",
+            "dave": "david", "chris": "christopher christine", "kate": "catherine katherine", "kathy": "catherine katherine", "sue": "susan",
+            "steve": "stephen steven", "tony": "anthony antonio", "ed": "edward", "ted": "edward", "sam": "samuel", "ben": "benjamin",
+            "alex": "alexander alessandro", "andy": "andrew", "matt": "matthew matteo", "pat": "patricia patrick", "ron": "ronald", "ken": "kenneth",
+            "larry": "laurence",
     }.items()
 }
 
@@ -46,10 +64,12 @@ PET_NAMES = {
 TITLES = "sig sigg sigra signor signora signorina dott dottssa dr dssa ing avv geom rag arch prof profssa cav on mr mrs ms miss mx sir madam rev".split()
 
 # Legal forms of organisations, without dots and blanks.
-LEGAL_FORMS = set("spa srl srls sapa scarl scrl scpa snc sas ss soccoop onlus ltd limited plc llp llc inc corp corporation co company gmbh ag kg ohg ug se sa sarl sas bv nv ab oy as aps".split())
+LEGAL_FORMS = set(
+    "spa srl srls sapa scarl scrl scpa snc sas ss soccoop onlus ltd limited plc llp llc inc corp corporation co company gmbh ag kg ohg ug se sa sarl sas bv nv ab oy as aps".split())
 
 # Legal forms written out.
-LEGAL_PHRASES = ["societa per azioni", "societa a responsabilita limitata", "societa in nome collettivo", "societa in accomandita semplice", "societa cooperativa", "public limited company", "gesellschaft mit beschrankter haftung"]
+LEGAL_PHRASES = ["societa per azioni", "societa a responsabilita limitata", "societa in nome collettivo", "societa in accomandita semplice",
+    "societa cooperativa", "public limited company", "gesellschaft mit beschrankter haftung"]
 
 # Words about trade or size that organisations add to their name.
 TRADE_WORDS = set(
@@ -63,7 +83,8 @@ viaggi
 )
 
 # Abbreviations that are no beginnings of their word.
-TRADE_SHORT = {"grp": "group", "gr": "group", "mfg": "manufacturing", "intl": "international", "svc": "services", "mgmt": "management", "tlc": "telecomunicazioni", "eng": "engineering", "ing": "ingegneria", "int": "international"}
+TRADE_SHORT = {"grp": "group", "gr": "group", "mfg": "manufacturing", "intl": "international", "svc": "services", "mgmt": "management",
+    "tlc": "telecomunicazioni", "eng": "engineering", "ing": "ingegneria", "int": "international"}
 
 
 @functools.lru_cache(100_000)

@@ -61,10 +61,12 @@ def _cuts(n: int, k: int) -> list[tuple[int, int]]:
 
 
 def segment_pairs(strings: DataFrame, k: int = K) -> DataFrame:
-    """``a, b`` (``a < b``): different strings of ``strings.s`` within ``k`` edits; where the shorter one has fewer than ``2 * (k + 1)`` characters, one edit or one swap apart.
+    """``a, b`` (``a < b``): different strings of ``strings.s`` within ``k`` edits; where the shorter one has fewer than ``2 * (k
+    + 1)`` characters, one edit or one swap apart.
 
-    The longer string of a pair looks up its substrings in the index of the shorter one's segments. Short strings would have segments of one character, which say
-    nothing; two of them one edit or swap apart are equal with one character left out of either, so they are joined over these. Null, empty and repeated strings are ignored.
+    The longer string of a pair looks up its substrings in the index of the shorter one's segments. Short strings would have
+    segments of one character, which say nothing; two of them one edit or swap apart are equal with one character left out of
+    either, so they are joined over these. Null, empty and repeated strings are ignored.
     """
     distinct = strings.where("s <> ''").select("s").distinct()
 
@@ -235,20 +237,24 @@ def _near(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _slips(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of strings one typing error apart; among strings of fewer than six characters another letter is another name, so only swapped, doubled and left-out letters count."""
+    """Pairs of strings one typing error apart; among strings of fewer than six characters another letter is another name, so only
+    swapped, doubled and left-out letters count."""
     for p in parts:
-        yield p.loc[[osa(a, b, 1) <= 1 and (min(len(a), len(b)) >= 6 or len(a) != len(b) and min(len(a), len(b)) >= 4 or len(a) == len(b) >= 4 and sorted(a) == sorted(b)) for a, b in zip(p["a"], p["b"], strict=True)]]
+        yield p.loc[[osa(a, b, 1) <= 1 and (min(len(a), len(b)) >= 6 or len(a) != len(b) and min(len(a),
+            len(b)) >= 4 or len(a) == len(b) >= 4 and sorted(a) == sorted(b)) for a, b in zip(p["a"], p["b"], strict=True)]]
 
 
 def name_groups(entities: DataFrame) -> DataFrame:
     """``category, value, entity``: each distinct PROPER_NOUN and COMPANY value with the smallest value that means the same.
 
-    ``entities`` has ``category, value``; further columns and other categories are ignored. Null and blank values are left out; repeated
-    values count once. A value that cannot be read as a name links only to values equal but for case and accents. An empty table gives an empty result.
+    ``entities`` has ``category, value``; further columns and other categories are ignored. Null and blank values are left out;
+    repeated values count once. A value that cannot be read as a name links only to values equal but for case and accents. An
+    empty table gives an empty result.
 
-    Persons agree when surname and first name do, the first name also as a pet form, a beginning or a mistyped form, with
-    one typing error in either; a shortened form that fits several persons links to none. Organisations agree when their distinctive words do, whatever legal
-    form or trade words stand beside them; with a typing error in the distinctive words the trade words must agree, or be missing on a side and the two spellings near no third one.
+    Persons agree when surname and first name do, the first name also as a pet form, a beginning or a mistyped form, with one
+    typing error in either; a shortened form that fits several persons links to none. Organisations agree when their distinctive
+    words do, whatever legal form or trade words stand beside them; with a typing error in the distinctive words the trade words
+    must agree, or be missing on a side and the two spellings near no third one.
     """
     values = entities.where("category in ('PROPER_NOUN', 'COMPANY') and trim(value) <> ''").select("category", "value").distinct()
     read = cut(values.mapInPandas(_read, "category string, value string, key string, kind string, name string"))
@@ -262,13 +268,16 @@ def name_groups(entities: DataFrame) -> DataFrame:
     weak = nodes.where("category = 'PROPER_NOUN' and kind in ('short', 'none', 'pet')")
     keys = full.select("key").unionByName(weak.select("key")).distinct()
     close = cut(segment_pairs(keys.select(F.col("key").alias("s"))))
-    both_ways = lambda df, x, y: df.select(F.col("a").alias(x), F.col("b").alias(y)).unionByName(df.select(F.col("b").alias(x), F.col("a").alias(y)))
+    both_ways = lambda df, x, y: df.select(F.col("a").alias(x), F.col("b").alias(y)).unionByName(df.select(F.col("b").alias(x),
+        F.col("a").alias(y)))
     surnames = close.mapInPandas(_near, "a string, b string")
     right = full.select(F.col("key").alias("b"), "name", F.col("node").alias("y"))
-    by_surname = full.select(F.col("key").alias("a"), "name", F.col("node").alias("x")).join(surnames, "a").join(right, ["b", "name"]).select("x", "y")
+    by_surname = full.select(F.col("key").alias("a"), "name", F.col("node").alias("x")).join(surnames, "a").join(right, ["b", "name"]).select("x",
+        "y")
     firsts = segment_pairs(full.select(F.col("name").alias("s"))).mapInPandas(_near, "a string, b string")
     other = full.select("key", F.col("name").alias("b"), F.col("kind").alias("kb"), F.col("node").alias("y"))
-    by_first = full.select("key", F.col("name").alias("a"), F.col("kind").alias("ka"), F.col("node").alias("x")).join(firsts, "a").join(other, ["key", "b"]).where("ka = 'other' or kb = 'other'").select("x", "y")
+    by_first = full.select("key", F.col("name").alias("a"), F.col("kind").alias("ka"), F.col("node").alias("x")).join(firsts, "a").join(other,
+        ["key", "b"]).where("ka = 'other' or kb = 'other'").select("x", "y")
     strong = by_surname.unionByName(by_first)
     # the same words read in different order are one string of another node only if a first name is unknown: s equal up to order
     turned = full.select("node", F.array_join(F.array_sort(F.array("name", "key")), " ").alias("u"))
@@ -281,10 +290,13 @@ def name_groups(entities: DataFrame) -> DataFrame:
     # shortened persons: the one full person they fit
     same = close.mapInPandas(_slips, "a string, b string")
     both = both_ways(same, "key", "fkey").unionByName(keys.select("key", F.col("key").alias("fkey")))
-    options = weak.join(both, "key").join(full.select(F.col("key").alias("fkey"), F.col("kind").alias("fkind"), F.col("name").alias("fname"), F.col("node").alias("fnode")), "fkey")
+    options = weak.join(both, "key").join(full.select(F.col("key").alias("fkey"), F.col("kind").alias("fkind"), F.col("name").alias("fname"),
+        F.col("node").alias("fnode")), "fkey")
     fits = options.select("kind", "name", "fkind", "fname", "key", "fkey", "node", "fnode").mapInPandas(_fits, "node string, fnode string")
-    grouped = fits.join(persons, fits.fnode == persons.node_id).select("node", "group_id", (F.split("node", r"\|")[2] != F.split("fnode", r"\|")[2]).alias("far"))
-    nearest = grouped.groupBy("node").agg(F.array_sort(F.collect_set(F.when(~F.col("far"), F.col("group_id")))).alias("exact"), F.array_sort(F.collect_set("group_id")).alias("any"))
+    grouped = fits.join(persons, fits.fnode == persons.node_id).select("node", "group_id",
+        (F.split("node", r"\|")[2] != F.split("fnode", r"\|")[2]).alias("far"))
+    nearest = grouped.groupBy("node").agg(F.array_sort(F.collect_set(F.when(~F.col("far"), F.col("group_id")))).alias("exact"),
+        F.array_sort(F.collect_set("group_id")).alias("any"))
     only = F.when(F.size("exact") == 1, F.col("exact")[0]).when((F.size("exact") == 0) & (F.size("any") == 1), F.col("any")[0])
     weak_edges = nearest.select(F.col("node").alias("x"), only.alias("y")).where("y is not null")
     # organisations: equal distinctive words, or one typing error in them beside equal trade words

@@ -3,18 +3,21 @@
 The elements of a document are its words with their occurrence number, so that the overlap of two documents counts repeated words.
 Documents of equal elements form a class; the search runs over one representative of each.
 
-1. Representatives are laid in the order of their first two minimum hashes, which puts similar ones side by side, and cut into groups of at most ``GROUP`` neighbours that agree in
-   the first. No group grows with the data, whatever share of the documents looks alike.
+1. Representatives are laid in the order of their first two minimum hashes, which puts similar ones side by side, and cut into
+   groups of at most ``GROUP`` neighbours that agree in the first. No group grows with the data, whatever share of the documents
+   looks alike.
 2. A group's row of the token-group matrix is the union of its members' elements, as a bitmap of ``BITS`` hashed
    positions, with the smallest and largest size of a member.
-3. A query meets its own group and the groups that hold a document with a band of minimum hashes like its own. The overlap of a query with any member is
-   at most its size less the positions that the group's row lacks; a group that cannot reach the threshold is never opened.
+3. A query meets its own group and the groups that hold a document with a band of minimum hashes like its own. The overlap of a
+   query with any member is at most its size less the positions that the group's row lacks; a group that cannot reach the threshold
+   is never opened.
 4. The members of the groups left are compared by their own bitmaps, with the same bound, then exactly by their elements. For that the
    pairs are laid on a grid of cells, and a document goes once to each cell that it has a pair in, however many pairs that is.
 
 Step 3 finds a pair with similarity ``s`` unless all bands differ: ``(1 - s**ROWS) ** BANDS``, which is below 2e-6 at 0.75 and
-below 1e-9 at 0.8. (A prefix index over the rarest words misses nothing, but met 2e9 pairs on 90,000 documents here, most
-of the words being common; hence the bands. A row more in a band divides the unlike pairs that meet by about three.) All later steps are exact up to collisions of 64-bit hashes.
+below 1e-9 at 0.8. (A prefix index over the rarest words misses nothing, but met 2e9 pairs on 90,000 documents here, most of the
+words being common; hence the bands. A row more in a band divides the unlike pairs that meet by about three.) All later steps are
+exact up to collisions of 64-bit hashes.
 
 Nothing is broadcast by hint: which side of a join is small is left to the sizes the optimizer knows, its own bound being ten megabytes.
 """
@@ -101,7 +104,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, place = band_hashes(el, offsets)
         bands = (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
         cols = {
-            "id": batch.column("id"), "c1": pa.array(one.view(np.int64)), "c2": pa.array(two.view(np.int64)), "n": pa.array(np.diff(offsets).astype(np.int32)), "place": pa.array(place.view(np.int64)),
+            "id": batch.column("id"), "c1": pa.array(one.view(np.int64)), "c2": pa.array(two.view(np.int64)),
+                "n": pa.array(np.diff(offsets).astype(np.int32)), "place": pa.array(place.view(np.int64)),
             "bits": _lists(bitmaps(el, doc, n).ravel().view(np.int64), np.arange(n + 1) * WORDS, pa.int64()),
             "bands": _lists(bands.ravel(), np.arange(n + 1) * BANDS, pa.int32()),
             "el": _lists(el.view(np.int64), offsets, pa.int64()),
@@ -134,7 +138,8 @@ CELL = 60_000
 def _exact(pairs: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
     """Pairs of a cell that reach the overlap they need, with the overlap and both sizes."""
     el = dict(zip(docs["id"], docs["el"], strict=True))
-    shared = np.fromiter((len(np.intersect1d(el[a], el[b], assume_unique=True)) for a, b in zip(pairs["id"], pairs["d"], strict=True)), dtype=np.int64, count=len(pairs))
+    shared = np.fromiter((len(np.intersect1d(el[a], el[b], assume_unique=True)) for a, b in zip(pairs["id"], pairs["d"], strict=True)),
+        dtype=np.int64, count=len(pairs))
     out = pairs.assign(shared=shared)
     return out.loc[out["shared"] >= out["need"], ["id", "d", "shared", "qn", "dn"]]
 
@@ -164,31 +169,38 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFram
     members = cut(base.select("id", "c1", "c2").join(classes, ["c1", "c2"]).select("id", "class_id"))
     copies = members.where("id <> class_id").select("id")
     reps = base.select("id", "n", "place", "bits", "bands").join(copies, "id", "left_anti")
-    own = cut(reps.repartitionByRange("place", "id").sortWithinPartitions("place", "id").mapInArrow(_group, "id long, n int, bits array<long>, bands array<int>, g long"))
+    own = cut(reps.repartitionByRange("place", "id").sortWithinPartitions("place", "id").mapInArrow(_group,
+        "id long, n int, bits array<long>, bands array<int>, g long"))
     union = [F.bit_or(F.col("bits")[i]).alias(f"u{i}") for i in range(WORDS)]
-    matrix = own.groupBy("g").agg(*union, F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("size")).select("g", F.array(*[f"u{i}" for i in range(WORDS)]).alias("row"), "lo", "hi", "size")
+    matrix = own.groupBy("g").agg(*union, F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("size")).select("g",
+        F.array(*[f"u{i}" for i in range(WORDS)]).alias("row"), "lo", "hi", "size")
     # a query meets its own group, and the groups of later documents that share a band with it; both sides of the join are one shuffle
-    postings = own.select("id", "n", "g", F.posexplode("bands").alias("band", "h")).select("id", "n", "g", (F.col("band").cast("long") * 2**32 + F.col("h")).alias("k"))
+    postings = own.select("id", "n", "g", F.posexplode("bands").alias("band", "h")).select("id", "n", "g",
+        (F.col("band").cast("long") * 2**32 + F.col("h")).alias("k"))
     alike = F.least("a.n", "b.n") >= F.lit(threshold) * F.greatest("a.n", "b.n") - 1e-9
     others = postings.alias("a").join(postings.alias("b"), F.expr("a.k = b.k and a.id < b.id and a.g <> b.g")).where(alike).select("a.id", "b.g")
     meets = others.unionByName(own.select("id", "g")).distinct()
     least = F.ceil(F.lit(threshold) * F.col("qn") - 1e-9)  # the smallest size that could qualify
     q = own.select("id", F.col("bits").alias("qb"), F.col("n").alias("qn"))
     bounded = meets.join(matrix, "g").where((F.col("size") > 1) | (F.col("g") != F.col("id"))).join(q, "id")
-    opened = bounded.where((F.col("hi") >= least) & (F.col("lo") <= F.col("qn") / threshold + 1e-9)).where(F.col("qn") - _missing("qb", "row") >= overlap_needed(F.col("qn"), F.greatest(F.col("lo"), least), threshold))
+    opened = bounded.where((F.col("hi") >= least) & (F.col("lo") <= F.col("qn") / threshold + 1e-9)).where(F.col("qn") - _missing("qb",
+        "row") >= overlap_needed(F.col("qn"), F.greatest(F.col("lo"), least), threshold))
     m = own.select("g", F.col("id").alias("d"), F.col("bits").alias("db"), F.col("n").alias("dn"))
     need = overlap_needed(F.col("qn"), F.col("dn"), threshold)
-    near = opened.select("id", "g", "qb", "qn").join(m, "g").where("id <> d").where(F.least(F.col("qn") - _missing("qb", "db"), F.col("dn") - _missing("db", "qb")) >= need)
+    near = opened.select("id", "g", "qb", "qn").join(m, "g").where("id <> d").where(F.least(F.col("qn") - _missing("qb", "db"),
+        F.col("dn") - _missing("db", "qb")) >= need)
     # a member is met by the smaller id or by a group mate of the other one; the pair is taken once
     a, b = F.least("id", "d"), F.greatest("id", "d")
     small = F.col("id") < F.col("d")
-    near = cut(near.select(a.alias("id"), b.alias("d"), F.when(small, F.col("qn")).otherwise(F.col("dn")).alias("qn"), F.when(small, F.col("dn")).otherwise(F.col("qn")).alias("dn"), need.alias("need")).distinct())
+    near = cut(near.select(a.alias("id"), b.alias("d"), F.when(small, F.col("qn")).otherwise(F.col("dn")).alias("qn"),
+        F.when(small, F.col("dn")).otherwise(F.col("qn")).alias("dn"), need.alias("need")).distinct())
     grid = max(1, math.ceil(math.sqrt(near.count() / CELL)))
     cell = F.pmod(F.xxhash64("id"), F.lit(grid)) * grid + F.pmod(F.xxhash64("d"), F.lit(grid))
     pairs = near.withColumn("cell", cell.cast("int"))
     places = cut(pairs.select(F.col("cell").alias("spot"), F.explode(F.array("id", "d")).alias("id")).distinct())
     docs_at = base.select("id", "el").join(places, "id").select("spot", "id", "el")
-    exact = pairs.groupBy("cell").cogroup(docs_at.groupBy("spot")).applyInPandas(lambda a, b: _exact(a, b), "id long, d long, shared long, qn int, dn int")
+    exact = pairs.groupBy("cell").cogroup(docs_at.groupBy("spot")).applyInPandas(lambda a, b: _exact(a, b),
+        "id long, d long, shared long, qn int, dn int")
     sim = F.col("shared") / (F.col("qn") + F.col("dn") - F.col("shared"))
     return members, exact.select(F.col("id").alias("class_a"), F.col("d").alias("class_b"), sim.alias("similarity"))
 
@@ -196,12 +208,17 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFram
 def document_words(skeleton: DataFrame, sections: DataFrame) -> DataFrame:
     """``id, words``: the lower-cased runs of letters and digits of a document's file name, without extension, and of all its previews.
 
-    Only documents with a non-null preview; exact copies of a section (same section_id) count once. A document without a file name has the words of its previews only.
+    Only documents with a non-null preview; exact copies of a section (same section_id) count once. A document without a file name
+    has the words of its previews only.
     """
-    named = skeleton.where("doc_id is not null").select("doc_id", F.lit(None).cast("long").alias("section_id"), F.regexp_replace("file_name", r"\.[^.]*$", "").alias("t"), F.lit(0).alias("s"))
-    texts = sections.where("doc_id is not null and preview_start is not null").select("doc_id", "section_id", F.col("preview_start").alias("t"), F.lit(1).alias("s"))
-    both = named.groupBy("doc_id").agg(F.max("t").alias("t")).select("doc_id", F.lit(None).cast("long").alias("section_id"), "t", F.lit(0).alias("s")).unionByName(texts)
-    per = both.groupBy("doc_id").agg(F.collect_set(F.when(F.col("t").isNotNull(), F.struct("s", "section_id", "t"))).alias("ts"), F.max("s").alias("has"))
+    named = skeleton.where("doc_id is not null").select("doc_id", F.lit(None).cast("long").alias("section_id"),
+        F.regexp_replace("file_name", r"\.[^.]*$", "").alias("t"), F.lit(0).alias("s"))
+    texts = sections.where("doc_id is not null and preview_start is not null").select("doc_id", "section_id", F.col("preview_start").alias("t"),
+        F.lit(1).alias("s"))
+    both = named.groupBy("doc_id").agg(F.max("t").alias("t")).select("doc_id", F.lit(None).cast("long").alias("section_id"), "t",
+        F.lit(0).alias("s")).unionByName(texts)
+    per = both.groupBy("doc_id").agg(F.collect_set(F.when(F.col("t").isNotNull(), F.struct("s", "section_id", "t"))).alias("ts"),
+        F.max("s").alias("has"))
     words = F.expr(r"regexp_extract_all(lower(array_join(transform(ts, x -> x.t), ' ')), '([\\p{L}\\p{N}]+)', 1)")
     return per.where("has = 1").select(F.col("doc_id").alias("id"), words.alias("words"))
 
@@ -209,8 +226,10 @@ def document_words(skeleton: DataFrame, sections: DataFrame) -> DataFrame:
 def all_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
     """``doc_id_a, doc_id_b`` (smaller first): every pair of documents of one class or of two linked classes."""
     m = members
-    same = m.alias("a").join(m.alias("b"), F.expr("a.class_id = b.class_id and a.id < b.id")).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
-    ma, mb = m.select(F.col("id").alias("x"), F.col("class_id").alias("class_a")), m.select(F.col("id").alias("y"), F.col("class_id").alias("class_b"))
+    same = m.alias("a").join(m.alias("b"), F.expr("a.class_id = b.class_id and a.id < b.id")).select(F.col("a.id").alias("x"),
+        F.col("b.id").alias("y"))
+    ma, mb = m.select(F.col("id").alias("x"), F.col("class_id").alias("class_a")), m.select(F.col("id").alias("y"),
+        F.col("class_id").alias("class_b"))
     across = links.select("class_a", "class_b").join(ma, "class_a").join(mb, "class_b").select("x", "y")
     return same.unionByName(across).select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b"))
 

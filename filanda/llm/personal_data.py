@@ -90,10 +90,12 @@ ADDRESS_EN = re.compile(
     r"(?<![\w.,/-])\d{1,4}[A-Za-z]?,?\s+(?:[A-Z][a-z'’]+\s+){1,3}(?:Street|Road|Avenue|Lane|Drive|Close|Square|Court|Terrace|Place|Crescent|Boulevard|Way|Gardens|Grove|Row|Hill|St\.|Rd\.|Ave\.|Ln\.)(?!\w)"
     r"|(?<![\w-])(?:[A-Z][a-z'’]+\s+){1,3}(?:Street|Road|Avenue|Lane|Drive|Crescent|Boulevard|Terrace)\s*,?\s+(?:no\.?\s?)?\d{1,4}\b"
 )
-_STREETS = ("via", "viale", "v.le", "piazz", "p.zza", "pzza", "p.za", "p.le", "corso", "c.so", "largo", "l.go", "vicolo", "v.lo", "strada", "str.", "contrada", "lungo", "galleria", "salita", "rione", "localit")
+_STREETS = ("via", "viale", "v.le", "piazz", "p.zza", "pzza", "p.za", "p.le", "corso", "c.so", "largo", "l.go", "vicolo", "v.lo", "strada", "str.",
+    "contrada", "lungo", "galleria", "salita", "rione", "localit")
 #: The spellings of a square whose parts blanks or no dot divide, which no literal covers.
 _SQUARE = re.compile(r"[Pp]\.?\s?[Zz]?[Zz][Aa]")
-_STREETS_EN = ("street", "road", "avenue", "lane", "drive", "close", "square", "court", "terrace", "place", "crescent", "boulevard", "way", "gardens", "grove", "row", "hill", "st.", "rd.", "ave.", "ln.")
+_STREETS_EN = ("street", "road", "avenue", "lane", "drive", "close", "square", "court", "terrace", "place", "crescent", "boulevard", "way", "gardens",
+    "grove", "row", "hill", "st.", "rd.", "ave.", "ln.")
 _ACRONYM_STREET = re.compile(r"\Avia\s+[A-Z]{2,6}\s+\d")
 
 _COMPANY = re.compile(
@@ -101,14 +103,16 @@ _COMPANY = re.compile(
     r"|(?<!\w)(?:Gruppo|Group)\s+[A-ZÀ-Ý][\w'’]+"
 )
 _CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ][^\W\d_]*(?:['’][^\W\d_]+)*['’]?")
-_TITLE = re.compile(r"(?<![\w.])(?:[Ss]ig\.?(?:na|ra|\.ra|\.na)?|[Ss]igg|[Ss]ignora?|[Dd]ott\.?(?:ssa|\.ssa)?|DOTT|SIG|ING|AVV|[Dd]r|[Ii]ng|[Aa]vv|[Gg]eom|[Rr]ag|[Aa]rch|[Pp]rof\.?(?:ssa)?|Mr|Mrs|Ms|Dr|Miss)\.?\s+(?=[A-ZÀ-Ý])")
+_TITLE = re.compile(
+    r"(?<![\w.])(?:[Ss]ig\.?(?:na|ra|\.ra|\.na)?|[Ss]igg|[Ss]ignora?|[Dd]ott\.?(?:ssa|\.ssa)?|DOTT|SIG|ING|AVV|[Dd]r|[Ii]ng|[Aa]vv|[Gg]eom|[Rr]ag|[Aa]rch|[Pp]rof\.?(?:ssa)?|Mr|Mrs|Ms|Dr|Miss)\.?\s+(?=[A-ZÀ-Ý])")
 #: The ends of all alternatives of _TITLE in lower case, without dot.
 _TITLE_ENDS = ("sig", "sigg", "na", "ra", "signor", "dott", "ssa", "dr", "ing", "avv", "geom", "rag", "arch", "prof", "mr", "mrs", "ms", "miss")
 #: Words that stand right before a person, or right after one.
 _BEFORE = re.compile(
     r"(?i)(?:firmato|presenti|referente(?: è)?|assegnato a|approvato da|indicato da|reviewed by|approved by|signed by|assigned to|issued to|rilasciato a|contattare|contact(?: is)?|rif\.|reference|attn\.?|att\.ne|c\.a\.|cc|dipendente|employee|sottoscritt[oa]|with|by|\bda|\ba|;)\s*:?\s*\Z"
 )
-_AFTER = re.compile(r"(?i)\A(?:\s+(?:signed|tel\b|ha (?:confermato|firmato|approvato)|has|for|per competenza|in data|with|al\s+[+(0-9])|\s*\(?(?:document\b|C\.F\.)|,\s*(?:C\.F\.|document)|\s*;)")
+_AFTER = re.compile(
+    r"(?i)\A(?:\s+(?:signed|tel\b|ha (?:confermato|firmato|approvato)|has|for|per competenza|in data|with|al\s+[+(0-9])|\s*\(?(?:document\b|C\.F\.)|,\s*(?:C\.F\.|document)|\s*;)")
 
 # Words that open sentences or stand for things, so that a capital says nothing.
 _COMMON = set(
@@ -177,11 +181,13 @@ def _promising(text: str, m: re.Match) -> bool:
     h = _hint(m.group())
     if h & 5:
         return True
-    return (h & 2 or len(m.group()) == 1) and text[m.end() : m.end() + 1] == "." and not text[m.end() + 1 : m.end() + 2].isalnum() and text[m.start() - 1 : m.start()] != "."
+    return (h & 2 or len(m.group()) == 1) and text[m.end() : m.end() + 1] == "." and not text[m.end() + 1 : m.end()
+        + 2].isalnum() and text[m.start() - 1 : m.start()] != "."
 
 
 def _capital_words(text: str) -> list[re.Match]:
-    """Words with a capital first letter; the pattern begins with a set of characters, which the engine finds fast, so what stands before is looked at here."""
+    """Words with a capital first letter; the pattern begins with a set of characters, which the engine finds fast, so what stands
+    before is looked at here."""
     out = []
     for m in _CAPITAL.finditer(text):
         if m.start() and text[m.start() - 1].isalnum():
@@ -196,11 +202,13 @@ def _capital_words(text: str) -> list[re.Match]:
 _CUE_LABEL = re.compile(
     r"(?i)\b(?:referente|contatto|contact|contact person|attn\.?|att\.ne|c\.a\.|all'attenzione di|(?:il|la) sottoscritt[oa]|nominativo|cognome e nome|nome e cognome|full name|name of employee|firma|firmato(?: da)?|signed(?: by)?|intestatari[oa])\s*\Z"
 )
-_CUE_VERB = re.compile(r"(?i)\b(?:chiamare|contattare|telefonare a|scrivere a|rivolgersi a|please call|please contact|ask for|signed by|firmato da)\s+")
+_CUE_VERB = re.compile(
+    r"(?i)\b(?:chiamare|contattare|telefonare a|scrivere a|rivolgersi a|please call|please contact|ask for|signed by|firmato da)\s+")
 #: A part of every verb above, in lower case.
 _CUE_PARTS = ("chiamare", "contattare", "telefonare", "scrivere", "rivolgersi", "please c", "ask for", "signed", "firmato")
 _PARTICLE = re.compile(r"(?:[Dd]e|[Dd]i|[Dd]a|[Dd]el|[Dd]ella|[Dd]ei|[Vv]an|[Vv]on|[Dd]er|[Ee]l|[Aa]l|[Bb]in|[Bb]en|[Ll]a|[Ll]e|[Dd]os|[Tt]en)\Z")
-_CUED_NAME = re.compile(r"[A-ZÀ-ÖØ-Þ][^\W\d_]+(?:['’-][^\W\d_]+)*(?:[ \t]+(?:(?:de|di|da|del|della|dei|van|von|der|el|al|bin|ben|la|le|dos|ten)[ \t]+)*(?:[A-ZÀ-ÖØ-Þ]\.[ \t]*)?[A-ZÀ-ÖØ-Þ][^\W\d_]+(?:['’-][^\W\d_]+)*){1,3}")
+_CUED_NAME = re.compile(
+    r"[A-ZÀ-ÖØ-Þ][^\W\d_]+(?:['’-][^\W\d_]+)*(?:[ \t]+(?:(?:de|di|da|del|della|dei|van|von|der|el|al|bin|ben|la|le|dos|ten)[ \t]+)*(?:[A-ZÀ-ÖØ-Þ]\.[ \t]*)?[A-ZÀ-ÖØ-Þ][^\W\d_]+(?:['’-][^\W\d_]+)*){1,3}")
 
 
 _COLON = re.compile(r":\s*")
@@ -216,7 +224,8 @@ def _hints(low: str) -> int:
 
 SAID, STREET, STREET_EN, CUE, MAIL, BORN = (1 << i for i in range(6))
 _HINT_SETS = {
-    SAID: _SAID, STREET: _STREETS, STREET_EN: _STREETS_EN, CUE: _CUE_PARTS, MAIL: _MAIL_PARTS, BORN: ("nato", "nata", "nascita", "born", "birth", "d.o.b"),
+    SAID: _SAID, STREET: _STREETS, STREET_EN: _STREETS_EN, CUE: _CUE_PARTS, MAIL: _MAIL_PARTS,
+        BORN: ("nato", "nata", "nascita", "born", "birth", "d.o.b"),
 }
 _HINT_AUTO = ahocorasick.Automaton()
 for _bit, _words in _HINT_SETS.items():
@@ -245,12 +254,14 @@ def cued_names(text: str, hints: int) -> list[tuple[int, int]]:
 
 
 def find_persons(text: str, hints: int | None = None) -> list[tuple[int, int]]:
-    """Spans of persons' names: first name and surname in either order, shortened first names, surnames after a title, capital words after a cue for persons."""
+    """Spans of persons' names: first name and surname in either order, shortened first names, surnames after a title, capital
+    words after a cue for persons."""
     tokens = _capital_words(text)
     titled = False
     for m in tokens:
         before = text[max(0, m.start() - 10) : m.start()]
-        if before and before[-1].isspace() and before.rstrip(" \t\n.").lower().endswith(_TITLE_ENDS) and _TITLE.search(text, max(0, m.start() - 14), m.end()):
+        if before and before[-1].isspace() and before.rstrip(" \t\n.").lower().endswith(_TITLE_ENDS) and _TITLE.search(text, max(0, m.start() - 14),
+            m.end()):
             titled = True
             break
     cued = cued_names(text, _hints(text.lower()) if hints is None else hints)
@@ -278,28 +289,33 @@ def find_persons(text: str, hints: int | None = None) -> list[tuple[int, int]]:
             s = after(initial.end()) if initial else nxt
             if s and s.group().isupper() and len(s.group()) <= 4 and not w.isupper():
                 s = None  # an acronym
-            if s and _surname(s.group(), last(s)) and not (_known(s.group()) and after(s.end()) and _surname(after(s.end()).group(), False) and not _known(after(s.end()).group())):
+            if s and _surname(s.group(), last(s)) and not (_known(s.group()) and after(s.end()) and _surname(after(s.end()).group(),
+                False) and not _known(after(s.end()).group())):
                 span = (m.start(), s.end())  # Rocco Vilrafetta, Noemi E. Goncefagne
             elif s and _known(s.group()):
                 t = after(s.end())
                 span = (m.start(), (t if t and _surname(t.group(), last(t)) else s).end())
         if not span and dotted and (len(w) == 1 and text[m.start() - 1 : m.start()] != "." or _hint(w) & 2):
             s = after(end + 1)
-            if s and _surname(s.group(), last(s)) and len(s.group()) >= 5 and "'" not in s.group() and not _known(s.group()) and (len(w) == 1 or w[1:].islower() or s.group().isupper()):
+            if s and _surname(s.group(), last(s)) and len(s.group()) >= 5 and "'" not in s.group() and not _known(s.group()) and (len(w) == 1 or w[1:]
+                .islower() or s.group().isupper()):
                 span = (m.start(), s.end())  # K. Ninlifazza, Leo. Forganunni
         if not span and _surname(w, False) and len(w) >= 4 and not dotted:
             comma = after(end, _COMMA)
-            if nxt and _known(nxt.group()) and not (last(nxt) and any(x.startswith(fold(nxt.group())) for x in TRADE_WORDS)) and not (after(nxt.end()) and _surname(after(nxt.end()).group(), False) and not _known(w) and fold(w) in _COMMON):
+            if nxt and _known(nxt.group()) and not (last(nxt) and any(x.startswith(fold(nxt.group())) for x in TRADE_WORDS)) and not (after(nxt
+                .end()) and _surname(after(nxt.end()).group(), False) and not _known(w) and fold(w) in _COMMON):
                 span = (m.start(), nxt.end())  # Vanzironne Marta
             elif comma and (_known(comma.group()) or _hint(comma.group()) & 4 and _BEFORE.search(text, 0, m.start())):
                 span = (m.start(), comma.end())  # Celnebicce, Robert
-            elif nxt and len(nxt.group()) == 1 and text[nxt.end() : nxt.end() + 1] == "." and len(w) >= 5 and not _trade_like(w) and not (nxt.end() + 1 == len(text) and nxt.group() == "S" and not _cued(text, m.start(), nxt.end() + 1)):
+            elif nxt and len(nxt.group()) == 1 and text[nxt.end() : nxt.end() + 1] == "." and len(w) >= 5 and not _trade_like(w) and not (nxt.end()
+                + 1 == len(text) and nxt.group() == "S" and not _cued(text, m.start(), nxt.end() + 1)):
                 span = (m.start(), nxt.end() + 1)  # Rerbefippo H.
             elif nxt and text[nxt.end() : nxt.end() + 1] == "." and _hint(nxt.group()) & 2 and len(w) >= 5 and _cued(text, m.start(), nxt.end() + 1):
                 span = (m.start(), nxt.end() + 1)
         if not span and not dotted:  # a mistyped first name beside a surname, where the words around speak of persons
             s = after(initial.end()) if initial else nxt
-            if s and _surname(s.group(), False) and len(s.group()) >= 4 and not last(s) and (_hint(w) & 4 or _hint(s.group()) & 4) and _cued(text, m.start(), s.end()):
+            if s and _surname(s.group(), False) and len(s.group()) >= 4 and not last(s) and (_hint(w) & 4 or _hint(s.group()) & 4) and _cued(text,
+                m.start(), s.end()):
                 span = (m.start(), s.end())
         if span:
             out.append(span)
@@ -350,7 +366,8 @@ def is_iban(value: str) -> bool:
 def is_card(value: str) -> bool:
     """Whether the last digit of a payment card's number is right (Luhn) and it begins like one."""
     d = [int(c) for c in value if c.isdigit()]
-    return 13 <= len(d) <= 19 and d[0] in (3, 4, 5, 6) and sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(reversed(d))) % 10 == 0
+    return 13 <= len(d) <= 19 and d[0] in (3, 4, 5, 6) and sum(x if i % 2 == 0 else sum(divmod(2 * x,
+        10)) for i, x in enumerate(reversed(d))) % 10 == 0
 
 
 def find_items(text: str | None) -> list[tuple[int, int, str]]:
@@ -404,7 +421,8 @@ def _find(text: str, hints: int) -> list[tuple[int, int, str]]:
 
 
 def feistel(value: int, size: int, key: bytes, tweak: bytes = b"", rounds: int = 8, back: bool = False) -> int:
-    """A keyed permutation of the integers below ``size``: a balanced Feistel network over the next even number of bits, walked until the result lies below."""
+    """A keyed permutation of the integers below ``size``: a balanced Feistel network over the next even number of bits, walked
+    until the result lies below."""
     if size < 2:
         return value
     half = max(1, ((size - 1).bit_length() + 1) // 2)
@@ -442,7 +460,8 @@ def permute_format(value: str, key: bytes, back: bool = False) -> str:
 
 
 # The check letter of an Italian tax code adds these for characters in odd places.
-_ODD = dict(zip("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", [1, 0, 5, 7, 9, 13, 15, 17, 19, 21, 1, 0, 5, 7, 9, 13, 15, 17, 19, 21, 2, 4, 18, 20, 11, 3, 6, 8, 12, 14, 16, 10, 22, 25, 24, 23], strict=True))
+_ODD = dict(zip("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", [1, 0, 5, 7, 9, 13, 15, 17, 19, 21, 1, 0, 5, 7, 9, 13, 15, 17, 19, 21, 2, 4, 18, 20, 11, 3, 6,
+    8, 12, 14, 16, 10, 22, 25, 24, 23], strict=True))
 
 
 def tax_check(first15: str) -> str:
@@ -460,7 +479,8 @@ def permute_tax_code(value: str, key: bytes, back: bool = False) -> str:
     day = int(bare[9:11])
     if not (1 <= day <= 31 or 41 <= day <= 71):
         return permute_format(value, key, back)
-    parts = [(26, ord(c) - 65) for c in bare[:6]] + [(100, int(bare[6:8])), (12, months.index(month)), (62, day - 1 if day <= 31 else day - 10), (26, ord(bare[11]) - 65), (1000, int(bare[12:15]))]
+    parts = [(26, ord(c) - 65) for c in bare[:6]] + [(100, int(bare[6:8])), (12, months.index(month)), (62, day - 1 if day <= 31 else day - 10),
+        (26, ord(bare[11]) - 65), (1000, int(bare[12:15]))]
     size, number = 1, 0
     for n, d in parts:
         size, number = size * n, number * n + d
@@ -499,7 +519,8 @@ HOME = "39"
 def permute_phone(value: str, key: bytes, back: bool = False) -> str:
     """Another number in the same writing; the country's code and the first digit stay, as they tell what line it is.
 
-    The permuted digits depend on country and national number only, so one number in several writings, with or without the code of ``HOME``, stays one number.
+    The permuted digits depend on country and national number only, so one number in several writings, with or without the code of
+    ``HOME``, stays one number.
     """
     m = re.match(r"(.*?)((?: ?(?:int|ext|interno)\.? ?\d{1,4})?)\Z", value, re.S)
     number, ext = m[1], m[2]
@@ -529,7 +550,8 @@ def pseudonym(kind: str, value: str, key: bytes) -> str:
     return hashlib.blake2b(f"{kind}:{words}".encode(), key=key[:64], digest_size=4).hexdigest()
 
 
-_BORN = re.compile(r"(?i)\b(?:nat[oa](?: il)?|born(?: on)?|data di nascita|date of birth|d\.o\.b\.)\W{0,3}(\d{1,2}[/.-]\d{1,2}[/.-]\d{4}|\d{4}-\d{2}-\d{2})")
+_BORN = re.compile(
+    r"(?i)\b(?:nat[oa](?: il)?|born(?: on)?|data di nascita|date of birth|d\.o\.b\.)\W{0,3}(\d{1,2}[/.-]\d{1,2}[/.-]\d{4}|\d{4}-\d{2}-\d{2})")
 
 
 def redact(text: str | None, key: bytes) -> tuple[str | None, list[str]]:
@@ -552,17 +574,21 @@ def redact(text: str | None, key: bytes) -> tuple[str | None, list[str]]:
 
 
 def _texts(sections: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    arr = F.concat(F.array(F.struct(F.lit(-1).alias("n"), F.col("preview_start").alias("t"))), F.expr("coalesce(transform(paragraphs, (x, i) -> named_struct('n', i, 't', x)), array())"))
-    s = sections.select(F.lit("sections").alias("tab"), F.col("section_id").alias("row_id"), F.explode(arr).alias("x")).select("tab", "row_id", F.col("x.n").alias("para_no"), F.col("x.t").alias("text"))
-    t = taxonomy.select(F.lit("taxonomy_diff").alias("tab"), F.col("diff_id").alias("row_id"), F.lit(-1).alias("para_no"), F.col("text_preview").alias("text"))
+    arr = F.concat(F.array(F.struct(F.lit(-1).alias("n"), F.col("preview_start").alias("t"))),
+        F.expr("coalesce(transform(paragraphs, (x, i) -> named_struct('n', i, 't', x)), array())"))
+    s = sections.select(F.lit("sections").alias("tab"), F.col("section_id").alias("row_id"), F.explode(arr).alias("x")).select("tab", "row_id",
+        F.col("x.n").alias("para_no"), F.col("x.t").alias("text"))
+    t = taxonomy.select(F.lit("taxonomy_diff").alias("tab"), F.col("diff_id").alias("row_id"), F.lit(-1).alias("para_no"),
+        F.col("text_preview").alias("text"))
     return s.unionByName(t).where("text is not null and text <> ''")
 
 
 def redacted_texts(sections: DataFrame, taxonomy: DataFrame, key: bytes) -> DataFrame:
     """``tab, row_id, para_no, text, kinds``: every text with typed placeholders.
 
-    ``sections`` has ``section_id, preview_start, paragraphs``, ``taxonomy`` has ``diff_id, text_preview``; further columns are ignored. ``para_no`` counts
-    from 0, -1 is a preview. Null and empty texts give no row; repeated rows give repeated rows; an empty table gives none. Equal values get equal pseudonyms in all texts.
+    ``sections`` has ``section_id, preview_start, paragraphs``, ``taxonomy`` has ``diff_id, text_preview``; further columns are
+    ignored. ``para_no`` counts from 0, -1 is a preview. Null and empty texts give no row; repeated rows give repeated rows; an
+    empty table gives none. Equal values get equal pseudonyms in all texts.
     """
 
     def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

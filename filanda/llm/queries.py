@@ -32,7 +32,8 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pseudonym_key(spark: SparkSession) -> bytes:
-    """The secret of the pseudonyms: the session's ``filanda.pseudonym.key``; without one, a key of the session alone, so that its pseudonyms cannot be linked to another's."""
+    """The secret of the pseudonyms: the session's ``filanda.pseudonym.key``; without one, a key of the session alone, so that its
+    pseudonyms cannot be linked to another's."""
     named = spark.conf.get("filanda.pseudonym.key", None)
     return named.encode() if named else hashlib.sha256(spark.sparkContext.applicationId.encode() + _SESSION_SALT).digest()
 
@@ -114,7 +115,8 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p8_containers, p8_report, p8_audit, p9_mixture, p9_report, p9_audit, p10_found)
+    f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p8_containers, p8_report, p8_audit, p9_mixture, p9_report, p9_audit,
+        p10_found)
 }
 
 #: Characters without width, as DuckDB's engine writes them.

@@ -1,12 +1,15 @@
 """Text in one consistent form: look-alike classes, representatives by frequency, greedy rewriting.
 
-1. Pairs of strings that look alike (a fixed list for scripts; rules over the Unicode database for full-width and half-width forms, mathematical letters, ligatures, Roman
-   numerals and separate accents) are joined into classes by union-find over strings and code points, transitively.
-2. Each class is represented by the member whose form (plain, full-width, composed, with separate accents, compatibility) is the most frequent in the whole corpus, and among members of
-   one form by the most frequent one. All characters of all documents are counted, in Arrow batches over the raw bytes, and combined before a shuffle of one row for a character.
-3. An Aho-Corasick automaton over all members rewrites a text, the leftmost longest member first, until nothing is left to rewrite. A look-alike letter of another script
-   is rewritten only where the letters around it say which script is meant: in a word whose other letters are of one script, into that script; in a word made of such
-   letters only, into Latin if the words beside it are Latin and no word of the text has a letter that only the other script has.
+1. Pairs of strings that look alike (a fixed list for scripts; rules over the Unicode database for full-width and half-width
+   forms, mathematical letters, ligatures, Roman numerals and separate accents) are joined into classes by union-find over strings
+   and code points, transitively.
+2. Each class is represented by the member whose form (plain, full-width, composed, with separate accents, compatibility) is the
+   most frequent in the whole corpus, and among members of one form by the most frequent one. All characters of all documents are
+   counted, in Arrow batches over the raw bytes, and combined before a shuffle of one row for a character.
+3. An Aho-Corasick automaton over all members rewrites a text, the leftmost longest member first, until nothing is left to
+   rewrite. A look-alike letter of another script is rewritten only where the letters around it say which script is meant: in a word
+   whose other letters are of one script, into that script; in a word made of such letters only, into Latin if the words beside it
+   are Latin and no word of the text has a letter that only the other script has.
 
 Texts of ASCII only are never sent to Python to be rewritten.
 """
@@ -29,19 +32,25 @@ from pyspark.sql import functions as F
 # Letters of other scripts that look like a Latin letter.
 LOOKALIKES = {
     # Cyrillic
-    "А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "Ԛ": "Q", "Ԝ": "W",
-    "а": "a", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s", "у": "y", "х": "x", "ԝ": "w", "ӏ": "l", "ѵ": "v", "г": "r", "п": "n",
+    "А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y",
+        "Х": "X", "Ԛ": "Q", "Ԝ": "W",
+    "а": "a", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s", "у": "y", "х": "x", "ԝ": "w",
+        "ӏ": "l", "ѵ": "v", "г": "r", "п": "n",
     # Greek
-    "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ϲ": "C", "Ϳ": "J",
+    "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
+        "Ϲ": "C", "Ϳ": "J",
     "α": "a", "γ": "y", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "υ": "u", "ϲ": "c", "ϳ": "j",
     # Armenian
     "Օ": "O", "Ս": "U", "Լ": "L", "ո": "n", "ս": "u", "օ": "o", "հ": "h", "ց": "g", "զ": "q", "ք": "p",
     # Cherokee and others
-    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭼ": "E", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮇ": "M", "Ꮲ": "P", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z", "Ꭰ": "D", "Ꮐ": "G", "Ꮢ": "R", "Ꮪ": "S", "Ꮤ": "W", "Ꮍ": "y", "Ꮟ": "b", "Ꮒ": "h", "Ꭵ": "i", "Ꮞ": "4", "ɡ": "g", "ɑ": "a", "ı": "i",
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭼ": "E", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮇ": "M", "Ꮲ": "P", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z", "Ꭰ": "D",
+        "Ꮐ": "G", "Ꮢ": "R", "Ꮪ": "S", "Ꮤ": "W", "Ꮍ": "y", "Ꮟ": "b", "Ꮒ": "h", "Ꭵ": "i", "Ꮞ": "4", "ɡ": "g", "ɑ": "a", "ı": "i",
     # Coptic
-    "Ⲁ": "A", "Ⲃ": "B", "Ⲉ": "E", "Ⲏ": "H", "Ⲓ": "I", "Ⲕ": "K", "Ⲙ": "M", "Ⲛ": "N", "Ⲟ": "O", "Ⲣ": "P", "Ⲥ": "C", "Ⲧ": "T", "Ⲩ": "Y", "Ⲭ": "X", "ⲟ": "o", "ⲣ": "p", "ⲥ": "c",
+    "Ⲁ": "A", "Ⲃ": "B", "Ⲉ": "E", "Ⲏ": "H", "Ⲓ": "I", "Ⲕ": "K", "Ⲙ": "M", "Ⲛ": "N", "Ⲟ": "O", "Ⲣ": "P", "Ⲥ": "C", "Ⲧ": "T", "Ⲩ": "Y", "Ⲭ": "X",
+        "ⲟ": "o", "ⲣ": "p", "ⲥ": "c",
     # Lisu
-    "ꓐ": "B", "ꓑ": "P", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N", "ꓡ": "L", "ꓢ": "S", "ꓣ": "R", "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y",
+    "ꓐ": "B", "ꓑ": "P", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N", "ꓡ": "L", "ꓢ": "S",
+        "ꓣ": "R", "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y",
     "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O", "ꓴ": "U",
 }
 
@@ -134,7 +143,8 @@ def form(member: str) -> str:
 
 @dataclass
 class Table:
-    """What is rewritten: ``plain`` for members whose place does not matter, ``within`` for letters in a word of another script: script to letter to letter."""
+    """What is rewritten: ``plain`` for members whose place does not matter, ``within`` for letters in a word of another script:
+    script to letter to letter."""
 
     plain: dict[str, str]
     within: dict[str, dict[str, str]]
@@ -143,8 +153,8 @@ class Table:
 def representatives(classes: list[list[str]], counts: dict[str, int]) -> Table:
     """The member that stands for the others: of the most frequent form, then the most frequent, then the shorter, then the smaller one.
 
-    ``counts`` are those of characters in all documents; a form's count is that of all characters written so, the one of separate accents that of the accents. Letters of
-    ``LOOKALIKES`` stand for others only within words of their script.
+    ``counts`` are those of characters in all documents; a form's count is that of all characters written so, the one of separate
+    accents that of the accents. Letters of ``LOOKALIKES`` stand for others only within words of their script.
     """
     forms: dict[str, int] = {}
     for c, n in counts.items():
@@ -171,7 +181,8 @@ def representatives(classes: list[list[str]], counts: dict[str, int]) -> Table:
 
 
 class Rewriter:
-    """A table with its automaton over all members that are rewritten, wherever they stand or in some script's words, and the pattern of the characters they begin to differ by."""
+    """A table with its automaton over all members that are rewritten, wherever they stand or in some script's words, and the
+    pattern of the characters they begin to differ by."""
 
     def __init__(self, table: Table) -> None:
         self.table = table
@@ -183,9 +194,11 @@ class Rewriter:
                 self.auto.add_word(k, (k, None))
         self.auto.make_automaton()
         self.longest = max(map(len, self.auto.keys()))
-        odd = {c for m in table.plain for c in (m if m.isascii() else filter(lambda x: not x.isascii(), m))} | set(LOOKALIKES) | set(ZERO_WIDTH) | set(SPACES)
+        odd = {c for m in table.plain for c in (m if m.isascii() else filter(lambda x: not x.isascii(),
+            m))} | set(LOOKALIKES) | set(ZERO_WIDTH) | set(SPACES)
         near, far = "".join(re.escape(c) for c in sorted(odd) if ord(c) < 0x10000), "".join(sorted(c for c in odd if ord(c) >= 0x10000))
-        self.odd = re.compile(f"[{near}{_SCRIPTS}" + r"\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\uff01-\uff5e" + (f"{far[0]}-{far[-1]}]" if far else "]"))
+        self.odd = re.compile(f"[{near}{_SCRIPTS}" + r"\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\uff01-\uff5e"
+            + (f"{far[0]}-{far[-1]}]" if far else "]"))
         self.ascii = all(not m.isascii() for m in table.plain)
 
     def members(self, text: str) -> Iterator[tuple[int, str, str | None]]:
@@ -254,8 +267,9 @@ def _beside(text: str, start: int, end: int) -> list[str]:
 def foreign_places(text: str) -> dict[int, str]:
     """Places of letters to be rewritten, with the script of their word.
 
-    A word whose letters that are no look-alikes are all of one script, at least one, is of that script; Latin letters that have a double in another script give way to
-    letters that only that script has. A word of look-alikes alone is Latin under the condition at the top, else left alone.
+    A word whose letters that are no look-alikes are all of one script, at least one, is of that script; Latin letters that have a
+    double in another script give way to letters that only that script has. A word of look-alikes alone is Latin under the
+    condition at the top, else left alone.
     """
     out: dict[int, str] = {}
     upto = -1
@@ -268,7 +282,8 @@ def foreign_places(text: str) -> dict[int, str]:
         firm = {script(c) for c in letters if c not in LOOKALIKES}
         if firm == {"LATIN"}:
             target = "LATIN"
-        elif len(firm) == 2 and "LATIN" in firm and len({script(c) for c in letters}) == 2 and all(c in _DOUBLED for c in letters if script(c) == "LATIN"):
+        elif len(firm) == 2 and "LATIN" in firm and len({script(c) for c in letters}) == 2 and all(
+            c in _DOUBLED for c in letters if script(c) == "LATIN"):
             (target,) = firm - {"LATIN"}
         elif not firm:
             if own is None:
@@ -302,7 +317,8 @@ def _kind(member: str) -> str | None:
 def rewrite(text: str | None, by: Rewriter) -> tuple[str | None, list[str]]:
     """The text in the consistent form, and the kinds of disguise taken from it in the order of ``KINDS``.
 
-    Null and empty texts stay as they are. Emoji sequences keep their joiners. A word wholly of another script's look-alikes that is rewritten is no disguise.
+    Null and empty texts stay as they are. Emoji sequences keep their joiners. A word wholly of another script's look-alikes that
+    is rewritten is no disguise.
     """
     if not text or by.ascii and (text.isascii() or not by.odd.search(text)):
         return text, []
@@ -333,7 +349,8 @@ def rewrite(text: str | None, by: Rewriter) -> tuple[str | None, list[str]]:
         if not out:
             break
         text = "".join([*out, text[done:]])
-    kinds |= {_kind(m) for m in _REPORTED.findall(text) if m != " "} & {"fullwidth", "space"}  # a disguise that stands for its class here is one all the same
+    kinds |= {_kind(m) for m in _REPORTED.findall(text) if m != " "} & {"fullwidth",
+        "space"}  # a disguise that stands for its class here is one all the same
     if any(m.start() and text[m.start() - 1].isalpha() for m in _ACCENT.finditer(text)):  # no composed letter exists, or it is the rarer form
         kinds.add("combining")
     return text, [k for k in KINDS if k in kinds]
