@@ -44,6 +44,9 @@ INDEX_STOP = quoted(
     "the a an and or of in for to with on at by from is are was be been it its as use used using via see also this that all both each per such e le "
     "la di da su con non una che del include includes including provides provide support supports setup management operations tools tool based coverage system"
 )
+PREVIEW_STOP = quoted(
+    "della delle degli dello dalla dalle nella nelle sono come questo questa quello quella essere anche with from that this have been were"
+)
 NAME_NOISE = quoted("docx doc v ver rev final draft copia copy new old")
 EDGE_CATEGORIES = quoted("ACRONYM COMPANY PROPER_NOUN PROJECT_CODE")
 

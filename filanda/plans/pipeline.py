@@ -309,6 +309,18 @@ _SLUG = "regexp_replace(regexp_replace(lower({}), '[^a-z0-9]+', '-', 'g'), '^-+|
 _WC = r"coalesce(len(regexp_extract_all({}, '\S+')), 0)"
 _RULES = [*R.SECRETS, *R.RESIDUE]
 
+_CLASSIFIED = (
+    _KW
+    + f""", n as (select id as node_id, list_distinct(list_filter(regexp_extract_all(lower(concat_ws(' ', label, source_file)), '[a-z][a-z0-9+#.]{{2,}}'), lambda t: t not in ({_CSTOP}))) as tokens from (select distinct * from nodes) where label is not null),
+t as (select node_id, len(tokens) as n, unnest(tokens) as k from n),
+s as (select node_id, domain_ord, cap_ord, name, count(*)::double / any_value(n) as score, string_agg(k, ' ' order by k) as matched, count(*) as m from t join kw on keyword = k group by all),
+r as (select *, row_number() over w as r, lead(score) over w as second, lead(name) over w as second_name from s window w as (partition by node_id order by score desc, domain_ord, cap_ord))
+select n.node_id, name as capability, round(coalesce(score, 0), 3) as score, case when coalesce(score, 0) >= 0.15 then 'fit' when coalesce(score, 0) >= 0.01 then 'near' else 'unclassified' end as bucket,
+  round(coalesce(score, 0) - coalesce(second, 0), 4) as margin, second_name as runner_up, round(coalesce(second, 0), 3) as runner_up_score, coalesce(matched, '') as matched,
+  name is not null and (round(coalesce(score, 0) - coalesce(second, 0), 4) <= 0.05 or m <= 1) as needs_review
+from n left join r on r.node_id = n.node_id and r = 1"""
+)
+_STRIP = r"regexp_replace({}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
 _ANON = """
 with e as (select case when category = 'IP_ADDRESS' then 'IP_ADDR' else category end as category, value, sum(coalesce(cnt, 0)) as cnt, min(entity_id) as first_id from (select distinct * from entities) where value is not null group by 1, 2),
 k as (select *, list_position(['COMPANY', 'PROPER_NOUN', 'EMAIL', 'IP_ADDR', 'HOSTNAME'], category) as prio from e where category in ('COMPANY', 'PROPER_NOUN', 'EMAIL', 'IP_ADDR', 'HOSTNAME')),
@@ -316,15 +328,21 @@ f as (select * from k qualify row_number() over (partition by value order by pri
 select value as original, category, '[' || ['AZIENDA', 'PERSONA', 'EMAIL', 'IP', 'HOSTNAME'][prio] || '_' || row_number() over (partition by category order by cnt desc, first_id, value) || ']' as placeholder from f"""
 ORACLES = {
     "taxonomy_index": _KW + "select domain, name, pos, keyword from kw where pos < 90",
-    "classify_nodes": _KW
-    + f""", n as (select id as node_id, list_distinct(list_filter(regexp_extract_all(lower(concat_ws(' ', label, source_file)), '[a-z][a-z0-9+#.]{{2,}}'), lambda t: t not in ({_CSTOP}))) as tokens from (select distinct * from nodes) where label is not null),
+    "classify_nodes": _CLASSIFIED,
+    "classified_domains": f"""
+with c as ({_CLASSIFIED}), {_KW.strip()[5:]},
+n as (select id as node_id, list_distinct(list_filter(regexp_extract_all(lower(concat_ws(' ', label, source_file)), '[a-z][a-z0-9+#.]{{2,}}'), lambda t: t not in ({_CSTOP}))) as tokens
+  from (select distinct * from nodes) where label is not null),
 t as (select node_id, len(tokens) as n, unnest(tokens) as k from n),
-s as (select node_id, domain_ord, cap_ord, name, count(*)::double / any_value(n) as score, string_agg(k, ' ' order by k) as matched, count(*) as m from t join kw on keyword = k group by all),
-r as (select *, row_number() over w as r, lead(score) over w as second, lead(name) over w as second_name from s window w as (partition by node_id order by score desc, domain_ord, cap_ord))
-select n.node_id, name as capability, round(coalesce(score, 0), 3) as score, case when coalesce(score, 0) >= 0.15 then 'fit' when coalesce(score, 0) >= 0.01 then 'near' else 'unclassified' end as bucket,
-  round(coalesce(score, 0) - coalesce(second, 0), 4) as margin, second_name as runner_up, round(coalesce(second, 0), 3) as runner_up_score, coalesce(matched, '') as matched,
-  name is not null and (round(coalesce(score, 0) - coalesce(second, 0), 4) <= 0.05 or m <= 1) as needs_review
-from n left join r on r.node_id = n.node_id and r = 1""",
+s as (select node_id, domain, domain_ord, cap_ord, count(*)::double / any_value(n) as sc from t join kw on keyword = k group by all),
+dk as (select * from (values ('infrastruttura', 1, 'rete'), ('infrastruttura', 1, 'storage'), ('infrastruttura', 1, 'backup'), ('infrastruttura', 1, 'infrastruttura'),
+  ('sicurezza', 2, 'sicurezza'), ('sicurezza', 2, 'accessi'), ('sicurezza', 2, 'rischi'), ('governo', 3, 'licenze'), ('governo', 3, 'contratti'), ('governo', 3, 'proposta')) v(domain, domain_ord, k)),
+d as (select node_id, domain, domain_ord, -1 as cap_ord, count(*)::double / any_value(n) as sc from t join dk using (k) group by all),
+r as (select * from d qualify sc > coalesce(max(sc) over (partition by node_id order by domain_ord rows between unbounded preceding and 1 preceding), 0)),
+u as (select * from s qualify sc > coalesce(max(sc) over (partition by node_id order by domain_ord, cap_ord rows between unbounded preceding and 1 preceding), 0)),
+e as (select * from r union all select * from u where (node_id, domain_ord) not in (select (node_id, domain_ord) from d)),
+l as (select node_id, arg_max(domain, domain_ord * 1000 + cap_ord) as domain from e group by 1)
+select domain, bucket, count(*) as nodes, count_if(needs_review) as to_review from c left join l using (node_id) group by 1, 2""",
     "diff_summary": "select bucket, domain, count(*) as n, count_if(is_hyperedge) as hyperedges, count_if(score >= 0.15) as strong, round(max(score), 3) as best from (select distinct * from taxonomy_diff) group by 1, 2",
     "anonymisation_map": _ANON,
     "anonymised_previews": f"""
@@ -386,5 +404,16 @@ with p as (select section_id, generate_subscripts(paragraphs, 1) - 1 as para_no,
 l as (select section_id, para_no, generate_subscripts(ls, 1) as line_no, unnest(ls) as line from (select *, string_split(p, chr(10)) as ls from p)),
 t as (select *, line_no - row_number() over (partition by section_id, para_no order by line_no) as run, len(string_split(regexp_replace(regexp_replace(trim(line), '\\\|', '', 'g'), '^\||\|$', '', 'g'), '|')) as cells from l where regexp_matches(trim(line), '^\|.*\|$'))
 select section_id, para_no, count(*) as n_lines, min(cells) as min_cells, max(cells) as max_cells from t group by section_id, para_no, run""",
+    "anchored_previews": rf"""
+with n as (select distinct id, label, source_file from (select distinct * from nodes) where label is not null),
+f as (select relative_path as source_file, min(doc_id) as doc_id from doc_skeleton where relative_path is not null group by 1),
+t as (select doc_id, replace(text, chr(10), chr(10) || chr(10)) as t0 from documents),
+a as (select doc_id, regexp_replace(regexp_replace(t0, '(?s)\A\s*<!--.*?-->\s*\n', ''), '(?s)\A\s*---\s*\n.*?\n---\s*\n', '') as t1 from t),
+b as (select doc_id, regexp_replace(regexp_replace(t1, '\A[\s\p{{Z}}]+', ''), '\A(?:\s*#{{1,6}}[^\n]*\n+)+', '') as body from a),
+j as (select id, body, list_distinct(list_filter(list_transform(regexp_extract_all(label, '[A-Za-zÀ-ÿ0-9]{{4,}}'), lambda x: lower(x)), lambda x: x not in ({R.PREVIEW_STOP}))) as ks,
+  list_filter(list_transform(regexp_split_to_array(body, '\n\s*\n'), lambda x: {_STRIP.format('x')}), lambda x: x <> '') as ps from n join f using (source_file) join b using (doc_id)),
+c as (select *, list_transform(ps, lambda p: len(list_filter(ks, lambda k: contains(lower(p), k)))) as sc from j),
+e as (select id, body, ps, case when list_max(sc) > 0 then list_position(sc, list_max(sc)) end as pos from c)
+select id, {_STRIP.format("(case when len(ps) = 0 then body when pos is null then array_to_string(ps, ' ') else array_to_string(ps[pos:pos + 2], ' ') end)[1:200]")} as preview from e""",
     "event_hours": "select date_trunc('hour', ts) as hour, event_type, count(*) as events, round(sum(value), 4) as value from events group by 1, 2",
 }
