@@ -25,8 +25,9 @@ def table_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shell_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Broken continuations in shell blocks."""
-    return L.shell_defects(_paras(spark, sf_dir))
+    """Broken continuations where each paragraph is a shell block, its sentences being lines that go on: at the block's end or, every other one, before a blank line."""
+    body = F.concat(F.lit("```bash\n"), F.replace("text", F.lit(". "), F.lit(" \\\n")), F.lit(" \\\n"), F.when(F.length("text") % 2 == 0, "\n").otherwise(""), F.lit("```"))
+    return L.shell_defects(_paras(spark, sf_dir).where("not contains(text, '`') and not contains(text, '~')").withColumn("text", body))
 
 
 def prose_families(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +101,54 @@ _TITLE_WORDS = rf"""
 with k as (select doc_id, max(file_name) as name from doc_skeleton group by 1),
 w as (select distinct doc_id as target, token from (select doc_id, unnest(regexp_extract_all(lower(regexp_replace(name, '(.)\.[^.]*$', '\1')), '[a-z0-9]+')) as token from k) where length(token) >= 4 and token not in ({_NOISE}))
 """
+def _accented(column: str) -> str:
+    """The words of the specification with an apostrophe for their accent, replaced one after the other; what follows the apostrophe is kept as a group."""
+    acute = "perche poiche affinche finche benche giacche anziche ne se".split()
+    grave = "citta qualita attivita possibilita universita societa gia piu cosi puo cio sara potra dovra verra lunedi martedi mercoledi giovedi venerdi pero cioe".split()
+    put = {"a": "à", "e": "è", "i": "ì", "o": "ò", "u": "ù"}
+    end = r"''([^\p{L}]|$)"
+    out = column
+    for w in acute:
+        out = f"regexp_replace({out}, '(?i)\\b({w[:-1]})e{end}', '\\1é\\2', 'g')"
+    for w in grave:
+        out = f"regexp_replace({out}, '(?i)\\b({w[:-1]}){w[-1]}{end}', '\\1{put[w[-1]]}\\2', 'g')"
+    out = f"regexp_replace({out}, '(^|[^\\p{{L}}''])e{end}', '\\1è\\2', 'g')"
+    out = f"regexp_replace({out}, '\\bsta''', 'sta' || chr(2), 'g')"  # the one elision of three letters
+    for v in "aiou":
+        out = f"regexp_replace({out}, '\\b([A-Za-z]{{2,}}){v}{end}', '\\1{put[v]}\\2', 'g')"
+    return f"replace({out}, chr(2), '''')"
+
+
+_PARAS = "select distinct section_id || '-' || (generate_subscripts(paragraphs, 1) - 1) as path, unnest(paragraphs) as text from (select distinct section_id, paragraphs from sections)"
+_LINES = """
+l as (select path, generate_subscripts(ls, 1) as n, unnest(ls) as line from (select path, string_split(text, chr(10)) as ls from p where text is not null)),
+f as (select *, regexp_matches(line, '^\\s*(```|~~~)') as fence from l),
+o as (select *, sum(fence::int) over (partition by path order by n rows unbounded preceding) % 2 = 1 or fence as code from f)"""
 ORACLES = {
+    "accent_fixes": f"""
+with d as (select doc_id, text, string_split(regexp_replace(text, '(?s)(```.*?(?:```|\\z)|`[^`\\n]*`)', chr(1) || '\\1' || chr(1), 'g'), chr(1)) as ps from documents where text is not null),
+q as (select doc_id, generate_subscripts(ps, 1) as i, unnest(ps) as p from d),
+f as (select doc_id, string_agg(case when i % 2 = 1 then {_accented('p')} else p end, '' order by i) as fixed from q group by 1)
+select doc_id, length(fixed) as n_chars from f join d using (doc_id) where text <> fixed""",
+    "unwrapped": r"""
+with d as (select doc_id, text, string_split(regexp_replace(text, '(?s)(```.*?(?:```|\z))', chr(1) || '\1' || chr(1), 'g'), chr(1)) as ps from documents where text is not null),
+q as (select doc_id, generate_subscripts(ps, 1) as i, unnest(ps) as p from d),
+l as (select doc_id, i, generate_subscripts(ls, 1) as n, unnest(ls) as line from (select doc_id, i, string_split(p, chr(10)) as ls from q where i % 2 = 1)),
+x as (select doc_id, line, lead(line) over (partition by doc_id, i order by n) as nxt from l),
+j as (select doc_id, count(*) as gone from x where nxt is not null and regexp_matches(line, '\S$') and not ends_with(line, '|') and not regexp_matches(line, '^#{1,6}\s')
+  and regexp_matches(nxt, '^\S') and not regexp_matches(nxt, '^(?:#{1,6}(?:\s|$)|[-*+](?:\s|$)|[0-9]+[.)](?:\s|$)|>|\||```|<)') group by 1)
+select d.doc_id, len(string_split(text, chr(10)))::int as lines, (len(string_split(text, chr(10))) - coalesce(gone, 0))::int as joined from d left join j on j.doc_id = d.doc_id""",
+    "table_defects": f"with p as ({_PARAS}), {_LINES.strip()}," + r"""
+t as (select path, n, line, regexp_matches(trim(line), '^\|.*\|$') as is_row, len(string_split(regexp_replace(regexp_replace(trim(line), '\\\|', '', 'g'), '^\||\|$', '', 'g'), '|')) as cells from o
+  where not code and (regexp_matches(trim(line), '^\|.*\|$') or regexp_matches(line, '^\s*\+[-=+]+\+\s*$'))),
+r as (select *, n - row_number() over (partition by path order by n) as run from t),
+g as (select *, bool_or(regexp_matches(line, '^\s*\+')) over (partition by path, run) as figure, max(case when regexp_matches(line, '^\s*\|[\s:|-]*-[\s:|-]*\|\s*$') then cells end) over (partition by path, run) as want from r)
+select path, n::int as line_no, case when want is null then 'detached' else 'cells' end as defect from g where not figure and (want is null or cells <> want)""",
+    "shell_defects": f"with q as ({_PARAS}), p as (select path, '```bash' || chr(10) || replace(text, '. ', ' ' || chr(92) || chr(10)) || ' ' || chr(92) || chr(10) || case when length(text) % 2 = 0 then chr(10) else '' end || '```' as text from q "
+    f"where not contains(text, '`') and not contains(text, '~')), {_LINES.strip()}," + r"""
+x as (select *, lead(line) over (partition by path order by n) as nxt from o where code)
+select path, n::int as line_no, case when regexp_matches(nxt, '^\s*(```|~~~)') then 'open-continuation' else 'broken-continuation' end as defect from x
+where not fence and regexp_matches(line, '\\\s*$') and (regexp_matches(nxt, '^\s*(```|~~~)') or trim(nxt) = '')""",
     "note_links": _TITLE_WORDS + r""",
 s as (select distinct doc_id, unnest(regexp_extract_all(lower(preview_start), '[a-z0-9]+')) as token from sections where preview_start is not null),
 n as (select s.doc_id, s.token, count(*) as n_targets from s join w on s.token = w.token and s.doc_id <> w.target group by all)
