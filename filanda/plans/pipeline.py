@@ -320,16 +320,7 @@ select n.node_id, name as capability, round(coalesce(score, 0), 3) as score, cas
   name is not null and (round(coalesce(score, 0) - coalesce(second, 0), 4) <= 0.05 or m <= 1) as needs_review
 from n left join r on r.node_id = n.node_id and r = 1"""
 )
-_STRIP = r"regexp_replace({}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
-_ANON = """
-with e as (select case when category = 'IP_ADDRESS' then 'IP_ADDR' else category end as category, value, sum(coalesce(cnt, 0)) as cnt, min(entity_id) as first_id from (select distinct * from entities) where value is not null group by 1, 2),
-k as (select *, list_position(['COMPANY', 'PROPER_NOUN', 'EMAIL', 'IP_ADDR', 'HOSTNAME'], category) as prio from e where category in ('COMPANY', 'PROPER_NOUN', 'EMAIL', 'IP_ADDR', 'HOSTNAME')),
-f as (select * from k qualify row_number() over (partition by value order by prio) = 1)
-select value as original, category, '[' || ['AZIENDA', 'PERSONA', 'EMAIL', 'IP', 'HOSTNAME'][prio] || '_' || row_number() over (partition by category order by cnt desc, first_id, value) || ']' as placeholder from f"""
-ORACLES = {
-    "taxonomy_index": _KW + "select domain, name, pos, keyword from kw where pos < 90",
-    "classify_nodes": _CLASSIFIED,
-    "classified_domains": f"""
+_FOLD = f"""
 with c as ({_CLASSIFIED}), {_KW.strip()[5:]},
 n as (select id as node_id, list_distinct(list_filter(regexp_extract_all(lower(concat_ws(' ', label, source_file)), '[a-z][a-z0-9+#.]{{2,}}'), lambda t: t not in ({_CSTOP}))) as tokens
   from (select distinct * from nodes) where label is not null),
@@ -342,7 +333,23 @@ r as (select * from d qualify sc > coalesce(max(sc) over (partition by node_id o
 u as (select * from s qualify sc > coalesce(max(sc) over (partition by node_id order by domain_ord, cap_ord rows between unbounded preceding and 1 preceding), 0)),
 e as (select * from r union all select * from u where (node_id, domain_ord) not in (select (node_id, domain_ord) from d)),
 l as (select node_id, arg_max(domain, domain_ord * 1000 + cap_ord) as domain from e group by 1)
-select domain, bucket, count(*) as nodes, count_if(needs_review) as to_review from c left join l using (node_id) group by 1, 2""",
+"""
+_STRIP = r"regexp_replace({}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
+_ANON = """
+with e as (select case when category = 'IP_ADDRESS' then 'IP_ADDR' else category end as category, value, sum(coalesce(cnt, 0)) as cnt, min(entity_id) as first_id from (select distinct * from entities) where value is not null group by 1, 2),
+k as (select *, list_position(['COMPANY', 'PROPER_NOUN', 'EMAIL', 'IP_ADDR', 'HOSTNAME'], category) as prio from e where category in ('COMPANY', 'PROPER_NOUN', 'EMAIL', 'IP_ADDR', 'HOSTNAME')),
+f as (select * from k qualify row_number() over (partition by value order by prio) = 1)
+select value as original, category, '[' || ['AZIENDA', 'PERSONA', 'EMAIL', 'IP', 'HOSTNAME'][prio] || '_' || row_number() over (partition by category order by cnt desc, first_id, value) || ']' as placeholder from f"""
+ORACLES = {
+    "taxonomy_index": _KW + "select domain, name, pos, keyword from kw where pos < 90",
+    "classify_nodes": _CLASSIFIED,
+    "classified_domains": _FOLD + " select domain, bucket, count(*) as nodes, count_if(needs_review) as to_review from c left join l using (node_id) group by 1, 2",
+    "near_miss_communities": _FOLD + """,
+m as (select community, l.domain, score, tokens from c join l using (node_id) join n using (node_id) join (select id as node_id, community from (select distinct * from nodes) where label is not null) using (node_id) where bucket = 'near'),
+w as (select community, arg_min(domain, (-v, domain)) as domain from (select community, domain, count(*) as v from m group by 1, 2) group by 1),
+z as (select community, list_distinct(flatten(list(tokens))) as ts, count(*) as nodes, round(avg(score), 4) as mean_score from m group by 1),
+y as (select z.*, w.domain, coalesce((select count(*) from dk where dk.domain = w.domain and list_contains(z.ts, dk.k)), 0)::double / len(ts) as rec from z join w using (community))
+select community, domain, nodes, mean_score, round(rec, 4) as domain_recall, case when rec >= 0.08 then 'new_capability' else 'new_domain' end as proposal from y""",
     "diff_summary": "select bucket, domain, count(*) as n, count_if(is_hyperedge) as hyperedges, count_if(score >= 0.15) as strong, round(max(score), 3) as best from (select distinct * from taxonomy_diff) group by 1, 2",
     "anonymisation_map": _ANON,
     "anonymised_previews": f"""
