@@ -39,6 +39,16 @@ def prose_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("family").agg(F.count_distinct("path", "line_no").alias("lines"), F.count("*").alias("matches"))
 
 
+def planted_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by family of sign other than uniformity, each with a paragraph before it that holds one; the texts themselves have none of these."""
+    s = table(spark, sf_dir, "sections").distinct().where("paragraphs is not null")
+    one = F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("ord", "section_id", "paragraphs"))), lambda x: x["paragraphs"])), "\n\n")
+    more = F.array(*[F.lit(x) for x in ("Gli esperti ritengono che cambi.", "Non è burocrazia: è altro.", "Il prodotto è pronto. Veloce. Semplice. Potente.", "Kinda wild.", "We delve into it.")])
+    texts = s.groupBy(F.col("doc_id").alias("path")).agg(one.alias("text"))
+    texts = texts.select("path", F.concat(F.element_at(more, (F.col("path") % 5 + 1).cast("int")), F.lit("\n\n"), "text").alias("text"))
+    return P.prose_signs(texts).where("family <> 'P1'").groupBy("family").agg(F.count_distinct("path").alias("docs"))
+
+
 def accent_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that change when apostrophes for accents are replaced."""
     d = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text", Y.accents("text").alias("fixed"))
@@ -93,7 +103,7 @@ def title_similarity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, "doc_id").where("a < b").select("a", "b", F.round(T.jaccard("ta", "tb"), 4).alias("sim")).where("sim >= 0.5")
 
 
-QUERIES = {f.__name__: f for f in (table_defects, shell_defects, prose_families, accent_fixes, unwrapped, note_links, note_targets, index_sections,
+QUERIES = {f.__name__: f for f in (table_defects, shell_defects, prose_families, planted_signs, accent_fixes, unwrapped, note_links, note_targets, index_sections,
     scan_progress, size_growth, title_similarity_pairs)}
 
 _STOP, _NOISE, _TYPE = R.CLASS_STOP, R.NAME_NOISE, R.DOC_TYPE.format("lower(name)")
@@ -125,6 +135,7 @@ l as (select path, generate_subscripts(ls, 1) as n, unnest(ls) as line from (sel
 f as (select *, regexp_matches(line, '^\\s*(```|~~~)') as fence from l),
 o as (select *, sum(fence::int) over (partition by path order by n rows unbounded preceding) % 2 = 1 or fence as code from f)"""
 ORACLES = {
+    "planted_signs": "select ['P2', 'P3', 'P4', 'P5', 'P6'][doc_id % 5 + 1] as family, count(distinct doc_id) as docs from sections where paragraphs is not null group by 1",
     "accent_fixes": f"""
 with d as (select doc_id, text, string_split(regexp_replace(text, '(?s)(```.*?(?:```|\\z)|`[^`\\n]*`)', chr(1) || '\\1' || chr(1), 'g'), chr(1)) as ps from documents where text is not null),
 q as (select doc_id, generate_subscripts(ps, 1) as i, unnest(ps) as p from d),
